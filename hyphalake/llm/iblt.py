@@ -1,6 +1,7 @@
 """Document fingerprints by an invertible Bloom lookup sketch of paragraphs.
 
-A text's paragraphs are its lines; a line beyond ``line_chars`` is divided at sentence ends, and a text
+A text's paragraphs are its lines; a line beyond ``line_chars`` is divided at sentence ends, a
+sentence beyond it to its words, and a text
 shorter than ``short_chars`` altogether to its words, as one edit would else change all of it.  Each
 paragraph's 64-bit digest goes to one cell in each of three sub-tables; a cell holds a count and sums
 of the digest's halves and of a check hash.  Cells of two versions subtract, and peeling (take a cell
@@ -37,6 +38,7 @@ def paragraph_digests(text: Column, line_chars: int = 400, short_chars: int = 40
     """array<long>: XXH64 of every paragraph that holds more than blanks."""
     lines = F.split(text, "\n")
     parts = F.flatten(F.transform(lines, lambda x: F.when(F.length(x) > line_chars, F.split(x, r"(?<=[.!?])\s+")).otherwise(F.array(x))))
+    parts = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) > line_chars, F.split(x, r"[\x20\x09-\x0D]+")).otherwise(F.array(x))))
     parts = F.when(F.length(text) < short_chars, F.split(text, r"[\x20\x09-\x0D]+")).otherwise(parts)
     return F.transform(F.filter(F.transform(parts, F.trim), lambda x: x != ""), lambda x: F.xxhash64(x))
 
