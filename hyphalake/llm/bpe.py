@@ -1,8 +1,9 @@
 """BPE encoding and decoding by a distinct-word table.
 
 1. Texts are split to words, in blocks of about ``block_chars`` characters.  A block keeps its texts as
-   positions in its own list of distinct words, and sends each distinct word, once, to the part of the
-   word table that the word's hash names (packed, one row a block and part).
+   positions in its own list of distinct words, which goes by frequency so that positions pack well, and
+   sends each distinct word, once, to the part of the word table that the word's hash names (packed, one
+   row a block and part).
 2. Each part of the table gathers its words over all blocks, encodes every distinct one once with the
    tokenizer's model, and answers each block in the order of the words it sent.
 3. A block joins the answers with its positions: ids of a word go to all places of the word.  Decoding
@@ -106,53 +107,70 @@ def _read_bytes(spark, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(local).select("content").first()[0])
 
 
+def _pack_positions(codes: np.ndarray) -> tuple[bytes, bytes]:
+    """A byte for each of the 255 first places and an escape for others, and the others."""
+    first = np.minimum(codes, 255).astype(np.uint8)
+    return zstandard.ZstdCompressor(level=3).compress(first.tobytes()), _pack(codes[codes >= 255] - 255)
+
+
+def _unpack_positions(body: bytes, tail: bytes) -> np.ndarray:
+    codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).astype(np.uint32)
+    codes[codes == 255] = _unpack(tail) + 255
+    return codes
+
+
 def split_blocks(docs: DataFrame, blob: bytes, text: str, carry: Sequence[str], block_chars: int, parts: int) -> DataFrame:
-    """Rows of two kinds: 0 a text's positions in its block's words, 1 the block's words for one part.
+    """Rows of two kinds: 0 a block's rows, text lengths and positions, 1 a block's words for one part.
 
     A packet of words also names their places in the block's list, so answers can be joined by position.
     """
     plain = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(text).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("row", plain.schema["row"].dataType)]).add("block", "string").add("part", "integer").add("body", "binary").add("places", "binary").add("kind", "integer")
+    schema = T.StructType([T.StructField("rows", T.ArrayType(plain.schema["row"].dataType))]).add("block", "string").add("part", "integer").add("lengths", "binary").add("body", "binary").add("tail", "binary").add("kind", "integer")
     names = schema.names
     digest = xxhash.xxh3_64_intdigest
 
-    def record(row: pa.Array, block: str, part: list, body: list, places: list, kind: int) -> pa.RecordBatch:
-        n = len(body)
-        return pa.RecordBatch.from_arrays([row, pa.array([block] * n, pa.string()), pa.array(part, pa.int32()), pa.array(body, pa.binary()), pa.array(places, pa.binary()), pa.array([kind] * n, pa.int32())], names)
-
-    def packets(block: str, seen: dict[str, int], kind: pa.DataType) -> pa.RecordBatch:
-        to: list[list[str]] = [[] for _ in range(parts)]
-        at: list[list[int]] = [[] for _ in range(parts)]
-        for w, k in seen.items():
-            p = digest(w) % parts
-            to[p].append(w)
-            at[p].append(k)
+    def block_rows(block: str, rows: list[pa.Array], codes: list[np.ndarray], seen: dict[str, int]) -> Iterator[pa.RecordBatch]:
+        flat = np.concatenate(codes)
+        words, counts = list(seen), np.bincount(flat, minlength=len(seen)).tolist()
+        part = [digest(w) % parts for w in words]
+        order = sorted(range(len(words)), key=lambda k: (-counts[k], part[k], words[k]))
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words), dtype=np.uint32)
+        body, tail = _pack_positions(place[flat])
+        every = pa.concat_arrays(rows)
+        held = pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every)
+        one = lambda x, kind: pa.array([x], kind)
+        yield pa.RecordBatch.from_arrays([held, one(block, pa.string()), one(0, pa.int32()), one(_pack(np.array([*map(len, codes)], np.uint32)), pa.binary()), one(body, pa.binary()), one(tail, pa.binary()), one(0, pa.int32())], names)
+        to: list[list[int]] = [[] for _ in range(parts)]
+        for k in order:
+            to[part[k]].append(k)
         used = [p for p in range(parts) if to[p]]
-        body = [zstandard.ZstdCompressor(level=3).compress("\n".join(to[p]).encode("utf-8")) for p in used]
-        places = [_pack(np.diff(np.array(at[p], np.uint32), prepend=np.uint32(0))) for p in used]
-        return record(pa.nulls(len(used), kind), block, used, body, places, 1)
+        n = len(used)
+        packets = [zstandard.ZstdCompressor(level=3).compress("\n".join([words[k] for k in to[p]]).encode("utf-8")) for p in used]
+        places = [_pack(np.diff(place[to[p]], prepend=np.uint32(0))) for p in used]
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, held.type), pa.array([block] * n, pa.string()), pa.array(used, pa.int32()), pa.nulls(n, pa.binary()), pa.array(packets, pa.binary()), pa.array(places, pa.binary()), pa.array([1] * n, pa.int32())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, task, n, chars, kind = WordCodec(blob), TaskContext.get().partitionId(), 0, 0, None
+        codec, task, n, chars = WordCodec(blob), TaskContext.get().partitionId(), 0, 0
+        rows: list[pa.Array] = []
+        codes: list[np.ndarray] = []
         seen: defaultdict[str, int] = defaultdict()
         seen.default_factory = seen.__len__
         for b in batches:
-            kind, start, bodies = b.column(0).type, 0, []
+            start = 0
             for k in range(len(b)):
                 x = b.column(1)[k].as_py() or ""
-                bodies.append(_pack(np.array([*map(seen.__getitem__, codec.words(x))], np.uint32)))
+                codes.append(np.array([*map(seen.__getitem__, codec.words(x))], np.uint32))
                 chars += len(x)
-                full = chars >= block_chars
-                if full or k == len(b) - 1:
-                    size = len(bodies)
-                    yield record(b.column(0).slice(start, size), f"{task}-{n}", [0] * size, bodies, [None] * size, 0)
-                    start, bodies = k + 1, []
-                if full:
-                    yield packets(f"{task}-{n}", seen, kind)
+                if chars >= block_chars:
+                    rows.append(b.column(0).slice(start, k + 1 - start))
+                    yield from block_rows(f"{task}-{n}", rows, codes, seen)
                     seen.clear()
-                    n, chars = n + 1, 0
-        if seen:
-            yield packets(f"{task}-{n}", seen, kind)
+                    rows, codes, start, n, chars = [], [], k + 1, n + 1, 0
+            if start < len(b):
+                rows.append(b.column(0).slice(start))
+        if rows:
+            yield from block_rows(f"{task}-{n}", rows, codes, seen)
 
     return plain.mapInArrow(run, schema)
 
@@ -179,18 +197,18 @@ def encode_parts(packets: DataFrame, blob: bytes, parts: int) -> DataFrame:
                 flat.append(_pack(np.frombuffer(b"".join(got), "<u4")))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(lengths, pa.binary()), pa.array(flat, pa.binary())], ["block", "places", "lengths", "ids"])
 
-    dealt = packets.select("block", "part", "places", "body").repartition(parts, "part").sortWithinPartitions("part")
+    dealt = packets.select("block", "part", F.col("tail").alias("places"), "body").repartition(parts, "part").sortWithinPartitions("part")
     return dealt.mapInArrow(run, "block string, places binary, lengths binary, ids binary")
 
 
-def join_ids(bodies: DataFrame, answers: DataFrame, pieces: Sequence[str]) -> DataFrame:
+def join_ids(blocks: DataFrame, answers: DataFrame, pieces: Sequence[str]) -> DataFrame:
     """(row, n_tokens, ids, decoded): a block's answers joined with its texts by position.
 
     pieces is the id-to-piece table; its size is the vocabulary's.
     """
     names = ["row", "n_tokens", "ids", "decoded"]
 
-    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
         ids_of: dict[int, bytes] = {}
         piece_of: dict[int, str] = {}
         for places, lengths, ids in zip(*(found.column(c).to_pylist() for c in ("places", "lengths", "ids"))):
@@ -202,17 +220,20 @@ def join_ids(bodies: DataFrame, answers: DataFrame, pieces: Sequence[str]) -> Da
                 piece_of[k] = " ".join(shown[at : at + n])
                 at += n
         mute = {k for k, x in ids_of.items() if not x}
-        ids, decoded = [], []
-        for body in texts.column("body"):
-            codes = _unpack(body.as_py()).tolist()
+        ids, decoded, at = [], [], 0
+        held = block.column("rows").combine_chunks()
+        codes = _unpack_positions(block.column("body")[0].as_py(), block.column("tail")[0].as_py())
+        for n in _unpack(block.column("lengths")[0].as_py()).tolist():
+            own = codes[at : at + n].tolist()
+            at += n
             if mute:
-                codes = [k for k in codes if k not in mute]
-            ids.append(b"".join(map(ids_of.__getitem__, codes)))
-            decoded.append(" ".join(map(piece_of.__getitem__, codes)))
-        return pa.Table.from_arrays([texts.column("row"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names)
+                own = [k for k in own if k not in mute]
+            ids.append(b"".join(map(ids_of.__getitem__, own)))
+            decoded.append(" ".join(map(piece_of.__getitem__, own)))
+        return pa.Table.from_arrays([held.flatten(), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names)
 
-    schema = T.StructType([T.StructField("row", bodies.schema["row"].dataType)]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
-    return bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    schema = T.StructType([T.StructField("row", blocks.schema["rows"].dataType.elementType)]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", carry: Sequence[str] = ("doc_id",), block_chars: int = 8_000_000) -> DataFrame:
@@ -227,5 +248,5 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", carry: S
     scratch, parts = Scratch(spark, "bpe"), shuffle_partitions(spark)
     split = scratch.keep(split_blocks(docs, blob, text, carry, block_chars, parts), "blocks", ["kind"])
     answers = encode_parts(split.where("kind = 1"), blob, parts)
-    done = join_ids(split.where("kind = 0").select("block", "row", "body"), answers, WordCodec(blob).pieces)
+    done = join_ids(split.where("kind = 0").select("block", "rows", "lengths", "body", "tail"), answers, WordCodec(blob).pieces)
     return done.select(*[F.col("row")[c].alias(c) for c in carry], "n_tokens", "ids", "decoded")
