@@ -25,6 +25,8 @@ document is its own next; an empty table gives an empty table; counts of repeate
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ def paragraph_digests(text: Column, line_chars: int = 400, short_chars: int = 40
     parts = F.flatten(F.transform(lines, lambda x: F.when(F.length(x) > line_chars, F.split(x, r"(?<=[.!?])\s+")).otherwise(F.array(x))))
     parts = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) > line_chars, F.split(x, r"[\x20\x09-\x0D]+")).otherwise(F.array(x))))
     parts = F.when(F.length(text) < short_chars, F.split(text, r"[\x20\x09-\x0D]+")).otherwise(parts)
-    return F.transform(F.filter(F.transform(parts, F.trim), lambda x: x != ""), lambda x: F.xxhash64(x))
+    return F.transform(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
 def with_next(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
@@ -66,53 +68,64 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - cut), F.substring(next_text, F.lit(1), cut))
 
 
-def _cells(level: Column, digest: Column) -> Column:
-    """The three cells of a digest in a sketch of 2^level cells a sub-table."""
-    size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
-    return F.array(*[F.shiftrightunsigned(digest, 21 * t).bitwiseAND(size - 1) * 3 + t for t in range(3)])
+def _cell(level: str, digest: str, table: str) -> str:
+    """SQL for a digest's cell in a sub-table of 2^level cells."""
+    return f"((shiftrightunsigned({digest}, 21 * {table}) & (shiftleft(1L, {level}) - 1)) * 3 + {table})"
 
 
-def _check(hi: Column, lo: Column) -> Column:
-    return F.xxhash64(hi, lo, F.lit(7)).bitwiseAND(F.lit(0xFFFFFFFF))
+def _check(hi: str, lo: str) -> str:
+    return f"(xxhash64({hi}, {lo}, 7) & 4294967295L)"
 
 
-def sketch_rows(pairs: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """(rid, level, cell, sums of each version): cells from digest arrays, one pass for all versions.
+def paragraph_cells(pairs: DataFrame, arrays: Sequence[str]) -> DataFrame:
+    """(rid, level, v, cell, c, hi, lo, chk): three rows a paragraph; v is the place of its array in arrays.
 
-    columns: version name to array column.  Cells stay in the partition of their rid.
+    Indices of constant arrays are exploded instead of structs, so rows stay primitive.
     """
+    sizes = [F.size(c) for c in arrays]
+    flat = pairs.select("rid", "level", *[n.alias(f"n{k}") for k, n in enumerate(sizes)], F.posexplode(F.concat(*arrays)).alias("at", "d"))
+    version, before = F.lit(0), F.lit(0)
+    for k in range(len(arrays) - 1):
+        before = before + F.col(f"n{k}")
+        version = version + (F.col("at") >= before).cast("int")
+    flat = flat.select("rid", "level", version.alias("v"), "d", F.expr("shiftrightunsigned(d, 32)").alias("hi"), F.expr("d & 4294967295L").alias("lo"))
+    flat = flat.select("rid", "level", "v", "d", "hi", "lo", F.expr(_check("hi", "lo")).alias("chk"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("t"))
+    return flat.select("rid", "level", "v", F.expr(_cell("level", "d", "t")).alias("cell"), F.lit(1).cast("long").alias("c"), "hi", "lo", "chk")
+
 
-    def named(v: str, c: str) -> Column:
-        return F.transform(F.col(c), lambda d: F.struct(F.lit(v).alias("v"), d.alias("d")))
+def sketches(cells: DataFrame, versions: int) -> DataFrame:
+    """(rid, level, cell, and the sums of each version as v0_c, v0_hi, ...)."""
+    return cells.groupBy("rid", "level", "cell").agg(*[F.sum(F.when(F.col("v") == v, F.col(s)).otherwise(0)).alias(f"v{v}_{s}") for v in range(versions) for s in SUMS])
 
-    each = F.concat(*[named(v, c) for v, c in columns.items()])
-    flat = pairs.select("rid", "level", F.explode(each).alias("e")).select("rid", "level", "e.v", "e.d")
-    flat = flat.withColumn("hi", F.shiftrightunsigned("d", 32)).withColumn("lo", F.col("d").bitwiseAND(F.lit(0xFFFFFFFF)))
-    flat = flat.withColumn("chk", _check(F.col("hi"), F.col("lo"))).withColumn("c", F.lit(1).cast("long"))
-    flat = flat.withColumn("cell", F.explode(_cells(F.col("level"), F.col("d"))))
-    return flat.groupBy("rid", "level", "cell").agg(*[F.sum(F.when(F.col("v") == v, F.col(s)).otherwise(0)).alias(f"{v}_{s}") for v in columns for s in SUMS])
+
+def differences(cells: DataFrame) -> DataFrame:
+    """(rid, level, kind, cell, sums): version 0 minus version 1 (kind 0) and minus version 2 (kind 1), cell by cell.
+
+    Sketches are linear, so the two sketches' subtraction is one signed sum.
+    """
+    both = cells.withColumn("kind", F.explode(F.when(F.col("v") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("v") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))))
+    sign = F.when(F.col("v") == 0, 1).otherwise(-1)
+    out = both.groupBy("rid", "level", "kind", "cell").agg(*[F.sum(F.col(s) * sign).alias(s) for s in SUMS])
+    return out.where("c <> 0 or hi <> 0 or lo <> 0 or chk <> 0")
 
 
 def peel(cells: DataFrame, rounds: int) -> DataFrame:
-    """(rid, kind, left, found): cells that are not empty in the end, and the differing paragraphs recovered.
+    """(rid, kind, level, left, found): cells that are not empty in the end, and the differing paragraphs recovered.
 
     cells: rid, level, kind, cell, c, hi, lo, chk.  A round peels one sub-table, in which a digest has
-    one cell only, so nothing is taken out twice; found rides along in a cell numbered -1.
+    one cell only, so nothing is taken out twice: a pure cell's row becomes itself, its three negatives
+    and a tally, and cells are summed again.  Tallies ride along in a cell numbered -1.
     """
     now = cells.withColumn("found", F.lit(0).cast("long"))
     for r in range(rounds):
-        n = F.abs(F.col("c"))
-        sign = F.signum("c").cast("long")
-        hi, lo, chk = (F.when(n > 0, F.expr(f"{s} * cast(signum(c) as bigint) div nullif(abs(c), 0)")) for s in ("hi", "lo", "chk"))
-        pure = (F.col("cell") >= 0) & (F.col("cell") % 3 == r % 3) & (n > 0) & (hi >= 0) & (lo >= 0) & (hi * n * sign == F.col("hi")) & (lo * n * sign == F.col("lo")) & (_check(hi, lo) * n * sign == F.col("chk"))
-        digest = F.shiftleft(hi, 32).bitwiseOR(lo)
-        own = F.struct("cell", *SUMS, "found")
-        take = F.transform(_cells(F.col("level"), digest), lambda x: F.struct(x.alias("cell"), *[(-F.col(s)).alias(s) for s in SUMS], F.lit(0).cast("long").alias("found")))
-        tally = F.struct(F.lit(-1).cast("long").alias("cell"), *[F.lit(0).cast("long").alias(s) for s in SUMS], n.cast("long").alias("found"))
-        # The digest must name the cell it stands in.
-        pure = pure & F.array_contains(_cells(F.col("level"), digest), F.col("cell"))
-        now = now.select("rid", "level", "kind", F.explode(F.when(pure, F.concat(F.array(own), take, F.array(tally))).otherwise(F.array(own))).alias("x")).select("rid", "level", "kind", "x.*")
-        now = now.groupBy("rid", "level", "kind", "cell").agg(*[F.sum(s).alias(s) for s in SUMS], F.sum("found").alias("found"))
+        here = now.select("*", F.expr("abs(c)").alias("n"), F.expr("cast(signum(c) as bigint)").alias("s"), *[F.expr(f"{x} * cast(signum(c) as bigint) div nullif(abs(c), 0)").alias(f"d{x}") for x in ("hi", "lo")])
+        # The content must be a multiple of one digest that its check confirms, and name the cell it is in.
+        here = here.select("*", F.expr("shiftleft(dhi, 32) | dlo").alias("d"), F.expr(f"cell >= 0 and cell % 3 = {r % 3} and n > 0 and dhi >= 0 and dlo >= 0 and dhi * n * s = hi and dlo * n * s = lo and {_check('dhi', 'dlo')} * n * s = chk").alias("ok"))
+        pure = F.expr(f"coalesce(ok and {_cell('level', 'd', str(r % 3))} = cell, false)")
+        rows = here.select("rid", "level", "kind", "cell", *SUMS, "found", "n", "d", F.explode(F.when(pure, F.array(*[F.lit(i) for i in range(5)])).otherwise(F.array(F.lit(0)))).alias("i"))
+        cell = F.expr(f"case i when 0 then cell when 4 then -1L else {_cell('level', 'd', '(i - 1)')} end")
+        now = rows.select("rid", "level", "kind", cell.alias("cell"), *[F.expr(f"case i when 0 then {x} when 4 then 0L else -{x} end").alias(x) for x in SUMS], F.expr("case i when 0 then found when 4 then n else 0L end").alias("found"))
+        now = now.groupBy("rid", "level", "kind", "cell").agg(*[F.sum(x).alias(x) for x in SUMS], F.sum("found").alias("found"))
         now = now.where("cell < 0 or c <> 0 or hi <> 0 or lo <> 0 or chk <> 0")
     return now.groupBy("rid", "level", "kind").agg(F.count(F.when(F.col("cell") >= 0, 1)).alias("left"), F.sum("found").alias("found"))
 
@@ -135,9 +148,13 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     placed = pairs.repartition(n, "rid")
 
     # The fingerprints: the base sketch of either version.
-    base = sketch_rows(placed.select("rid", F.lit(base_level).alias("level"), "a", "e"), {"a": "a", "e": "e"})
-    shown = lambda v: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(f"{v}_c") > 0, F.struct("cell", *[F.col(f"{v}_{s}").alias(s) for s in SUMS])))), lambda x: F.concat_ws(":", *[F.lower(F.hex(x[s])) for s in ("cell", *SUMS)])), " ")
-    prints = base.groupBy("rid").agg(shown("a").alias("fingerprint"), shown("e").alias("edited_fingerprint"))
+    base = sketches(paragraph_cells(placed.withColumn("level", F.lit(base_level)), ["a", "e"]), 2)
+
+    def shown(v: int) -> Column:
+        full = F.when(F.col(f"v{v}_c") > 0, F.struct(F.col("cell"), F.concat_ws(":", *[F.lower(F.hex(F.col(c))) for c in ("cell", *(f"v{v}_{s}" for s in SUMS))]).alias("t")))
+        return F.array_join(F.transform(F.array_sort(F.collect_list(full)), lambda x: x["t"]), " ")
+
+    prints = base.groupBy("rid").agg(shown(0).alias("fingerprint"), shown(1).alias("edited_fingerprint"))
 
     # The first sketch holds as many cells as the two versions can differ in, more or less.
     total = F.size("a") + F.greatest(F.size("e"), F.size("n"))
@@ -145,10 +162,7 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     todo = placed.withColumn("level", first)
     results, attempt = None, 0
     while True:
-        cells = sketch_rows(todo, {"a": "a", "e": "e", "n": "n"})
-        kinds = [F.struct(F.lit(v).alias("kind"), *[(F.col(f"a_{s}") - F.col(f"{v}_{s}")).alias(s) for s in SUMS]) for v in ("e", "n")]
-        cells = cells.select("rid", "level", "cell", F.explode(F.array(*kinds)).alias("x")).select("rid", "level", "cell", "x.*")
-        cells = cells.where("c <> 0 or hi <> 0 or lo <> 0 or chk <> 0")
+        cells = differences(paragraph_cells(todo, ["a", "e", "n"]))
         out = scratch.keep(peel(cells, rounds + 3 * attempt), f"peeled-{attempt}")
         good = out.where("left = 0").select("rid", "kind", "found")
         results = good if results is None else results.unionByName(good)
@@ -160,7 +174,7 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
         attempt += 1
         todo = pairs.join(failed, "rid").repartition(n, "rid").withColumn("level", F.least(F.lit(max_level), F.col("level") + 2))
     # A pair that peeled before is peeled again with its failed sibling; the answer is the same.
-    differ = results.groupBy("rid").agg(*[F.max(F.when(F.col("kind") == v, F.col("found"))).alias(f"d_{v}") for v in ("e", "n")])
+    differ = results.groupBy("rid").agg(*[F.max(F.when(F.col("kind") == k, F.col("found"))).alias(f"d_{v}") for k, v in enumerate("en")])
     joined = pairs.join(prints, "rid", "left").join(differ, "rid", "left")
 
     def likeness(v: str) -> Column:
