@@ -16,6 +16,12 @@ Fingerprints within ``max_bits`` differing bits are linked through the index:
 A group sends one edge a linked fingerprint (a star), never all pairs; components of the stars are
 found by the shared large-star/small-star rounds.  Nothing here is collected or broadcast.
 
+near_groups() serves similarity limits that 64 bits and few differing bits cannot tell, such as 0.8 of
+five-word shingles: fingerprints of 512 bits, whose share of differing bits estimates the angle of two
+shingle sets, and groups that share masks of some random bits.  The number of bits in a mask follows
+the logarithm of the number of fingerprints and the number of masks is what the wished recall at the
+limit needs; groups are searched by the same index.
+
 Defined cases: null and blank texts have fingerprint zero and are linked like any other; fewer words
 than a shingle takes give the whole sequence; an empty table gives an empty table; rows that repeat a
 key each get a row; a null key is never the smallest key of a component that has others.
@@ -23,6 +29,7 @@ key each get a row; a null key is never the smallest key of a component that has
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import Scratch, connected_components, fresh_names
+from hyphalake.llm.common import Scratch, connected_components
 
 LEAF, FANOUT, QUERIES = 32, 8, 512
 _U = np.uint64
@@ -64,6 +71,28 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
+def wide_fingerprint(text: str | None, words: int = 5, width: int = 8) -> np.ndarray:
+    """SimHash of the set of shingles, 64 * width bits as unsigned words; a shingle's hashes are mixed from its first."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not tokens:
+        return np.zeros(width, np.uint64)
+    joined = b" ".join(tokens)
+    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    starts = np.concatenate(([0], gaps + 1))
+    ends = np.append(gaps, len(joined))[min(words, len(tokens)) - 1 :]
+    digest, counts = xxhash.xxh64_intdigest, np.zeros(64 * width, np.int64)
+    every = np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(ends)].tolist(), ends.tolist())], np.uint64)
+    every = np.unique(every)
+    n, salt = len(every), np.arange(width, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)
+    for k in range(0, n, 2048):
+        z = every[k : k + 2048, None] + salt
+        z = (z ^ (z >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> _U(27))) * _U(0x94D049BB133111EB)
+        z ^= z >> _U(31)
+        counts += np.unpackbits(z.view(np.uint8).reshape(len(z), -1), axis=1).sum(axis=0, dtype=np.uint16)
+    return np.packbits(counts * 2 > n).view(np.uint64)
+
+
 def gray_rank(x: np.ndarray) -> np.ndarray:
     """The place of each code in the Gray sequence."""
     for s in (1, 2, 4, 8, 16, 32):
@@ -71,6 +100,15 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _gray_order(codes: np.ndarray, *first: np.ndarray) -> np.ndarray:
+    """Order by the given keys and then by the Gray ranks of the codes' words."""
+    return np.lexsort([gray_rank(codes[:, w]) for w in range(codes.shape[1] - 1, -1, -1)] + [*first[::-1]])
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
+
+
 def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Roots (smallest member) after linking i with j."""
     while len(i):
@@ -86,9 +124,8 @@ def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def link_group(codes: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """codes sorted by Gray rank, and for each the index of its component's first member."""
-    codes = codes[np.argsort(gray_rank(codes), kind="stable")]
+def link_group(codes: np.ndarray, max_bits: int) -> np.ndarray:
+    """For each code (row of words), all in Gray order, the index of its component's first member."""
     n = len(codes)
     root = np.arange(n)
     # Nodes of each level, leaves first: first member, bits shared by all (mask) and their values.
@@ -97,17 +134,18 @@ def link_group(codes: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray
     first = np.arange(n)
     while True:
         cut = np.arange(0, len(low), step)
-        low, high, first = np.bitwise_and.reduceat(low, cut), np.bitwise_or.reduceat(high, cut), first[cut]
+        low, high, first = np.bitwise_and.reduceat(low, cut, axis=0), np.bitwise_or.reduceat(high, cut, axis=0), first[cut]
         levels.append((first, ~(low ^ high), low))
         if len(low) <= FANOUT:
             break
         step = FANOUT
+    ends = [np.append(f[1:], n) - 1 for f, _, _ in levels]
     for k in range(0, n, QUERIES):
         q = codes[k : k + QUERIES]
-        ends = [np.append(f[1:], n) - 1 for f, _, _ in levels]
         spans = [(np.minimum.reduceat(root, f), np.maximum.reduceat(root, f)) for f, _, _ in levels]
 
         def alive(level: int, qi: np.ndarray, node: np.ndarray, acc: np.ndarray) -> tuple:
+            """The pairs of query and node that may still hold a new link."""
             same = (spans[level][0][node] == spans[level][1][node]) & (spans[level][0][node] == root[k + qi])
             ok = (acc <= max_bits) & (ends[level][node] > k + qi) & ~same
             return qi[ok], node[ok], acc[ok]
@@ -115,67 +153,74 @@ def link_group(codes: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray
         top = len(levels) - 1
         _, mask, pattern = levels[top]
         qi, node = (x.ravel() for x in np.meshgrid(np.arange(len(q)), np.arange(len(mask)), indexing="ij"))
-        qi, node, acc = alive(top, qi, node, np.bitwise_count((q[qi] ^ pattern[node]) & mask[node]).astype(np.int64))
+        qi, node, acc = alive(top, qi, node, _bits((q[qi] ^ pattern[node]) & mask[node]))
         for level in range(top - 1, -1, -1):
-            width = len(levels[level][0])
             child = node[:, None] * FANOUT + np.arange(FANOUT)
-            inside = child < width
-            above = np.broadcast_to(levels[level + 1][1][node][:, None], child.shape)[inside]
+            inside = child < len(levels[level][0])
+            up = np.broadcast_to(node[:, None], child.shape)[inside]
             qi, acc, node = np.broadcast_to(qi[:, None], child.shape)[inside], np.broadcast_to(acc[:, None], child.shape)[inside], child[inside]
             _, mask, pattern = levels[level]
-            acc = acc + np.bitwise_count((q[qi] ^ pattern[node]) & mask[node] & ~above)
+            acc = acc + _bits((q[qi] ^ pattern[node]) & mask[node] & ~levels[level + 1][1][up])
             qi, node, acc = alive(level, qi, node, acc)
-        for a in range(0, len(node), 1 << 15):
-            member = node[a : a + (1 << 15), None] * LEAF + np.arange(LEAF)
+        for a in range(0, len(node), 1 << 13):
+            member = node[a : a + (1 << 13), None] * LEAF + np.arange(LEAF)
             inside = member < n
-            own = np.broadcast_to(qi[a : a + (1 << 15), None], member.shape)[inside]
-            got = np.broadcast_to(acc[a : a + (1 << 15), None], member.shape)[inside]
-            free = np.broadcast_to(~levels[0][1][node[a : a + (1 << 15)]][:, None], member.shape)[inside]
+            own = np.broadcast_to(qi[a : a + (1 << 13), None], member.shape)[inside]
+            got = np.broadcast_to(acc[a : a + (1 << 13), None], member.shape)[inside]
+            leaf = np.broadcast_to(node[a : a + (1 << 13), None], member.shape)[inside]
             member = member[inside]
-            near = (member > k + own) & (got + np.bitwise_count((q[own] ^ codes[member]) & free) <= max_bits)
+            near = member > k + own
+            near &= root[member] != root[k + own]
+            own, member, got, leaf = own[near], member[near], got[near], leaf[near]
+            near = got + _bits((q[own] ^ codes[member]) & ~levels[0][1][leaf]) <= max_bits
             root = _merge(root, k + own[near], member[near])
-    return codes, root
+    return root
 
 
 def _small_groups(key: np.ndarray, codes: np.ndarray, max_bits: int) -> np.ndarray:
-    """Roots for many groups of one leaf each, side by side: (key, Gray rank) order."""
+    """Roots for many groups of one leaf each, side by side, in order of key and Gray rank."""
     root, n = np.arange(len(codes)), len(codes)
     for d in range(1, LEAF):
         i = np.flatnonzero(key[: n - d] == key[d:])
         if not len(i):
             break
-        i = i[np.bitwise_count(codes[i] ^ codes[i + d]) <= max_bits]
+        i = i[_bits(codes[i] ^ codes[i + d]) <= max_bits]
         root = _merge(root, i, i + d)
     return root
 
 
-def _stars(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) from rows (key, fp) sorted by key; carries the last, perhaps unfinished group over."""
+def _stars(batches: Iterator[pa.RecordBatch], max_bits: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) from rows (key, id, words...) sorted by key; carries the last, perhaps unfinished group over."""
 
-    def edges(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def edges(key: np.ndarray, ids: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
         size = np.diff(np.append(cut, len(key)))
-        parts = []
-        small = np.repeat((size > 1) & (size <= LEAF), size)
-        k, c = key[small], fp[small]
-        order = np.lexsort((gray_rank(c), k))
-        k, c = k[order], c[order]
-        parts.append((c, _small_groups(k, c, max_bits)))
-        parts += [link_group(fp[a : a + n], max_bits) for a, n in zip(cut[size > LEAF].tolist(), size[size > LEAF].tolist())]
-        for codes, root in parts:
+        at = np.flatnonzero(np.repeat((size > 1) & (size <= LEAF), size))
+        at = at[_gray_order(codes[at], key[at])]
+        found = [(at, _small_groups(key[at], codes[at], max_bits))]
+        for a, n in zip(cut[size > LEAF].tolist(), size[size > LEAF].tolist()):
+            at = a + _gray_order(codes[a : a + n])
+            found.append((at, link_group(codes[at], max_bits)))
+        for at, root in found:
             far = root != np.arange(len(root))
             if far.any():
-                yield pa.RecordBatch.from_arrays([pa.array(codes[far].view(np.int64)), pa.array(codes[root[far]].view(np.int64))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at][far]), pa.array(ids[at][root[far]])], ["a", "b"])
 
-    key, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    key, ids, codes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
     for b in batches:
-        key = np.concatenate((key, b.column(0).to_numpy(zero_copy_only=False)))
-        fp = np.concatenate((fp, b.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
+        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns]
+        key, ids = np.concatenate((key, cols[0])), np.concatenate((ids, cols[1]))
+        codes = np.concatenate((codes, np.column_stack(cols[2:]).view(np.uint64)))
         done = np.flatnonzero(key != key[-1])[-1] + 1 if len(key) and key[0] != key[-1] else 0
         if done:
-            yield from edges(key[:done], fp[:done])
-            key, fp = key[done:], fp[done:]
-    yield from edges(key, fp)
+            yield from edges(key[:done], ids[:done], codes[:done])
+            key, ids, codes = key[done:], ids[done:], codes[done:]
+    yield from edges(key, ids, codes)
+
+
+def _search(groups: DataFrame, max_bits: int, width: int) -> DataFrame:
+    """Star edges of groups (key, id, words...), dealt by key."""
+    return groups.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _stars(it, max_bits, width), "a long, b long")
 
 
 def _blocks(rest: str, bits: int, blocks: int) -> list[tuple[str, str]]:
@@ -211,7 +256,7 @@ def near_links(fps: DataFrame, scratch: Scratch, max_bits: int = 3, group_rows:
             here = now.join(sizes.select("key"), "key", "left_anti") if more else now
         else:
             more, here = False, now
-        found = here.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _stars(it, max_bits), "a long, b long")
+        found = _search(here.select("key", F.col("fp").alias("id"), "fp"), max_bits, 1)
         edges = found if edges is None else edges.unionByName(found)
         if not more:
             break
@@ -236,8 +281,61 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _masked_groups(nodes: DataFrame, width: int, masks: int, bits: int, seed: int = 5) -> DataFrame:
+    """(key, id, words...): each node once a mask, keyed by the mask's number and the bits under it."""
+    names = [f"w{k}" for k in range(width)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(seed)
+        chosen = [rng.choice(64 * width, bits, replace=False) for _ in range(masks)]
+        weight = _U(1) << np.arange(bits, dtype=np.uint64)
+        for b in batches:
+            if not len(b):
+                continue
+            words = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns[1:]])
+            flags = np.unpackbits(np.ascontiguousarray(words).view(np.uint8).reshape(len(b), -1), axis=1).astype(np.uint64)
+            for m, at in enumerate(chosen):
+                key = (flags[:, at] * weight).sum(axis=1, dtype=np.uint64) + (_U(m) << _U(bits))
+                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), b.column(0), *b.columns[1:]], ["key", "id", *names])
+
+    return nodes.select("id", *names).mapInArrow(run, "key long, id long, " + ", ".join(f"{n} long" for n in names))
+
+
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, width: int = 8, recall: float = 0.97) -> DataFrame:
+    """One row a row of docs: doc_id, component_id; linked are texts whose estimated Jaccard index reaches similarity.
+
+    Jaccard j of two sets of one size is a cosine of 2j / (1 + j), and each bit differs with the angle over
+    pi.  A pair at the limit is met under at least one mask with probability recall.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    differ = math.acos(cosine) / math.pi
+    max_bits = math.floor(64 * width * differ + math.sqrt(64 * width * differ * (1 - differ)))
+    scratch = Scratch(docs.sparkSession, "simhash-wide")
+    names = [f"w{k}" for k in range(width)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = np.array([wide_fingerprint(b.column(1)[k].as_py(), words, width) for k in range(len(b))], np.uint64).reshape(-1, width).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(np.ascontiguousarray(codes[:, w])) for w in range(width)]], ["doc_id", *names])
+
+    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = scratch.keep(plain.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names)), "fingerprints")
+    nodes = scratch.keep(rows.groupBy(*names).agg(F.min("doc_id").alias("low")).withColumn("id", F.xxhash64(*names)), "nodes")
+    n = nodes.count()
+    bits = min(40, max(8, math.ceil(math.log2(max(n, 2))) - 4))
+    masks = math.ceil(math.log(1 - recall) / math.log(1 - (1 - differ) ** bits))
+    found = connected_components(_search(_masked_groups(nodes, width, masks, bits), max_bits, width), scratch)
+    named = nodes.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "low", F.coalesce("root", "id").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = named.join(lowest, "root").select(F.col("id").alias("node_id"), "component_id")
+    coded = rows.select("doc_id", F.xxhash64(*names).alias("id"))
+    return coded.join(named, coded.id == named.node_id).select("doc_id", "component_id")
+
+
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of docs that stay, in the columns of docs: of each component the one with the smallest key."""
-    found = near_components(docs, key, text, **options)
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    """The rows of docs that stay, in the columns of docs: of each group of near_groups the one with the smallest key.
+
+    Rows that repeat the key that stays are one document and all stay.
+    """
+    dropped = near_groups(docs, key, text, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
     return docs.join(dropped, docs[key].cast("long") == dropped["_gone"], "left_anti")
