@@ -47,7 +47,7 @@ ALLOW = (
 
 def entropy_windows(s: str, limit: float, window: int) -> list[tuple[int, int]]:
     """Merged [start, end) of the windows of s with at least limit bits a character."""
-    plog = [0.0] + [c * log2(c) for c in range(1, window + 1)]
+    plog = [0.0] + [c * log2(c) for c in range(1, window + 2)]  # a character is counted in before one is counted out
     counts: dict[str, int] = {}
     total, out, most = 0.0, [], log2(window)
     for i, ch in enumerate(s):
