@@ -6,7 +6,7 @@ point of i, through the cumulative target weights to a source; the rank of the s
 slots names the block (rank modulo blocks) and the epoch (rank over blocks).  A source's slots end
 when its target is met, and what the points leave open of a target follows in closing slots.
 
-Scale: only (row key, source, size) is shuffled, never a text.  Running token offsets are prefix sums
+Scale: a text is read once, to count its words; only (row key, source, size) is kept and shuffled.  Running token offsets are prefix sums
 in two levels, (source, shuffle bucket) totals and then within buckets of about ``bucket_rows`` rows,
 and slot ranks likewise by schedule chunk, so that a source with a third of all rows never meets in
 one task.  What is broadcast is one row a source and one row a bucket of sources.
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import WORD
+from hyphalake.llm.common import WORD, Scratch
 
 GOLDEN = 0.6180339887498949
 
@@ -81,7 +81,8 @@ def mix(
     uses: key, sid, block, start, tokens - which tokens of a document lie in which block.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
+    scratch = Scratch(spark, "mixing")
+    sized = scratch.keep(docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")), "sizes")
     targets = source_targets(sized, weights, max_epochs)
     order = Window.orderBy(F.col("source").isNull(), F.col("source"))
     per = (
