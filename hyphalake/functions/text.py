@@ -185,7 +185,7 @@ def genbank_field(c: Column, field: str = "DEFINITION") -> Column:
 
 def wgs_master(c: Column) -> Column:
     """The master record of a WGS accession: its letters and zeros."""
-    return F.regexp_replace(c, r"^([A-Z]{4,6})(\d{2})\d*$", "$1$20000000")
+    return F.regexp_replace(c, r"^([A-Z]{4,6})(\d{2})\d*$", "$1$2000000")
 
 
 def xml_text(c: Column, tag: str) -> Column:

@@ -37,7 +37,7 @@ def parse_newick(text: str) -> list[tuple[int, int | None, int, float, str | Non
             i += 1
         elif c == ":":
             j = i + 1
-            while j < n and text[j] not in ",();":
+            while j < n and text[j] not in ",();[":
                 j += 1
             nodes[at][3] = float(text[i + 1 : j].strip() or 0)
             i = j

@@ -69,7 +69,7 @@ def t15(t: Tables) -> DataFrame:
     return out.withColumn("contrast", F.regexp_replace("contrast", "middle_east", "middle east"))
 
 
-@query("t16_pairwise_contrasts", "WITH {members} SELECT 'ASIA_vs_EUROPE' AS contrast, genome, (species = 'ASIA')::INT AS is_case FROM genomes WHERE species IN ('ASIA', 'EUROPE')")
+@query("t16_pairwise_contrasts", "WITH {members} SELECT 'ASIA_vs_EUROPE' AS contrast, genome, (species = 'ASIA')::INT AS is_case FROM genomes WHERE species IN ('ASIA', 'EUROPE') AND (SELECT count(*) FILTER (species = 'ASIA') >= 3 AND count(*) FILTER (species = 'EUROPE') >= 3 FROM genomes)")
 def t16(t: Tables) -> DataFrame:
     return association.pairwise_contrasts(t.genomes(), [("ASIA", "EUROPE"), ("ASIA", "nowhere")], "genome", "species")
 

@@ -103,7 +103,7 @@ def orthogroups(spark: SparkSession, path: str | Sequence[str], species: str | N
     """
     raw = spark.read.option("header", True).option("sep", "\t").csv(path)
     key, *genomes = raw.columns
-    long = raw.unpivot([key], genomes, "_header", "_cell").where("_cell is not null")
+    long = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_cell").where("_cell is not null")
     protein = F.explode(F.filter(F.transform(F.split("_cell", ","), lambda x: F.trim(x)), lambda x: x != ""))
     cols = [F.col(f"`{key}`").alias("og")]
     if combined:
@@ -117,7 +117,7 @@ def gene_counts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(og, species, accession, copies) from the wide count matrix, without its total."""
     raw = spark.read.option("header", True).option("sep", "\t").csv(path).drop("Total")
     key, *genomes = raw.columns
-    long = raw.unpivot([key], genomes, "_header", "_n")
+    long = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_n")
     return long.select(F.col(f"`{key}`").alias("og"), species_label(F.col("_header")).alias("species"), accession(F.col("_header")).alias("accession"), F.col("_n").try_cast("int").alias("copies")).where("copies > 0")
 
 
@@ -149,7 +149,7 @@ def bigscape(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def known_clusters(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, rank, ref_id, compound, n_genes, score) from text blocks that ">>" begins."""
-    whole = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
+    whole = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     blocks = whole.select("file", F.posexplode(F.split("value", ">>")).alias("rank", "block")).where("rank > 0")
     pick = lambda p: F.trim(F.regexp_extract("block", p, 1))
     return blocks.select("file", "rank", pick(r"(?m)^\s*\d+\.\s*(\S+)").alias("ref_id"), pick(r"(?m)^Source:\s*(.*)$").alias("compound"), pick(r"(?m)^Number of proteins with BLAST hits to this cluster:\s*(\d+)").try_cast("int").alias("n_genes"), pick(r"(?m)^Cumulative BLAST score:\s*([\d.]+)").try_cast("double").alias("score"))
@@ -178,7 +178,7 @@ def manual_places(spark: SparkSession, path: str) -> DataFrame:
 
 def geocode_cache(spark: SparkSession, path: str) -> DataFrame:
     """(name, lat, lon) from a JSON object of name: [lat, lon]."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.from_json("value", "map<string,array<double>>").alias("m"))
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,array<double>>").alias("m"))
     return raw.select(F.explode("m").alias("name", "at")).where(F.size("at") == 2).select("name", F.col("at")[0].alias("lat"), F.col("at")[1].alias("lon"))
 
 
@@ -199,7 +199,7 @@ def assembly_reports(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 def busco_summary(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(accession, complete, total, percent) from short summaries."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     number = lambda p: F.regexp_extract("value", p, 1).try_cast("long")
     rows = whole.select(accession(F.input_file_name()).alias("accession"), number(r"(\d+)\s+Complete BUSCOs").alias("complete"), number(r"(\d+)\s+Total BUSCO groups").alias("total"))
     return rows.withColumn("percent", F.try_divide(F.col("complete") * 100.0, F.col("total")))
