@@ -126,30 +126,32 @@ def chunk_rows(docs: DataFrame, key: str, text: str, bits: int, least: int, most
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 20, bits: int = 5, least: int = 24, most: int = 512) -> tuple[DataFrame, DataFrame]:
     """(rows, spans).
 
-    rows, one a row of docs: doc_id, row, n_chunks.  spans: doc_id, row, start, end, words, removed -
-    runs of chunks that occur elsewhere, of at least min_words words; removed lists the parts of the
-    run whose chunks stay elsewhere, as start:end.
+    rows, one a row of docs: doc_id, row, n_chunks.  spans: doc_id, row, start, end, words, removed,
+    holders - runs of chunks that occur elsewhere, of at least min_words words; removed lists the parts
+    of the run whose chunks stay elsewhere, and holders the keys of the rows in which they stay.
     """
     scratch = Scratch(docs.sparkSession, "cdc")
     chunks = scratch.keep(chunk_rows(docs, key, text, bits, least, most), "chunks")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "start")
     first = chunks.where("d1 is not null").groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2", "first")
-    hits = chunks.join(first, ["d1", "d2"]).select("doc_id", "row", "start", "end", "words", (F.struct("row", "start") != F.struct(F.col("first.row"), F.col("first.start"))).alias("cut"))
+    hits = chunks.join(first, ["d1", "d2"]).select("doc_id", "row", "start", "end", "words", (F.struct("row", "start") != F.struct(F.col("first.row"), F.col("first.start"))).alias("cut"), F.col("first.doc_id").alias("holder"))
     in_row = Window.partitionBy("row").orderBy("start")
     runs = hits.withColumn("begins", F.coalesce((F.lag("end").over(in_row) != F.col("start")).cast("int"), F.lit(1))).withColumn("run", F.sum("begins").over(in_row))
-    spans = runs.groupBy("row", "run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.array_sort(F.collect_list(F.when(F.col("cut"), F.struct("start", "end")))).alias("removed"))
+    spans = runs.groupBy("row", "run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.array_sort(F.collect_list(F.when(F.col("cut"), F.struct("start", "end")))).alias("removed"), F.collect_set("holder").alias("holders"))
     rows = chunks.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.count("d1").alias("n_chunks"))
     return rows, spans.where(F.col("words") >= min_words).drop("run")
 
 
 def passage_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row a row of docs: doc_id, n_chunks, n_spans, repeated_chars, removed_chars, spans, removed (start:end, comma-joined)."""
+    """One row a row of docs: doc_id, n_chunks, n_spans, has_repeat, repeated_chars, removed_chars, spans and removed
+    (start:end, comma-joined), holders (keys of the rows in which its repeated chunks stay; rows that share a
+    passage share one)."""
     rows, spans = repeated_passages(docs, key, text, **options)
     show = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + (x["end"] - x["start"]))
-    by = spans.withColumn("gone", length).groupBy("row").agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("end") - F.col("start")).alias("repeated_chars"), F.sum("gone").alias("removed_chars"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"), F.array_sort(F.flatten(F.collect_list("removed"))).alias("r"))
+    by = spans.withColumn("gone", length).groupBy("row").agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("end") - F.col("start")).alias("repeated_chars"), F.sum("gone").alias("removed_chars"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"), F.array_sort(F.flatten(F.collect_list("removed"))).alias("r"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("holders")))).alias("holders"))
     zero = F.lit(0).cast("long")
-    return rows.join(by, "row", "left").select("doc_id", "n_chunks", F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("repeated_chars", zero).alias("repeated_chars"), F.coalesce("removed_chars", zero).alias("removed_chars"), F.coalesce(show(F.col("s")), F.lit("")).alias("spans"), F.coalesce(show(F.col("r")), F.lit("")).alias("removed"))
+    return rows.join(by, "row", "left").select("doc_id", "n_chunks", F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("repeated_chars", zero).alias("repeated_chars"), F.coalesce("removed_chars", zero).alias("removed_chars"), F.coalesce(show(F.col("s")), F.lit("")).alias("spans"), F.coalesce(show(F.col("r")), F.lit("")).alias("removed"), (F.coalesce("n_spans", zero) > 0).alias("has_repeat"), F.coalesce("holders", F.array().cast("array<long>")).alias("holders"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
