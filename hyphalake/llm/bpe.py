@@ -20,6 +20,7 @@ get a row; carried columns may have any names; an empty table gives an empty tab
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections import defaultdict
@@ -41,6 +42,8 @@ from hyphalake.llm.common import Scratch, shuffle_partitions
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-įı-ſ‐-‧‰-⁞]*")
 _L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ", "0-9\xb2\xb3\xb9\xbc-\xbe"
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\t\n\r\x20\xa0{_L}{_N}]+")
+#: Compression of what is kept and shuffled.
+LEVEL = 9
 _PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -91,9 +94,15 @@ class WordCodec:
         return [t.id for t in self.tok.model.tokenize("".join([self.letters[b] for b in word.encode("utf-8")]))]
 
 
+@functools.lru_cache(maxsize=1)
+def word_codec(blob: bytes) -> WordCodec:
+    """One codec a worker process, whatever the number of its tasks."""
+    return WordCodec(blob)
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Planes of the bytes of unsigned 32-bit values, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(blob: bytes) -> np.ndarray:
@@ -110,7 +119,7 @@ def _read_bytes(spark, path: str) -> bytes:
 def _pack_positions(codes: np.ndarray) -> tuple[bytes, bytes]:
     """A byte for each of the 255 first places and an escape for others, and the others."""
     first = np.minimum(codes, 255).astype(np.uint8)
-    return zstandard.ZstdCompressor(level=3).compress(first.tobytes()), _pack(codes[codes >= 255] - 255)
+    return zstandard.ZstdCompressor(level=LEVEL).compress(first.tobytes()), _pack(codes[codes >= 255] - 255)
 
 
 def _unpack_positions(body: bytes, tail: bytes) -> np.ndarray:
@@ -146,12 +155,12 @@ def split_blocks(docs: DataFrame, blob: bytes, text: str, carry: Sequence[str],
             to[part[k]].append(k)
         used = [p for p in range(parts) if to[p]]
         n = len(used)
-        packets = [zstandard.ZstdCompressor(level=3).compress("\n".join([words[k] for k in to[p]]).encode("utf-8")) for p in used]
+        packets = [zstandard.ZstdCompressor(level=LEVEL).compress("\n".join([words[k] for k in to[p]]).encode("utf-8")) for p in used]
         places = [_pack(np.diff(place[to[p]], prepend=np.uint32(0))) for p in used]
         yield pa.RecordBatch.from_arrays([pa.nulls(n, held.type), pa.array([block] * n, pa.string()), pa.array(used, pa.int32()), pa.nulls(n, pa.binary()), pa.array(packets, pa.binary()), pa.array(places, pa.binary()), pa.array([1] * n, pa.int32())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, task, n, chars = WordCodec(blob), TaskContext.get().partitionId(), 0, 0
+        codec, task, n, chars = word_codec(blob), TaskContext.get().partitionId(), 0, 0
         rows: list[pa.Array] = []
         codes: list[np.ndarray] = []
         seen: defaultdict[str, int] = defaultdict()
@@ -179,7 +188,7 @@ def encode_parts(packets: DataFrame, blob: bytes, parts: int) -> DataFrame:
     """(block, places, lengths, ids) of each packet: a part encodes each of its distinct words once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = WordCodec(blob)
+        codec = word_codec(blob)
         table: dict[str, bytes] = {}
         part = None
         for b in batches:
@@ -248,5 +257,5 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", carry: S
     scratch, parts = Scratch(spark, "bpe"), shuffle_partitions(spark)
     split = scratch.keep(split_blocks(docs, blob, text, carry, block_chars, parts), "blocks", ["kind"])
     answers = encode_parts(split.where("kind = 1"), blob, parts)
-    done = join_ids(split.where("kind = 0").select("block", "rows", "lengths", "body", "tail"), answers, WordCodec(blob).pieces)
+    done = join_ids(split.where("kind = 0").select("block", "rows", "lengths", "body", "tail"), answers, word_codec(blob).pieces)
     return done.select(*[F.col("row")[c].alias(c) for c in carry], "n_tokens", "ids", "decoded")
