@@ -8,7 +8,8 @@ its prior.  The verdict adds the document's log-odds and what its path's posteri
 global rate in log-odds.
 
 Scale: a text is read once; features (a short float array a row) are kept in the shared folder.  The
-model is fitted on at most ``train_rows`` labelled rows, the bound on what reaches the driver.  Site
+model is fitted on about ``train_rows`` labelled rows (a share of the keys' hashes; never twice as many),
+the bound on what reaches the driver.  Site
 sums are pre-aggregated before their shuffle, and the posterior table is joined on the path; where a
 path holds a third of all rows the join is split by adaptive execution.
 
@@ -125,7 +126,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     rows = scratch.keep(feature_rows(docs, key, text, F.coalesce(F.col(host).cast("string"), F.lit("\x00")), site), "features")
     marks = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("double").alias("y")).where("_id is not null and y is not null").groupBy("_id").agg(F.avg("y").alias("y"))
     labelled = rows.join(marks, rows.doc_id == marks["_id"])
-    sample = labelled.select("x", "y", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(train_rows).select("x", "y").toPandas()
+    # A share of the keys' hashes, so that no task sends more than its part of the bounded sample.
+    n_labelled = labelled.count()
+    share = min(1.0, train_rows / max(1, n_labelled))
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    sample = labelled.where(chosen).select("x", "y").limit(2 * train_rows).toPandas()
     size = 2 * len(FEATURES)
     if len(sample) and 0 < (y := sample.y.to_numpy()).mean() < 1:
         weights, bias = fit_logistic(widened(np.vstack(sample.x.to_numpy()).astype(float)), y)
