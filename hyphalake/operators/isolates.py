@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hyphalake.functions.rules import kingdom
 from hyphalake.functions.text import location_key, parse_lat_lon, present
+from hyphalake.operators.burden import hit_class
 from hyphalake.operators.relational import best_row
 
 
@@ -87,6 +89,37 @@ def cache_reconcile(wanted: DataFrame, cached: DataFrame, key: str) -> DataFrame
     return w.join(c, key, "full_outer").select(key, state.alias("state"))
 
 
+def recheck(failed: DataFrame, sisters: DataFrame, threshold: float = 95.0, key: str = "accession") -> DataFrame:
+    """For rows that failed the identity check, their closest sister species and whether it is a match."""
+    top = best_row(sisters.join(failed.select(key), key, "left_semi"), [key], [F.desc("ani"), F.col("reference")])
+    return failed.select(key).join(top.select(key, "reference", F.col("ani").alias("sister_ani")), key, "left").withColumn("is_match", F.coalesce(F.col("sister_ani") >= threshold, F.lit(False)))
+
+
+def foreign_hits(hits: DataFrame, cutoff: float = 1e-5, by: Sequence[str] = ("species",), feature: str = "og") -> DataFrame:
+    """The best hit of each feature with the kingdom of its organism; weak hits are of no kingdom."""
+    top = best_row(hits, [*by, feature], [F.col("evalue"), F.desc("pident"), F.col("organism")])
+    strong = F.col("evalue") <= cutoff
+    return top.withColumn("kingdom", F.when(strong, kingdom(F.col("organism"))).otherwise("No confident hit")).withColumn("is_foreign", strong & ~F.col("kingdom").isin("Aspergillus (self)", "Other fungi", "Unknown"))
+
+
+def aligned_classes(features: DataFrame, hits: DataFrame, feature: str = "og") -> DataFrame:
+    """Every feature with the class of its best alignment; those without one have none."""
+    top = best_row(hits, [feature], [F.desc("bitscore"), F.col("evalue"), F.col("sseqid")])
+    kind = hit_class(F.col("qcov"), F.col("scov"), F.col("pident"))
+    return features.join(top.select(feature, "sseqid", kind.alias("_class")), feature, "left").withColumn("hit_class", F.coalesce("_class", F.lit("No hit"))).drop("_class")
+
+
+def reading_frames(genes: DataFrame, lengths: DataFrame, by: Sequence[str], edge: int = 100) -> DataFrame:
+    """Complete reading frames and genes near a contig's end, in per cent, by group.
+
+    genes: (by, contig, start, end, starts, stops, in_frame); lengths: (contig, length).
+    """
+    near = (F.col("start") <= edge) | (F.col("length") - F.col("end") <= edge)
+    whole = F.col("starts") & F.col("stops") & F.col("in_frame")
+    joined = genes.join(lengths, "contig", "left")
+    return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), (100 * F.avg(whole.cast("int"))).alias("pct_complete"), (100 * F.avg(F.coalesce(near, F.lit(False)).cast("int"))).alias("pct_edge"))
+
+
 # -- panels ------------------------------------------------------------------------------------------
 
 

@@ -227,8 +227,8 @@ def g2(t: Tables) -> DataFrame:
     return tree.clumping(t.spark, "(((A:1,B:1):1,(C:1,D:1):1):1,((E:1,F:1):1,(G:1,H:1):1):1);", {"A": 1, "B": 1, "C": 1, "D": 1, "E": 0, "F": 0, "G": 0, "H": 0}, 200)
 
 
-@query("t41_strongest_terms")
-def t41(t: Tables) -> DataFrame:
+@query("o4_strongest_terms")
+def o4(t: Tables) -> DataFrame:
     return enrichment.strongest_terms(enrichment.class_enrichment(annotated(t), ["words", "brand"]), k=10)
 
 

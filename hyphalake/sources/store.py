@@ -49,3 +49,17 @@ def append_missing(todo: DataFrame, path: str, keys: Sequence[str], work: Callab
 def preflight(spark: SparkSession, expected: dict[str, str]) -> DataFrame:
     """(name, path, present) of expected tables."""
     return spark.createDataFrame([(k, v, exists(spark, v)) for k, v in expected.items()], "name string, path string, present boolean")
+
+
+def first_existing(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """The first of the tables that is there, or None."""
+    return next((spark.read.parquet(p) for p in paths if exists(spark, p)), None)
+
+
+def save_classified(rows: DataFrame, root: str, label: str = "Phenotype", unknown: Sequence[str] = ("Unknown", "Lab", "")) -> dict[str, str]:
+    """All rows, those of a known class, and the columns that association needs, as three tables."""
+    known = rows.where(F.col(label).isNotNull() & ~F.col(label).isin(*unknown))
+    parts = {"all": rows, "known": known, "association": known.select(rows.columns[0], label)}
+    for name, df in parts.items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return {name: f"{root}/{name}" for name in parts}
