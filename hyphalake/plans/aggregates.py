@@ -243,6 +243,6 @@ def a1(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_orderkey").agg(F.array_join(seen, ", ").alias("flags"))
 
 
-@query("v1_histogram", "SELECT b::INT AS bin, round(b * 5.0, 6) AS start, count(v) AS n FROM generate_series(0, 19) g(b) LEFT JOIN (SELECT least(19, floor(value / 100.0 * 20))::INT AS v FROM events WHERE value BETWEEN 0 AND 100) ON v = b GROUP BY b")
+@query("v1_histogram", "SELECT b::INT AS bin, round(b * 5.0::DOUBLE, 6) AS start, count(v) AS n FROM generate_series(0, 19) g(b) LEFT JOIN (SELECT least(19, floor(value / 100.0 * 20))::INT AS v FROM events WHERE value BETWEEN 0 AND 100) ON v = b GROUP BY b")
 def v1(t: Tables) -> DataFrame:
     return rounded(relational.histogram(t.events, "value", 0.0, 100.0, 20), "start")

@@ -58,7 +58,7 @@ def f9(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", "l_linenumber", F.round(text.quality_score(F.col("l_discount"), F.col("l_quantity"), F.col("l_extendedprice")), 9).alias("score"))
 
 
-@query("f10_coordinates", "SELECT s_suppkey, round(-s_suppkey / 4.0, 6) AS lat, round(s_nationkey + 0.5, 6) AS lon FROM supplier")
+@query("f10_coordinates", "SELECT s_suppkey, round(-s_suppkey / 4.0::DOUBLE, 6) AS lat, round(s_nationkey + 0.5::DOUBLE, 6) AS lon FROM supplier")
 def f10(t: Tables) -> DataFrame:
     at = text.parse_lat_lon(F.concat_ws(" ", F.col("s_suppkey") / 4.0, F.lit("S"), F.col("s_nationkey") + 0.5, F.lit("E")))
     return t.supplier.select("s_suppkey", F.round(at["lat"], 6).alias("lat"), F.round(at["lon"], 6).alias("lon"))
