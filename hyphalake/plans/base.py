@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hyphalake.session import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -19,6 +21,7 @@ class Tables:
     """The tables of one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        ship(spark)
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
