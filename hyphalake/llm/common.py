@@ -13,18 +13,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hyphalake.session import ship
+
 #: Code points that count as white space in every contract here: [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Folders made for applications that name none, as tests do; by application.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; a local one is made only where none is configured."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='hyphalake-')}"
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        named = _own.setdefault(app, "") or f"file://{tempfile.mkdtemp(prefix='hyphalake-')}"
+        _own[app] = named
     return named.rstrip("/")
 
 
@@ -32,6 +39,7 @@ class Scratch:
     """Parquet tables of one operator run in the shared folder."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -45,6 +45,14 @@ def paragraph_digests(text: Column, line_chars: int = 400, short_chars: int = 40
     return F.transform(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
+def bounds_below(bounds: Sequence[int], key: Column) -> Column:
+    """How many of the sorted bounds lie below the key, looked up in two steps of about their root each."""
+    step = max(1, int(len(bounds) ** 0.5))
+    less = lambda c: F.size(F.filter(c, lambda b: b < key))
+    block = less(F.array(*map(F.lit, bounds[step - 1 :: step])) if len(bounds) >= step else F.array().cast("array<bigint>"))
+    return (block * step + less(F.slice(F.array(*map(F.lit, bounds)), block * step + 1, F.lit(step)))).cast("int")
+
+
 def with_next(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
     """(rid, doc_id, text, next_text): next is the following row in descending key order, after the last the first."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("k", F.coalesce("doc_id", F.lit(NO_KEY)))
@@ -52,9 +60,9 @@ def with_next(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
     seen = rows.agg(F.percentile_approx("k", [i / ranges for i in range(1, ranges + 1)], 50 * ranges).alias("b"), F.max("k").alias("top")).first()
     bounds = sorted({*(seen.b or []), *([seen.top] if seen.top is not None else [])}) or [0]
     # A row's range is the number of bounds below its key; a bound's row also ends the range above it, the top one the lowest.
-    own = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("k")))
+    every, own = F.array(*map(F.lit, bounds)), bounds_below(bounds, F.col("k"))
     after = F.when(own + 1 == len(bounds), F.lit(0)).otherwise(own + 1)
-    edge = F.col("k").isin(bounds) if len(bounds) < 20 else F.array_contains(F.array(*map(F.lit, bounds)), F.col("k"))
+    edge = F.coalesce(F.get(every, own) == F.col("k"), F.lit(False))
     dealt = rows.withColumn("range", F.explode(F.when(edge, F.array(F.struct(own.alias("range"), F.lit(0).alias("guest")), F.struct(after.alias("range"), F.lit(1).alias("guest")))).otherwise(F.array(F.struct(own.alias("range"), F.lit(0).alias("guest")))))).select("doc_id", "text", "k", "range.*")
     order = Window.partitionBy("range").orderBy("guest", F.col("k").desc(), "text")
     placed = dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("rn", F.row_number().over(order))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, mixing, quality, secret_scan, simhash, token_store
+from hyphalake.session import ship
 
 #: Folder of the tokenizer files; a parameter of the installation, never part of this repository.
 TOKENIZERS = os.environ.get("HYPHALAKE_TOKENIZERS", "/opt/tokenizers")
@@ -19,6 +20,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

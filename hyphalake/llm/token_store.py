@@ -10,8 +10,8 @@ stride.  A training run reads shards in order and resumes at any slot.
 Tokens are the UTF-8 bytes (0..255), END after each document and PAD after the last; they are counted
 without tokenising, so the permutation's size is known from one scan of lengths.
 
-Scale: sequence bytes are shuffled once.  The driver holds one count a scan partition, as Spark's own
-zipWithIndex does; a task that finds another count than the first scan fails instead of misplacing
+Scale: sequence bytes are shuffled once.  The driver holds one count a scan partition and sends it to
+each executor once, as Spark's own zipWithIndex does; a task that finds another count than the first scan fails instead of misplacing
 rows.  Shards are written by Spark's committer as rows (shard, payload), so a lost executor's shards
 are written again and no reader sees a part.
 
@@ -71,10 +71,13 @@ def sequences(docs: DataFrame, key: str, text: str, seq_len: int, seed: bytes) -
     for p in sorted(counts):
         bases[p] = total
         total += counts[p]
+    # One number a scan partition, sent to each executor once.
+    held = docs.sparkSession.sparkContext.broadcast((bases, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        at = base = bases.get(task, 0)
+        at = base = held.value[0].get(task, 0)
+        due = held.value[1].get(task, 0)
         for b in batches:
             keys = b.column(0).to_pylist()
             ids, seq, body = [], [], []
@@ -89,8 +92,8 @@ def sequences(docs: DataFrame, key: str, text: str, seq_len: int, seed: bytes) -
                     at += len(body)
                     yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(ids, pa.int64()), pa.array(seq, pa.int32()), pa.array(body, pa.binary())], ["slot", "doc_id", "seq", "body"])
                     ids, seq, body = [], [], []
-        if at - base != counts.get(task, 0):
-            raise RuntimeError(f"partition {task} has {at - base} sequences now and had {counts.get(task, 0)}; keep the input in a table first")
+        if at - base != due:
+            raise RuntimeError(f"partition {task} has {at - base} sequences now and had {due}; keep the input in a table first")
 
     return plain.mapInArrow(run, "slot long, doc_id long, seq int, body binary"), total
 
