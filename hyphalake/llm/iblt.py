@@ -138,7 +138,7 @@ def peel(cells: DataFrame, rounds: int) -> DataFrame:
     return now.groupBy("rid", "level", "kind").agg(F.count(F.when(F.col("cell") >= 0, 1)).alias("left"), F.sum("found").alias("found"))
 
 
-def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text", base_level: int = 3, rounds: int = 12, line_chars: int = 400, max_level: int = 20) -> DataFrame:
+def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text", base_level: int = 3, rounds: int = 6, line_chars: int = 400, max_level: int = 20) -> DataFrame:
     """One row a row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, n_paragraphs, edited_differ, next_differ.
 
@@ -164,14 +164,15 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     prints = base.groupBy("rid").agg(shown(0).alias("fingerprint"), shown(1).alias("edited_fingerprint"))
 
-    # The first sketch holds as many cells as the two versions can differ in, more or less.
+    # A sub-table of the first sketch has a cell for each paragraph in which the two versions can differ; six rounds
+    # then recover nearly all pairs, and a larger sketch the others.
     total = F.size("a") + F.greatest(F.size("e"), F.size("n"))
-    first = F.greatest(F.lit(base_level), F.least(F.lit(max_level), F.ceil(F.log2(F.greatest(total, F.lit(1)) * F.lit(0.55))).cast("int")))
+    first = F.greatest(F.lit(base_level), F.least(F.lit(max_level), F.ceil(F.log2(F.greatest(total, F.lit(1)))).cast("int")))
     todo = placed.withColumn("level", first)
     results, attempt = None, 0
     while True:
         cells = differences(paragraph_cells(todo, ["a", "e", "n"]))
-        out = scratch.keep(peel(cells, rounds + 3 * attempt), f"peeled-{attempt}")
+        out = scratch.keep(peel(cells, rounds), f"peeled-{attempt}")
         good = out.where("left = 0").select("rid", "kind", "found")
         results = good if results is None else results.unionByName(good)
         failed = out.where("left > 0").groupBy("rid").agg(F.max("level").alias("level"))
