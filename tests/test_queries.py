@@ -50,3 +50,26 @@ def test_contract(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() >= 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_without_the_training_data_subpackage(tmp_path):
+    """The rest works when the subpackage and its pipeline are taken out."""
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "hyphalake", tmp_path / "hyphalake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not any(n.startswith('op1') for n in q) and set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+
+
+def test_nothing_else_imports_the_subpackage():
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "hyphalake"
+    for f in root.rglob("*.py"):
+        if "llm" not in f.relative_to(root).parts:
+            assert "hyphalake.llm" not in f.read_text(), f
