@@ -98,7 +98,7 @@ def sequences(docs: DataFrame, key: str, text: str, seq_len: int, seed: bytes) -
     return plain.mapInArrow(run, "slot long, doc_id long, seq int, body binary"), total
 
 
-def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", seq_len: int = 1024, shard_seqs: int = 2048, seed: bytes = b"order-0") -> int:
+def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", seq_len: int = 1024, shard_seqs: int = 1024, seed: bytes = b"order-0") -> int:
     """Writes the shards of docs in training order and returns the number of sequences.
 
     Rows: shard, first_slot, n, payload (n * seq_len ids, little-endian unsigned 16-bit), and beside
@@ -144,7 +144,7 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     return total
 
 
-def read_slots(spark: SparkSession, path: str, seq_len: int = 1024, shard_seqs: int = 2048, start: int = 0, stop: int | None = None) -> DataFrame:
+def read_slots(spark: SparkSession, path: str, seq_len: int = 1024, shard_seqs: int = 1024, start: int = 0, stop: int | None = None) -> DataFrame:
     """(slot, shard, offset, doc_id, seq, n_tokens, ids) of slots start..stop; only their shards are read."""
     stride = seq_len * ID_BYTES
     rows = spark.read.parquet(path).where(F.col("shard") >= start // shard_seqs)
