@@ -11,8 +11,7 @@ execution splits where a digest is hot.
 
 Defined cases: null text counts as empty; texts are equal when identical after deleting every
 character of [\\x20\\x09-\\x0D]; a null key ranks after all others of its length; rows that repeat a
-key are all reported and only the one row stays (ties in length and key: keep_id is that key and the
-first such row in order of digest stays); an empty batch changes nothing.
+key are all reported, alike, and without_copies() lets one of them stay; an empty batch changes nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hyphalake.llm.common import BLANKS, Scratch, shared_dir, shuffle_partitions
@@ -98,8 +97,16 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, key: str = "d
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay, in the columns of docs: one of equal texts."""
+    """The rows of docs that stay, in the columns of docs: one of equal texts, also where rows repeat a key."""
     verdict = exact_dedup(docs, key=key, text=text).where("kept").select(F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_digest"))
     marked = docs.withColumn("_digest", normal_digest(F.col(text)))
-    joined = marked.join(verdict, marked[key].cast("long").eqNullSafe(verdict["_keep_id"]) & (marked["_digest"] == verdict["_keep_digest"]), "left_semi")
-    return joined.select([marked[c] for c in docs.columns])
+    same = lambda other: marked[key].cast("long").eqNullSafe(other["_keep_id"]) & (marked["_digest"] == other["_keep_digest"])
+    out = [marked[c] for c in docs.columns]
+    again = verdict.groupBy("_keep_id", "_keep_digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    if not again.head(1):
+        return marked.join(verdict, same(verdict), "left_semi").select(out)
+    # Rows that repeat the key that stays: the longest of each, found among those rows alone.
+    once = marked.join(verdict.join(again, ["_keep_id", "_keep_digest"], "left_anti"), same(verdict), "left_semi").select(out)
+    many = marked.join(again, same(again), "left_semi")
+    best = Window.partitionBy(marked[key], "_digest").orderBy(F.length(text).desc())
+    return once.unionByName(many.withColumn("_n", F.row_number().over(best)).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -244,6 +244,12 @@ def test_exact_dedup(odd, none):
     assert len(kept) == len(by) and exact_dedup.without_copies(odd).columns == odd.columns
 
 
+def test_repeated_keys_leave_one_row(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "a  b"), (2, "ab"), (3, "c"), (None, "d"), (None, "d")], "doc_id long, text string")
+    kept = rows(exact_dedup.without_copies(df))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, "d"), (1, "a  b"), (3, "c")]
+
+
 def test_index_keeps_what_it_has_seen(spark):
     index = exact_dedup.DigestIndex(spark)
     one = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
