@@ -185,3 +185,21 @@ def test_grm_matches_numpy(spark):
     assert names == list(range(6)) and np.allclose(k, z @ z.T / 9)
     pcs = kinship.principal_components(kinship.gram(df, "s", "v"), 3).toPandas()
     assert pcs.shape == (6, 4)
+
+
+def test_matrix_helpers(spark):
+    coded = spark.createDataFrame([("a", 0, 1.0), ("b", 0, 1.0), ("c", 0, None), ("d", 0, 2.0)], "sample string, pos int, code double")
+    assert {r["sample"]: r.code for r in kinship.impute_mode(coded).collect()}["c"] == 1.0
+    blocks = spark.createDataFrame([("x", 1, 1, 2.0), ("x", 1, 2, 1.0), ("x", 2, 2, 4.0)], "species string, i int, j int, v double")
+    assert {(r.i, r.j): r.v for r in burden.block_covariance(blocks).collect()} == {(1, 1): 2 / 3, (1, 2): 1 / 3, (2, 2): 4 / 3}
+    d = spark.createDataFrame([(i, j, 0.0 if i == j else 1.0 if i // 2 == j // 2 else 10.0) for i in range(4) for j in range(4)], "i int, j int, v double")
+    c = spark.createDataFrame([(i, i // 2) for i in range(4)], "i int, cluster int")
+    assert kinship.silhouette(d, c).first().silhouette == pytest.approx(0.9)
+    assert kinship.leaf_order(list("abcd"), np.array([[0, 9, 1, 9], [9, 0, 9, 1], [1, 9, 0, 9], [9, 1, 9, 0.0]])) in (["a", "c", "b", "d"], ["b", "d", "a", "c"])
+
+
+def test_conservation_counts(spark):
+    from hyphalake.operators import isolates
+
+    df = spark.createDataFrame([("a", "Core", "Absent"), ("b", "Core", "Core"), ("c", None, "Rare")], "gene string, class_x string, class_y string")
+    assert {r.gene: (r.n_core, r.n_present) for r in isolates.conservation(df, ["x", "y"]).collect()} == {"a": (1, 1), "b": (2, 2), "c": (0, 1)}
