@@ -100,13 +100,16 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """The rows of docs that stay, in the columns of docs: one of equal texts, also where rows repeat a key."""
     verdict = exact_dedup(docs, key=key, text=text).where("kept").select(F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_digest"))
     marked = docs.withColumn("_digest", normal_digest(F.col(text)))
-    same = lambda other: marked[key].cast("long").eqNullSafe(other["_keep_id"]) & (marked["_digest"] == other["_keep_digest"])
     out = [marked[c] for c in docs.columns]
-    again = verdict.groupBy("_keep_id", "_keep_digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    if not again.head(1):
-        return marked.join(verdict, same(verdict), "left_semi").select(out)
+
+    def staying(kept: DataFrame) -> DataFrame:
+        same = marked[key].cast("long").eqNullSafe(F.col("_keep_id")) & (marked["_digest"] == F.col("_keep_digest"))
+        return marked.join(kept, same, "left_semi")
+
+    counted = verdict.groupBy("_keep_id", "_keep_digest").agg(F.count(F.lit(1)).alias("n"))
+    if not counted.where("n > 1").head(1):
+        return staying(verdict).select(out)
     # Rows that repeat the key that stays: the longest of each, found among those rows alone.
-    once = marked.join(verdict.join(again, ["_keep_id", "_keep_digest"], "left_anti"), same(verdict), "left_semi").select(out)
-    many = marked.join(again, same(again), "left_semi")
-    best = Window.partitionBy(marked[key], "_digest").orderBy(F.length(text).desc())
-    return once.unionByName(many.withColumn("_n", F.row_number().over(best)).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    best = Window.partitionBy(F.col(key), "_digest").orderBy(F.length(text).desc())
+    many = staying(counted.where("n > 1")).withColumn("_n", F.row_number().over(best)).where("_n = 1")
+    return staying(counted.where("n = 1")).select(out).unionByName(many.select(*[F.col(f"`{c}`") for c in docs.columns]))
