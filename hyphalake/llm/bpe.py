@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hyphalake.llm.common import Scratch, shuffle_partitions
+from hyphalake.llm.common import Scratch, release, shuffle_partitions
 
 #: Characters for which the normaliser only lower-cases, one by one: printable ASCII, Latin-1 and
 #: Latin Extended-A (without the dotted capital I), general punctuation.  Others take the library's path.
@@ -180,6 +180,7 @@ def split_blocks(docs: DataFrame, blob: bytes, text: str, carry: Sequence[str],
                 rows.append(b.column(0).slice(start))
         if rows:
             yield from block_rows(f"{task}-{n}", rows, codes, seen)
+        release()
 
     return plain.mapInArrow(run, schema)
 
@@ -205,6 +206,8 @@ def encode_parts(packets: DataFrame, blob: bytes, parts: int) -> DataFrame:
                 lengths.append(_pack(np.array([len(x) // 4 for x in got], np.uint32)))
                 flat.append(_pack(np.frombuffer(b"".join(got), "<u4")))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(lengths, pa.binary()), pa.array(flat, pa.binary())], ["block", "places", "lengths", "ids"])
+        table.clear()
+        release()
 
     dealt = packets.select("block", "part", F.col("tail").alias("places"), "body").repartition(parts, "part").sortWithinPartitions("part")
     return dealt.mapInArrow(run, "block string, places binary, lengths binary, ids binary")
@@ -218,27 +221,24 @@ def join_ids(blocks: DataFrame, answers: DataFrame, pieces: Sequence[str]) -> Da
     names = ["row", "n_tokens", "ids", "decoded"]
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        ids_of: dict[int, bytes] = {}
-        piece_of: dict[int, str] = {}
-        for places, lengths, ids in zip(*(found.column(c).to_pylist() for c in ("places", "lengths", "ids"))):
-            flat = _unpack(ids)
-            shown = [pieces[i] for i in flat.tolist()]
-            raw, at = flat.tobytes(), 0
-            for k, n in zip(np.cumsum(_unpack(places)).tolist(), _unpack(lengths).tolist()):
-                ids_of[k] = raw[at * 4 : (at + n) * 4]
-                piece_of[k] = " ".join(shown[at : at + n])
-                at += n
-        mute = {k for k, x in ids_of.items() if not x}
-        ids, decoded, at = [], [], 0
+        places, lengths, flat = ([_unpack(x.as_py()) for x in found.column(c)] for c in ("places", "lengths", "ids"))
+        none = [np.zeros(0, np.uint32)]
+        at = np.concatenate([np.cumsum(p, dtype=np.int64) for p in places] or none).astype(np.int64)
+        sizes, every = np.concatenate(lengths or none).astype(np.int64), np.concatenate(flat or none)
+        # Where a word's ids begin among all, and how many there are, by the word's place.
+        begin, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        begin[at], count[at] = np.cumsum(sizes) - sizes, sizes
+        ids, decoded, start = [], [], 0
         held = block.column("rows").combine_chunks()
         codes = _unpack_positions(block.column("body")[0].as_py(), block.column("tail")[0].as_py())
         for n in _unpack(block.column("lengths")[0].as_py()).tolist():
-            own = codes[at : at + n].tolist()
-            at += n
-            if mute:
-                own = [k for k in own if k not in mute]
-            ids.append(b"".join(map(ids_of.__getitem__, own)))
-            decoded.append(" ".join(map(piece_of.__getitem__, own)))
+            own = codes[start : start + n]
+            start += n
+            size = count[own]
+            own = every[np.repeat(begin[own] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            ids.append(own.astype("<u4").tobytes())
+            decoded.append(" ".join([pieces[i] for i in own.tolist()]))
+        release()
         return pa.Table.from_arrays([held.flatten(), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names)
 
     schema = T.StructType([T.StructField("row", blocks.schema["rows"].dataType.elementType)]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")

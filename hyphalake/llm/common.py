@@ -6,6 +6,8 @@ cuts lineage is written there through Spark's committer, so a lost executor neve
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -34,6 +36,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def release() -> None:
+    """Gives memory that a worker no longer needs back, as idle workers keep theirs between tasks."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Scratch:
     """Parquet tables of one operator run in the shared folder."""
 
