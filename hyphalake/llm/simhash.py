@@ -38,9 +38,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import Scratch, connected_components
+from hyphalake.llm.common import Scratch, connected_components, release
 
-LEAF, FANOUT, QUERIES = 32, 8, 512
+LEAF, FANOUT, QUERIES = 32, 8, 256
 _U = np.uint64
 
 
@@ -162,12 +162,12 @@ def link_group(codes: np.ndarray, max_bits: int) -> np.ndarray:
             _, mask, pattern = levels[level]
             acc = acc + _bits((q[qi] ^ pattern[node]) & mask[node] & ~levels[level + 1][1][up])
             qi, node, acc = alive(level, qi, node, acc)
-        for a in range(0, len(node), 1 << 13):
-            member = node[a : a + (1 << 13), None] * LEAF + np.arange(LEAF)
+        for a in range(0, len(node), 1 << 12):
+            member = node[a : a + (1 << 12), None] * LEAF + np.arange(LEAF)
             inside = member < n
-            own = np.broadcast_to(qi[a : a + (1 << 13), None], member.shape)[inside]
-            got = np.broadcast_to(acc[a : a + (1 << 13), None], member.shape)[inside]
-            leaf = np.broadcast_to(node[a : a + (1 << 13), None], member.shape)[inside]
+            own = np.broadcast_to(qi[a : a + (1 << 12), None], member.shape)[inside]
+            got = np.broadcast_to(acc[a : a + (1 << 12), None], member.shape)[inside]
+            leaf = np.broadcast_to(node[a : a + (1 << 12), None], member.shape)[inside]
             member = member[inside]
             near = member > k + own
             near &= root[member] != root[k + own]
@@ -216,6 +216,7 @@ def _stars(batches: Iterator[pa.RecordBatch], max_bits: int, width: int) -> Iter
             yield from edges(key[:done], ids[:done], codes[:done])
             key, ids, codes = key[done:], ids[done:], codes[done:]
     yield from edges(key, ids, codes)
+    release()
 
 
 def _search(groups: DataFrame, max_bits: int, width: int) -> DataFrame:
@@ -288,15 +289,16 @@ def _masked_groups(nodes: DataFrame, width: int, masks: int, bits: int, seed: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(seed)
         chosen = [rng.choice(64 * width, bits, replace=False) for _ in range(masks)]
-        weight = _U(1) << np.arange(bits, dtype=np.uint64)
         for b in batches:
             if not len(b):
                 continue
             words = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns[1:]])
-            flags = np.unpackbits(np.ascontiguousarray(words).view(np.uint8).reshape(len(b), -1), axis=1).astype(np.uint64)
+            flags = np.unpackbits(np.ascontiguousarray(words).view(np.uint8).reshape(len(b), -1), axis=1)
             for m, at in enumerate(chosen):
-                key = (flags[:, at] * weight).sum(axis=1, dtype=np.uint64) + (_U(m) << _U(bits))
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), b.column(0), *b.columns[1:]], ["key", "id", *names])
+                under = np.packbits(flags[:, at], axis=1)
+                key = np.zeros((len(b), 8), np.uint8)
+                key[:, : under.shape[1]] = under
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).ravel() ^ (m << 48)), b.column(0), *b.columns[1:]], ["key", "id", *names])
 
     return nodes.select("id", *names).mapInArrow(run, "key long, id long, " + ", ".join(f"{n} long" for n in names))
 
