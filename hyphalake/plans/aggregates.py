@@ -38,6 +38,13 @@ def k4(t: Tables) -> DataFrame:
     return pangenome.wide(pangenome.presence(rows, "family", "strain"), "family", "strain", range(10), F.first(F.lit(1)))
 
 
+@query("k4_wide_export_whole")
+def k4_whole(t: Tables) -> DataFrame:
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("family"), F.col("l_suppkey").alias("strain"))
+    strains = sorted(r.s_suppkey for r in t.supplier.select("s_suppkey").collect())
+    return pangenome.wide(pangenome.presence(rows, "family", "strain"), "family", "strain", strains, F.first(F.lit(1)))
+
+
 @query("a5_quality_cuts", """
 SELECT CAST(floor(median(l_quantity)) AS BIGINT) AS contigs_median,
        (SELECT l_extendedprice FROM lineitem ORDER BY l_extendedprice LIMIT 1 OFFSET (SELECT greatest(1, CAST(floor(count(*) * 0.75) AS BIGINT)) - 1 FROM lineitem)) AS n50_p75

@@ -112,7 +112,16 @@ def t37(t: Tables) -> DataFrame:
 
 @query("t39_alignment_classes", "WITH b AS (SELECT l_partkey AS og, l_quantity, l_discount, l_tax, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_tax, l_suppkey::VARCHAR) AS k FROM lineitem WHERE l_partkey % 2 = 0) SELECT p_partkey AS og, CASE WHEN k IS NULL THEN 'No hit' WHEN l_quantity * 2 >= 70 AND l_discount * 1000 >= 30 AND l_tax * 1000 >= 70 THEN 'Full-length' WHEN l_quantity * 2 >= 70 AND l_discount * 1000 >= 30 AND l_tax * 1000 < 50 THEN 'Fragment' ELSE 'No significant similarity' END AS hit_class FROM part LEFT JOIN b ON og = p_partkey AND k = 1")
 def t39(t: Tables) -> DataFrame:
-    hits = t.lineitem.where("l_partkey % 2 = 0").select(F.col("l_partkey").alias("og"), F.col("l_suppkey").cast("string").alias("sseqid"), (F.col("l_quantity") * 2).alias("qcov"), (F.col("l_tax") * 1000).alias("scov"), (F.col("l_discount") * 1000).alias("pident"), F.col("l_extendedprice").alias("bitscore"), F.col("l_tax").alias("evalue"))
+    return aligned(t, t.lineitem.where("l_partkey % 2 = 0"))
+
+
+@query("t39_alignment_classes_whole")
+def t39_whole(t: Tables) -> DataFrame:
+    return aligned(t, t.lineitem)
+
+
+def aligned(t: Tables, lines: DataFrame) -> DataFrame:
+    hits = lines.select(F.col("l_partkey").alias("og"), F.col("l_suppkey").cast("string").alias("sseqid"), (F.col("l_quantity") * 2).alias("qcov"), (F.col("l_tax") * 1000).alias("scov"), (F.col("l_discount") * 1000).alias("pident"), F.col("l_extendedprice").alias("bitscore"), F.col("l_tax").alias("evalue"))
     return isolates.aligned_classes(t.part.select(F.col("p_partkey").alias("og")), hits).select("og", "hit_class")
 
 

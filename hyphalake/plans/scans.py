@@ -42,7 +42,16 @@ def s10(t: Tables) -> DataFrame:
 
 @query("s17_alignment_sites", "SELECT p_partkey AS sample, generate_subscripts(string_split(p_name, ''), 1) - 1 AS pos, unnest(string_split(p_name, '')) AS base FROM part WHERE p_partkey < 300")
 def s17(t: Tables) -> DataFrame:
-    rows = t.part.where("p_partkey < 300").select(F.col("p_partkey").alias("sample"), F.posexplode(F.split("p_name", "")).alias("pos", "base"))
+    return sites(t.part.where("p_partkey < 300"))
+
+
+@query("s17_alignment_sites_whole")
+def s17_whole(t: Tables) -> DataFrame:
+    return sites(t.part)
+
+
+def sites(parts: DataFrame) -> DataFrame:
+    rows = parts.select(F.col("p_partkey").alias("sample"), F.posexplode(F.split("p_name", "")).alias("pos", "base"))
     return rows.where("base <> ''").withColumn("pos", F.col("pos").cast("long"))
 
 

@@ -12,8 +12,8 @@ from hyphalake.plans.base import Tables, query, rounded
 P = "(l_tax * 100 + l_discount * 10 + (l_linenumber % 7) + 1) / 20.0"
 
 
-def pvalues(t: Tables) -> DataFrame:
-    return t.lineitem.where("l_orderkey < 2000").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("layer"), F.expr("(l_tax * 100 + l_discount * 10 + (l_linenumber % 7) + 1) / 20.0").alias("pvalue"))
+def pvalues(t: Tables, rows: str = "true") -> DataFrame:
+    return t.lineitem.where(rows).select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("layer"), F.expr("(l_tax * 100 + l_discount * 10 + (l_linenumber % 7) + 1) / 20.0").alias("pvalue"))
 
 
 BH = """WITH t AS (SELECT l_orderkey, l_linenumber, l_returnflag AS layer, {p} AS pvalue FROM lineitem WHERE l_orderkey < 2000),
@@ -23,11 +23,21 @@ SELECT l_orderkey, l_linenumber, layer, round(pvalue, 9) AS pvalue, round(least(
 
 @query("w1_bh_by_layer", BH.format(p=P, part="PARTITION BY layer"))
 def w1(t: Tables) -> DataFrame:
+    return rounded(relational.bh_qvalues(pvalues(t, "l_orderkey < 2000"), by=["layer"]), "pvalue", "qvalue", digits=9)
+
+
+@query("w1_bh_by_layer_whole")
+def w1_whole(t: Tables) -> DataFrame:
     return rounded(relational.bh_qvalues(pvalues(t), by=["layer"]), "pvalue", "qvalue", digits=9)
 
 
 @query("w1_bh_global", BH.format(p=P, part=""))
 def w1_global(t: Tables) -> DataFrame:
+    return rounded(relational.bh_qvalues(pvalues(t, "l_orderkey < 2000")), "pvalue", "qvalue", digits=9)
+
+
+@query("w1_bh_global_whole")
+def w1_global_whole(t: Tables) -> DataFrame:
     return rounded(relational.bh_qvalues(pvalues(t)), "pvalue", "qvalue", digits=9)
 
 
@@ -169,6 +179,11 @@ def u8(t: Tables) -> DataFrame:
     return rounded(relational.jaccard_by_pair(t.lineitem.where("l_suppkey < 20"), "l_suppkey", "l_partkey"), "jaccard", digits=9)
 
 
+@query("u8_jaccard_whole")
+def u8_whole(t: Tables) -> DataFrame:
+    return rounded(relational.jaccard_by_pair(t.lineitem, "l_suppkey", "l_partkey"), "jaccard", digits=9)
+
+
 NULL = """a AS (SELECT perm, og FROM (SELECT perm, og, row_number() OVER (PARTITION BY perm ORDER BY md5('42a|' || perm || '|' || og), og) AS k FROM (SELECT DISTINCT l_partkey AS og FROM lineitem WHERE l_suppkey < 50), generate_series(0, 49) s(perm)) WHERE k <= 200),
 b AS (SELECT perm, og FROM (SELECT perm, og, row_number() OVER (PARTITION BY perm ORDER BY md5('42b|' || perm || '|' || og), og) AS k FROM (SELECT DISTINCT l_partkey AS og FROM lineitem WHERE l_suppkey >= 50), generate_series(0, 49) s(perm)) WHERE k <= 300)"""
 
