@@ -1,41 +1,46 @@
-"""Substring deduplication by content-defined chunks.
+"""Substring deduplication by content-defined anchors.
+
+A passage repeats when a run of ``min_words`` words, blanks between them included, occurs verbatim at
+another place.  Of the hashes of all runs of half as many words in it, such a run's smallest one is its
+anchor: it depends on the run's bytes alone, so equal runs share it wherever they stand.  Runs whose
+anchor is seen once are left out; the others are compared by a 128-bit digest, so no run is missed and
+each span has its true extent in whole words.  Of equal runs the one in the smallest (key, place) stays
+whole.  Overlapping repeated runs are joined to a span.
 
 A gear rolling hash over the UTF-8 bytes (each byte shifts the hash left by one and adds the byte's
-random number) ends a chunk where its high bits are zero, so cuts depend on the last 32 bytes only and
-an insertion moves the cuts beside it alone.  Chunks are deduplicated by a 128-bit digest: of equal
-chunks the one in the smallest (key, place) stays.  A document's repeated spans are joined up and
-reported when they are at least ``min_words`` words long.
+random number) ends a chunk where its high bits are zero; n_chunks counts these.
 
-Scale: texts are read once and never shuffled; a chunk is shuffled as 48 bytes.  The first place of
-a digest is a grouped minimum with map-side partials, and only digests seen more than once are joined
-back, so a very frequent chunk sends one row a task and its join is split by adaptive execution.
+Scale: an anchor stands about every sixth word and is shuffled as 8 bytes and its row; texts are
+shuffled once, beside their repeated anchors.  Digests are sent for repeated text alone.  The first place
+of a digest is a grouped minimum with map-side partials, so a very frequent run sends one row a task and
+its join is split by adaptive execution.
 
-Defined cases: null text counts as empty and has no chunks; a text shorter than a chunk is one chunk;
-positions are code points, end exclusive; repeated rows repeat each other's chunks (the first by key and
+Defined cases: null text counts as empty and has no chunks; a text shorter than min_words has no span;
+positions are code points, end exclusive; repeated rows repeat each other's runs (the first by key and
 row stays); an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hyphalake.llm.common import Scratch
 
-WINDOW = 32
-
-
 def gear_table(seed: int = 11) -> np.ndarray:
     return np.array([xxhash.xxh32_intdigest(bytes([b]), seed) for b in range(256)], np.uint32)
 
 
 GEAR = gear_table()
+#: Numbers of the bytes and the base of the hash of word runs.
+TABLE = np.array([xxhash.xxh64_intdigest(bytes([b]), 12) for b in range(256)], np.uint64)
+BASE = 0x9E3779B97F4A7C15
 #: Bytes that words are made of: all but [\x20\x09-\x0D].
 WORDY = ~np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
@@ -81,65 +86,147 @@ def _positions(data: bytes) -> np.ndarray | None:
     return None if lead.all() else np.concatenate(([0], np.cumsum(lead)))
 
 
-def chunk_rows(docs: DataFrame, key: str, text: str, bits: int, least: int, most: int) -> DataFrame:
-    """(d1, d2, doc_id, row, start, end, words): digest halves and place of every chunk, in code points.
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64."""
+    one = lambda x: np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, x, np.uint64))), dtype=np.uint64)
+    return one(BASE), one(pow(BASE, -1, 1 << 64))
 
-    words counts the words that begin in the chunk.  A text without chunks has one row without digest.
-    """
-    fields = ["d1", "d2", "doc_id", "row", "start", "end", "words"]
+
+def anchors(data: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end, value, place): every run of min_words words, and the smallest hash of the shorter word
+    runs in it with its place.  A run's value depends on its own bytes only, so equal runs have equal values."""
+    inside = WORDY[np.frombuffer(data, np.uint8)]
+    edge = np.diff(np.concatenate(([0], inside.astype(np.int8), [0])))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    n = len(begin) - min_words + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    up, down = _powers(1 << max(12, len(data).bit_length()))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(TABLE[np.frombuffer(data, np.uint8)] * up[: len(data)], dtype=np.uint64)))
+    short = max(1, min_words // 2)
+    i, j = begin[: len(begin) - short + 1], end[short - 1 :]
+    runs = (total[j] - total[i]) * down[i]
+    place = np.lib.stride_tricks.sliding_window_view(runs, min_words - short + 1).argmin(axis=1) + np.arange(n)
+    return begin[:n], end[min_words - 1 :], runs[place], place
+
+
+def anchor_rows(kept: DataFrame, min_words: int, bits: int, least: int, most: int) -> DataFrame:
+    """(row, n_chunks, values): the number of chunks of each text and the values of its anchors, once a place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, values = [], []
+            for k in range(len(b)):
+                data = b.column(1)[k].as_py().encode("utf-8")
+                _, _, value, place = anchors(data, min_words)
+                n.append(len(cuts(data, bits, least, most)))
+                values.append(value[np.unique(place, return_index=True)[1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["row", "n_chunks", "values"])
+
+    return kept.select("row", "text").mapInArrow(run, "row long, n_chunks long, values array<long>")
+
+
+def window_rows(marked: DataFrame, min_words: int) -> DataFrame:
+    """(d1, d2, row, doc_id, at, start, end): the word runs whose value is marked, by number of first word and in code points."""
+    fields = ["d1", "d2", "row", "doc_id", "at", "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, row, digest = TaskContext.get().partitionId(), 0, xxhash.xxh3_128_digest
+        digest = xxhash.xxh3_128_digest
         for b in batches:
-            found, ids, rows, start, end, words, empty = [], [], [], [], [], [], []
-            keys = b.column(0).to_pylist()
             for k in range(len(b)):
-                data = (b.column(1)[k].as_py() or "").encode("utf-8")
-                ends, row = cuts(data, bits, least, most), row + 1
-                if not len(ends):
-                    empty.append((keys[k], (task << 33) + row))
-                else:
-                    begins = np.concatenate((np.zeros(1, np.int64), ends[:-1]))
-                    found += [digest(data[i:j]) for i, j in zip(begins.tolist(), ends.tolist())]
-                    chars, inside = _positions(data), WORDY[np.frombuffer(data, np.uint8)]
-                    first = inside.copy()
-                    first[1:] &= ~inside[:-1]
-                    start.append(begins if chars is None else chars[begins])
-                    end.append(ends if chars is None else chars[ends])
-                    words.append(np.add.reduceat(first, begins, dtype=np.int64))
-                    ids += [keys[k]] * len(ends)
-                    rows += [(task << 33) + row] * len(ends)
-                if len(found) >= 100_000 or k == len(b) - 1:
-                    if found:
-                        d = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
-                        yield pa.RecordBatch.from_arrays([pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), *[pa.array(np.concatenate(x).astype(np.int32)) for x in (start, end, words)]], fields)
-                    if empty:
-                        n = len(empty)
-                        zero = pa.array([0] * n, pa.int32())
-                        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([x for x, _ in empty], pa.int64()), pa.array([x for _, x in empty], pa.int64()), zero, zero, zero], fields)
-                    found, ids, rows, start, end, words, empty = [], [], [], [], [], [], []
-
-    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return plain.mapInArrow(run, "d1 long, d2 long, doc_id long, row long, start int, end int, words int")
+                data, row, key = b.column(2)[k].as_py().encode("utf-8"), b.column(0)[k].as_py(), b.column(1)[k].as_py()
+                begin, end, value, _ = anchors(data, min_words)
+                at = np.flatnonzero(np.isin(value.view(np.int64), b.column(3)[k].values.to_numpy(zero_copy_only=False)))
+                chars = _positions(data)
+                for x in range(0, len(at), 50_000):
+                    here = at[x : x + 50_000]
+                    i, j = begin[here], end[here]
+                    d = np.frombuffer(b"".join([digest(data[p:q]) for p, q in zip(i.tolist(), j.tolist())]), "<i8").reshape(-1, 2)
+                    i, j = (i, j) if chars is None else (chars[i], chars[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array([row] * len(here), pa.int64()), pa.array([key] * len(here), pa.int64()), *[pa.array(c.astype(np.int32)) for c in (here, i, j)]], fields)
+
+    return marked.select("row", "doc_id", "text", "marks").mapInArrow(run, "d1 long, d2 long, row long, doc_id long, at int, start int, end int")
+
+
+def _joined(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(start, end, first, last) of the unions of overlapping spans in order."""
+    if not len(start):
+        return []
+    cut = np.flatnonzero(np.append(True, start[1:] >= end[:-1]))
+    last = np.append(cut[1:], len(start)) - 1
+    return list(zip(start[cut].tolist(), end[last].tolist(), cut.tolist(), last.tolist()))
+
+
+def _without(spans: list[tuple], kept: list[tuple]) -> list[tuple[int, int]]:
+    """The parts of spans outside kept; both in order."""
+    out, k = [], 0
+    for start, end, *_ in spans:
+        while k < len(kept) and kept[k][1] <= start:
+            k += 1
+        m = k
+        while m < len(kept) and kept[m][0] < end:
+            if kept[m][0] > start:
+                out.append((start, kept[m][0]))
+            start = max(start, kept[m][1])
+            m += 1
+        if start < end:
+            out.append((start, end))
+    return out
+
+
+def _spans(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Spans from the repeated word runs (row, doc_id, at, start, end, cut, holder), sorted by row and start."""
+    part = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
+    def spans(t: pa.Table) -> list[dict]:
+        row, at, start, end, cut = (t.column(c).to_numpy() for c in ("row", "at", "start", "end", "cut"))
+        holder, key, out = t.column("holder").to_pylist(), t.column("doc_id").to_pylist(), []
+        edges = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            s, e, c = start[a:b], end[a:b], cut[a:b]
+            stays = [x[:2] for x in _joined(s[~c], e[~c])]
+            gone = _without(_joined(s[c], e[c]), stays)
+            for begin, stop, i, j in _joined(s, e):
+                inside = [{"start": max(x, begin), "end": min(y, stop)} for x, y in gone if x < stop and y > begin]
+                out.append({"row": int(row[a]), "doc_id": key[a], "start": begin, "end": stop, "words": int(at[a + j] - at[a + i]) + min_words, "removed": inside, "holders": sorted({h for h in holder[a + i : a + j + 1] if h is not None})})
+        return out
+
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("words", pa.int64()), ("removed", pa.list_(part)), ("holders", pa.list_(pa.int64()))])
+    left: list[pa.RecordBatch] = []
+    for b in batches:
+        if not len(b):
+            continue
+        rows = b.column(0).to_numpy()
+        # The batch's last row may go on in the next one.
+        done = int(np.searchsorted(rows, rows[-1]))
+        if done or left and left[0].column(0)[0].as_py() != rows[-1]:
+            yield from pa.Table.from_pylist(spans(pa.Table.from_batches([*left, b.slice(0, done)])), schema).to_batches()
+            left = []
+        left.append(b.slice(done))
+    if left:
+        yield from pa.Table.from_pylist(spans(pa.Table.from_batches(left)), schema).to_batches()
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 20, bits: int = 5, least: int = 24, most: int = 512) -> tuple[DataFrame, DataFrame]:
     """(rows, spans).
 
     rows, one a row of docs: doc_id, row, n_chunks.  spans: doc_id, row, start, end, words, removed,
-    holders - runs of chunks that occur elsewhere, of at least min_words words; removed lists the parts
-    of the run whose chunks stay elsewhere, and holders the keys of the rows in which they stay.
+    holders - the unions of all runs of min_words words that occur elsewhere; removed lists the parts of
+    the span that stay elsewhere, and holders the keys of the rows in which they stay.
     """
     scratch = Scratch(docs.sparkSession, "cdc")
-    chunks = scratch.keep(chunk_rows(docs, key, text, bits, least, most), "chunks")
+    kept = scratch.keep(docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row")), "texts")
+    found = scratch.keep(anchor_rows(kept, min_words, bits, least, most), "anchors")
+    values = found.select("row", F.explode("values").alias("value"))
+    twice = values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("value")
+    marks = values.join(twice, "value").groupBy("row").agg(F.collect_set("value").alias("marks"))
+    runs = scratch.keep(window_rows(kept.join(marks, "row"), min_words), "runs")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "start")
-    first = chunks.where("d1 is not null").groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2", "first")
-    hits = chunks.join(first, ["d1", "d2"]).select("doc_id", "row", "start", "end", "words", (F.struct("row", "start") != F.struct(F.col("first.row"), F.col("first.start"))).alias("cut"), F.col("first.doc_id").alias("holder"))
-    in_row = Window.partitionBy("row").orderBy("start")
-    runs = hits.withColumn("begins", F.coalesce((F.lag("end").over(in_row) != F.col("start")).cast("int"), F.lit(1))).withColumn("run", F.sum("begins").over(in_row))
-    spans = runs.groupBy("row", "run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.array_sort(F.collect_list(F.when(F.col("cut"), F.struct("start", "end")))).alias("removed"), F.collect_set("holder").alias("holders"))
-    rows = chunks.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.count("d1").alias("n_chunks"))
-    return rows, spans.where(F.col("words") >= min_words).drop("run")
+    first = runs.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2", "first")
+    hits = runs.join(first, ["d1", "d2"]).select("row", "doc_id", "at", "start", "end", (F.struct("row", "start") != F.struct(F.col("first.row"), F.col("first.start"))).alias("cut"), F.col("first.doc_id").alias("holder"))
+    spans = hits.repartition("row").sortWithinPartitions("row", "start").mapInArrow(lambda it: _spans(it, min_words), "row long, doc_id long, start int, end int, words long, removed array<struct<start:int,end:int>>, holders array<long>")
+    return kept.select("row", "doc_id").join(found.select("row", "n_chunks"), "row"), spans
 
 
 def passage_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
