@@ -10,7 +10,8 @@ Scale: one narrow pass over the pages, nothing shuffled; memory is one page's tr
 renderer keep stacks of their own, so nesting depth has no limit.
 
 Defined cases: null html counts as empty; unclosed tags end with the page, stray end tags are ignored;
-a "<" that begins no tag is text; pages of any length are rendered whole; repeated rows each get a row.
+a "<" that begins no tag is text; a head without end tag ends at the first text or element that cannot stand
+in it; what stands in a row beside its cells comes before the table; text of math and svg and all options are shown; pages of any length are rendered whole; repeated rows each get a row.
 """
 
 from __future__ import annotations
@@ -27,17 +28,22 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 #: Elements whose content is text up to their own end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements that are never shown.
-UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas svg math datalist select meta link base".split())
-BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption tr td th thead tbody tfoot".split())
+UNSEEN = frozenset("head title script style template noscript iframe noembed noframes object audio video canvas datalist meta link base".split())
+BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption tr td th thead tbody tfoot option optgroup".split())
+#: Never shown within svg and math, whose other text is.
+FOREIGN_UNSEEN = frozenset("desc metadata defs symbol annotation annotation-xml".split())
+#: What can stand in a head; anything else ends it.
+IN_HEAD = frozenset("html head title style script meta link base noscript template noframes basefont bgsound".split())
 #: Blocks with a blank line above and below.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl table blockquote pre figure fieldset".split())
-ENDS_P = BLOCK - frozenset("body html td th tr thead tbody tfoot caption".split())
+ENDS_P = BLOCK - frozenset("body html td th tr thead tbody tfoot caption option optgroup".split())
 #: An opening tag first ends the open elements named, but not beyond the fence.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
     "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}),
     "td": ({"td", "th"}, {"table", "tr"}),
     "th": ({"td", "th"}, {"table", "tr"}),
@@ -79,12 +85,16 @@ def parse(html: str) -> Node:
         if tag is None:
             s = m[0]
             if s[:2] not in ("<!", "<?"):
+                if stack[-1].tag == "head" and not s.isspace():
+                    stack.pop()
                 stack[-1].kids.append(unescape(s))
             continue
         tag = tag.lower()
         if m[1]:
             _close(stack, tag)
             continue
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()
         if tag in ENDS_P:
             _end(stack, {"p"}, {"td", "th", "table", "caption", "button", "#root"})
         if tag in IMPLIED:
@@ -94,6 +104,8 @@ def parse(html: str) -> Node:
             stack[-1].kids.append(row)
             stack.append(row)
         node = Node(tag, _attributes(m[3]))
+        if tag in FOREIGN_UNSEEN and any(x.tag in ("svg", "math") for x in stack):
+            node.attrs["hidden"] = ""
         stack[-1].kids.append(node)
         if tag in VOID:
             continue
@@ -221,7 +233,9 @@ def _finish(node: Node, parts: list) -> list:
         return [(0, _flow(parts)[1], 0, "cell")]
     if tag == "tr":
         cells = [p[1] for p in parts if isinstance(p, tuple) and len(p) == 4 and p[3] == "cell"]
-        return [(0, cells, 0, "row")] if cells else [x for x in parts if not (isinstance(x, str) and x.isspace())]
+        rest = [p for p in parts if not (isinstance(p, str) and p.isspace() or isinstance(p, tuple) and len(p) == 4 and p[3] == "cell")]
+        # What is beside the cells stands before the table.
+        return [*map(_plain, rest), (0, cells, 0, "row")] if cells else rest
     if tag in ("thead", "tbody", "tfoot"):
         return [p for p in parts if not (isinstance(p, str) and p.isspace())]
     if tag == "table":
@@ -234,6 +248,10 @@ def _finish(node: Node, parts: list) -> list:
                 loose.append(p)
         lines = _flow(loose)[1] + _table(rows)
         return [(1, lines, 1)] if any(lines) else []
+    if tag == "optgroup" and node.attrs.get("label"):
+        return [(0, [node.attrs["label"], *_flow(parts)[1]], 0)]
+    if tag == "text":  # each stands at its own place in a picture
+        return [(0, _flow([_plain(p) for p in parts])[1], 0)]
     if tag == "dd":
         above, lines, below = _flow(parts)
         return [(0, ["  " + x if x else x for x in lines], 0)]
