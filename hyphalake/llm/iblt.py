@@ -2,7 +2,8 @@
 
 A text's paragraphs are its lines; a line beyond ``line_chars`` is divided at sentence ends, a
 sentence beyond it to its words, and a text
-shorter than ``short_chars`` altogether to its words, as one edit would else change all of it.  Each
+shorter than ``short_chars`` altogether to its words, as one edit would else change all of it.  Where
+only one version of a pair is that short, ``by_pair`` compares both by words.  Each
 paragraph's 64-bit digest goes to one cell in each of three sub-tables; a cell holds a count and sums
 of the digest's halves and of a check hash.  Cells of two versions subtract, and peeling (take a cell
 whose content is some multiple of one digest that its check hash confirms, take it out of its three
@@ -109,10 +110,12 @@ def sketches(cells: DataFrame, versions: int) -> DataFrame:
 def differences(cells: DataFrame) -> DataFrame:
     """(rid, level, kind, cell, sums): version 0 minus version 1 (kind 0) and minus version 2 (kind 1), cell by cell.
 
+    Versions 3 and 4 stand for version 0 in kind 0 and in kind 1 alone.
+
     Sketches are linear, so the two sketches' subtraction is one signed sum.
     """
-    both = cells.withColumn("kind", F.explode(F.when(F.col("v") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("v") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))))
-    sign = F.when(F.col("v") == 0, 1).otherwise(-1)
+    both = cells.withColumn("kind", F.explode(F.when(F.col("v") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("v").isin(1, 3), F.array(F.lit(0))).otherwise(F.array(F.lit(1)))))
+    sign = F.when(F.col("v").isin(0, 3, 4), 1).otherwise(-1)
     out = both.groupBy("rid", "level", "kind", "cell").agg(*[F.sum(F.col(s) * sign).alias(s) for s in SUMS])
     return out.where("c <> 0 or hi <> 0 or lo <> 0 or chk <> 0")
 
@@ -138,12 +141,13 @@ def peel(cells: DataFrame, rounds: int) -> DataFrame:
     return now.groupBy("rid", "level", "kind").agg(F.count(F.when(F.col("cell") >= 0, 1)).alias("left"), F.sum("found").alias("found"))
 
 
-def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text", base_level: int = 3, rounds: int = 6, line_chars: int = 400, max_level: int = 20) -> DataFrame:
+def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text", base_level: int = 3, rounds: int = 6, line_chars: int = 400, max_level: int = 20, short_chars: int = 400, by_pair: bool = False) -> DataFrame:
     """One row a row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, n_paragraphs, edited_differ, next_differ.
 
     fingerprint lists the cells of the sketch of 2^base_level cells a sub-table that are not empty, as
-    cell:count:sums in hex.
+    cell:count:sums in hex.  With by_pair, likeness and differences of two versions of which one alone is
+    short are taken over the words of both.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "iblt")
@@ -151,8 +155,15 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = with_next(docs, key, text, 2 * n)
     made = edited(F.col("text"), F.col("next_text"))
     rows = rows.select("rid", "doc_id", F.length("text").cast("long").alias("n_chars"), "text", "next_text", made.alias("edit"))
-    rows = rows.select("rid", "doc_id", "n_chars", F.sha2(F.col("edit").cast("binary"), 256).alias("edited_sha256"), *[paragraph_digests(F.col(c), line_chars).alias(v) for c, v in (("text", "a"), ("edit", "e"), ("next_text", "n"))])
+    short = {c: F.length(c) < short_chars for c in ("text", "edit", "next_text")}
+    rows = rows.select("*", (F.lit(by_pair) & (short["text"] != short["edit"])).alias("se"), (F.lit(by_pair) & (short["text"] != short["next_text"])).alias("sn"))
+    own = lambda c: paragraph_digests(F.col(c), line_chars, short_chars)
+    words = lambda c: paragraph_digests(F.col(c), line_chars, 2**31 - 1)
+    rows = rows.select("rid", "doc_id", "n_chars", F.sha2(F.col("edit").cast("binary"), 256).alias("edited_sha256"), "se", "sn", own("text").alias("a"), own("edit").alias("e"), F.when(F.col("sn"), words("next_text")).otherwise(own("next_text")).alias("n"), F.when(F.col("se") | F.col("sn"), words("text")).alias("aw"), F.when(F.col("se"), words("edit")).alias("ew"))
     pairs = scratch.keep(rows, "digests")
+    # What a pair compares: its first version is one for both pairs (p0) unless either takes words (p3, p4).
+    none = F.array().cast("array<bigint>")
+    compared = {"p0": F.when(F.col("se") | F.col("sn"), none).otherwise(F.col("a")), "pe": F.coalesce("ew", "e"), "p3": F.when(F.col("se"), F.col("aw")).when(F.col("sn"), F.col("a")).otherwise(none), "p4": F.when(F.col("sn"), F.col("aw")).when(F.col("se"), F.col("a")).otherwise(none)}
     placed = pairs.repartition(n, "rid")
 
     # The fingerprints: the base sketch of either version.
@@ -166,12 +177,12 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     # A sub-table of the first sketch has a cell for each paragraph in which the two versions can differ; six rounds
     # then recover nearly all pairs, and a larger sketch the others.
-    total = F.size("a") + F.greatest(F.size("e"), F.size("n"))
+    total = F.greatest(F.size("a"), F.size(F.coalesce("aw", none))) + F.greatest(F.size(F.coalesce("ew", "e")), F.size("n"))
     first = F.greatest(F.lit(base_level), F.least(F.lit(max_level), F.ceil(F.log2(F.greatest(total, F.lit(1)))).cast("int")))
     todo = placed.withColumn("level", first)
     results, attempt = None, 0
     while True:
-        cells = differences(paragraph_cells(todo, ["a", "e", "n"]))
+        cells = differences(paragraph_cells(todo.withColumns(compared), ["p0", "pe", "n", "p3", "p4"] if by_pair else ["a", "e", "n"]))
         out = scratch.keep(peel(cells, rounds), f"peeled-{attempt}")
         good = out.where("left = 0").select("rid", "kind", "found")
         results = good if results is None else results.unionByName(good)
@@ -187,7 +198,8 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     joined = pairs.join(prints, "rid", "left").join(differ, "rid", "left")
 
     def likeness(v: str) -> Column:
-        both, d = F.size("a") + F.size(v), F.coalesce(F.col(f"d_{v}"), F.lit(0))
+        first = F.when(F.col(f"s{v}"), F.size("aw")).otherwise(F.size("a"))
+        both, d = first + F.size(F.coalesce("ew", "e") if v == "e" else F.col("n")), F.coalesce(F.col(f"d_{v}"), F.lit(0))
         return F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d))
 
     return joined.select("doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"), F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"), likeness("e").alias("near_edited"), likeness("n").alias("near_next"), F.size("a").alias("n_paragraphs"), F.coalesce("d_e", F.lit(0)).alias("edited_differ"), F.coalesce("d_n", F.lit(0)).alias("next_differ"))

@@ -60,7 +60,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return iblt.fingerprint_report(_table(spark, sf_dir, "documents"))
+    return iblt.fingerprint_report(_table(spark, sf_dir, "documents"), by_pair=True)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
