@@ -3,7 +3,8 @@
 Patterns give the base spans.  The entropy method takes candidate strings, runs of one character class
 of at least ``window`` characters, and slides a window over them: counts by character change by one in
 and one out, and with them sum(c * log2 c), so a step costs two table reads.  Windows whose entropy
-reaches the class's limit are merged to spans, unless the allow-list matches the candidate.
+reaches the class's limit are merged to spans, unless the allow-list matches the candidate; its
+patterns of a word anywhere (".*word.*") leave out only the windows that hold the word.
 
 Scale: one narrow pass, nothing shuffled; a text is scanned only if a cheap test says it may hold a
 match.  Memory is one Arrow batch.
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Kinds in the order in which spans of one start are listed.
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_lower")
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -35,6 +36,7 @@ HINTS = ("passw", "secret", "token", "apikey", "api_key")
 CLASSES = (
     ("entropy_hex", re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}(?![A-Za-z0-9])"), 3.0, re.compile(r"[0-9]")),
     ("entropy_base64", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"), 3.8, re.compile(r"(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])")),
+    ("entropy_lower", re.compile(r"(?<![A-Za-z0-9])[a-z0-9]{20,}(?![A-Za-z0-9])"), 3.8, re.compile(r"(?=.*[0-9])(?=.*[g-z])")),
 )
 #: Candidates that are no secrets: UUIDs, dated slugs and paths of words, integrity hashes' names, samples.
 ALLOW = (
@@ -45,8 +47,8 @@ ALLOW = (
 )
 
 
-def entropy_windows(s: str, limit: float, window: int) -> list[tuple[int, int]]:
-    """Merged [start, end) of the windows of s with at least limit bits a character."""
+def entropy_windows(s: str, limit: float, window: int, words: re.Pattern | None = None) -> list[tuple[int, int]]:
+    """Merged [start, end) of the windows of s with at least limit bits a character that words does not match."""
     plog = [0.0] + [c * log2(c) for c in range(1, window + 2)]  # a character is counted in before one is counted out
     counts: dict[str, int] = {}
     total, out, most = 0.0, [], log2(window)
@@ -61,6 +63,8 @@ def entropy_windows(s: str, limit: float, window: int) -> list[tuple[int, int]]:
             counts[gone] = c - 1
         if i >= window - 1 and most - total / window >= limit - 1e-9:
             a = i - window + 1
+            if words and words.fullmatch(s, a, i + 1):
+                continue
             if out and a <= out[-1][1]:
                 out[-1] = (out[-1][0], i + 1)
             else:
@@ -68,7 +72,7 @@ def entropy_windows(s: str, limit: float, window: int) -> list[tuple[int, int]]:
     return out
 
 
-def scan(text: str | None, allow: re.Pattern | None = None, window: int = 20, classes: Sequence = CLASSES) -> list[tuple[str, int, int]]:
+def scan(text: str | None, allow: re.Pattern | None = None, window: int = 20, classes: Sequence = CLASSES, words: re.Pattern | None = None) -> list[tuple[str, int, int]]:
     """All spans of one text as (kind, start, end), by start and then kind as listed."""
     text = text or ""
     found = []
@@ -82,19 +86,22 @@ def scan(text: str | None, allow: re.Pattern | None = None, window: int = 20, cl
         for kind, run, limit, needs in classes:
             for m in run.finditer(text):
                 if len(m[0]) >= window and needs.search(m[0]) and not (allow and allow.fullmatch(m[0])):
-                    found += [(kind, m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], limit, window)]
+                    found += [(kind, m.start() + a, m.start() + b) for a, b in entropy_windows(m[0], limit, window, words if words and words.fullmatch(m[0]) else None)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", allow: Sequence[str] = ALLOW, window: int = 20) -> DataFrame:
     """One row a row of docs: doc_id, spans array<struct<kind, start, end>> in order of start and kind."""
-    allowed = "|".join(f"(?:{p.replace('(?i)', '')})" for p in allow)
+    plain = [p.replace("(?i)", "") for p in allow]
+    # Patterns of a word anywhere leave out the windows that hold it; others the whole candidate.
+    allowed, held = ("|".join(f"(?:{p})" for p in plain if p.startswith(".*") == some) for some in (False, True))
     kinds = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = re.compile(allowed, re.IGNORECASE) if allowed else None
+        words = re.compile(held, re.IGNORECASE) if held else None
         for b in batches:
-            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(x, pattern, window)] for x in b.column(1).to_pylist()]
+            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(x, pattern, window, words=words)] for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(kinds))], ["doc_id", "spans"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
