@@ -16,8 +16,12 @@ from hyphalake.sources import store
 
 
 def folder(t: Tables) -> str:
-    """A folder of this run where sinks may write: the shared one, or a local one in tests."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='hyphalake-')}"
+    """A folder of this run where sinks may write: the shared one, or a local one where all run on one machine, as in tests."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if t.spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='hyphalake-')}"
     return f"{root.rstrip('/')}/sinks-{uuid.uuid4().hex}"
 
 
