@@ -24,12 +24,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Folders made for applications that name none, as tests do; by application.
 _own: dict[str, str] = {}
+#: Runs whose tables sweep() deletes; by application.
+_runs: dict[str, list[Scratch]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is made only where none is configured."""
+    """The folder all executors share; a local one is made only where none is configured and all run on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         named = _own.setdefault(app, "") or f"file://{tempfile.mkdtemp(prefix='hyphalake-')}"
         _own[app] = named
@@ -54,6 +58,7 @@ class Scratch:
         ship(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        _runs.setdefault(spark.sparkContext.applicationId, []).append(self)
 
     def keep(self, df: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Writes df and returns a DataFrame that reads it back: its lineage ends here."""
@@ -65,9 +70,27 @@ class Scratch:
 
     def drop(self, tag: str = "") -> None:
         """Deletes one table, or all of this run."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{tag}".rstrip("/"))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _, files, path = _at(self.spark, f"{self.root}/{tag}".rstrip("/"))
+        files.delete(path, True)
+
+
+def _at(spark: SparkSession, where: str) -> tuple:
+    """(the JVM, the file system of a path, the path)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(where)
+    return jvm, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def there(spark: SparkSession, where: str) -> bool:
+    """Whether a path exists, asked of its own store."""
+    _, files, path = _at(spark, where)
+    return files.exists(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes the tables of all operator runs of this application; call it when their results are written."""
+    for scratch in _runs.pop(spark.sparkContext.applicationId, []):
+        scratch.drop()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
