@@ -7,16 +7,19 @@ with a blank line where their margins ask for one, lists have bullets or numbers
 the cells of a table are aligned in columns.
 
 Scale: one narrow pass over the pages, nothing shuffled; memory is one page's tree.  Builder and
-renderer keep stacks of their own, so nesting depth has no limit.
+renderer keep stacks of their own, so nesting depth has no limit.  The scanner reads a page once, also
+where quotes and tags are left open: what it has looked for in vain it does not look for again.
 
 Defined cases: null html counts as empty; unclosed tags end with the page, stray end tags are ignored;
-a "<" that begins no tag is text; a head without end tag ends at the first text or element that cannot stand
+a "<" that begins no tag is text, and so is a tag that no ">" ends; a quote that is not closed within a tag
+is a letter; a head without end tag ends at the first text or element that cannot stand
 in it; what stands in a row beside its cells comes before the table; text of math and svg and all options are shown; pages of any length are rendered whole; repeated rows each get a row.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -52,7 +55,9 @@ IMPLIED = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, {"html"}),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
@@ -75,69 +80,136 @@ def _attributes(s: str) -> dict[str, str]:
     return out
 
 
+class TagEnds:
+    """Where tags end, found in one pass over a page whatever it leaves open.
+
+    A ">" within quotes does not end a tag.  A quote that is never closed counts as a letter.  If no ">"
+    outside quotes follows a tag, quotes count as letters from there on, and if none follows at all the
+    tag is text; each is remembered, so that no later tag looks again.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.quotes, self.last = html, {'"', "'"}, html.rfind(">")
+
+    def find(self, at: int) -> int:
+        """The place of the ">" of a tag whose name ends at at, or -1."""
+        if at > self.last:
+            return -1
+        first = at
+        while self.quotes:
+            m = _STOP.search(self.html, at)
+            if m is None:
+                self.quotes.clear()
+                break
+            if m[0] == ">":
+                return m.start()
+            at = m.end()
+            if m[0] in self.quotes:
+                close = self.html.find(m[0], at)
+                if close < 0:
+                    self.quotes.discard(m[0])
+                else:
+                    at = close + 1
+        return self.html.find(">", first)
+
+
 def parse(html: str) -> Node:
     """The page's tree under a root, with implied tags."""
     root = Node("#root", {})
-    stack, at, n = [root], 0, len(html)
+    stack, at, n = Stack(root), 0, len(html)
+    ends = TagEnds(html)
     while at < n:
-        m = _TOKEN.match(html, at)
-        at, tag = m.end(), m[2]
-        if tag is None:
-            s = m[0]
-            if s[:2] not in ("<!", "<?"):
-                if stack[-1].tag == "head" and not s.isspace():
-                    stack.pop()
-                stack[-1].kids.append(unescape(s))
+        m = end = None
+        if html[at] == "<":
+            if html[at + 1 : at + 2] in ("!", "?"):
+                at = _MARKUP.match(html, at).end()
+                continue
+            m = _NAME.match(html, at)
+            end = ends.find(m.end()) if m else -1
+        if m is None or end < 0:
+            stop = html.find("<", at + 1)
+            s, at = (html[at:], n) if stop < 0 else (html[at:stop], stop)
+            if stack.top.tag == "head" and not s.isspace():
+                stack.pop()
+            stack.top.kids.append(unescape(s))
             continue
-        tag = tag.lower()
+        tag, inside, at = m[2].lower(), html[m.end() : end], end + 1
         if m[1]:
             _close(stack, tag)
             continue
-        if stack[-1].tag == "head" and tag not in IN_HEAD:
+        if stack.top.tag == "head" and tag not in IN_HEAD:
             stack.pop()
         if tag in ENDS_P:
             _end(stack, {"p"}, {"td", "th", "table", "caption", "button", "#root"})
         if tag in IMPLIED:
             _end(stack, *IMPLIED[tag])
-        if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
+        if tag in ("td", "th") and stack.top.tag in ("table", "thead", "tbody", "tfoot"):
             row = Node("tr", {})
-            stack[-1].kids.append(row)
-            stack.append(row)
-        node = Node(tag, _attributes(m[3]))
-        if tag in FOREIGN_UNSEEN and any(x.tag in ("svg", "math") for x in stack):
+            stack.top.kids.append(row)
+            stack.push(row)
+        node = Node(tag, _attributes(inside))
+        if tag in FOREIGN_UNSEEN and (stack.open["svg"] or stack.open["math"]):
             node.attrs["hidden"] = ""
-        stack[-1].kids.append(node)
+        stack.top.kids.append(node)
         if tag in VOID:
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|</{re.escape(tag)}\Z", re.IGNORECASE).search(html, at)
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
             body, at = (html[at : end.start()], end.end()) if end else (html[at:], n)
             if tag == "textarea":
                 node.kids.append(unescape(body))
             continue
-        if not m[3].endswith("/") or tag in BLOCK:
-            stack.append(node)
+        if not inside.endswith("/") or tag in BLOCK:
+            stack.push(node)
     return root
 
 
-def _end(stack: list[Node], tags: set[str], fence: set[str]) -> None:
+class Stack:
+    """The open elements, and how many there are of each tag, so that a tag that is not open is not looked for."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.open = [root], Counter()
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.open[node.tag] += 1
+
+    def pop(self) -> None:
+        self.cut(len(self.nodes) - 1)
+
+    def cut(self, k: int) -> None:
+        """Closes all elements from the k-th on."""
+        for node in self.nodes[k:]:
+            self.open[node.tag] -= 1
+        del self.nodes[k:]
+
+
+def _end(stack: Stack, tags: set[str], fence: set[str]) -> None:
     """Closes the outermost open element named, if it is above the fence."""
-    cut = None
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in fence:
+    left = sum(stack.open[t] for t in tags)
+    cut, nodes = None, stack.nodes
+    for k in range(len(nodes) - 1, 0, -1):
+        if not left or nodes[k].tag in fence:
             break
-        if stack[k].tag in tags:
-            cut = k
+        if nodes[k].tag in tags:
+            cut, left = k, left - 1
     if cut is not None:
-        del stack[cut:]
+        stack.cut(cut)
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
+def _close(stack: Stack, tag: str) -> None:
+    if not stack.open[tag]:
+        return
+    nodes = stack.nodes
+    for k in range(len(nodes) - 1, 0, -1):
+        if nodes[k].tag == tag:
+            stack.cut(k)
             return
-        if stack[k].tag in ("table", "td", "th") and tag not in ("table", "tr", "thead", "tbody", "tfoot", "body", "html", "div", "section", "article", "main"):
+        if nodes[k].tag in ("table", "td", "th") and tag not in ("table", "tr", "thead", "tbody", "tfoot", "body", "html", "div", "section", "article", "main"):
             return
 
 
