@@ -91,15 +91,18 @@ def scan(text: str | None, allow: re.Pattern | None = None, window: int = 20, cl
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", allow: Sequence[str] = ALLOW, window: int = 20) -> DataFrame:
-    """One row a row of docs: doc_id, spans array<struct<kind, start, end>> in order of start and kind."""
-    plain = [p.replace("(?i)", "") for p in allow]
+    """One row a row of docs: doc_id, spans array<struct<kind, start, end>> in order of start and kind.
+
+    Patterns in allow match whole; each keeps its own flags, which may stand in front as in "(?i)word".
+    """
+    plain = [scoped(p) for p in allow]
     # Patterns of a word anywhere leave out the windows that hold it; others the whole candidate.
-    allowed, held = ("|".join(f"(?:{p})" for p in plain if p.startswith(".*") == some) for some in (False, True))
+    allowed, held = ("|".join(p for p, anywhere in plain if anywhere == some) for some in (False, True))
     kinds = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = re.compile(allowed, re.IGNORECASE) if allowed else None
-        words = re.compile(held, re.IGNORECASE) if held else None
+        pattern = re.compile(allowed) if allowed else None
+        words = re.compile(held) if held else None
         for b in batches:
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in scan(x, pattern, window, words=words)] for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(kinds))], ["doc_id", "spans"])
@@ -108,6 +111,13 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", allow
     return rows.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
+def scoped(pattern: str) -> tuple[str, bool]:
+    """(the pattern with its leading flags for itself alone, whether it matches a word anywhere)."""
+    flags = re.match(r"\(\?([aimsux]+)\)", pattern)
+    body = pattern[flags.end() :] if flags else pattern
+    return f"(?{flags[1]}:{body})" if flags else f"(?:{body})", body.startswith(".*")
+
+
 def span_report(found: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans (text) from find_secrets' rows."""
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
