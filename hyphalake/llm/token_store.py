@@ -1,39 +1,53 @@
 """Token ids in training order, as fixed-stride binary shards.
 
-Every document's tokens are cut into sequences of ``seq_len`` ids, the last padded.  Sequences have a
-dense index in scan order, and a keyed Feistel network over the next even number of bits maps it to a
-global slot; an image beyond the last slot is mapped again until it falls inside (cycle-walking), so
-slots are a permutation of 0..N-1 that any task can compute for any index.  Slots are range-partitioned
-by shard, sorted, and packed: sequence s lies in shard s div shard_seqs at byte (s mod shard_seqs) *
-stride.  A training run reads shards in order and resumes at any slot.
-
-Tokens are the UTF-8 bytes (0..255), END after each document and PAD after the last; they are counted
-without tokenising, so the permutation's size is known from one scan of lengths.
-
-Scale: sequence bytes are shuffled once.  The driver holds one count a scan partition and sends it to
-each executor once, as Spark's own zipWithIndex does; a task that finds another count than the first scan fails instead of misplacing
-rows.  Shards are written by Spark's committer as rows (shard, payload), so a lost executor's shards
-are written again and no reader sees a part.
-
-Defined cases: null text counts as empty and is one sequence of END and PAD; repeated rows each get
-their own sequences; a null key stays null in the sidecar; an empty table writes no shards.
+Every document's ids are cut into sequences of ``seq_len``, the last padded.  Sequences have a dense
+index in scan order, and a keyed Feistel network over the next even number of bits maps it to a global
+slot; an image beyond the last slot is mapped again until it falls inside (cycle-walking), so slots are
+a permutation of 0..N-1 that any task can compute for any index.  Slots are range-partitioned by shard
+and sorted, and each shard is one binary object without any framing: slot s is the record s mod
+shard_seqs of shard s div shard_seqs, at byte (s mod shard_seqs) * stride.  A training run maps a shard
+into memory and reads on from any slot.
+
+A record is a header (doc_id, place of the sequence in its document, number of ids; big-endian),
+seq_len ids (little-endian, ``id_bytes`` each) and one line feed.  Objects lie in folders shard=<number>
+and are written by Spark's text writer through its committer, which takes the record's bytes as they
+are and ends each with the line feed; so they lie in any store that Spark writes to, a lost executor's
+shards are written again and no reader sees a part.
+
+Ids are those of an ids column (binary, little-endian unsigned 32-bit as encode_decode() gives them) or,
+without one, the UTF-8 bytes of the text, which need no tokenising: END and PAD are the values 255 and
+254, which UTF-8 never holds.  For ids of a vocabulary END and PAD follow its last id.
+
+Scale: ids are shuffled once, compressed by record.  The driver holds one count a scan partition and
+sends it to each executor once, as Spark's own zipWithIndex does.  The scan runs twice and must give
+the same partitions: an input that a shuffle or another source leaves in no fixed order is kept in a
+table first, and a task that finds another count fails instead of misplacing rows.  Shards of the
+default size suit tests and tens of terabytes; choose 16 times as many sequences beyond that.
+
+Defined cases: null text or ids count as empty and are one sequence of END and PAD; repeated rows each
+get their own sequences; a null key stays null; an empty table writes no shards.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hyphalake.llm.common import Scratch, shuffle_partitions
 
-END, PAD = 256, 257
-ID_BYTES = 2
+END, PAD = 255, 254
+#: doc_id, place of the sequence in its document, number of ids (its high bit: the key is null).
+HEADER = ">qII"
+HEADER_BYTES = struct.calcsize(HEADER)
+NO_KEY = 1 << 31
 
 
 def feistel(index: np.ndarray, n: int, key: bytes, rounds: int = 6) -> np.ndarray:
@@ -57,14 +71,27 @@ def feistel(index: np.ndarray, n: int, key: bytes, rounds: int = 6) -> np.ndarra
     return slot.astype(np.int64)
 
 
-def _plain(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+def record_bytes(seq_len: int, id_bytes: int = 1) -> int:
+    """The stride: bytes from one record to the next."""
+    return HEADER_BYTES + seq_len * id_bytes + 1
 
 
-def sequences(docs: DataFrame, key: str, text: str, seq_len: int, seed: bytes) -> tuple[DataFrame, int]:
-    """((slot, doc_id, seq, body) rows, their number): body holds the sequence's bytes without END and PAD."""
-    plain = _plain(docs, key, text)
-    n_seqs = F.expr(f"(octet_length(text) + {seq_len}) div {seq_len}")
+def _plain(docs: DataFrame, key: str, text: str, ids: str | None) -> DataFrame:
+    """(doc_id, body): the document's ids, as they are, in bytes."""
+    empty = F.lit(b"")
+    body = F.coalesce(F.col(text).cast("string").cast("binary"), empty) if ids is None else F.coalesce(F.col(ids), empty)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("body"))
+
+
+def _in_fixed_order(df: DataFrame) -> bool:
+    return df._jdf.queryExecution().toRdd().outputDeterministicLevel().toString() == "DETERMINATE"
+
+
+def sequences(docs: DataFrame, key: str, text: str, ids: str | None, seq_len: int, seed: bytes) -> tuple[DataFrame, int]:
+    """((slot, doc_id, seq, body) rows, their number): body holds the sequence's ids without END and PAD, compressed."""
+    width = 1 if ids is None else 4
+    plain = _plain(docs, key, text, ids)
+    n_seqs = F.expr(f"(octet_length(body) div {width} + {seq_len}) div {seq_len}")
     counted = plain.select(F.spark_partition_id().alias("p"), n_seqs.alias("n")).groupBy("p").agg(F.sum("n").alias("n"))
     counts = {r.p: r.n for r in counted.collect()}
     bases, total = {}, 0
@@ -73,94 +100,126 @@ def sequences(docs: DataFrame, key: str, text: str, seq_len: int, seed: bytes) -
         total += counts[p]
     # One number a scan partition, sent to each executor once.
     held = docs.sparkSession.sparkContext.broadcast((bases, counts))
+    step = seq_len * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         at = base = held.value[0].get(task, 0)
         due = held.value[1].get(task, 0)
+        pack = zstandard.ZstdCompressor(level=3, write_content_size=True, write_checksum=False)
         for b in batches:
             keys = b.column(0).to_pylist()
-            ids, seq, body = [], [], []
+            owner, seq, body = [], [], []
             for k in range(len(b)):
-                data = b.column(1)[k].as_py().encode("utf-8")
-                n = (len(data) + seq_len) // seq_len
-                ids += [keys[k]] * n
-                seq += range(n)
-                body += [data[i * seq_len : (i + 1) * seq_len] for i in range(n)]
-                if len(body) >= 8192 or k == len(b) - 1:
-                    slots = feistel(np.arange(at, at + len(body)), total, seed)
-                    at += len(body)
-                    yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(ids, pa.int64()), pa.array(seq, pa.int32()), pa.array(body, pa.binary())], ["slot", "doc_id", "seq", "body"])
-                    ids, seq, body = [], [], []
+                data = b.column(1)[k].as_py()
+                n = (len(data) // width + seq_len) // seq_len
+                for first in range(0, n, 4096):
+                    some = range(first, min(n, first + 4096))
+                    owner += [keys[k]] * len(some)
+                    seq += some
+                    body += [pack.compress(data[i * step : (i + 1) * step]) for i in some]
+                    if len(body) >= 4096 or (k == len(b) - 1 and some.stop == n):
+                        slots = feistel(np.arange(at, at + len(body)), total, seed)
+                        at += len(body)
+                        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(owner, pa.int64()), pa.array(seq, pa.int32()), pa.array(body, pa.binary())], ["slot", "doc_id", "seq", "body"])
+                        owner, seq, body = [], [], []
         if at - base != due:
             raise RuntimeError(f"partition {task} has {at - base} sequences now and had {due}; keep the input in a table first")
 
     return plain.mapInArrow(run, "slot long, doc_id long, seq int, body binary"), total
 
 
-def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", seq_len: int = 1024, shard_seqs: int = 1024, seed: bytes = b"order-0") -> int:
+def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ids: str | None = None, seq_len: int = 1024, shard_seqs: int = 8192, id_bytes: int | None = None, end: int = END, pad: int = PAD, seed: bytes = b"order-0") -> int:
     """Writes the shards of docs in training order and returns the number of sequences.
 
-    Rows: shard, first_slot, n, payload (n * seq_len ids, little-endian unsigned 16-bit), and beside
-    each slot its doc_id, seq and n_tokens.
+    ids names a column of little-endian unsigned 32-bit ids, which are stored in id_bytes (1, 2 or 4)
+    bytes with the given END and PAD; an id that does not fit fails.
     """
-    rows, total = sequences(docs, key, text, seq_len, seed)
-    stride = seq_len * ID_BYTES
-    schema = "shard long, first_slot long, n int, payload binary, doc_ids array<long>, seqs array<int>, n_tokens array<int>"
+    width, id_bytes = (1, 1) if ids is None else (4, id_bytes or 4)
+    if not _in_fixed_order(docs):
+        docs = Scratch(docs.sparkSession, "token-store").keep(docs, "input")
+    rows, total = sequences(docs, key, text, ids, seq_len, seed)
+    if not total:
+        return 0
+    held_as, stored = f"<u{width}", f"<u{id_bytes}"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def shard(held: list) -> pa.RecordBatch:
-            slots = [x[0] for x in held]
-            buf = np.full((len(held), seq_len), PAD, "<u2")
-            sizes = []
-            for k, (_, _, _, body) in enumerate(held):
-                buf[k, : len(body)] = np.frombuffer(body, np.uint8)
-                if len(body) < seq_len:
-                    buf[k, len(body)] = END
-                sizes.append(min(seq_len, len(body) + 1))
-            no = slots[0] // shard_seqs
-            if slots != list(range(no * shard_seqs, no * shard_seqs + len(slots))):
-                raise RuntimeError(f"shard {no} has gaps")
-            cols = [[no], [slots[0]], [len(held)], [buf.tobytes()], [[x[1] for x in held]], [[x[2] for x in held]], [sizes]]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["shard", "first_slot", "n", "payload", "doc_ids", "seqs", "n_tokens"])
-
-        held: list = []
+        unpack = zstandard.ZstdDecompressor()
+        last = None
         for b in batches:
-            for x in zip(*(b.column(c).to_pylist() for c in range(4))):
-                if held and held[-1][0] // shard_seqs != x[0] // shard_seqs:
-                    yield shard(held)
-                    held = []
-                held.append(x)
-        if held:
-            yield shard(held)
-
-    n_shards = max(1, -(-total // shard_seqs))
+            slots = b.column(0).to_pylist()
+            for x, y in zip([last, *slots] if last is not None else slots, slots if last is not None else slots[1:]):
+                if y != x + 1 and x // shard_seqs == y // shard_seqs:
+                    raise RuntimeError(f"shard {x // shard_seqs} has gaps")
+            last = slots[-1] if slots else last
+            for k in range(0, len(b), 512):
+                out = []
+                for owner, seq, body in zip(*(b.column(c).slice(k, 512).to_pylist() for c in (1, 2, 3))):
+                    own = np.frombuffer(unpack.decompress(body), held_as)
+                    if len(own) and int(own.max()) >> (8 * id_bytes):
+                        raise ValueError(f"id {own.max()} does not fit {id_bytes} bytes")
+                    n = min(seq_len, len(own) + 1)
+                    buf = np.full(seq_len, pad, stored)
+                    buf[: len(own)] = own
+                    if len(own) < seq_len:
+                        buf[len(own)] = end
+                    out.append(struct.pack(HEADER, owner or 0, seq, n | (NO_KEY if owner is None else 0)) + buf.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([s // shard_seqs for s in slots[k : k + 512]], pa.int64()), pa.array(out, pa.binary())], ["shard", "record"])
+
+    n_shards = -(-total // shard_seqs)
     parts = min(n_shards, max(shuffle_partitions(docs.sparkSession), 1))
     # Shards are equally large, so equal ranges of them need no sampling: part p holds a run of shards.
-    dealt = rows.withColumn("part", F.expr(f"(slot div {shard_seqs}) * {parts} div {n_shards}")).repartition(parts, "part").sortWithinPartitions("slot").select("slot", "doc_id", "seq", "body")
-    dealt.mapInArrow(pack, schema).write.mode("overwrite").option("compression", "zstd").parquet(path)
-    assert stride == seq_len * ID_BYTES
+    dealt = rows.withColumn("part", F.expr(f"cast((slot div {shard_seqs}) * {parts} div {n_shards} as int)")).repartitionById(parts, "part").sortWithinPartitions("slot").select("slot", "doc_id", "seq", "body")
+    done = dealt.mapInArrow(pack, "shard long, record binary").select("shard", F.col("record").cast("string").alias("record"))
+    done.write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
     return total
 
 
-def read_slots(spark: SparkSession, path: str, seq_len: int = 1024, shard_seqs: int = 1024, start: int = 0, stop: int | None = None) -> DataFrame:
-    """(slot, shard, offset, doc_id, seq, n_tokens, ids) of slots start..stop; only their shards are read."""
-    stride = seq_len * ID_BYTES
-    rows = spark.read.parquet(path).where(F.col("shard") >= start // shard_seqs)
-    if stop is not None:
-        rows = rows.where(F.col("shard") <= max(stop - 1, 0) // shard_seqs)
-    one = rows.select("shard", "first_slot", "payload", "doc_ids", "seqs", "n_tokens", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
-    out = one.select((F.col("first_slot") + F.col("k")).alias("slot"), "shard", (F.col("k") * stride).cast("long").alias("offset"), F.get("doc_ids", "k").alias("doc_id"), F.get("seqs", "k").alias("seq"), F.get("n_tokens", "k").alias("n_tokens"), F.expr(f"substring(payload, k * {stride} + 1, {stride})").alias("ids"))
+def _shards(spark: SparkSession, path: str, shard_seqs: int, start: int, stop: int | None) -> DataFrame:
+    rows = spark.read.format("binaryFile").load(path).withColumn("shard", F.col("shard").cast("long")).where(F.col("shard") >= start // shard_seqs)
+    return rows if stop is None else rows.where(F.col("shard") <= max(stop - 1, 0) // shard_seqs)
+
+
+def shard_objects(spark: SparkSession, path: str, shard_seqs: int = 8192, start: int = 0, stop: int | None = None) -> DataFrame:
+    """(shard, path, length) of the objects that hold slots start..stop; their content is not read."""
+    return _shards(spark, path, shard_seqs, start, stop).select("shard", "path", "length")
+
+
+def read_record(stream, k: int, seq_len: int = 1024, id_bytes: int = 1) -> tuple[int | None, int, np.ndarray]:
+    """(doc_id, seq, ids with END, without PAD) of record k of one shard, by a seek in an open binary stream."""
+    stream.seek(k * record_bytes(seq_len, id_bytes))
+    data = stream.read(record_bytes(seq_len, id_bytes))
+    owner, seq, n = struct.unpack_from(HEADER, data)
+    found = np.frombuffer(data, f"<u{id_bytes}", seq_len, HEADER_BYTES)
+    return None if n & NO_KEY else owner, seq, found[: n & ~NO_KEY]
+
+
+def read_slots(spark: SparkSession, path: str, seq_len: int = 1024, shard_seqs: int = 8192, id_bytes: int = 1, start: int = 0, stop: int | None = None) -> DataFrame:
+    """(slot, shard, offset, doc_id, seq, n_tokens, ids) of slots start..stop; only their shards are read.
+
+    A task holds one shard at a time, so shard_seqs bounds its memory.
+    """
+    stride = record_bytes(seq_len, id_bytes)
+    one = _shards(spark, path, shard_seqs, start, stop).select("shard", "content", F.explode(F.sequence(F.lit(0), F.expr(f"cast(length div {stride} as int) - 1"))).alias("k"))
+    one = one.select("shard", "k", F.expr(f"substring(content, k * {stride} + 1, {stride})").alias("record"))
+
+    def number(at: int) -> Column:
+        """Four bytes of the header, unsigned."""
+        return F.conv(F.hex(F.expr(f"substring(record, {at + 1}, 4)")), 16, 10).cast("long")
+
+    flagged = number(12)
+    owner = F.when(flagged < NO_KEY, F.shiftleft(number(0), 32).bitwiseOR(number(4)))
+    ids = F.expr(f"substring(record, {HEADER_BYTES + 1}, {seq_len * id_bytes})")
+    out = one.select((F.col("shard") * shard_seqs + F.col("k")).alias("slot"), "shard", (F.col("k").cast("long") * stride).alias("offset"), owner.alias("doc_id"), number(8).cast("int").alias("seq"), flagged.bitwiseAND(F.lit(NO_KEY - 1)).cast("int").alias("n_tokens"), ids.alias("ids"))
     return out.where(F.col("slot") >= start) if stop is None else out.where((F.col("slot") >= start) & (F.col("slot") < stop))
 
 
 def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Writes docs to shards in the shared folder and reads all slots back."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "token-store")
-    path = f"{scratch.root}/shards"
-    sizes = {k: v for k, v in options.items() if k in ("seq_len", "shard_seqs")}
+    path = f"{Scratch(spark, 'token-store').root}/shards"
     if write_shards(docs, path, key, text, **options) == 0:
         return spark.createDataFrame([], "slot long, shard long, offset long, doc_id long, seq int, n_tokens int, ids binary")
-    return read_slots(spark, path, **sizes)
+    sizes = {k: v for k, v in options.items() if k in ("seq_len", "shard_seqs")}
+    width = 1 if options.get("ids") is None else options.get("id_bytes") or 4
+    return read_slots(spark, path, id_bytes=width, **sizes)
