@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import Scratch, shuffle_partitions
+from hyphalake.llm.common import Scratch, in_fixed_order, shuffle_partitions
 
 END, PAD = 255, 254
 #: doc_id, place of the sequence in its document, number of ids (its high bit: the key is null).
@@ -83,10 +83,6 @@ def _plain(docs: DataFrame, key: str, text: str, ids: str | None) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("body"))
 
 
-def _in_fixed_order(df: DataFrame) -> bool:
-    return df._jdf.queryExecution().toRdd().outputDeterministicLevel().toString() == "DETERMINATE"
-
-
 def sequences(docs: DataFrame, key: str, text: str, ids: str | None, seq_len: int, seed: bytes) -> tuple[DataFrame, int]:
     """((slot, doc_id, seq, body) rows, their number): body holds the sequence's ids without END and PAD, compressed."""
     width = 1 if ids is None else 4
@@ -136,7 +132,7 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     bytes with the given END and PAD; an id that does not fit fails.
     """
     width, id_bytes = (1, 1) if ids is None else (4, id_bytes or 4)
-    if not _in_fixed_order(docs):
+    if not in_fixed_order(docs):
         docs = Scratch(docs.sparkSession, "token-store").keep(docs, "input")
     rows, total = sequences(docs, key, text, ids, seq_len, seed)
     if not total:
