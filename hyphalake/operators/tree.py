@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,45 +96,109 @@ def scaled_by_diagonal(pairs: DataFrame) -> DataFrame:
     return pairs.join(F.broadcast(d)).select("i", "j", (F.col("v") / F.col("_d")).alias("v"))
 
 
-def downpass(edges: DataFrame, states: DataFrame, trait: str = "og") -> DataFrame:
-    """(trait, node, depth, parent, mask, changes): Fitch sets of all traits, level by level from the tips.
+class Walk:
+    """A tree as arrays, for all traits of a batch at once: nodes in preorder, children by node, tips by name."""
+
+    def __init__(self, edges: DataFrame, most: int = 100_000):
+        rows = edges.select("node", "parent", "depth", "tip").orderBy("depth", "node").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"the tree has more than {most} nodes")
+        self.place = {r.node: k for k, r in enumerate(rows)}
+        self.node, self.depth = [r.node for r in rows], [r.depth for r in rows]
+        self.parent = [r.parent for r in rows]
+        self.tips = {r.tip: k for k, r in enumerate(rows) if r.tip is not None}
+        self.kids: list[list[int]] = [[] for _ in rows]
+        for k, r in enumerate(rows):
+            if r.parent is not None:
+                self.kids[self.place[r.parent]].append(k)
+
+    def down(self, states: list[list[dict]], default: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """(masks, changes), each nodes x traits, from the tips' states of every trait; a mask of 0 knows nothing."""
+        masks, changes = np.zeros((len(self.node), len(states)), np.int64), np.zeros((len(self.node), len(states)), np.int64)
+        for k, own in enumerate(states):
+            for s in own:
+                at = self.tips.get(s["tip"])
+                if at is not None:
+                    masks[at, k] |= 1 << s["state"]
+        if default is not None:
+            tips = list(self.tips.values())
+            masks[tips] = np.where(masks[tips] == 0, 1 << default, masks[tips])
+        for n in range(len(self.node) - 1, -1, -1):
+            if self.kids[n]:
+                below = masks[self.kids[n]]
+                known = below != 0
+                common, every = np.bitwise_and.reduce(np.where(known, below, -1), axis=0), np.bitwise_or.reduce(below, axis=0)
+                clash = known.any(axis=0) & (common == 0)
+                masks[n] = np.where(clash | ~known.any(axis=0), every, common)
+                changes[n] = changes[self.kids[n]].sum(axis=0) + clash
+        return masks, changes
+
+    def up(self, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(gains, losses) of each binary trait: a node takes its parent's state where its set holds it, else its smallest."""
+        own = np.where(masks & 1, 0, 1)
+        gains, losses = np.zeros(masks.shape[1], np.int64), np.zeros(masks.shape[1], np.int64)
+        for n in range(len(self.node)):
+            for k in self.kids[n]:
+                own[k] = np.where(masks[k] >> own[n] & 1, own[n], own[k])
+                known = masks[k] != 0
+                gains += known & (own[k] > own[n])
+                losses += known & (own[k] < own[n])
+        return gains, losses
+
+
+def _by_trait(traits: DataFrame, states: DataFrame, trait: str) -> DataFrame:
+    """(trait, states): the tips' states of each trait in one row, which the number of tips bounds."""
+    held = states.groupBy(trait).agg(F.collect_list(F.struct("tip", F.col("state").cast("int").alias("state"))).alias("s"))
+    return traits.select(trait).distinct().join(held, trait, "left").select(trait, F.coalesce("s", F.array().cast("array<struct<tip:string,state:int>>")).alias("s"))
+
+
+def _walked(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str, default: int | None, schema: str, made: Callable[[Walk, np.ndarray, np.ndarray], dict], rows: int = 1024) -> DataFrame:
+    """One pass over the traits with the tree at hand; made gives columns after the trait, as arrays by trait and row."""
+    walk = Walk(edges)
+    kind = dict(traits.dtypes)[trait]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, len(b), rows):
+                part = b.slice(at, rows)
+                columns = made(walk, *walk.down(part.column(1).to_pylist(), default))
+                which = columns.pop("_trait")
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(which)), *map(pa.array, columns.values())], [trait, *columns])
+
+    return _by_trait(traits, states, trait).mapInArrow(run, f"{trait} {kind}, {schema}")
+
+
+def downpass(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = None) -> DataFrame:
+    """(trait, node, depth, parent, mask, changes): Fitch sets of all traits, from the tips to the root.
 
     states: (trait, tip, state) with states numbered from 0; a set is a bit mask.  At a node the sets of
-    all its children meet: their common bits, or all their bits and one change if there are none.  Tips
-    without a state take no part.  One job handles all traits, as the trait is part of the key.
+    all its children meet: their common bits, or all their bits and one change if there are none.  A tip
+    without a row has the default state, or none and takes no part.  The tree is one file and goes to
+    every task; a trait's states are one row, so any depth takes one pass.
     """
-    height = edges.agg(F.max("depth")).first()[0] or 0
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("state").cast("int"))
-    now = states.join(F.broadcast(edges.where("tip is not null").select("tip", "node", "parent", "depth")), "tip").select(trait, "node", "parent", "depth", mask.alias("mask"), F.lit(0).alias("changes"))
-    done, inner = now, F.broadcast(edges.select(F.col("node").alias("n"), F.col("parent").alias("p"), F.col("depth").alias("d")))
-    for level in range(height - 1, -1, -1):
-        kids = done.where(F.col("depth") == level + 1)
-        met = kids.groupBy(trait, F.col("parent").alias("n")).agg(F.bit_and("mask").alias("common"), F.bit_or("mask").alias("every"), F.sum("changes").alias("below"))
-        rows = met.join(inner, "n").select(trait, F.col("n").alias("node"), F.col("p").alias("parent"), F.col("d").alias("depth"), F.when(F.col("common") > 0, F.col("common")).otherwise(F.col("every")).alias("mask"), (F.col("below") + (F.col("common") == 0).cast("int")).alias("changes"))
-        done = done.unionByName(rows)
-    return done
-
-
-def parsimony(edges: DataFrame, states: DataFrame, trait: str = "og") -> DataFrame:
+
+    def made(walk: Walk, masks: np.ndarray, changes: np.ndarray) -> dict:
+        n, t = np.nonzero(masks)
+        parent = [walk.parent[k] for k in n.tolist()]
+        return {"_trait": t, "node": np.array(walk.node, np.int32)[n], "depth": np.array(walk.depth, np.int32)[n], "parent": pa.array(parent, pa.int32()), "mask": masks[n, t], "changes": changes[n, t]}
+
+    return _walked(edges, traits, states, trait, default, "node int, depth int, parent int, mask long, changes long", made)
+
+
+def parsimony(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = 0) -> DataFrame:
     """(trait, changes): least number of state changes of each trait."""
-    return downpass(edges, states, trait).where("parent is null").select(trait, F.col("changes").cast("long").alias("changes"))
+    return _walked(edges, traits, states, trait, default, "changes long", lambda walk, masks, changes: {"_trait": np.arange(masks.shape[1]), "changes": changes[0]})
 
 
-def gains_and_losses(edges: DataFrame, states: DataFrame, trait: str = "og") -> DataFrame:
+def gains_and_losses(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = 0) -> DataFrame:
     """(trait, gains, losses) of binary traits: the up pass gives each node its parent's state where its set
     holds it, else its own smallest; the root takes absence where it can."""
-    sets = downpass(edges, states, trait)
-    height = edges.agg(F.max("depth")).first()[0] or 0
-    low = F.when(F.col("mask").bitwiseAND(F.lit(1)) > 0, 0).otherwise(1)
-    now = sets.where("parent is null").select(trait, F.col("node").alias("parent"), low.alias("above"))
-    events = None
-    for level in range(1, height + 1):
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("above"))
-        step = sets.where(F.col("depth") == level).join(now, [trait, "parent"]).withColumn("own", F.when(F.col("mask").bitwiseAND(bit) > 0, F.col("above")).otherwise(low))
-        rows = step.select(trait, (F.col("own") > F.col("above")).cast("int").alias("gain"), (F.col("own") < F.col("above")).cast("int").alias("loss"))
-        events = rows if events is None else events.unionByName(rows)
-        now = step.select(trait, F.col("node").alias("parent"), F.col("own").alias("above"))
-    return events.groupBy(trait).agg(F.sum("gain").alias("gains"), F.sum("loss").alias("losses"))
+
+    def made(walk: Walk, masks: np.ndarray, changes: np.ndarray) -> dict:
+        gains, losses = walk.up(masks)
+        return {"_trait": np.arange(masks.shape[1]), "gains": gains, "losses": losses}
+
+    return _walked(edges, traits, states, trait, default, "gains long, losses long", made)
 
 
 def fitch_changes(nodes: list[tuple], state: dict[str, int]) -> int:

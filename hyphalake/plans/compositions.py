@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hyphalake.operators import association, convergence, isolates, kinship, pangenome, relational, tree
 from hyphalake.plans.base import Tables, query, rounded
 from hyphalake.plans.joins import RESULTS, results
-from hyphalake.plans.statistics import FITCH, grm, region_tree, tip_states
+from hyphalake.plans.statistics import FITCH, features, grm, region_tree, tip_states
 from hyphalake.sources import store
 
 
@@ -114,13 +114,8 @@ def t37(t: Tables) -> DataFrame:
     return isolates.foreign_hits(hits, 0.01).select("species", "og", "kingdom", "is_foreign")
 
 
-@query("t39_alignment_classes", "WITH b AS (SELECT l_partkey AS og, l_quantity, l_discount, l_tax, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_tax, l_suppkey::VARCHAR) AS k FROM lineitem WHERE l_partkey % 2 = 0) SELECT p_partkey AS og, CASE WHEN k IS NULL THEN 'No hit' WHEN l_quantity * 2 >= 70 AND l_discount * 1000 >= 30 AND l_tax * 1000 >= 70 THEN 'Full-length' WHEN l_quantity * 2 >= 70 AND l_discount * 1000 >= 30 AND l_tax * 1000 < 50 THEN 'Fragment' ELSE 'No significant similarity' END AS hit_class FROM part LEFT JOIN b ON og = p_partkey AND k = 1")
+@query("t39_alignment_classes", "WITH b AS (SELECT l_partkey AS og, l_quantity, l_discount, l_tax, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_tax, l_suppkey::VARCHAR) AS k FROM lineitem) SELECT p_partkey AS og, CASE WHEN k IS NULL THEN 'No hit' WHEN l_quantity * 2 >= 70 AND l_discount * 1000 >= 30 AND l_tax * 1000 >= 70 THEN 'Full-length' WHEN l_quantity * 2 >= 70 AND l_discount * 1000 >= 30 AND l_tax * 1000 < 50 THEN 'Fragment' ELSE 'No significant similarity' END AS hit_class FROM part LEFT JOIN b ON og = p_partkey AND k = 1")
 def t39(t: Tables) -> DataFrame:
-    return aligned(t, t.lineitem.where("l_partkey % 2 = 0"))
-
-
-@query("t39_alignment_classes_whole")
-def t39_whole(t: Tables) -> DataFrame:
     return aligned(t, t.lineitem)
 
 
@@ -143,7 +138,7 @@ def t44(t: Tables) -> DataFrame:
 
 @query("g4_ancestral_sets", FITCH.split("SELECT og, (sum(ch)")[0].rstrip().removesuffix(")") + ") SELECT og, bit_or(m)::BIGINT AS every, bit_and(m)::BIGINT AS common FROM g2 GROUP BY og")
 def g4(t: Tables) -> DataFrame:
-    sets = tree.downpass(region_tree(t), tip_states(t))
+    sets = tree.downpass(region_tree(t), features(t), tip_states(t), default=0)
     return sets.where("depth = 1").groupBy("og").agg(F.bit_or("mask").alias("every"), F.bit_and("mask").alias("common"))
 
 

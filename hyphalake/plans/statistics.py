@@ -120,22 +120,17 @@ def t2(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(n, core, rare)], "n_genomes int, core_n int, rare_n int")
 
 
-GRM = """WITH v AS (SELECT vec_id AS s, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings WHERE vec_id < 60),
+GRM = """WITH v AS (SELECT vec_id AS s, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
 z AS (SELECT s, pos, (x - avg(x) OVER (PARTITION BY pos)) / (stddev_pop(x) OVER (PARTITION BY pos) + 1e-10) AS z FROM v), g AS (SELECT a.s AS i, b.s AS j, sum(a.z * b.z) / count(*) AS v FROM z a JOIN z b ON a.pos = b.pos GROUP BY 1, 2)"""
 
 
-def grm(t: Tables, rows: str = "true") -> DataFrame:
-    return kinship.gram(t.embeddings.where(rows).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")), "vec_id", "embedding")
+def grm(t: Tables) -> DataFrame:
+    return kinship.gram(t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")), "vec_id", "embedding")
 
 
-@query("t20_relationship", f"{GRM} SELECT i, j, round(v, 6) AS v FROM g")
+@query("t20_relationship", f"{GRM} SELECT i, j, round(v, 6) + 0.0 AS v FROM g")
 def t20(t: Tables) -> DataFrame:
-    return rounded(grm(t, "vec_id < 60"), "v")
-
-
-@query("t20_relationship_whole")
-def t20_whole(t: Tables) -> DataFrame:
-    return rounded(grm(t), "v")
+    return rounded(grm(t), "v").withColumn("v", F.col("v") + F.lit(0.0))  # no signed zeros
 
 
 @query("t19_principal_components")
@@ -199,13 +194,16 @@ def region_tree(t: Tables) -> DataFrame:
     return root.unionByName(regions).unionByName(nations).unionByName(tips)
 
 
-def tip_states(t: Tables, rows: str = "true") -> DataFrame:
-    has = t.pav().where(rows).select("og", F.col("genome").cast("string").alias("tip"), F.lit(1).alias("one"))
-    grid = t.part.select(F.col("p_partkey").alias("og")).where(rows).join(F.broadcast(t.supplier.select(F.col("s_suppkey").cast("string").alias("tip"))))
-    return grid.join(has, ["og", "tip"], "left").select("og", "tip", F.coalesce("one", F.lit(0)).alias("state"))
+def tip_states(t: Tables) -> DataFrame:
+    """Which genomes have a feature; the others have state 0."""
+    return t.pav().select("og", F.col("genome").cast("string").alias("tip"), F.lit(1).alias("state"))
+
+
+def features(t: Tables) -> DataFrame:
+    return t.part.select(F.col("p_partkey").alias("og"))
 
 
-FITCH = """WITH st AS (SELECT p_partkey AS og, s_suppkey, s_nationkey, n_regionkey, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_suppkey = s_suppkey) THEN 2 ELSE 1 END AS m FROM part, supplier JOIN nation ON s_nationkey = n_nationkey WHERE p_partkey < 100),
+FITCH = """WITH st AS (SELECT p_partkey AS og, s_suppkey, s_nationkey, n_regionkey, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_suppkey = s_suppkey) THEN 2 ELSE 1 END AS m FROM part, supplier JOIN nation ON s_nationkey = n_nationkey),
 n AS (SELECT og, s_nationkey, any_value(n_regionkey) AS r, bit_and(m) AS c, bit_or(m) AS e FROM st GROUP BY 1, 2), n2 AS (SELECT og, r, CASE WHEN c > 0 THEN c ELSE e END AS m, (c = 0)::INT AS ch FROM n),
 g AS (SELECT og, r, bit_and(m) AS c, bit_or(m) AS e, sum(ch) AS b FROM n2 GROUP BY 1, 2), g2 AS (SELECT og, CASE WHEN c > 0 THEN c ELSE e END AS m, b + (c = 0)::INT AS ch FROM g)
 SELECT og, (sum(ch) + (bit_and(m) = 0)::INT)::BIGINT AS changes FROM g2 GROUP BY og"""
@@ -213,17 +211,22 @@ SELECT og, (sum(ch) + (bit_and(m) = 0)::INT)::BIGINT AS changes FROM g2 GROUP BY
 
 @query("g1_parsimony", FITCH)
 def g1(t: Tables) -> DataFrame:
-    return tree.parsimony(region_tree(t), tip_states(t, "og < 100"))
+    return tree.parsimony(region_tree(t), features(t), tip_states(t))
 
 
-@query("g1_parsimony_whole")
-def g1_whole(t: Tables) -> DataFrame:
-    return tree.parsimony(region_tree(t), tip_states(t))
+#: The up pass over FITCH's sets: a node takes its parent's state where its set holds it, else its smallest.
+EVENTS = FITCH.split("SELECT og, (sum(ch)")[0].rstrip().replace("g2 AS (SELECT og, CASE", "g2 AS (SELECT og, r, CASE") + """,
+r0 AS (SELECT og, CASE WHEN (CASE WHEN bit_and(m) > 0 THEN bit_and(m) ELSE bit_or(m) END) & 1 = 1 THEN 0 ELSE 1 END AS own FROM g2 GROUP BY og),
+r1 AS (SELECT og, r, r0.own AS above, CASE WHEN (m >> r0.own) & 1 = 1 THEN r0.own WHEN m & 1 = 1 THEN 0 ELSE 1 END AS own FROM g2 JOIN r0 USING (og)),
+r2 AS (SELECT og, s_nationkey, r1.own AS above, CASE WHEN (n2.m >> r1.own) & 1 = 1 THEN r1.own WHEN n2.m & 1 = 1 THEN 0 ELSE 1 END AS own FROM (SELECT og, s_nationkey, r, CASE WHEN c > 0 THEN c ELSE e END AS m FROM n) n2 JOIN r1 USING (og, r)),
+r3 AS (SELECT og, r2.own AS above, m - 1 AS own FROM st JOIN r2 USING (og, s_nationkey)),
+ev AS (SELECT og, above, own FROM r1 UNION ALL SELECT og, above, own FROM r2 UNION ALL SELECT og, above, own FROM r3)
+SELECT og, (count(*) FILTER (own > above))::BIGINT AS gains, (count(*) FILTER (own < above))::BIGINT AS losses FROM ev GROUP BY og"""
 
 
-@query("g3_gains_and_losses")
+@query("g3_gains_and_losses", EVENTS)
 def g3(t: Tables) -> DataFrame:
-    return tree.gains_and_losses(region_tree(t), tip_states(t))
+    return tree.gains_and_losses(region_tree(t), features(t), tip_states(t))
 
 
 @query("g5_shared_paths", """WITH s AS (SELECT s_suppkey, s_nationkey, n_regionkey, s_suppkey % 5 + 1.0 AS bl FROM supplier JOIN nation ON s_nationkey = n_nationkey)

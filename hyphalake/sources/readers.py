@@ -7,6 +7,7 @@ species) comes from its path.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,31 +29,60 @@ def path_tag(pattern: str, group: int = 0) -> Column:
     return first_match(F.input_file_name(), pattern, group)
 
 
+def _by_header(spark: SparkSession, path: str | Sequence[str], header: str | None = None) -> dict[str, list[str] | str | Sequence[str]]:
+    """Files by their header: the first line that starts with header, or the first line.
+
+    The driver reads one line a file.  Where all files have one header the paths stay as they were given.
+    """
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("k"))
+    first = lines.where(F.col("value").startswith(header)) if header else lines.where("block = 0 and trim(value) <> ''")
+    found: dict[str, list[str]] = {}
+    for r in first.groupBy("file").agg(F.min_by("value", "k").alias("head")).orderBy("file").collect():
+        found.setdefault(r["head"].rstrip("\r"), []).append(unquote(r["file"]))
+    return {next(iter(found)): path} if len(found) == 1 else dict(found)
+
+
+def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def _headed(spark: SparkSession, path: str | Sequence[str], sep: str = "\t") -> list[DataFrame]:
+    """Delimited files with header lines, one table for each header among them, with the file as _file."""
+    read = spark.read.option("header", True).option("sep", sep)
+    return [read.csv(p).withColumn("_file", F.input_file_name()) for p in _by_header(spark, path).values()] or [read.csv(path).withColumn("_file", F.input_file_name())]
+
+
 def _text_table(spark: SparkSession, path: str | Sequence[str], header: str, sep: str = "\t") -> DataFrame:
-    """Delimited text whose header is the first line that starts with header; lines before it are comments.
+    """Delimited text whose header is the first line that starts with header, file by file; lines before it are comments.
 
-    The header is one line that the driver reads; rows are split by Spark.
+    Rows are split by Spark; columns that some files lack are null there.
     """
-    lines = spark.read.text(path).withColumn("_file", F.input_file_name())
-    heads = lines.where(F.col("value").startswith(header)).head(1)
+    heads = _by_header(spark, path, header)
     if not heads:
         raise ValueError(f"no header line {header!r} in {path}")
-    names = heads[0]["value"].split(sep)
-    body = lines.where(~F.col("value").startswith("#") & ~F.col("value").startswith(header) & (F.trim("value") != ""))
-    parts = F.split("value", sep)
-    return body.select("_file", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
+
+    def rows(names: list[str], p: str | Sequence[str]) -> DataFrame:
+        lines = spark.read.text(p).withColumn("_file", F.input_file_name())
+        body = lines.where(~F.col("value").startswith("#") & ~F.col("value").startswith(header) & (F.trim("value") != ""))
+        parts = F.split("value", sep)
+        return body.select("_file", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
+
+    return _stacked([rows(head.split(sep), p) for head, p in heads.items()])
 
 
 def emapper(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Annotations by query; columns that a version lacks are empty text."""
-    df = _text_table(spark, path, "#query")
+    df = _text_table(spark, path, "#query").na.fill("")
     out = resolve_columns(df, {n: EMAPPER_ALIASES.get(n, ()) for n in EMAPPER} | {"_file": ()}, F.lit(""))
     return out.withColumn("accession", accession(F.col("_file"))).drop("_file")
 
 
 def dbcan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Protein_ID, families (recommended ones, else of all tools), substrate, ec, accession."""
-    raw = spark.read.option("header", True).option("sep", "\t").csv(path).withColumn("_file", F.input_file_name())
+    raw = _stacked([resolve_columns(x, DBCAN_ALIASES | {"_file": ()}, F.lit("")) for x in _headed(spark, path)])
     df = resolve_columns(raw, DBCAN_ALIASES | {"_file": ()}, F.lit(""))
     named, every = cazy_families(F.col("recommended")), cazy_families(F.col("hmm"), F.col("sub"), F.col("diamond"))
     families = F.array_join(F.when(F.size(named) > 0, named).otherwise(every), ", ")
@@ -101,29 +131,34 @@ def orthogroups(spark: SparkSession, path: str | Sequence[str], species: str | N
 
     combined: headers are "species__accession..." and name the species too.
     """
-    raw = spark.read.option("header", True).option("sep", "\t").csv(path)
-    key, *genomes = raw.columns
-    long = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_cell").where("_cell is not null")
-    protein = F.explode(F.filter(F.transform(F.split("_cell", ","), lambda x: F.trim(x)), lambda x: x != ""))
-    cols = [F.col(f"`{key}`").alias("og")]
-    if combined:
-        cols.append(species_label(F.col("_header")).alias("species"))
-    elif species:
-        cols.append(F.lit(species).alias("species"))
-    return long.select(*cols, F.coalesce(accession(F.col("_header")), F.col("_header")).alias("accession"), protein.alias("protein"))
+    def long(raw: DataFrame) -> DataFrame:
+        key, *genomes = [c for c in raw.columns if c != "_file"]
+        cells = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_cell").where("_cell is not null")
+        protein = F.explode(F.filter(F.transform(F.split("_cell", ","), lambda x: F.trim(x)), lambda x: x != ""))
+        cols = [F.col(f"`{key}`").alias("og")]
+        if combined:
+            cols.append(species_label(F.col("_header")).alias("species"))
+        elif species:
+            cols.append(F.lit(species).alias("species"))
+        return cells.select(*cols, F.coalesce(accession(F.col("_header")), F.col("_header")).alias("accession"), protein.alias("protein"))
+
+    return _stacked([long(x) for x in _headed(spark, path)])
 
 
 def gene_counts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(og, species, accession, copies) from the wide count matrix, without its total."""
-    raw = spark.read.option("header", True).option("sep", "\t").csv(path).drop("Total")
-    key, *genomes = raw.columns
-    long = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_n")
-    return long.select(F.col(f"`{key}`").alias("og"), species_label(F.col("_header")).alias("species"), accession(F.col("_header")).alias("accession"), F.col("_n").try_cast("int").alias("copies")).where("copies > 0")
+
+    def long(raw: DataFrame) -> DataFrame:
+        key, *genomes = [c for c in raw.columns if c not in ("_file", "Total")]
+        cells = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_n")
+        return cells.select(F.col(f"`{key}`").alias("og"), species_label(F.col("_header")).alias("species"), accession(F.col("_header")).alias("accession"), F.col("_n").try_cast("int").alias("copies")).where("copies > 0")
+
+    return _stacked([long(x) for x in _headed(spark, path)])
 
 
 def fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(id, sequence, file): records end at a line that starts with ">"."""
-    rows = spark.read.option("lineSep", ">").text(path).withColumn("file", F.input_file_name()).where(F.trim("value") != "")
+    rows = spark.read.option("lineSep", "\n>").text(path).withColumn("file", F.input_file_name()).withColumn("value", F.regexp_replace("value", "^>", "")).where(F.trim("value") != "")
     head = F.substring_index("value", "\n", 1)
     body = F.regexp_replace(F.expr("substring(value, length(substring_index(value, '\n', 1)) + 1)"), r"\s", "")
     return rows.select(F.split(F.trim(head), r"\s+")[0].alias("id"), body.alias("sequence"), "file")
@@ -142,7 +177,7 @@ def gff_genes(spark: SparkSession, path: str | Sequence[str], kind: str = "gene"
 
 def bigscape(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Cluster membership of several runs, tagged with the run's folder; reference clusters are marked."""
-    raw = spark.read.option("header", True).option("sep", "\t").csv(path).withColumn("run", F.element_at(F.split(F.input_file_name(), "/"), -2))
+    raw = _stacked(_headed(spark, path)).withColumn("run", F.element_at(F.split("_file", "/"), -2))
     df = resolve_columns(raw, {"record": ("Record", "#BGC Name"), "gbk": ("GBK",), "family": ("Family", "Family Number"), "run": ()})
     return df.withColumn("is_reference", F.col("record").startswith("BGC")).withColumn("strain", F.coalesce(accession(F.col("record")), before_scaffold(F.col("record"))))
 
@@ -184,8 +219,8 @@ def geocode_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def panels(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Curated panels stacked by name, tagged with the file's first word as species."""
-    raw = spark.read.option("header", True).csv(list(paths))
-    return raw.withColumn("species", F.regexp_extract(F.input_file_name(), r"([^/_]+)_[^/]*$", 1)).withColumn("panel", F.regexp_extract(F.input_file_name(), r"_([^/_]+)_panel[^/]*$", 1))
+    raw = _stacked(_headed(spark, list(paths), ","))
+    return raw.withColumn("species", F.regexp_extract("_file", r"([^/_]+)_[^/]*$", 1)).withColumn("panel", F.regexp_extract("_file", r"_([^/_]+)_panel[^/]*$", 1)).drop("_file")
 
 
 def assembly_reports(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -154,9 +154,32 @@ NEWICK = "((A:1,B:1):1,(C:1,D:1):1);"
 def test_parsimony(spark, states, changes):
     edges = tree.tree_table(spark, NEWICK)
     rows = spark.createDataFrame([("t", x, int(s)) for x, s in zip("ABCD", states)], "og string, tip string, state int")
-    assert tree.parsimony(edges, rows).first().changes == changes == tree.fitch_changes(tree.parse_newick(NEWICK), dict(zip("ABCD", map(int, states))))
-    e = tree.gains_and_losses(edges, rows).first()
+    traits = rows.select("og").distinct()
+    assert tree.parsimony(edges, traits, rows, default=None).first().changes == changes == tree.fitch_changes(tree.parse_newick(NEWICK), dict(zip("ABCD", map(int, states))))
+    e = tree.gains_and_losses(edges, traits, rows).first()
     assert e.gains + e.losses == changes
+    present = rows.where("state = 1")  # the other tips have the default state
+    assert tree.parsimony(edges, traits, present).first().changes == changes
+
+
+def test_parsimony_on_a_deep_tree(spark):
+    """A chain of depth 60 and many traits, each against the count of one trait at a time."""
+    import random
+
+    newick = "".join("(" for _ in range(60)) + "t0" + "".join(f",t{k}):1" for k in range(1, 61)) + ";"
+    nodes, rng = tree.parse_newick(newick), random.Random(8)
+    states = {f"og{i}": {f"t{k}": int(rng.random() < 0.3) for k in range(61) if rng.random() < 0.8} for i in range(300)}
+    states["none"] = {}
+    rows = spark.createDataFrame([(o, t, s) for o, own in states.items() for t, s in own.items()], "og string, tip string, state int")
+    traits = spark.createDataFrame([(o,) for o in states], "og string")
+    edges = tree.tree_table(spark, newick)
+    got = {r.og: r.changes for r in tree.parsimony(edges, traits, rows, default=None).collect()}
+    assert got == {o: tree.fitch_changes(nodes, own) for o, own in states.items()}
+    full = {r.og: r.changes for r in tree.parsimony(edges, traits, rows).collect()}
+    assert full == {o: tree.fitch_changes(nodes, {f"t{k}": own.get(f"t{k}", 0) for k in range(61)}) for o, own in states.items()}
+    sets = tree.downpass(edges, traits, rows, default=None)
+    assert sets.where("og = 'none'").count() == 0 and sets.columns == ["og", "node", "depth", "parent", "mask", "changes"]
+    assert sets.where("parent is null").count() == 300
 
 
 def test_tree_paths(spark):

@@ -13,6 +13,10 @@ FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+#: Queries that find nothing in the smallest tables.
+FEW: set[str] = set()
+
+
 @pytest.fixture(scope="module")
 def twin():
     c = duckdb.connect()
@@ -44,12 +48,13 @@ def test_query(spark, twin, name):
     at = [rel.columns.index(n) for n in names]
     assert sorted(rel.columns) == names
     assert rows == sorted(tuple(plain(r[i]) for i in at) for r in rel.fetchall())
+    assert rows or name in FEW, name
 
 
 def test_contract(spark):
     import __spark_entry__ as e
 
-    assert e.entry(spark).count() >= 0 and set(e.oracle_sql()) <= set(e.queries())
+    assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
 
 
 def test_entry_without_the_training_data_subpackage(tmp_path):

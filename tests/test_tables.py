@@ -137,3 +137,18 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("hourly").agg(F.sum("n")).first()[0] == batch.count()
+
+
+def test_headers_are_read_file_by_file(spark, folder):
+    """Two files whose columns stand in another order, and matrices with other genomes."""
+    a, b = folder("GCA_000000001.1.annotations", "#query\tGOs\tPFAMs\nq1\tGO:1\tPF1\n"), folder("GCA_000000002.1.annotations", "## x\n#query\tPFAMs\tCOG_category\tGOs\nq2\tPF2\tK\tGO:2\n")
+    got = {r["query"]: (r.GOs, r.PFAMs, r.COG_category) for r in readers.emapper(spark, [a, b]).collect()}
+    assert got == {"q1": ("GO:1", "PF1", ""), "q2": ("GO:2", "PF2", "K")}
+    x = folder("x.tsv", "Orthogroup\tGCA_000000001.1_a\tGCA_000000002.1_b\nN0\tp1\tp2, p3\n")
+    y = folder("y.tsv", "Orthogroup\tGCA_000000003.1_c\nN0\tp4\n")
+    assert sorted((r.og, r.accession, r.protein) for r in readers.orthogroups(spark, [x, y]).collect()) == [("N0", "GCA_000000001.1", "p1"), ("N0", "GCA_000000002.1", "p2"), ("N0", "GCA_000000002.1", "p3"), ("N0", "GCA_000000003.1", "p4")]
+
+
+def test_fasta_headers_may_hold_the_mark(spark, folder):
+    f = folder("marks.fa", ">p1 A->B x\nACGT\nAC\n>p2\r\nGG\r\n>p3 a > b\nT\n")
+    assert {r.id: r.sequence for r in readers.fasta(spark, f).collect()} == {"p1": "ACGTAC", "p2": "GG", "p3": "T"}
