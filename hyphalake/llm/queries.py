@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, mixing, quality, secret_scan, simhash, token_store
 from hyphalake.session import ship
 
-#: Folder of the tokenizer files; a parameter of the installation, never part of this repository.
-TOKENIZERS = os.environ.get("HYPHALAKE_TOKENIZERS", "/opt/tokenizers")
-
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    return f"{TOKENIZERS}/{name}"
+    """A tokenizer's file: in the folder that HYPHALAKE_TOKENIZERS names, or where the installation has it."""
+    folder = os.environ.get("HYPHALAKE_TOKENIZERS")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +29,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan, _, _ = mixing.mix(_table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot")
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
