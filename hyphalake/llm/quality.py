@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import Scratch
+from hyphalake.llm.common import Scratch, in_fixed_order
 
 FEATURES = ("log_words", "word_chars", "long_words", "distinct", "top_word", "top_three", "repeats", "symbols", "odd_tails", "pipes", "digits", "upper", "marks", "sentence_words", "lines", "repeated_lines", "sparse_letters")
 _SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()\-]")
@@ -75,11 +75,11 @@ def features(text: str | None) -> list[float]:
 def feature_rows(docs: DataFrame, key: str, text: str, host: Column, path: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = pa.array([features(t) for t in b.column(3).to_pylist()], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), x], ["doc_id", "host", "path", "x"])
+            x = pa.array([features(t) for t in b.column(4).to_pylist()], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], x], ["row", "doc_id", "host", "path", "x"])
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, host string, path string, x array<float>")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "row long, doc_id long, host string, path string, x array<float>")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 40) -> tuple[np.ndarray, float]:
@@ -119,7 +119,7 @@ def _strength(groups: DataFrame, s: str, n: str, prior: str) -> float:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", path: Sequence[str] = ("source", "lang"), label: str = "quality", train_rows: int = 20_000, keep_at: float = 0.5) -> DataFrame:
-    """One row a row of docs: doc_id, doc_logit, host_rate, path_rate, probability, keep."""
+    """One row a row of docs: row (by scan order), doc_id, doc_logit, host_rate, path_rate, probability, keep."""
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "quality")
     site = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in path])
@@ -141,7 +141,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     logit = F.lit(float(bias))
     for t in terms:
         logit = logit + t
-    scored = rows.select("doc_id", "host", "path", F.least(F.greatest(logit, F.lit(-12.0)), F.lit(12.0)).alias("doc_logit"))
+    scored = rows.select("row", "doc_id", "host", "path", F.least(F.greatest(logit, F.lit(-12.0)), F.lit(12.0)).alias("doc_logit"))
     scored = scratch.keep(scored, "scored")
 
     # Grouped evidence: paths first, hosts from paths, the globe from hosts.
@@ -158,10 +158,14 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     sites = sites.select("path", "host_rate", ((F.col("s") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate"))
     shift = _logit(F.col("path_rate")) - _logit(F.lit(rate))
     out = scored.join(sites, "path").withColumn("probability", 1 / (1 + F.exp(-(F.col("doc_logit") + shift))))
-    return out.select("doc_id", "doc_logit", "host_rate", "path_rate", "probability", (F.col("probability") >= keep_at).alias("keep"))
+    return out.select("row", "doc_id", "doc_logit", "host_rate", "path_rate", "probability", (F.col("probability") >= keep_at).alias("keep"))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs that are not rejected, in the columns of docs."""
-    bad = score_documents(docs, labels, key=key, **options).where("not keep").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, docs[key].cast("long") == bad["_bad"], "left_anti")
+def kept_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", path: Sequence[str] = ("source", "lang"), **options) -> DataFrame:
+    """The rows of docs that are not rejected, in the columns of docs; each row by its own text, whatever keys they share."""
+    own = docs.select(*[F.col(f"`{c}`").alias(f"own_{k}") for k, c in enumerate(docs.columns)])
+    at = {c: f"own_{k}" for k, c in enumerate(docs.columns)}
+    own = own if in_fixed_order(docs) else Scratch(docs.sparkSession, "quality").keep(own, "input")
+    bad = score_documents(own, labels, at[key], at[text], at[host], [at[c] for c in path], **options).where("not keep").select("row")
+    left = own.withColumn("row", F.monotonically_increasing_id()).join(bad, "row", "left_anti")
+    return left.select(*[F.col(f"own_{k}").alias(c) for k, c in enumerate(docs.columns)])

@@ -67,7 +67,7 @@ def op9_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("row")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality)}
