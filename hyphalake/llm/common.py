@@ -111,63 +111,6 @@ def sweep(spark: SparkSession, but: Scratch | None = None) -> None:
     _runs[app] = [s for s in _runs.get(app, []) if s is but]
 
 
-class Scratch:
-    """Parquet tables of one operator run in the shared folder."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        ship(spark)
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self.tables: list[str] = []
-        _runs.setdefault(spark.sparkContext.applicationId, []).append(self)
-
-    def keep(self, df: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Writes df and returns a DataFrame that reads it back: its lineage ends here."""
-        path = f"{self.root}/{tag}"
-        schema = df.schema
-        writer = df.write.mode("overwrite").option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def keep_bucketed(self, df: DataFrame, tag: str, n: int, key: str, dealt: bool = False) -> DataFrame:
-        """Like keep, in n buckets of key: what groups or joins by key later reads it without a shuffle.
-
-        dealt: df has been repartitioned by key already.
-        """
-        name = f"scratch_{uuid.uuid4().hex}"
-        (df if dealt else df.repartition(n, key)).write.format("parquet").option("compression", "zstd").bucketBy(n, key).option("path", f"{self.root}/{tag}").saveAsTable(name)
-        self.tables.append(name)
-        return self.spark.table(name)
-
-    def drop(self, tag: str = "") -> None:
-        """Deletes one table, or all of this run."""
-        if not tag:
-            for name in self.tables:
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.tables.clear()
-        _, files, path = _at(self.spark, f"{self.root}/{tag}".rstrip("/"))
-        files.delete(path, True)
-
-
-def _at(spark: SparkSession, where: str) -> tuple:
-    """(the JVM, the file system of a path, the path)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(where)
-    return jvm, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
-def there(spark: SparkSession, where: str) -> bool:
-    """Whether a path exists, asked of its own store."""
-    _, files, path = _at(spark, where)
-    return files.exists(path)
-
-
-def sweep(spark: SparkSession) -> None:
-    """Deletes the tables of all operator runs of this application; call it when their results are written."""
-    for scratch in _runs.pop(spark.sparkContext.applicationId, []):
-        scratch.drop()
-
-
 def in_fixed_order(df: DataFrame) -> bool:
     """Whether every scan of df gives the same rows in the same order and partitions, as files do and shuffles do not."""
     return df._jdf.queryExecution().toRdd().outputDeterministicLevel().toString() == "DETERMINATE"
