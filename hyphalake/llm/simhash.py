@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(x, words) for x in b.column(1).to_pylist()), np.uint64, len(b))
+            fps = np.fromiter((fingerprint(b.column(1)[k].as_py(), words) for k in range(len(b))), np.uint64, len(b))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -130,8 +130,7 @@ def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def link_group(codes: np.ndarray, max_bits: int, root: np.ndarray | None = None, pairs: list | None = None) -> np.ndarray:
     """For each code (row of words), all in Gray order, the index of its component's first member.
 
-    Given roots are gone on from.  pairs gets (i, j, differing bits) of the nearest pairs that joined two
-    components, at most one for two components and batch of queries.
+    Given roots are gone on from.  pairs gets (i, j, differing bits) of the pairs that joined two components.
     """
     n = len(codes)
     root = np.arange(n) if root is None else root.copy()
@@ -181,22 +180,27 @@ def link_group(codes: np.ndarray, max_bits: int, root: np.ndarray | None = None,
             own, member, got, leaf = own[near], member[near], got[near], leaf[near]
             bits = got + _bits((q[own] ^ codes[member]) & ~levels[0][1][leaf])
             near = bits <= max_bits
-            if pairs is not None:
-                pairs += _nearest(root, k + own[near], member[near], bits[near])
-            root = _merge(root, k + own[near], member[near])
+            i, j = k + own[near], member[near]
+            root = _merge(root, i, j) if pairs is None else _spanning(root, i, j, bits[near], pairs)
     return root
 
 
-def _nearest(root: np.ndarray, i: np.ndarray, j: np.ndarray, bits: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of the pairs that join the same two components the nearest one."""
-    apart = root[i] != root[j]
-    i, j, bits = i[apart], j[apart], bits[apart]
-    if not len(i):
-        return []
-    a, b = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
-    order = np.lexsort((bits, b, a))
-    first = order[np.flatnonzero(np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])))]
-    return [(i[first], j[first], bits[first])]
+def _spanning(root: np.ndarray, i: np.ndarray, j: np.ndarray, bits: np.ndarray, pairs: list) -> np.ndarray:
+    """Roots after linking i with j; pairs gets those that do it, for each component its nearest first.
+
+    Rounds take the nearest pair of every component and merge, so about as many pairs are kept as there
+    are components, however many there are between them.
+    """
+    while True:
+        apart = root[i] != root[j]
+        i, j, bits = i[apart], j[apart], bits[apart]
+        if not len(i):
+            return root
+        ends, which = np.concatenate((root[i], root[j])), np.tile(np.arange(len(i)), 2)
+        order = np.lexsort((which, bits[which], ends))
+        near = np.unique(which[order[np.flatnonzero(np.append(True, ends[order][1:] != ends[order][:-1]))]])
+        pairs.append((i[near], j[near], bits[near]))
+        root = _merge(root, i[near], j[near])
 
 
 def _small_groups(key: np.ndarray, codes: np.ndarray, max_bits: int, root: np.ndarray | None = None, pairs: list | None = None) -> np.ndarray:
@@ -208,9 +212,7 @@ def _small_groups(key: np.ndarray, codes: np.ndarray, max_bits: int, root: np.nd
             break
         bits = _bits(codes[i] ^ codes[i + d])
         i, bits = i[bits <= max_bits], bits[bits <= max_bits]
-        if pairs is not None:
-            pairs += _nearest(root, i, i + d, bits)
-        root = _merge(root, i, i + d)
+        root = _merge(root, i, i + d) if pairs is None else _spanning(root, i, i + d, bits, pairs)
     return root
 
 
@@ -389,6 +391,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
         for b in batches:
             codes = np.array([wide_fingerprint(b.column(2)[k].as_py(), words, width) for k in range(len(b))], np.uint64).reshape(-1, width).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(np.ascontiguousarray(codes[:, w])) for w in range(width)]], ["row", "doc_id", *names])
+        release()
 
     rows = scratch.keep(plain.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, " + ", ".join(f"{n} long" for n in names)), "fingerprints")
     nodes = scratch.keep(rows.groupBy(*names).agg(F.min("row").alias("id")), "nodes")
