@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import Scratch, in_fixed_order
+from hyphalake.llm.common import Scratch, in_fixed_order, release
 
 FEATURES = ("log_words", "word_chars", "long_words", "distinct", "top_word", "top_three", "repeats", "symbols", "odd_tails", "pipes", "digits", "upper", "marks", "sentence_words", "lines", "repeated_lines", "sparse_letters")
 _SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()\-]")
@@ -75,8 +75,9 @@ def features(text: str | None) -> list[float]:
 def feature_rows(docs: DataFrame, key: str, text: str, host: Column, path: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = pa.array([features(t) for t in b.column(4).to_pylist()], pa.list_(pa.float32()))
+            x = pa.array([features(b.column(4)[k].as_py()) for k in range(len(b))], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([*b.columns[:4], x], ["row", "doc_id", "host", "path", "x"])
+        release()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "row long, doc_id long, host string, path string, x array<float>")
