@@ -6,9 +6,10 @@ default names are og and genome; all operators take column names.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,21 +136,43 @@ def genome_orders(genomes: DataFrame, genome: str, n_perm: int, seed: str = "0")
     return each.withColumn("pos", F.row_number().over(w))
 
 
-def rarefaction(pav: DataFrame, n_perm: int, feature: str = "og", genome: str = "genome", seed: str = "0") -> DataFrame:
+def rarefaction(pav: DataFrame, n_perm: int, feature: str = "og", genome: str = "genome", seed: str = "0", most: int = 20_000_000) -> DataFrame:
     """(perm, n, pan, core) for n = 1..N genomes in each order.
 
     A feature is in the pan of n genomes if its first place is at most n, and in their core if the first
-    place without it is beyond n.  Both are counts by place and running sums: no set is ever kept.  The
-    first gap of a feature is the first place p at which fewer than p of its places lie up to p.
+    place without it is beyond n.  Both are counts by place and running sums: no set is ever kept.  A
+    feature's genomes are gathered to one row, once, and its places under all orders are found there; the
+    orders, genomes x permutations numbers, go to every executor and may not exceed ``most``.
     """
+    spark = pav.sparkSession
     orders = genome_orders(pav.select(genome), genome, n_perm, seed)
-    total = pav.select(genome).distinct().count()
-    placed = pav.join(F.broadcast(orders), genome)
-    w = Window.partitionBy("perm", feature).orderBy("pos")
-    ranked = placed.select("perm", feature, "pos", F.row_number().over(w).alias("k"))
-    ends = ranked.groupBy("perm", feature).agg(F.min("pos").alias("first"), F.coalesce(F.max(F.when(F.col("k") == F.col("pos"), F.col("k"))), F.lit(0)).alias("unbroken"))
-    counts = ends.select("perm", F.explode(F.array(F.struct(F.col("first").alias("n"), F.lit(1).alias("pan"), F.lit(0).alias("core")), F.struct(F.col("unbroken").alias("n"), F.lit(0).alias("pan"), F.lit(1).alias("core")))).alias("x")).groupBy("perm", "x.n").agg(F.sum("x.pan").alias("p"), F.sum("x.core").alias("c"))
-    grid = pav.sparkSession.range(n_perm).select(F.col("id").cast("int").alias("perm")).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(total))))
+    numbered = orders.where("perm = 0").select(genome, (F.col("pos") - 1).alias("_i"))
+    total = numbered.count()
+    if total * n_perm > most:
+        raise ValueError(f"{total} genomes in {n_perm} orders are more than {most} places; take fewer orders")
+    placed = orders.join(F.broadcast(numbered), genome).groupBy("perm").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "_i"))), lambda x: x["_i"]).alias("at"))
+    held = spark.sparkContext.broadcast(np.array([r["at"] for r in placed.orderBy("perm").collect()], np.int32).reshape(-1, total))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = held.value
+        pan, core = np.zeros((len(order), total + 1), np.int32), np.zeros((len(order), total + 1), np.int32)
+        rows = max(1, 1_000_000 // max(1, total))
+        for b in batches:
+            for k in range(0, len(b), rows):
+                cells = b.column(0).slice(k, rows)
+                has = np.zeros((len(cells), total), bool)
+                has[np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy()), cells.flatten().to_numpy()] = True
+                every = has.all(axis=1)
+                for p, at in enumerate(order):
+                    own = has[:, at]
+                    pan[p] += np.bincount(own.argmax(axis=1) + 1, minlength=total + 1).astype(np.int32)
+                    core[p] += np.bincount(np.where(every, total, own.argmin(axis=1)), minlength=total + 1).astype(np.int32)
+        perm, n = np.nonzero(pan + core)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (perm, n, pan[perm, n], core[perm, n])], ["perm", "n", "p", "c"])
+
+    packed = pav.join(F.broadcast(numbered), genome).groupBy(feature).agg(F.collect_set("_i").alias("cells")).select("cells")
+    counts = packed.mapInArrow(run, "perm int, n int, p int, c int").groupBy("perm", "n").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
+    grid = spark.range(n_perm).select(F.col("id").cast("int").alias("perm")).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(total))))
     filled = grid.join(counts, ["perm", "n"], "left")
     up = Window.partitionBy("perm").orderBy("n")
     out = filled.select("perm", "n", F.sum(F.coalesce("p", F.lit(0))).over(up).alias("pan"), F.sum(F.coalesce("c", F.lit(0))).over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("core"))

@@ -96,9 +96,20 @@ def pairs(t: Tables) -> DataFrame:
     return x.join(r.where("species = 'EUROPE'").select("og", F.col("beta").alias("beta_b")), "og")
 
 
-@query("t25_direction_agreement")
+@query("t25_direction_agreement", f"""{RESULTS}, j AS (SELECT x.beta AS a, y.beta AS b FROM res x JOIN res y USING (og) WHERE x.species = 'ASIA' AND y.species = 'EUROPE' AND x.beta <> 0 AND y.beta <> 0),
+r AS (SELECT a, b, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM j),
+s AS (SELECT count(*) AS n, count(*) FILTER (sign(a) = sign(b)) AS k, corr(a, b) AS pearson, corr(ra, rb) AS spearman FROM r),
+l AS (SELECT x, lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + n * ln(0.5) AS lp, n, k FROM s, generate_series(0, (SELECT n FROM s)) g(x)),
+p AS (SELECT least(1.0, sum(exp(lp)) FILTER (lp <= (SELECT lp FROM l WHERE x = k) + 1e-7)) AS binomial_p FROM l)
+SELECT n, k AS n_same, round(k / n, 6) AS agreement, round(binomial_p, 6) AS binomial_p, round(pearson, 6) AS pearson, round(spearman, 6) AS spearman FROM s, p""")
 def t25(t: Tables) -> DataFrame:
-    return convergence.direction_agreement(pairs(t))
+    out = convergence.direction_agreement(pairs(t))
+    return rounded(out.select("n", "n_same", "agreement", "binomial_p", "pearson", "spearman"), "agreement", "binomial_p", "pearson", "spearman")
+
+
+@query("t25_direction_interval")
+def t25_interval(t: Tables) -> DataFrame:
+    return convergence.direction_agreement(pairs(t)).select("n_same", "n", "ci_low", "ci_high")
 
 
 @query("t18_inflation")
@@ -237,12 +248,14 @@ def g5(t: Tables) -> DataFrame:
 
 @query("g2_clumping")
 def g2(t: Tables) -> DataFrame:
-    return tree.clumping(t.spark, "(((A:1,B:1):1,(C:1,D:1):1):1,((E:1,F:1):1,(G:1,H:1):1):1);", {"A": 1, "B": 1, "C": 1, "D": 1, "E": 0, "F": 0, "G": 0, "H": 0}, 200)
+    return tree.clumping(t.spark, "(((A:1,B:1):1,(C:1,D:1):1):1,((E:1,F:1):1,(G:1,H:1):1):1);", {"A": 1, "B": 1, "C": 1, "D": 1, "E": 0, "F": 0, "G": 0, "H": 0}, 1000)
 
 
-@query("o4_strongest_terms")
+@query("o4_strongest_terms", f"""{COUNTS}, o AS (SELECT layer, term, max(abs(greatest(-8.0, least(8.0, log2(greatest(CASE WHEN b * c > 0 THEN a * d / (b * c)::DOUBLE WHEN a * d > 0 THEN 'inf'::DOUBLE END, 1e-9)))))) AS effect FROM cells WHERE a >= 1 AND d >= 0 GROUP BY layer, term)
+SELECT layer, term, round(effect, 6) AS effect FROM (SELECT *, row_number() OVER (ORDER BY effect DESC, layer, term) AS k FROM o) WHERE k <= 10""")
 def o4(t: Tables) -> DataFrame:
-    return enrichment.strongest_terms(enrichment.class_enrichment(annotated(t), ["words", "brand"]), k=10)
+    top = enrichment.strongest_terms(enrichment.class_enrichment(annotated(t), ["words", "brand"]), k=10)
+    return top.select("layer", "term", F.round("effect", 6).alias("effect"))
 
 
 @query("t14_significant_by_layer", f"{RESULTS}, q AS (SELECT *, pvalue * count(*) OVER (PARTITION BY species) / count(*) OVER (PARTITION BY species ORDER BY pvalue RANGE UNBOUNDED PRECEDING) AS raw FROM res), s AS (SELECT *, least(1, min(raw) OVER (PARTITION BY species ORDER BY pvalue RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS qvalue FROM q) SELECT species, count(*) AS n_tests, count(*) FILTER (qvalue < 0.6) AS n_significant FROM s GROUP BY species")

@@ -64,11 +64,11 @@ def w6(t: Tables) -> DataFrame:
     return rounded(relational.share(rows, ["c_mktsegment", "n_regionkey"], ["n_regionkey"]), "pct")
 
 
-N_PERM = 10
-RARE = """WITH {members}, o AS (SELECT perm::INT AS perm, genome, row_number() OVER (PARTITION BY perm ORDER BY md5('0|' || perm || '|' || genome), genome) AS pos FROM (SELECT DISTINCT genome FROM pav), generate_series(0, 9) s(perm)),
+N_PERM = 200
+RARE = """WITH {members}, o AS (SELECT perm::INT AS perm, genome, row_number() OVER (PARTITION BY perm ORDER BY md5('0|' || perm || '|' || genome), genome) AS pos FROM (SELECT DISTINCT genome FROM pav), generate_series(0, 199) s(perm)),
 k AS (SELECT perm, og, pos, row_number() OVER (PARTITION BY perm, og ORDER BY pos) AS k FROM pav JOIN o USING (genome)),
 e AS (SELECT perm, og, min(pos) AS first, coalesce(max(k) FILTER (k = pos), 0) AS unbroken FROM k GROUP BY perm, og),
-g AS (SELECT perm::INT AS perm, n FROM generate_series(0, 9) p(perm), generate_series(1, (SELECT count(DISTINCT genome) FROM pav)) s(n)),
+g AS (SELECT perm::INT AS perm, n FROM generate_series(0, 199) p(perm), generate_series(1, (SELECT count(DISTINCT genome) FROM pav)) s(n)),
 c AS (SELECT g.perm, g.n, (SELECT count(*) FROM e WHERE e.perm = g.perm AND e.first <= g.n) AS pan, (SELECT count(*) FROM e WHERE e.perm = g.perm AND e.unbroken >= g.n) AS core FROM g)"""
 
 
