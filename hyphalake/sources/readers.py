@@ -55,11 +55,8 @@ def _headed(spark: SparkSession, path: str | Sequence[str], sep: str = "\t") ->
     return [read.csv(p).withColumn("_file", F.input_file_name()) for p in _by_header(spark, path).values()] or [read.csv(path).withColumn("_file", F.input_file_name())]
 
 
-def _text_table(spark: SparkSession, path: str | Sequence[str], header: str, sep: str = "\t") -> DataFrame:
-    """Delimited text whose header is the first line that starts with header, file by file; lines before it are comments.
-
-    Rows are split by Spark; columns that some files lack are null there.
-    """
+def _text_tables(spark: SparkSession, path: str | Sequence[str], header: str, sep: str = "\t") -> list[DataFrame]:
+    """Delimited text whose header is the first line that starts with header, one table for each header; lines before it are comments."""
     heads = _by_header(spark, path, header)
     if not heads:
         raise ValueError(f"no header line {header!r} in {path}")
@@ -70,20 +67,19 @@ def _text_table(spark: SparkSession, path: str | Sequence[str], header: str, sep
         parts = F.split("value", sep)
         return body.select("_file", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
 
-    return _stacked([rows(head.split(sep), p) for head, p in heads.items()])
+    return [rows(head.split(sep), p) for head, p in heads.items()]
 
 
 def emapper(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Annotations by query; columns that a version lacks are empty text."""
-    df = _text_table(spark, path, "#query").na.fill("")
-    out = resolve_columns(df, {n: EMAPPER_ALIASES.get(n, ()) for n in EMAPPER} | {"_file": ()}, F.lit(""))
+    names = {n: EMAPPER_ALIASES.get(n, ()) for n in EMAPPER} | {"_file": ()}
+    out = _stacked([resolve_columns(x, names, F.lit("")) for x in _text_tables(spark, path, "#query")])
     return out.withColumn("accession", accession(F.col("_file"))).drop("_file")
 
 
 def dbcan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Protein_ID, families (recommended ones, else of all tools), substrate, ec, accession."""
-    raw = _stacked([resolve_columns(x, DBCAN_ALIASES | {"_file": ()}, F.lit("")) for x in _headed(spark, path)])
-    df = resolve_columns(raw, DBCAN_ALIASES | {"_file": ()}, F.lit(""))
+    df = _stacked([resolve_columns(x, DBCAN_ALIASES | {"_file": ()}, F.lit("")) for x in _headed(spark, path)])
     named, every = cazy_families(F.col("recommended")), cazy_families(F.col("hmm"), F.col("sub"), F.col("diamond"))
     families = F.array_join(F.when(F.size(named) > 0, named).otherwise(every), ", ")
     return df.select("Protein_ID", families.alias("CAZy"), "substrate", "ec", accession(F.col("_file")).alias("accession"))
@@ -177,8 +173,8 @@ def gff_genes(spark: SparkSession, path: str | Sequence[str], kind: str = "gene"
 
 def bigscape(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Cluster membership of several runs, tagged with the run's folder; reference clusters are marked."""
-    raw = _stacked(_headed(spark, path)).withColumn("run", F.element_at(F.split("_file", "/"), -2))
-    df = resolve_columns(raw, {"record": ("Record", "#BGC Name"), "gbk": ("GBK",), "family": ("Family", "Family Number"), "run": ()})
+    names = {"record": ("Record", "#BGC Name"), "gbk": ("GBK",), "family": ("Family", "Family Number"), "_file": ()}
+    df = _stacked([resolve_columns(x, names) for x in _headed(spark, path)]).withColumn("run", F.element_at(F.split("_file", "/"), -2)).drop("_file")
     return df.withColumn("is_reference", F.col("record").startswith("BGC")).withColumn("strain", F.coalesce(accession(F.col("record")), before_scaffold(F.col("record"))))
 
 
