@@ -116,10 +116,10 @@ def _words(s: str) -> int:
     return len(_RUN.findall(s))
 
 
-def regions(text: str, marks: dict[int, tuple[int, int]], row: int, min_words: int, reach: int, bits: int, least: int, most: int) -> tuple[list[tuple], list[tuple]]:
+def regions(text: str, marks: dict[int, tuple[int, int, int]], row: int, min_words: int, reach: int, bits: int, least: int, most: int) -> tuple[list[tuple], list[tuple]]:
     """(regions, sides) of one text.
 
-    marks: of each repeated chunk, by number, the first and last row that hold it.  Regions are runs of
+    marks: of each repeated chunk, by number, the first and last row that hold it and how often it occurs.  Regions are runs of
     repeated chunks that can reach min_words, as tuples of _REGION; sides are (side, digest, text beside)
     of the chunks of which this row is the first or last.
     """
@@ -132,8 +132,8 @@ def regions(text: str, marks: dict[int, tuple[int, int]], row: int, min_words: i
         first.setdefault(d, k)
     hits = sorted(marks)
     beside = {LEFT: lambda k: text[max(0, begin[k] - reach) : begin[k]], RIGHT: lambda k: text[stop[k] : stop[k] + reach]}
-    # Within a passage that the same rows share no end lies.
-    sides = [(s, digests[k], beside[s](k)) for k in hits for s, other in ((LEFT, k - 1), (RIGHT, k + 1)) if row in marks[k] and first[digests[k]] == k and marks.get(other) != marks[k]]
+    # Where the neighbour has the same rows, as often, no end lies.
+    sides = [(s, digests[k], beside[s](k)) for k in hits for s, other in ((LEFT, k - 1), (RIGHT, k + 1)) if row in marks[k][:2] and first[digests[k]] == k and marks.get(other) != marks[k]]
     found, i = [], 0
     while i < len(hits):
         j = i
@@ -169,7 +169,7 @@ def region_rows(marked: DataFrame, min_words: int, reach: int, bits: int, least:
         for b in batches:
             out: tuple[list, list] = ([], [])
             for k in range(len(b)):
-                row, marks = b.column(0)[k].as_py(), {m["at"]: (m["lo"], m["hi"]) for m in b.column(3)[k].as_py()}
+                row, marks = b.column(0)[k].as_py(), {m["at"]: (m["lo"], m["hi"], m["n"]) for m in b.column(3)[k].as_py()}
                 for side, found, ns in zip(out, regions(b.column(2)[k].as_py(), marks, row, min_words, reach, bits, least, most), names):
                     side.append([dict(zip(ns, x)) for x in found])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out[0], kinds[0]), pa.array(out[1], kinds[1])], ["row", "doc_id", "regions", "sides"])
@@ -250,10 +250,10 @@ def _based(docs: DataFrame, key: str, text: str, scratch: Scratch) -> DataFrame:
 def _passages(based: DataFrame, scratch: Scratch, min_words: int = 50, reach: int = 256, bits: int = 5, least: int = 24, most: int = 512) -> tuple[DataFrame, DataFrame]:
     found = scratch.keep(chunk_rows(based, bits, least, most), "chunks")
     chunks = found.select("row", F.posexplode("digests").alias("at", "digest"))
-    twice = chunks.groupBy("digest").agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "lo", "hi")
+    twice = chunks.groupBy("digest").agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # Kept in a table, so that the join has plain shuffles on both sides and a frequent chunk's rows are split.
     twice = scratch.keep(twice, "repeated")
-    marks = chunks.join(twice, "digest").groupBy("row").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("marks"))
+    marks = chunks.join(twice, "digest").groupBy("row").agg(F.collect_list(F.struct("at", "lo", "hi", "n")).alias("marks"))
     made = scratch.keep(region_rows(based.select("row", "doc_id", "text").join(marks, "row"), min_words, reach, bits, least, most), "regions")
     asked = made.select("row", "doc_id", F.explode("regions").alias("r")).select("row", "doc_id", "r.*")
     wanted = asked.select(F.explode(F.array(F.struct(F.lit(LEFT).alias("side"), F.col("left_digest").alias("digest")), F.struct(F.lit(RIGHT).alias("side"), F.col("right_digest").alias("digest")))).alias("w")).select("w.*").distinct()
