@@ -96,6 +96,12 @@ def _at(spark: SparkSession, where: str) -> tuple:
     return jvm, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def listed(spark: SparkSession, where: str) -> list[str]:
+    """The paths of what a folder holds, asked of its own store."""
+    _, files, path = _at(spark, where)
+    return [x.getPath().toString() for x in files.listStatus(path)]
+
+
 def there(spark: SparkSession, where: str) -> bool:
     """Whether a path exists, asked of its own store."""
     _, files, path = _at(spark, where)

@@ -9,7 +9,7 @@ shard_seqs of shard s div shard_seqs, at byte (s mod shard_seqs) * stride.  A tr
 into memory and reads on from any slot.
 
 A record is a header (doc_id, place of the sequence in its document, number of ids; big-endian),
-seq_len ids (little-endian, ``id_bytes`` each) and one line feed.  Objects lie in folders shard=<number>
+seq_len ids (little-endian, ``id_bytes`` each) and one line feed.  Objects are named part-<shard>-...
 and are written by Spark's text writer through its committer, which takes the record's bytes as they
 are and ends each with the line feed; so they lie in any store that Spark writes to, a lost executor's
 shards are written again and no reader sees a part.
@@ -22,7 +22,7 @@ Scale: ids are shuffled once, compressed by record.  The driver holds one count
 sends it to each executor once, as Spark's own zipWithIndex does.  The scan runs twice and must give
 the same partitions: an input that a shuffle or another source leaves in no fixed order is kept in a
 table first, and a task that finds another count fails instead of misplacing rows.  Shards of the
-default size suit tests and tens of terabytes; choose 16 times as many sequences beyond that.
+default size are 34 MB; a reading task holds one, so choose more sequences only with its memory in mind.
 
 Defined cases: null text or ids count as empty and are one sequence of END and PAD; repeated rows each
 get their own sequences; a null key stays null; an empty table writes no shards.
@@ -31,6 +31,7 @@ get their own sequences; a null key stays null; an empty table writes no shards.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm.common import Scratch, in_fixed_order, shuffle_partitions
+from hyphalake.llm.common import Scratch, in_fixed_order, listed
 
 END, PAD = 255, 254
 #: doc_id, place of the sequence in its document, number of ids (its high bit: the key is null).
@@ -125,7 +126,7 @@ def sequences(docs: DataFrame, key: str, text: str, ids: str | None, seq_len: in
     return plain.mapInArrow(run, "slot long, doc_id long, seq int, body binary"), total
 
 
-def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ids: str | None = None, seq_len: int = 1024, shard_seqs: int = 8192, id_bytes: int | None = None, end: int = END, pad: int = PAD, seed: bytes = b"order-0") -> int:
+def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ids: str | None = None, seq_len: int = 1024, shard_seqs: int = 32768, id_bytes: int | None = None, end: int = END, pad: int = PAD, seed: bytes = b"order-0") -> int:
     """Writes the shards of docs in training order and returns the number of sequences.
 
     ids names a column of little-endian unsigned 32-bit ids, which are stored in id_bytes (1, 2 or 4)
@@ -160,23 +161,30 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
                     if len(own) < seq_len:
                         buf[len(own)] = end
                     out.append(struct.pack(HEADER, owner or 0, seq, n | (NO_KEY if owner is None else 0)) + buf.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([s // shard_seqs for s in slots[k : k + 512]], pa.int64()), pa.array(out, pa.binary())], ["shard", "record"])
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
+    # A partition is a shard, so the number in its file's name is the shard's.
     n_shards = -(-total // shard_seqs)
-    parts = min(n_shards, max(shuffle_partitions(docs.sparkSession), 1))
-    # Shards are equally large, so equal ranges of them need no sampling: part p holds a run of shards.
-    dealt = rows.withColumn("part", F.expr(f"cast((slot div {shard_seqs}) * {parts} div {n_shards} as int)")).repartitionById(parts, "part").sortWithinPartitions("slot").select("slot", "doc_id", "seq", "body")
-    done = dealt.mapInArrow(pack, "shard long, record binary").select("shard", F.col("record").cast("string").alias("record"))
-    done.write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
+    dealt = rows.withColumn("shard", F.expr(f"cast(slot div {shard_seqs} as int)")).repartitionById(n_shards, "shard").sortWithinPartitions("slot").select("slot", "doc_id", "seq", "body")
+    done = dealt.mapInArrow(pack, "record binary").select(F.col("record").cast("string").alias("record"))
+    done.write.mode("overwrite").option("lineSep", "\n").option("compression", "none").option("maxRecordsPerFile", 0).text(path)
     return total
 
 
 def _shards(spark: SparkSession, path: str, shard_seqs: int, start: int, stop: int | None) -> DataFrame:
-    rows = spark.read.format("binaryFile").load(path).withColumn("shard", F.col("shard").cast("long")).where(F.col("shard") >= start // shard_seqs)
-    return rows if stop is None else rows.where(F.col("shard") <= max(stop - 1, 0) // shard_seqs)
-
-
-def shard_objects(spark: SparkSession, path: str, shard_seqs: int = 8192, start: int = 0, stop: int | None = None) -> DataFrame:
+    """The objects that hold slots start..stop, and their shards; others are not opened."""
+    first, last = start // shard_seqs, None if stop is None else max(stop - 1, 0) // shard_seqs
+    files: str | list[str] = path
+    if first or last is not None:
+        names = {int(m[1]): n for n in listed(spark, path) if (m := re.search(r"/part-(\d+)-[^/]*$", n))}
+        files = [n for k, n in sorted(names.items()) if k >= first and (last is None or k <= last)]
+        if not files:
+            return spark.read.format("binaryFile").load(path).where("false").withColumn("shard", F.lit(0).cast("long"))
+    shard = F.regexp_extract("path", r"/part-(\d+)-[^/]*$", 1).cast("long")
+    return spark.read.format("binaryFile").load(files).withColumn("shard", shard)
+
+
+def shard_objects(spark: SparkSession, path: str, shard_seqs: int = 32768, start: int = 0, stop: int | None = None) -> DataFrame:
     """(shard, path, length) of the objects that hold slots start..stop; their content is not read."""
     return _shards(spark, path, shard_seqs, start, stop).select("shard", "path", "length")
 
@@ -190,7 +198,7 @@ def read_record(stream, k: int, seq_len: int = 1024, id_bytes: int = 1) -> tuple
     return None if n & NO_KEY else owner, seq, found[: n & ~NO_KEY]
 
 
-def read_slots(spark: SparkSession, path: str, seq_len: int = 1024, shard_seqs: int = 8192, id_bytes: int = 1, start: int = 0, stop: int | None = None) -> DataFrame:
+def read_slots(spark: SparkSession, path: str, seq_len: int = 1024, shard_seqs: int = 32768, id_bytes: int = 1, start: int = 0, stop: int | None = None) -> DataFrame:
     """(slot, shard, offset, doc_id, seq, n_tokens, ids) of slots start..stop; only their shards are read.
 
     A task holds one shard at a time, so shard_seqs bounds its memory.
