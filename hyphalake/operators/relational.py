@@ -29,14 +29,20 @@ def best_row(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int =
 def bh_qvalues(df: DataFrame, p: str = "pvalue", by: Sequence[str] = (), out: str = "qvalue") -> DataFrame:
     """Benjamini-Hochberg step-up q-values in each group of tests; a null p takes no part and gets null.
 
-    Tied p-values get equal q-values whatever their order, as the running minimum is over p's ranges.
+    Tied p-values get equal q-values whatever their order: ranks and the running minimum from the largest p
+    down are taken over the distinct p-values, which are counted before they meet, and joined back.
     """
-    w = Window.partitionBy(*by, F.col(p).isNull())
-    rank = F.count(p).over(w.orderBy(p).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    raw = F.col(p) * F.count(p).over(w) / rank
-    stepped = df.withColumn("_raw", raw)
-    low = F.min("_raw").over(w.orderBy(p).rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    return stepped.withColumn(out, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), low))).drop("_raw")
+    keys = [f"_by{k}" for k in range(len(by))]
+    n = df.where(F.col(p).isNotNull()).groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys)
+    rank = F.sum("_n").over(w.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    n = n.withColumn("_raw", F.col("_p") * F.sum("_n").over(w) / rank)
+    low = F.min("_raw").over(w.orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    n = n.select(*keys, "_p", F.least(F.lit(1.0), low).alias("_q"))
+    on = F.col(p) == F.col("_p")
+    for c, k in zip(by, keys):
+        on = on & F.col(c).eqNullSafe(F.col(k))
+    return df.join(n, on, "left").withColumn(out, F.col("_q")).drop(*keys, "_p", "_q")
 
 
 def share(df: DataFrame, by: Sequence[str], within: Sequence[str] = (), out: str = "pct") -> DataFrame:
