@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, mixing, quality, secret_scan, simhash, token_store
+from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, merkle, mixing, quality, secret_scan, simhash, token_store
 from hyphalake.session import ship
 
 
@@ -70,7 +70,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("row")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality)}
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality, op13_merkle)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""
@@ -79,4 +83,28 @@ g AS (SELECT z, arg_min(doc_id, struct_pack(a := -n, b := doc_id)) AS keep_id, c
 SELECT t.doc_id, g.keep_id, CAST(g.group_size AS BIGINT) AS group_size, t.doc_id = g.keep_id AS kept, sha256(t.z) AS text_sha256
 FROM t JOIN g ON t.z = g.z
 """,
+    "op13_merkle": r"""
+WITH RECURSIVE rows_ AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, source, lang, n_chars, text,
+  xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: [CAST(ascii(d) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) AS crc FROM documents),
+leaves AS (SELECT doc_id, tree, sha256({fields} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  sha256({fields} || CASE WHEN crc % 3 = 0 THEN coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') ELSE coalesce(strlen(text) || ':' || text, '-') END) AS now FROM rows_),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+low AS (SELECT tree, 0 AS k, pos, n, leaf AS h FROM placed
+  UNION ALL SELECT tree, k + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, k, pos // 8),
+subs AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (SELECT 0 AS k, pos, n, h FROM subs
+  UNION ALL SELECT k + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY k, pos // 8),
+nodes AS (SELECT tree, k, pos // 8 AS up, list(h ORDER BY pos) AS c FROM low WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT NULL, k, pos // 8, list(h ORDER BY pos) FROM high WHERE n > 1 GROUP BY ALL),
+walk AS (SELECT doc_id, leaf, tree, 0 AS k, pos, n, '' AS sibs, now AS f FROM placed
+  UNION ALL SELECT w.doc_id, w.leaf, w.tree, w.k + 1, w.pos // 8, (w.n + 7) // 8,
+    w.sibs || array_to_string(c[1:w.pos % 8], '') || array_to_string(c[w.pos % 8 + 2:], ''), sha256(array_to_string(c[1:w.pos % 8], '') || w.f || array_to_string(c[w.pos % 8 + 2:], ''))
+    FROM walk w JOIN nodes ON nodes.tree = w.tree AND nodes.k = w.k AND nodes.up = w.pos // 8 WHERE w.n > 1),
+rise AS (SELECT w.doc_id, w.leaf, 0 AS k, s.pos, s.n, w.sibs, w.f, s.h AS subroot FROM walk w JOIN subs s ON s.tree = w.tree WHERE w.n = 1
+  UNION ALL SELECT r.doc_id, r.leaf, r.k + 1, r.pos // 8, (r.n + 7) // 8,
+    r.sibs || array_to_string(c[1:r.pos % 8], '') || array_to_string(c[r.pos % 8 + 2:], ''), sha256(array_to_string(c[1:r.pos % 8], '') || r.f || array_to_string(c[r.pos % 8 + 2:], '')), r.subroot
+    FROM rise r JOIN nodes ON nodes.tree IS NULL AND nodes.k = r.k AND nodes.up = r.pos // 8 WHERE r.n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(sibs) AS proof_sha256, f AS folded_root, f = root AS verified FROM rise, (SELECT h AS root FROM high WHERE n = 1) WHERE n = 1
+""".replace("{fields}", " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars"))),
 }
