@@ -116,6 +116,7 @@ def manifest(rows: DataFrame, group: str, key: str, leaf: str, carry: Sequence[s
     """
     scratch = Scratch(rows.sparkSession, "merkle")
     plain = rows.select(F.coalesce(F.concat(F.lit("+"), F.col(group)), F.lit("")).alias("tree"), F.col(key).alias("key"), F.col(leaf).alias("hash"), F.struct(F.col(key).alias("key"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]).alias("item"), F.monotonically_increasing_id().alias("row"))
+    plain = scratch.keep(plain, "read")  # sorting looks at its rows twice, and texts are to be read once
     leaves = scratch.keep(ranked(plain, ["key", "hash", "row"], scratch, "leaves").select("tree", "pos", "n", "hash", "item"), "nodes/level=0")
     levels = climb(leaves, scratch, "nodes", fanout)
     subroots = tops(levels).select(F.lit("").alias("tree"), F.col("tree").alias("group"), "hash", F.col("tree").alias("item"))

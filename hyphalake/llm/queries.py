@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, merkle, mixing, quality, secret_scan, simhash, token_store
+from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, merkle, mixing, quality, secret_scan, simhash, token_align, token_store
 from hyphalake.session import ship
 
 
@@ -70,11 +70,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("row")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))[0]
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality, op13_merkle)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality, op11_align, op13_merkle)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""
