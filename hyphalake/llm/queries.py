@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, merkle, mixing, quality, secret_scan, simhash, token_align, token_store
+from hyphalake.llm import bpe, cdc, exact_dedup, html_layout, iblt, merkle, minhash, mixing, quality, secret_scan, simhash, token_align, token_store
 from hyphalake.session import ship
 
 
@@ -74,11 +74,15 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.align(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))[0]
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality, op11_align, op13_merkle)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_token_store, op3_simhash, op4_secret_scan, op5_exact_dedup, op6_html_layout, op7_substring_dedup, op8_bpe, op9_iblt, op10_quality, op11_align, op12_minhash, op13_merkle)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""
@@ -86,6 +90,18 @@ WITH t AS (SELECT doc_id, coalesce(length(text), 0) AS n, translate(coalesce(tex
 g AS (SELECT z, arg_min(doc_id, struct_pack(a := -n, b := doc_id)) AS keep_id, count(*) AS group_size FROM t GROUP BY z)
 SELECT t.doc_id, g.keep_id, CAST(g.group_size AS BIGINT) AS group_size, t.doc_id = g.keep_id AS kept, sha256(t.z) AS text_sha256
 FROM t JOIN g ON t.z = g.z
+""",
+    "op12_minhash": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+x AS (SELECT doc_id, unnest(s) AS h FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS z FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.z),
+m AS (SELECT doc_id, min(z) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m USING (doc_id)
 """,
     "op13_merkle": r"""
 WITH RECURSIVE rows_ AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, source, lang, n_chars, text,
