@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hyphalake.functions.special import binomial_test, chi2_even_sf, clopper_pearson
-from hyphalake.operators.relational import best_row, bh_qvalues
+from hyphalake.operators.relational import average_ranks, best_row, bh_qvalues
+from hyphalake.sources.shared import kept
 
 
 def shared_member_map(left: DataFrame, right: DataFrame, member: Sequence[str], a: str = "og", b: str = "combined_og") -> DataFrame:
@@ -95,14 +96,8 @@ def _z(p: Column) -> Column:
 
 def direction_agreement(pairs: DataFrame, a: str = "beta_a", b: str = "beta_b", by: Sequence[str] = ()) -> DataFrame:
     """Sign agreement of paired effects with exact p and interval, Pearson and Spearman correlation."""
-    used = pairs.where((F.col(a) != 0) & (F.col(b) != 0))
-    w = Window.partitionBy(*by)
-
-    def rank(c: str) -> Column:
-        here = Window.partitionBy(*by).orderBy(c)
-        return F.rank().over(here) + (F.count(F.lit(1)).over(Window.partitionBy(*by, c)) - 1) / 2.0
-
-    ranked = used.withColumn("_ra", rank(a)).withColumn("_rb", rank(b)).withColumn("_n", F.count(F.lit(1)).over(w))
+    used = kept(pairs.where((F.col(a) != 0) & (F.col(b) != 0)), "pairs")
+    ranked = average_ranks(average_ranks(used, a, "_ra", by), b, "_rb", by)
     stats = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.signum(a) == F.signum(b)).alias("n_same"), F.corr(a, b).alias("pearson"), F.corr("_ra", "_rb").alias("spearman"))
 
     @F.pandas_udf("p double, low double, high double")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hyphalake.sources.shared import kept
+
 
 def resolve_columns(df: DataFrame, aliases: dict[str, Sequence[str]], fill: Column | None = None) -> DataFrame:
     """One column a name: the first of its candidates that df has, compared without case and punctuation; else fill."""
@@ -26,19 +28,67 @@ def best_row(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int =
     return out if rank else out.drop(name)
 
 
+def cut_points(df: DataFrame, value: str, parts: int = 64) -> list:
+    """At most parts - 1 values that cut df's about evenly; none where a part would have fewer than a thousand rows."""
+    share = [k / parts for k in range(1, parts)]
+    found = df.agg(F.count(value).alias("n"), F.approx_percentile(value, share, 1000).alias("q")).first()
+    few = min(parts, (found.n or 0) // 1000)
+    return sorted(set((found.q or [])[parts // few - 1 :: parts // few])) if few > 1 else []
+
+
+def _part(value: str, cuts: list) -> Column:
+    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(value))) if cuts else F.lit(0)
+
+
+def cumulative(counts: DataFrame, keys: Sequence[str], value: str, n: str, cuts: list) -> DataFrame:
+    """counts (keys, value, n), a row a distinct value, with _part, _upto (n summed over values up to it) and _total.
+
+    Two passes: sums of n by part of the values' range, then sums within each part, so that no task sorts
+    more than a part of a group.
+    """
+    parted = counts.withColumn("_part", _part(value, cuts))
+    group = Window.partitionBy(*keys)
+    sums = parted.groupBy(*keys, "_part").agg(F.sum(n).alias("_s"))
+    sums = sums.select(*[F.col(k).alias(f"_{k}_") for k in keys], F.col("_part").alias("_p_"), (F.sum("_s").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_s")).alias("_before"), F.sum("_s").over(group).alias("_total"))
+    within = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return _met(parted, sums, keys).withColumn("_upto", F.col("_before") + F.sum(n).over(within)).drop("_before")
+
+
+def _met(parted: DataFrame, of_parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    on = F.col("_part") == F.col("_p_")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}_"))
+    return parted.join(of_parts, on).drop("_p_", *[f"_{k}_" for k in keys])
+
+
+def average_ranks(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
+    """df with the rank of each value in its group, ties at the mean of their places."""
+    counts = df.groupBy(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)], F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [f"_by{k}" for k in range(len(by))]
+    ranks = cumulative(counts, keys, "_v", "_n", cut_points(df, value)).select(*keys, "_v", (F.col("_upto") - (F.col("_n") - 1) / 2.0).alias(out))
+    on = F.col(value).eqNullSafe(F.col("_v"))
+    for c, k in zip(by, keys):
+        on = on & F.col(c).eqNullSafe(F.col(k))
+    return df.join(ranks, on).drop(*keys, "_v")
+
+
 def bh_qvalues(df: DataFrame, p: str = "pvalue", by: Sequence[str] = (), out: str = "qvalue") -> DataFrame:
     """Benjamini-Hochberg step-up q-values in each group of tests; a null p takes no part and gets null.
 
     Tied p-values get equal q-values whatever their order: ranks and the running minimum from the largest p
-    down are taken over the distinct p-values, which are counted before they meet, and joined back.
+    down are taken over the distinct p-values, which are counted before they meet, and joined back.  Both
+    are made in parts of the range of p, each with what the parts before or behind it come to, so that a
+    group with most of the tests, or the only one, is not one task.
     """
+    df = kept(df, "tests")
     keys = [f"_by{k}" for k in range(len(by))]
-    n = df.where(F.col(p).isNotNull()).groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys)
-    rank = F.sum("_n").over(w.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    n = n.withColumn("_raw", F.col("_p") * F.sum("_n").over(w) / rank)
-    low = F.min("_raw").over(w.orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    n = n.select(*keys, "_p", F.least(F.lit(1.0), low).alias("_q"))
+    counts = df.where(F.col(p).isNotNull()).groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    raw = cumulative(counts, keys, "_p", "_n", cut_points(df, p)).withColumn("_raw", F.col("_p") * F.col("_total") / F.col("_upto"))
+    behind = Window.partitionBy(*keys).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    lows = raw.groupBy(*keys, "_part").agg(F.min("_raw").alias("_m"))
+    lows = lows.select(*[F.col(k).alias(f"_{k}_") for k in keys], F.col("_part").alias("_p_"), F.min("_m").over(behind).alias("_low"))
+    within = Window.partitionBy(*keys, "_part").orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0)
+    n = _met(raw, lows, keys).select(*keys, "_p", F.least(F.lit(1.0), F.min("_raw").over(within), "_low").alias("_q"))
     on = F.col(p) == F.col("_p")
     for c, k in zip(by, keys):
         on = on & F.col(c).eqNullSafe(F.col(k))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -13,16 +12,12 @@ from hyphalake.plans.base import Tables, query, rounded
 from hyphalake.plans.joins import RESULTS, results
 from hyphalake.plans.statistics import FITCH, features, grm, region_tree, tip_states
 from hyphalake.sources import store
+from hyphalake.sources.shared import shared_folder
 
 
 def folder(t: Tables) -> str:
-    """A folder of this run where sinks may write: the shared one, or a local one where all run on one machine, as in tests."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if t.spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='hyphalake-')}"
-    return f"{root.rstrip('/')}/sinks-{uuid.uuid4().hex}"
+    """A folder of this run where sinks may write."""
+    return f"{shared_folder(t.spark)}/sinks-{uuid.uuid4().hex}"
 
 
 YATES = """WITH g AS (SELECT s_suppkey AS sample, (n_regionkey >= 3)::INT AS is_case FROM supplier JOIN nation ON s_nationkey = n_nationkey), n AS (SELECT sum(is_case) AS n1, count(*) AS n FROM g),

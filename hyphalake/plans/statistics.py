@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hyphalake.operators import association, burden, convergence, enrichment, kinship, pangenome, relational, tree
+from hyphalake.operators import association, burden, convergence, enrichment, gram, kinship, pangenome, relational, tree
 from hyphalake.plans.aggregates import classes
 from hyphalake.plans.base import Tables, query, rounded
 from hyphalake.plans.joins import RESULTS, results
@@ -135,13 +135,13 @@ GRM = """WITH v AS (SELECT vec_id AS s, generate_subscripts(embedding, 1) AS pos
 z AS (SELECT s, pos, (x - avg(x) OVER (PARTITION BY pos)) / (stddev_pop(x) OVER (PARTITION BY pos) + 1e-10) AS z FROM v), g AS (SELECT a.s AS i, b.s AS j, sum(a.z * b.z) / count(*) AS v FROM z a JOIN z b ON a.pos = b.pos GROUP BY 1, 2)"""
 
 
-def grm(t: Tables) -> DataFrame:
-    return kinship.gram(t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")), "vec_id", "embedding")
+def grm(t: Tables) -> gram.Blocks:
+    return gram.of_vectors(t.embeddings, "vec_id", "embedding")
 
 
 @query("t20_relationship", f"{GRM} SELECT i, j, round(v, 6) + 0.0 AS v FROM g")
 def t20(t: Tables) -> DataFrame:
-    return rounded(grm(t), "v").withColumn("v", F.col("v") + F.lit(0.0))  # no signed zeros
+    return rounded(grm(t).pairs(), "v").withColumn("v", F.col("v") + F.lit(0.0))  # no signed zeros
 
 
 @query("t19_principal_components")
@@ -162,7 +162,7 @@ def t31(t: Tables) -> DataFrame:
 
 
 def lmm_inputs(t: Tables) -> tuple[DataFrame, list, np.ndarray, np.ndarray]:
-    names, k = kinship.matrix(kinship.relationship(kinship.standardised(t.pav().select(F.col("genome").alias("sample"), F.col("og").alias("pos")).join(t.lineitem.groupBy(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("pos")).agg(F.count(F.lit(1)).cast("double").alias("code")), ["sample", "pos"]))))
+    names, k = kinship.matrix(gram.of_sites(kinship.standardised(t.pav().select(F.col("genome").alias("sample"), F.col("og").alias("pos")).join(t.lineitem.groupBy(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("pos")).agg(F.count(F.lit(1)).cast("double").alias("code")), ["sample", "pos"]))))
     kinds = {r.genome: int(r.species in ("ASIA", "EUROPE")) for r in t.genomes().collect()}
     features = t.lineitem.groupBy(F.col("l_partkey").alias("feature"), F.col("l_suppkey").alias("sample")).agg(F.count(F.lit(1)).alias("value"))
     return features, names, np.array([kinds[s] for s in names], float), k + 0.01 * np.eye(len(names))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hyphalake.functions import rules, special, terms, text
-from hyphalake.operators import association, burden, kinship, pangenome, tree
+from hyphalake.operators import association, burden, gram, kinship, pangenome, tree
 
 
 def one(spark, **cols):
@@ -203,10 +203,10 @@ def test_grm_matches_numpy(spark):
     rng = np.random.default_rng(4)
     m = rng.normal(size=(6, 9))
     df = spark.createDataFrame([(i, m[i].tolist()) for i in range(6)], "s int, v array<double>")
-    names, k = kinship.matrix(kinship.gram(df, "s", "v"))
+    names, k = kinship.matrix(gram.of_vectors(df, "s", "v"))
     z = (m - m.mean(axis=0)) / (m.std(axis=0) + 1e-10)
     assert names == list(range(6)) and np.allclose(k, z @ z.T / 9)
-    pcs = kinship.principal_components(kinship.gram(df, "s", "v"), 3).toPandas()
+    pcs = kinship.principal_components(gram.of_vectors(df, "s", "v"), 3).toPandas()
     assert pcs.shape == (6, 4)
 
 
