@@ -73,6 +73,12 @@ def o10(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(k, int(s)) for k, s in enumerate(order)], "place int, sample long")
 
 
+@query("g8_linkage")
+def g8(t: Tables) -> DataFrame:
+    names, m = kinship.matrix(grm(t))
+    return kinship.linkage_table(t.spark, names, m.max() - m)
+
+
 @query("u7_layer_union", "SELECT l_partkey AS og FROM lineitem WHERE l_returnflag = 'A' UNION SELECT l_partkey FROM lineitem WHERE l_linestatus = 'O' AND l_tax > 0.05")
 def u7(t: Tables) -> DataFrame:
     a = t.lineitem.where("l_returnflag = 'A'").select(F.col("l_partkey").alias("og"))

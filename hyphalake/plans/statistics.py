@@ -6,10 +6,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hyphalake.operators import association, burden, convergence, enrichment, gram, kinship, pangenome, relational, tree
+from hyphalake.operators import association, burden, clusters, convergence, enrichment, gram, kinship, pangenome, relational, tree
 from hyphalake.plans.aggregates import classes
 from hyphalake.plans.base import Tables, query, rounded
 from hyphalake.plans.joins import RESULTS, results
+from hyphalake.sources.shared import kept
 
 #: Counts of terms by class: {members} and the terms of each part, with margins and Fisher's p by summing tables.
 COUNTS = """WITH {members},
@@ -155,10 +156,44 @@ def g7(t: Tables) -> DataFrame:
     return kinship.mash_pairs(sketch, "doc_id").where("distance < 0.05")
 
 
+def distances(t: Tables) -> DataFrame:
+    """Rows of the distances 1 - v of the relationship matrix, the diagonal 0."""
+
+    def made(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        rows = 1 - rows
+        rows[np.arange(len(at)), at] = 0
+        return rows
+
+    return kept(grm(t).rows(made), "distances")
+
+
+#: Customers of one nation and segment whose balances lie within 100 of each other stand for close genomes.
+CLOSE = """WITH RECURSIVE c AS (SELECT c_custkey AS k, c_nationkey AS n, c_mktsegment AS m, c_acctbal AS v FROM customer),
+p AS (SELECT x.k AS a, y.k AS b, x.n, x.m FROM c x JOIN c y ON x.n = y.n AND x.m = y.m AND x.k <> y.k AND abs(x.v - y.v) <= 100),
+nb AS (SELECT a, any_value(p.n) AS n, any_value(p.m) AS m, list_prepend(struct_pack(q := any_value(-x.v), k := a), list(struct_pack(q := -y.v, k := b))) AS near FROM p JOIN c x ON x.k = a JOIN c y ON y.k = b GROUP BY a),
+o AS (SELECT *, row_number() OVER (PARTITION BY n, m ORDER BY a) AS i FROM nb),
+w AS (SELECT n, m, 0::BIGINT AS i, []::STRUCT(k BIGINT, best BIGINT)[] AS gone FROM o GROUP BY n, m
+  UNION ALL SELECT w.n, w.m, w.i + 1, CASE WHEN list_contains(list_transform(gone, lambda g: g.k), o.a) THEN gone ELSE (SELECT gone || list_transform(list_filter(free, lambda x: x.k <> free[1].k), lambda x: struct_pack(k := x.k::BIGINT, best := free[1].k::BIGINT)) FROM (SELECT list_sort(list_filter(near, lambda x: NOT list_contains(list_transform(gone, lambda g: g.k), x.k))) AS free)) END
+  FROM w JOIN o ON o.n = w.n AND o.m = w.m AND o.i = w.i + 1),
+g AS (SELECT unnest(arg_max(gone, i)) AS g FROM w GROUP BY n, m)
+SELECT a AS key, coalesce(g.best, a) AS representative, g.k IS NULL AS kept FROM o LEFT JOIN g ON g.k = a"""
+
+
+@query("a36_duplicate_clusters", CLOSE)
+def a36(t: Tables) -> DataFrame:
+    c = t.customer.select(F.col("c_custkey").alias("key"), "c_nationkey", "c_mktsegment", F.col("c_acctbal").alias("start"), (F.col("c_acctbal") + 100).alias("end"))
+    close = relational.interval_overlap(c, c.select("key", "c_nationkey", "c_mktsegment", "start", F.col("start").alias("end")), ["c_nationkey", "c_mktsegment"], bin_size=1000)
+    return kinship.duplicate_clusters(close.select(F.col("key").alias("a"), F.col("key_r").alias("b")), t.customer.select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("quality")))
+
+
 @query("t31_kmeans")
 def t31(t: Tables) -> DataFrame:
-    pairs_ = grm(t).select(F.col("i").cast("string").alias("i"), F.col("j").cast("string").alias("j"), F.when(F.col("i") == F.col("j"), 0.0).otherwise(1 - F.col("v")).alias("v"))
-    return kinship.kmeans_rows(pairs_, 4)
+    return clusters.kmeans(distances(t), [4])[0].select(F.col("i").cast("string").alias("i"), "cluster")
+
+
+@query("t31_cluster_choice")
+def t31_choice(t: Tables) -> DataFrame:
+    return clusters.cluster_choice(distances(t))
 
 
 def lmm_inputs(t: Tables) -> tuple[DataFrame, list, np.ndarray, np.ndarray]:

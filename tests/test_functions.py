@@ -193,7 +193,6 @@ def test_similarity(spark):
     assert kinship.elbow([2, 3, 4, 5], [100, 40, 35, 33]) == 3
     assert kinship.choose_k([2, 3, 4, 5], [100, 40, 35, 33], [0.3, 0.6, 0.2, 0.1], 50) == (3, "agree")
     assert kinship.choose_k([2, 3, 4, 5], [100, 40, 35, 33], [0.3, 0.32, 0.35, 0.3], 50)[1] == "flat silhouette"
-    assert kinship.greedy_representatives([("a", "b"), ("b", "c")], {"b": 3, "a": 2, "c": 1}) == {"b": "b", "a": "b", "c": "b"}
     df = spark.createDataFrame([(1, "abcdefghij" * 9), (2, "abcdefghij" * 9), (3, "z" * 90)], "k int, t string")
     got = [(r.a, r.b, r.distance) for r in kinship.mash_pairs(kinship.kmer_sketch(df, "k", "t", 5, 50), "k", 5).collect()]
     assert got == [(1, 2, 0.0)]
