@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hyphalake.functions.special import binomial_test, chi2_even_sf, clopper_pearson
-from hyphalake.operators.relational import average_ranks, best_row, bh_qvalues
+from hyphalake.operators.relational import average_ranks, best_row, bh_qvalues, item_pairs
 from hyphalake.sources.shared import kept
 
 
@@ -109,10 +110,27 @@ def direction_agreement(pairs: DataFrame, a: str = "beta_a", b: str = "beta_b",
 
 
 def random_sets(background: DataFrame, size: int, n_perm: int, seed: str, item: str = "og") -> DataFrame:
-    """(perm, item): for each permutation the items with the smallest keyed digests, so draws repeat on every run."""
-    each = background.select(item).distinct().withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
-    w = Window.partitionBy("perm").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col("perm").cast("string"), F.col(item).cast("string"))), item)
-    return each.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= size).select("perm", item)
+    """(perm, item): for each permutation the items with the smallest keyed digests, so draws repeat on every run.
+
+    Digests are uniform, so those below a threshold that leaves a few more than ``size`` hold the smallest: all
+    others are dropped where they are made, and only what is left is sorted, permutation by permutation.  A
+    permutation with too few below it, which a margin of eight deviations makes all but impossible, has all
+    drawn again with a wider one.
+    """
+    each = kept(background.select(item).distinct(), "background")
+    n, margin = each.count(), 8.0
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("perm").cast("string"), F.col(item).cast("string")))
+    while True:
+        part = (size + margin * math.sqrt(size) + 2 * margin) / max(n, 1)
+        drawn = each.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1)))).withColumn("_h", digest)
+        if part < 1:
+            drawn = drawn.where(F.col("_h") < f"{int(part * 2**64):016x}")
+        drawn = kept(drawn, "drawn")
+        if part >= 1 or drawn.groupBy("perm").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= size).count() == n_perm:
+            break
+        margin *= 4
+    w = Window.partitionBy("perm").orderBy("_h", item)
+    return drawn.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= size).select("perm", item)
 
 
 def overlap_null(background_a: DataFrame, background_b: DataFrame, n_a: int, n_b: int, n_perm: int, item: str = "og", seed: str = "42") -> DataFrame:
@@ -136,9 +154,9 @@ def term_jaccard_null(terms: DataFrame, sets_a: DataFrame, sets_b: DataFrame, it
     return both.groupBy("perm", "layer").agg((F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()) / F.count(F.lit(1))).alias("jaccard"))
 
 
-def shared_between_families(members: DataFrame, family: str = "family", item: str = "og", group: str = "species") -> DataFrame:
-    """Common items of every two families of different groups, by an equi join on the item."""
-    m = members.select(group, family, item).distinct()
-    x, y = m.alias("x"), m.alias("y")
-    both = x.join(y, (F.col(f"x.{item}") == F.col(f"y.{item}")) & (F.col(f"x.{group}") < F.col(f"y.{group}")))
-    return both.groupBy(F.col(f"x.{family}").alias("family_a"), F.col(f"y.{family}").alias("family_b")).agg(F.count(F.lit(1)).alias("n_shared"))
+def shared_between_families(members: DataFrame, family: str = "family", item: str = "og", group: str = "species", heavy: int = 1000) -> DataFrame:
+    """Common items of every two families of different groups, a pair in the order of the groups; items in very many
+    families are dealt over keys of their own."""
+    m = kept(members.select(F.struct(F.col(group).alias("g"), F.col(family).alias("f")).alias("of"), F.col(item).alias("item")).distinct(), "members")
+    both = item_pairs(m, "item", "of", heavy).where("of_a.g <> of_b.g")
+    return both.groupBy(F.col("of_a.f").alias("family_a"), F.col("of_b.f").alias("family_b")).agg(F.count(F.lit(1)).alias("n_shared"))

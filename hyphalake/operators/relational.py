@@ -127,11 +127,56 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) ->
     return every.join(seen, "bin", "left").select("bin", (F.lit(low) + F.col("bin") * ((high - low) / bins)).alias("start"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def jaccard_by_pair(members: DataFrame, group: str, item: str) -> DataFrame:
-    """Jaccard index of every two groups that share an item, from (group, item) rows."""
+def item_pairs(rows: DataFrame, item: str, group: str, heavy: int = 1000) -> DataFrame:
+    """Pairs of rows of different groups that hold the same item, columns with suffix _a and _b, group_a < group_b.
+
+    A group has an item once.  An item in more than ``heavy`` groups is dealt to parts, and each pair of parts is
+    a key of its own, so no key meets more than twice ``heavy`` rows, whatever the item's frequency.
+    """
+    often = rows.groupBy(item).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > heavy).select(F.col(item).alias("_i"), F.ceil(F.col("_m") / heavy).cast("int").alias("_q"))
+    dealt = rows.join(often, F.col(item) == F.col("_i"), "left").withColumn("_q", F.coalesce("_q", F.lit(1))).withColumn("_p", F.pmod(F.xxhash64(group), F.col("_q")).cast("int"))
+    cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("_q") - 1), lambda j: F.struct(F.least("_p", j).alias("x"), F.greatest("_p", j).alias("y"))))
+    dealt = dealt.withColumn("_c", cell).select(*rows.columns, "_p", F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y"))
+    one, two = (dealt.select([F.col(c).alias(f"{c}_{s}") for c in dealt.columns]) for s in "ab")
+    same = (F.col(f"{item}_a") == F.col(f"{item}_b")) & (F.col("_x_a") == F.col("_x_b")) & (F.col("_y_a") == F.col("_y_b"))
+    apart = (F.col("_x_a") == F.col("_y_a")) | (F.col("_p_a") != F.col("_p_b"))
+    return one.join(two, same & apart & (F.col(f"{group}_a") < F.col(f"{group}_b"))).drop(*[f"{c}_{s}" for c in ("_p", "_x", "_y") for s in "ab"])
+
+
+def similar_sets(sets: DataFrame, least: float, heavy: int = 1000) -> DataFrame:
+    """(a, b, shared, n_a, n_b) of all pairs of sets (key, items) whose Jaccard index is ``least`` (above 0) or more.
+
+    Sets within the limit share an item among the rarest of each, as many as leave too few for the least
+    overlap (a prefix filter), so an item that most sets hold is never joined, and items of one set only are
+    dropped before.  What the prefixes share and the rest could bounds the overlap; the exact one is taken for
+    pairs that pass.
+    """
+    own = kept(sets.select("key", "items", F.size("items").alias("n")).where("n > 0"), "sets")
+    items = own.select("key", "n", F.explode("items").alias("item"))
+    several = items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    by = Window.partitionBy("key")
+    ranked = items.join(several, "item").withColumn("m", F.count(F.lit(1)).over(by)).withColumn("r", F.row_number().over(by.orderBy("df", "item")))
+    prefix = F.greatest(F.lit(0), F.col("m") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1)
+    rare = kept(ranked.withColumn("p", prefix).where("r <= p").select("key", "item", "n", (F.col("m") - F.col("p")).alias("rest")), "rare")
+    met = item_pairs(rare, "item", "key", heavy).where(F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b") - 1e-9)
+    met = met.groupBy("key_a", "key_b").agg(F.count(F.lit(1)).alias("c"), F.first(F.col("n_a") + F.col("n_b")).alias("n"), F.first(F.greatest("rest_a", "rest_b")).alias("rest"))
+    asked = kept(met.where(F.col("c") + F.col("rest") >= F.lit(least / (1 + least)) * F.col("n") - 1e-9).select("key_a", "key_b"), "asked")
+    held = lambda s: own.select(F.col("key").alias(f"key_{s}"), F.col("items").alias(f"s_{s}"), F.col("n").alias(f"n_{s}"))
+    both = asked.join(held("a"), "key_a").join(held("b"), "key_b").withColumn("shared", F.size(F.array_intersect("s_a", "s_b")).cast("long"))
+    return both.where(F.col("shared") >= F.lit(least) * (F.col("n_a") + F.col("n_b") - F.col("shared")) - 1e-9).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "shared", "n_a", "n_b")
+
+
+def jaccard_by_pair(members: DataFrame, group: str, item: str, least: float = 0.0, heavy: int = 1000) -> DataFrame:
+    """(a, b, shared, jaccard) of every two groups that share an item, from (group, item) rows, or with ``least`` of
+    those alike by that at least, which does not meet the others."""
     m = members.select(F.col(group).alias("g"), F.col(item).alias("i")).distinct()
+    if least > 0:
+        sets = m.groupBy(F.col("g").alias("key")).agg(F.collect_list("i").alias("items"))
+        found = similar_sets(sets, least, heavy)
+        return found.select("a", "b", "shared", (F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("jaccard"))
+    m = kept(m, "members")
     size = m.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    both = m.alias("x").join(m.alias("y"), (F.col("x.i") == F.col("y.i")) & (F.col("x.g") < F.col("y.g"))).groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    both = item_pairs(m, "i", "g", heavy).groupBy(F.col("g_a").alias("a"), F.col("g_b").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     sized = both.join(size.select(F.col("g").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("g").alias("b"), F.col("n").alias("nb")), "b")
     return sized.select("a", "b", "shared", (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("jaccard"))
 

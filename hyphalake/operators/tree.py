@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hyphalake.sources.shared import kept
+
 EDGES = "node int, parent int, depth int, branch_length double, tip string"
 
 
@@ -145,6 +145,29 @@ class Walk:
                 losses += known & (own[k] < own[n])
         return gains, losses
 
+    def changes(self, present: np.ndarray) -> np.ndarray:
+        """Least changes of binary traits, from a row for each tip (in the order of tips) with a flag for each trait.
+
+        Two planes of bits, one for each state, hold the sets of all traits at a node.
+        """
+        m = present.shape[1]
+        bits = np.packbits(present, axis=1)
+        every = np.packbits(np.ones(m, bool))
+        planes: dict[int, tuple[np.ndarray, np.ndarray]] = {at: (~bits[k] & every, bits[k]) for k, at in enumerate(self.tips.values())}
+        out = np.zeros(m, np.int64)
+        for n in range(len(self.node) - 1, -1, -1):
+            below = [planes.pop(k) for k in self.kids[n] if k in planes]
+            if below:
+                (absent, some), *rest = below
+                any_absent, any_some = absent, some
+                for x, y in rest:
+                    absent, some, any_absent, any_some = absent & x, some & y, any_absent | x, any_some | y
+                clash = ~(absent | some) & every
+                planes[n] = absent | clash & any_absent, some | clash & any_some
+                if rest:
+                    out += np.unpackbits(clash, count=m)
+        return out
+
 
 def _by_trait(traits: DataFrame, states: DataFrame, trait: str) -> DataFrame:
     """(trait, states): the tips' states of each trait in one row, which the number of tips bounds."""
@@ -220,25 +243,41 @@ def fitch_changes(nodes: list[tuple], state: dict[str, int]) -> int:
     return changes
 
 
-def clumping(spark: SparkSession, newick: str, state: dict[str, int], n_perm: int = 1000, seed: int = 42) -> DataFrame:
-    """One row: D = (changes - expected clumped) / (mean of shuffled - expected clumped), and the shuffles' p.
+def clumping(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", n_perm: int = 1000, seed: int = 42, block: int = 256) -> DataFrame:
+    """(trait, observed, n_present, random_mean, clumped, D, p_random, p_brownian) of binary traits, absence where a tip has no row.
 
-    Shuffles are dealt over tasks by number; each has its own seed, so the result is the same on any cluster.
+    D = (changes - clumped) / (mean of shuffles - clumped), where clumped = n1 n0 / (2 n); p_random and
+    p_brownian are the shares of shuffles with at most and at least the observed changes.  A trait of one
+    class only has neither, and D is 0 where shuffles are clumped as well.
+
+    Shuffling a trait depends on its number of present tips alone, so the null is made once for each number
+    that occurs: at most one for each tip, whatever the number of traits.  Shuffles of a block are bits that
+    walk down the tree together; a block's draws depend on seed, number and block, so they repeat anywhere.
     """
-    nodes = parse_newick(newick)
-    tips = sorted(state)
-    seen = fitch_changes(nodes, state)
-    n, n1 = len(tips), sum(state.values())
+    walk = Walk(edges)
+    n = len(walk.tips)
+    tips = edges.where("tip is not null").select("tip").distinct()
+    present = states.where("state = 1").join(F.broadcast(tips), "tip", "left_semi").groupBy(trait).agg(F.countDistinct("tip").alias("n_present"))
+    seen = parsimony(edges, traits, states, trait).join(present, trait, "left").select(trait, F.col("changes").alias("observed"), F.coalesce("n_present", F.lit(0)).cast("long").alias("n_present"))
+    seen = kept(seen, "observed")
+    blocks = -(-n_perm // block)
+    todo = seen.where((F.col("n_present") > 0) & (F.col("n_present") < n)).select("n_present").distinct().select("n_present", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for p in b["id"]:
-                values = [state[t] for t in tips]
-                random.Random(seed * 1_000_003 + int(p)).shuffle(values)
-                out.append(fitch_changes(nodes, dict(zip(tips, values))))
-            yield pd.DataFrame({"changes": out})
-
-    null = spark.range(n_perm).mapInPandas(run, "changes int")
-    clumped = n1 * (n - n1) / n * 0.5 if n else 0.0
-    return null.agg(F.lit(seen).alias("observed"), F.avg("changes").alias("random_mean"), F.lit(clumped).alias("clumped"), F.try_divide(F.lit(float(seen)) - clumped, F.avg("changes") - clumped).alias("D"), (F.count_if(F.col("changes") <= seen) / F.count(F.lit(1))).alias("p_random"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for n1, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                m = min(block, n_perm - b * block)
+                order = np.argpartition(np.random.default_rng([seed, n1, b]).random((m, n)), n1 - 1, axis=1)[:, :n1]
+                has = np.zeros((n, m), bool)
+                has[order.T, np.arange(m)] = True
+                value, count = np.unique(walk.changes(has), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), n1)), pa.array(value), pa.array(count)], ["n_present", "changes", "c"])
+
+    null = todo.repartition("n_present", "b").mapInArrow(run, "n_present long, changes long, c long")
+    null = null.groupBy("n_present", "changes").agg(F.sum("c").alias("c")).groupBy("n_present").agg(F.collect_list(F.struct("changes", "c")).alias("h"))
+    total = lambda f: F.aggregate("h", F.lit(0.0), lambda t, x: t + f(x)) / n_perm
+    share = lambda keep: total(lambda x: F.when(keep(x["changes"]), x["c"]).otherwise(F.lit(0)).cast("double"))
+    out = seen.join(null, "n_present", "left").withColumn("random_mean", total(lambda x: (x["changes"] * x["c"]).cast("double"))).withColumn("clumped", F.when(F.col("h").isNotNull(), F.col("n_present") * (n - F.col("n_present")) / F.lit(2.0 * max(n, 1))))
+    gap = F.col("random_mean") - F.col("clumped")
+    d = F.when(F.abs(gap) < 1e-10, 0.0).otherwise((F.col("observed") - F.col("clumped")) / gap)
+    return out.select(trait, "observed", "n_present", "random_mean", "clumped", d.alias("D"), share(lambda c: c <= F.col("observed")).alias("p_random"), share(lambda c: c >= F.col("observed")).alias("p_brownian"))

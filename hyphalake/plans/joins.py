@@ -141,15 +141,15 @@ def j22(t: Tables) -> DataFrame:
 
 
 @query("j20_anchored_panel", """WITH h AS (SELECT l_suppkey, l_partkey, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_tax, l_partkey::VARCHAR) AS k, round(100.0 * l_quantity / 50, 6) AS qcov FROM lineitem),
-g AS (SELECT l_partkey AS og, max(CASE WHEN n_regionkey = 0 THEN 'Core' END) AS a, max(CASE WHEN n_regionkey = 1 THEN 'Core' END) AS b FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY l_partkey)
-SELECT l_suppkey AS gene, l_partkey AS og, qcov, s_name AS description, a AS class_0, b AS class_1, a AS native_class FROM h JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN g ON og = l_partkey WHERE k = 1""")
+g AS (SELECT l_partkey AS og, max(CASE WHEN n_regionkey = 0 THEN 'Core' END) AS a, max(CASE WHEN n_regionkey = 1 THEN 'Core' END) AS b, max(CASE WHEN n_regionkey = 2 THEN 'Core' END) AS c, max(CASE WHEN n_regionkey = 3 THEN 'Core' END) AS d, max(CASE WHEN n_regionkey = 4 THEN 'Core' END) AS e FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY l_partkey)
+SELECT l_suppkey AS gene, l_partkey AS og, qcov, s_name AS description, a AS class_0, b AS class_1, c AS class_2, d AS class_3, e AS class_4, a AS native_class FROM h JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN g ON og = l_partkey WHERE k = 1""")
 def j20(t: Tables) -> DataFrame:
     hits = t.lineitem.select(F.lit("0").alias("species"), F.col("l_suppkey").alias("qseqid"), F.col("l_partkey").cast("string").alias("sseqid"), F.lit(90.0).alias("pident"), F.col("l_quantity").alias("length"), F.lit(50).alias("qlen"), F.col("l_extendedprice").alias("bitscore"), F.col("l_tax").alias("evalue"))
     members = t.part.select(F.col("p_partkey").cast("string").alias("protein"), F.col("p_partkey").alias("og"))
     panel = t.supplier.select(F.lit("0").alias("species"), F.col("s_suppkey").alias("gene"), F.col("s_name").alias("description"))
-    classes = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")).where("n_regionkey < 2").select(F.col("l_partkey").alias("og"), F.col("n_regionkey").cast("string").alias("species"), F.lit("Core").alias("class")).distinct()
-    out = isolates.anchor_panel(panel, hits, members, classes, ["0", "1"])
-    return rounded(out.select("gene", "og", "qcov", "description", "class_0", "class_1", "native_class"), "qcov")
+    classes = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("l_partkey").alias("og"), F.col("n_regionkey").cast("string").alias("species"), F.lit("Core").alias("class")).distinct()
+    out = isolates.anchor_panel(panel, hits, members, classes, [*"01234"])
+    return rounded(out.select("gene", "og", "qcov", "description", *[f"class_{k}" for k in range(5)], "native_class"), "qcov")
 
 
 @query("j26_coordinates", """SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey / 2.0 WHEN s_nationkey < 10 THEN s_nationkey * 1.0 END AS lat, CASE WHEN s_suppkey % 3 = 0 THEN -s_suppkey / 4.0 WHEN s_nationkey < 10 THEN s_nationkey * 2.0 END AS lon, CASE WHEN s_suppkey % 3 = 0 THEN 'lat_lon' WHEN s_nationkey < 10 THEN 'manual' END AS coordinate_source FROM supplier""")

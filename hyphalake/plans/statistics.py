@@ -222,6 +222,17 @@ def t33(t: Tables) -> DataFrame:
     return burden.burden_models(cases.join(b, "sample"), ["contrast"], offset="size")
 
 
+@query("t33_kinship_control")
+def t33_kinship(t: Tables) -> DataFrame:
+    """Burden of rare features of suppliers with high balances, region by region, under the relatedness of their parts."""
+    copies = t.lineitem.groupBy(F.col("l_suppkey").alias("sample"), F.col("l_partkey").alias("pos")).agg(F.count(F.lit(1)).cast("double").alias("code"))
+    related = gram.of_sites(kinship.standardised(copies))
+    pcs = kinship.principal_components(related, 2).withColumn("sample", F.col("sample_id").cast("long"))
+    b = burden.genome_burden(t.pav(), classes(t), []).select(F.col("genome").alias("sample"), F.col("rare").alias("burden"))
+    rows = t.genomes().select(F.col("genome").alias("sample"), "species").join(t.supplier.select(F.col("s_suppkey").alias("sample"), (F.col("s_acctbal") > 4500).cast("int").alias("is_case")), "sample").join(b, "sample").join(pcs.drop("sample_id"), "sample")
+    return burden.kinship_control(rows, ["species"], related.pairs(), ["PC1", "PC2"])
+
+
 @query("t38_composition_outliers", "SELECT doc_id, lang, round(z, 6) AS z FROM (SELECT doc_id, lang, (g - avg(g) OVER (PARTITION BY lang)) / stddev_samp(g) OVER (PARTITION BY lang) AS z FROM (SELECT doc_id, lang, 100.0 * (length(text) - length(translate(text, 'GCgc', ''))) / length(text) AS g FROM documents WHERE length(text) > 0)) WHERE abs(z) > 2")
 def t38(t: Tables) -> DataFrame:
     from hyphalake.functions.text import gc_percent
@@ -283,7 +294,7 @@ def g5(t: Tables) -> DataFrame:
 
 @query("g2_clumping")
 def g2(t: Tables) -> DataFrame:
-    return tree.clumping(t.spark, "(((A:1,B:1):1,(C:1,D:1):1):1,((E:1,F:1):1,(G:1,H:1):1):1);", {"A": 1, "B": 1, "C": 1, "D": 1, "E": 0, "F": 0, "G": 0, "H": 0}, 1000)
+    return tree.clumping(region_tree(t), features(t), tip_states(t))
 
 
 @query("o4_strongest_terms", f"""{COUNTS}, o AS (SELECT layer, term, max(abs(greatest(-8.0, least(8.0, log2(greatest(CASE WHEN b * c > 0 THEN a * d / (b * c)::DOUBLE WHEN a * d > 0 THEN 'inf'::DOUBLE END, 1e-9)))))) AS effect FROM cells WHERE a >= 1 AND d >= 0 GROUP BY layer, term)

@@ -169,8 +169,15 @@ def u8(t: Tables) -> DataFrame:
     return rounded(relational.jaccard_by_pair(t.lineitem, "l_suppkey", "l_partkey"), "jaccard", digits=9)
 
 
-NULL = """a AS (SELECT perm, og FROM (SELECT perm, og, row_number() OVER (PARTITION BY perm ORDER BY md5('42a|' || perm || '|' || og), og) AS k FROM (SELECT DISTINCT l_partkey AS og FROM lineitem WHERE l_suppkey < 50), generate_series(0, 49) s(perm)) WHERE k <= 200),
-b AS (SELECT perm, og FROM (SELECT perm, og, row_number() OVER (PARTITION BY perm ORDER BY md5('42b|' || perm || '|' || og), og) AS k FROM (SELECT DISTINCT l_partkey AS og FROM lineitem WHERE l_suppkey >= 50), generate_series(0, 49) s(perm)) WHERE k <= 300)"""
+@query("u8_similar", """WITH m AS (SELECT DISTINCT doc_id AS g, unnest(string_split(text, ' ')) AS i FROM documents), s AS (SELECT g, count(*) AS n FROM m GROUP BY g), c AS (SELECT x.g AS a, y.g AS b, count(*) AS shared FROM m x JOIN m y ON x.i = y.i AND x.g < y.g GROUP BY 1, 2)
+SELECT a, b, shared, round(shared / (p.n + q.n - shared), 9) AS jaccard FROM c JOIN s p ON p.g = a JOIN s q ON q.g = b WHERE 2 * shared >= p.n + q.n - shared""")
+def u8_similar(t: Tables) -> DataFrame:
+    words = t.documents.select("doc_id", F.explode(F.split("text", " ")).alias("word"))
+    return rounded(relational.jaccard_by_pair(words, "doc_id", "word", least=0.5), "jaccard", digits=9)
+
+
+NULL = """a AS (SELECT perm, og FROM (SELECT perm, og, row_number() OVER (PARTITION BY perm ORDER BY md5('42a|' || perm || '|' || og), og) AS k FROM (SELECT DISTINCT l_partkey AS og FROM lineitem WHERE l_suppkey < 50), generate_series(0, 999) s(perm)) WHERE k <= 200),
+b AS (SELECT perm, og FROM (SELECT perm, og, row_number() OVER (PARTITION BY perm ORDER BY md5('42b|' || perm || '|' || og), og) AS k FROM (SELECT DISTINCT l_partkey AS og FROM lineitem WHERE l_suppkey >= 50), generate_series(0, 999) s(perm)) WHERE k <= 300)"""
 
 
 def backgrounds(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -179,14 +186,14 @@ def backgrounds(t: Tables) -> tuple[DataFrame, DataFrame]:
     return a, b
 
 
-@query("t26_overlap_null", f"WITH {NULL}, o AS (SELECT a.perm, count(*) AS overlap FROM a JOIN b ON a.perm = b.perm AND a.og = b.og GROUP BY a.perm) SELECT s.perm::INT AS perm, coalesce(overlap, 0) AS overlap FROM generate_series(0, 49) s(perm) LEFT JOIN o ON o.perm = s.perm")
+@query("t26_overlap_null", f"WITH {NULL}, o AS (SELECT a.perm, count(*) AS overlap FROM a JOIN b ON a.perm = b.perm AND a.og = b.og GROUP BY a.perm) SELECT s.perm::INT AS perm, coalesce(overlap, 0) AS overlap FROM generate_series(0, 999) s(perm) LEFT JOIN o ON o.perm = s.perm")
 def t26(t: Tables) -> DataFrame:
-    return convergence.overlap_null(*backgrounds(t), 200, 300, 50)
+    return convergence.overlap_null(*backgrounds(t), 200, 300, 1000)
 
 
-@query("t26_null_summary", f"WITH {NULL}, o AS (SELECT a.perm, count(*) AS overlap FROM a JOIN b ON a.perm = b.perm AND a.og = b.og GROUP BY a.perm), f AS (SELECT coalesce(overlap, 0) AS v FROM generate_series(0, 49) s(perm) LEFT JOIN o ON o.perm = s.perm) SELECT 32 AS observed, round(avg(v), 6) AS null_mean, round(stddev_samp(v), 6) AS null_sd, round(count(*) FILTER (v >= 32) / count(*), 6) AS p_empirical, round((count(*) FILTER (v >= 32) + 1) / (count(*) + 1), 6) AS p_corrected FROM f")
+@query("t26_null_summary", f"WITH {NULL}, o AS (SELECT a.perm, count(*) AS overlap FROM a JOIN b ON a.perm = b.perm AND a.og = b.og GROUP BY a.perm), f AS (SELECT coalesce(overlap, 0) AS v FROM generate_series(0, 999) s(perm) LEFT JOIN o ON o.perm = s.perm) SELECT 32 AS observed, round(avg(v), 6) AS null_mean, round(stddev_samp(v), 6) AS null_sd, round(count(*) FILTER (v >= 32) / count(*), 6) AS p_empirical, round((count(*) FILTER (v >= 32) + 1) / (count(*) + 1), 6) AS p_corrected FROM f")
 def t26_summary(t: Tables) -> DataFrame:
-    out = convergence.null_summary(convergence.overlap_null(*backgrounds(t), 200, 300, 50), 32)
+    out = convergence.null_summary(convergence.overlap_null(*backgrounds(t), 200, 300, 1000), 32)
     return rounded(out, "null_mean", "null_sd", "p_empirical", "p_corrected")
 
 
@@ -196,5 +203,5 @@ SELECT perm::INT AS perm, layer, round(count(*) FILTER (x.term IS NOT NULL AND y
 def t27(t: Tables) -> DataFrame:
     a, b = backgrounds(t)
     terms = t.part.select(F.col("p_partkey").alias("og"), F.lit("name").alias("layer"), F.explode(F.split("p_name", " ")).alias("term")).unionByName(t.part.select(F.col("p_partkey").alias("og"), F.lit("brand").alias("layer"), F.col("p_brand").alias("term")))
-    out = convergence.term_jaccard_null(terms, convergence.random_sets(a, 200, 50, "42a"), convergence.random_sets(b, 300, 50, "42b"))
+    out = convergence.term_jaccard_null(terms, convergence.random_sets(a, 200, 1000, "42a"), convergence.random_sets(b, 300, 1000, "42b"))
     return rounded(out, "jaccard", digits=9)

@@ -225,3 +225,34 @@ def test_conservation_counts(spark):
 
     df = spark.createDataFrame([("a", "Core", "Absent"), ("b", "Core", "Core"), ("c", None, "Rare")], "gene string, class_x string, class_y string")
     assert {r.gene: (r.n_core, r.n_present) for r in isolates.conservation(df, ["x", "y"]).collect()} == {"a": (1, 1), "b": (2, 2), "c": (0, 1)}
+
+
+def test_clumping(spark):
+    """Observed changes and every shuffle against a walk of one trait at a time, and the null against all shuffles."""
+    import random
+    from itertools import combinations
+
+    newick = "((((A:1,B:1):1,C:1):1,(D:1,(E:1,F:1):1):1):1,(G:1,H:1,I:1):1,J:1);"
+    nodes, tips, rng = tree.parse_newick(newick), "ABCDEFGHIJ", random.Random(4)
+    edges = tree.tree_table(spark, newick)
+    walk = tree.Walk(edges)
+    has = np.array([[rng.random() < 0.4 for _ in range(77)] for _ in tips])
+    own = [{t: int(has[list(walk.tips).index(t), k]) for t in tips} for k in range(77)]
+    assert walk.changes(has).tolist() == [tree.fitch_changes(nodes, s) for s in own]
+    states = {f"og{k}": s for k, s in enumerate(own[:20])} | {"all": dict.fromkeys(tips, 1), "none": {}, "clumped": dict.fromkeys("DEF", 1)}
+    rows = spark.createDataFrame([(o, t, s) for o, x in states.items() for t, s in x.items()] + [("og0", "elsewhere", 1)], "og string, tip string, state int")
+    got = {r.og: r for r in tree.clumping(edges, spark.createDataFrame([(o,) for o in states], "og string"), rows, n_perm=3000).collect()}
+    assert set(got) == set(states)
+    for o, s in states.items():
+        r, n1 = got[o], sum(s.values())
+        full = {t: s.get(t, 0) for t in tips}
+        assert (r.observed, r.n_present) == (tree.fitch_changes(nodes, full), n1)
+        if n1 in (0, 10):
+            assert (r.D, r.p_random, r.p_brownian, r.random_mean) == (None,) * 4
+            continue
+        every = [tree.fitch_changes(nodes, {t: int(t in c) for t in tips}) for c in combinations(tips, n1)]
+        mean = sum(every) / len(every)
+        assert r.random_mean == pytest.approx(mean, abs=0.08) and r.clumped == pytest.approx(n1 * (10 - n1) / 20)
+        assert r.p_random == pytest.approx(sum(x <= r.observed for x in every) / len(every), abs=0.04)
+        assert r.p_brownian == pytest.approx(sum(x >= r.observed for x in every) / len(every), abs=0.04)
+        assert r.D == pytest.approx((r.observed - r.clumped) / (r.random_mean - r.clumped) if abs(r.random_mean - r.clumped) > 1e-10 else 0)

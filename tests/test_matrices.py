@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from hyphalake.operators import clusters, gram, kinship, relational
+from hyphalake.operators import burden, clusters, convergence, gram, kinship, relational
 
 
 @pytest.mark.parametrize("sizes", [{}, {"block": 7, "strip_bytes": 7 * 8 * 30}])
@@ -198,3 +198,73 @@ def test_q_values_and_ranks_in_parts(spark):
     assert np.allclose([ranks[i] for i in range(9000)], pd.Series(p).rank())
     grouped = relational.average_ranks(df.where("pvalue is not null"), "pvalue", "rank", ["layer"]).where(F.col("layer").isNull()).collect()
     assert [r.rank for r in grouped] == [1.0]
+
+
+def plain_mixed_model(y, x, k):
+    """Maximum likelihood of the ratio of variances on a fine grid, without an eigenbasis."""
+    n = len(y)
+
+    def parts(log_delta):
+        v = k + math.exp(log_delta) * np.eye(n)
+        inv = np.linalg.inv(v)
+        b = np.linalg.solve(x.T @ inv @ x, x.T @ inv @ y)
+        r = y - x @ b
+        s2 = r @ inv @ r / n
+        return 0.5 * (n * math.log(2 * math.pi * s2) + np.linalg.slogdet(v)[1] + n), b, s2 * np.linalg.inv(x.T @ inv @ x)
+
+    grid = np.linspace(-8, 8, 161)
+    best = grid[int(np.argmin([parts(g)[0] for g in grid]))]
+    fine = np.linspace(best - 0.1, best + 0.1, 401)
+    best = min(max(fine[int(np.argmin([parts(g)[0] for g in fine]))], -8), 8)
+    _, b, cov = parts(best)
+    return b[-1], math.sqrt(cov[-1, -1]), 1 / (1 + math.exp(best))
+
+
+def test_burden_under_kinship(spark):
+    rng = np.random.default_rng(12)
+    rows, pairs, want = [], [], {}
+    for g, n in (("x", 40), ("y", 55)):
+        z = rng.normal(size=(n, 80))
+        k = z @ z.T / 80 * 3
+        names = [f"{g}{i:02d}" for i in range(n)]
+        case = rng.integers(0, 2, n)
+        y = 30 * np.exp(np.linalg.cholesky(k / 3 + 1e-6 * np.eye(n)) @ rng.normal(size=n) * 0.4 + 0.3 * case)
+        rows += [(g, s, float(b), int(c)) for s, b, c in zip(names, y, case)]
+        pairs += [(a, b, float(k[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+        want[g] = plain_mixed_model(np.log1p(y), np.column_stack((np.ones(n), case)), k / np.mean(np.diag(k)))
+    pairs += [("x00", "y00", 9.0), ("y00", "x00", 9.0)]  # other groups' cells do not meet
+    rows.append(("x", "no kinship", 5.0, 1))
+    frame, k = spark.createDataFrame(rows, "species string, sample string, burden double, is_case int"), spark.createDataFrame(pairs, "i string, j string, v double")
+    got = {r.species: r for r in burden.burden_models(frame, ["species"], k).collect()}
+    for g, (beta, se, h2) in want.items():
+        assert got[g].beta == pytest.approx(beta, rel=1e-3) and got[g].se == pytest.approx(se, rel=1e-2) and got[g].h2 == pytest.approx(h2, abs=5e-3)
+    control = {r.species: r for r in burden.kinship_control(frame, ["species"], k).collect()}
+    plain = {r.species: r for r in burden.burden_models(frame.where("sample <> 'no kinship'"), ["species"]).collect()}
+    assert all(control[g].naive_p == pytest.approx(plain[g].pvalue) and control[g].kinship_p == pytest.approx(got[g].pvalue) and control[g].both_p is None for g in "xy")
+
+
+def test_heavy_items_and_similar_sets(spark):
+    rng = random.Random(1)
+    members = [(g, i) for g in range(60) for i in {0, 1, *rng.choices(range(40), k=rng.randint(3, 12))}]
+    sets: dict = {}
+    for g, i in members:
+        sets.setdefault(g, set()).add(i)
+    df = spark.createDataFrame(members + members[:9], "g int, i int")
+    for least in (0.0, 0.3, 0.6):
+        want = {(a, b, len(sets[a] & sets[b]), round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 9)) for a, b in combinations(sorted(sets), 2) if sets[a] & sets[b] and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) - 1e-9}
+        for heavy in (5, 1000):
+            assert {(r.a, r.b, r.shared, round(r.jaccard, 9)) for r in relational.jaccard_by_pair(df, "g", "i", least, heavy).collect()} == want
+    rows = spark.createDataFrame([(g % 3, g, i) for g, i in members], "species int, family int, og int")
+    between = {(r.family_a, r.family_b): r.n_shared for r in convergence.shared_between_families(rows, heavy=7).collect()}
+    assert between == {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets if a % 3 < b % 3 and sets[a] & sets[b]}
+
+
+@pytest.mark.parametrize("n, size", [(5000, 40), (30, 29), (30, 50), (0, 3)])
+def test_random_sets_are_the_smallest_digests(spark, n, size):
+    import hashlib
+
+    got: dict = {}
+    for r in convergence.random_sets(spark.range(n).select(F.col("id").alias("og")), size, 7, "s").collect():
+        got.setdefault(r.perm, set()).add(r.og)
+    want = {p: set(sorted(range(n), key=lambda i: hashlib.md5(f"s|{p}|{i}".encode()).hexdigest())[:size]) for p in range(7)}
+    assert got == {p: x for p, x in want.items() if x}
