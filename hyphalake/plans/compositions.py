@@ -196,6 +196,31 @@ def k6(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query("k5_cached_summary", """WITH s AS (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) AS n, count(*) FILTER (o_totalprice > 100000) AS dear FROM orders GROUP BY 1)
+SELECT r AS step, built, o_orderpriority AS priority, CASE r WHEN 1 THEN f WHEN 2 THEN f WHEN 3 THEN n ELSE dear END AS n FROM s, (VALUES (1, 1), (2, 1), (3, 2), (4, 3)) v(r, built) WHERE CASE r WHEN 1 THEN f WHEN 2 THEN f WHEN 3 THEN n ELSE dear END > 0""")
+def k5(t: Tables) -> DataFrame:
+    """A summary read four times: made, as it stands, after its input changed, and after its parameter changed."""
+    root, built, out = folder(t), [], None
+
+    def read(step: int, above: float) -> DataFrame:
+        def build() -> DataFrame:
+            built.append(step)
+            return t.spark.read.parquet(f"{root}/input").where(F.col("o_totalprice") > above).groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count(F.lit(1)).alias("n"))
+
+        rows = store.cached(t.spark, f"{root}/summary", build, inputs=[f"{root}/input"], parameters={"above": above})
+        # Kept beside the cache, as the next step may build that again.
+        rows.select(F.lit(step).alias("step"), F.lit(len(built)).alias("built"), "priority", "n").write.parquet(f"{root}/read/at={step}")
+        return t.spark.read.parquet(f"{root}/read/at={step}")
+
+    t.orders.where("o_orderstatus = 'F'").write.parquet(f"{root}/input")
+    steps = [read(1, -1.0), read(2, -1.0)]
+    t.orders.write.mode("overwrite").parquet(f"{root}/input")
+    steps += [read(3, -1.0), read(4, 100_000.0)]
+    for s in steps:
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 @query("k7_classified_outputs", "SELECT 'all' AS part, count(*) AS n FROM customer UNION ALL SELECT 'known', count(*) FILTER (c_mktsegment <> 'MACHINERY') FROM customer UNION ALL SELECT 'association', count(*) FILTER (c_mktsegment <> 'MACHINERY') FROM customer")
 def k7(t: Tables) -> DataFrame:
     paths = store.save_classified(t.customer, folder(t), "c_mktsegment", ["MACHINERY"])

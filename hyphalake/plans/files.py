@@ -123,3 +123,82 @@ def s34(t: Tables) -> DataFrame:
     path = f"{folder(t)}/reports"
     rows.write.json(path)
     return readers.assembly_reports(t.spark, path).select("accession", "organism", "strain", "contigs", "n50", "size", "isolation_source", "host")
+
+
+@query("s2_accession_files", f"SELECT {TAG.format('s_suppkey')} AS accession FROM supplier")
+def s2(t: Tables) -> DataFrame:
+    """Folders named by accession, and files beside them that are none."""
+    root = folder(t)
+    t.supplier.select(F.concat(tagged("s_suppkey"), F.lit("_x")).alias("name"), "s_nationkey").write.partitionBy("name").parquet(f"{root}/genomes")
+    t.region.write.parquet(f"{root}/notes")
+    return readers.accessions(t.spark, [f"{root}/genomes", f"{root}/notes"])
+
+
+@query("s8_interproscan_files", """SELECT 'q' || p_partkey AS "Protein_ID", 'IPR' || p_size || CASE WHEN p_size % 2 = 0 THEN '' ELSE ', IPR_b' END AS "IPR", 'PF' || p_size AS "PFAM", CASE WHEN p_size % 3 = 0 THEN '' ELSE 'GO:' || p_size END AS "GO", '1.2.3.' || p_size || CASE WHEN p_size % 2 = 0 THEN '' ELSE ', 4.1.1.1' END AS "EC" FROM part""")
+def s8(t: Tables) -> DataFrame:
+    """Three lines a protein in the order of the file: a repeated one, one of another database, marks of absence."""
+    odd = F.col("p_size") % 2 == 1
+    line = lambda k, analysis, sig, ipr, go, path: F.struct(F.lit(k).alias("k"), F.lit(analysis).alias("a"), sig.alias("sig"), ipr.alias("ipr"), go.alias("go"), path.alias("path"))
+    text = lambda *c: F.concat(*[F.lit(x) if isinstance(x, str) and not x.startswith("p_") else F.col(x).cast("string") for x in c])
+    go = F.when(F.col("p_size") % 3 == 0, "-").otherwise(text("GO:", "p_size"))
+    three = F.array(line(0, "Pfam", text("PF", "p_size"), text("IPR", "p_size"), go, text("KEGG: 00+1.2.3.", "p_size")), line(1, "PRINTS", text("PR", "p_size"), text("IPR", "p_size"), F.lit("-"), text("KEGG: 00+1.2.3.", "p_size")), line(2, "PRINTS", F.lit("PR_b"), F.when(odd, "IPR_b").otherwise("-"), F.lit("-"), F.when(odd, "KEGG: 01+4.1.1.1").otherwise("-")))
+    rows = t.part.select("p_partkey", F.explode(three).alias("x")).repartition("p_partkey").sortWithinPartitions("p_partkey", "x.k")
+    one = F.lit("1")
+    out = rows.select(text("q", "p_partkey").alias("c0"), F.lit("md5").alias("c1"), F.lit("90").alias("c2"), F.col("x.a").alias("c3"), F.col("x.sig").alias("c4"), F.lit("-").alias("c5"), one.alias("c6"), one.alias("c7"), F.lit("-").alias("c8"), F.lit("T").alias("c9"), F.lit("-").alias("c10"), F.col("x.ipr").alias("c11"), F.lit("-").alias("c12"), F.col("x.go").alias("c13"), F.col("x.path").alias("c14"))
+    return readers.interproscan(t.spark, put(out, f"{folder(t)}/GCA_000000001.1", False)).select("Protein_ID", "IPR", "PFAM", "GO", "EC")
+
+
+@query("s19_known_cluster_files", """SELECT 'BGC' || l_suppkey AS ref_id, 'compound ' || l_partkey AS compound, CASE WHEN l_linenumber % 2 = 0 THEN 'terpene' ELSE '' END AS type, CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_quantity::INT END AS n_genes, floor(l_extendedprice)::DOUBLE AS score FROM lineitem WHERE l_linenumber < 5""")
+def s19(t: Tables) -> DataFrame:
+    """Text blocks, some without type or number of genes, and some that name no reference cluster."""
+    kind = F.when(F.col("l_linenumber") % 2 == 0, "Type: terpene\n").otherwise("")
+    genes = F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.concat(F.lit("Number of proteins with BLAST hits to this cluster: "), F.col("l_quantity").cast("int"), F.lit("\n")))
+    name = F.when(F.col("l_linenumber") < 5, F.concat(F.lit("BGC"), "l_suppkey")).otherwise("none")
+    block = F.concat(F.lit(">>\n"), F.col("l_linenumber").cast("string"), F.lit(". "), name, F.lit("\nSource: compound "), F.col("l_partkey").cast("string"), F.lit("\n"), kind, genes, F.lit("Cumulative BLAST score: "), F.floor("l_extendedprice").cast("string"), F.lit("\n"))
+    whole = t.lineitem.select(F.pmod("l_orderkey", F.lit(16)).alias("part"), block.alias("b")).groupBy("part").agg(F.concat(F.lit("ClusterBlast scores\n\nDetails:\n"), F.array_join(F.collect_list("b"), "\n")).alias("value"))
+    path = f"{folder(t)}/knownclusterblast"
+    whole.repartition("part").select("value").write.text(path)
+    return readers.known_clusters(t.spark, path).select("ref_id", "compound", "type", "n_genes", "score")
+
+
+@query("s20_antismash_files", f"""SELECT 'gene' AS part, {TAG.format('l_suppkey')} AS accession, 's' || l_orderkey AS scaffold, 'g' || l_linenumber AS name, l_partkey::BIGINT AS start, (l_partkey + 100)::BIGINT AS "end" FROM lineitem
+UNION ALL SELECT 'area', {TAG.format('l_suppkey')}, 's' || l_orderkey, '1 NRPS,PKS', min(l_partkey)::BIGINT, (max(l_partkey) + 100)::BIGINT FROM lineitem GROUP BY l_suppkey, l_orderkey""")
+def s20(t: Tables) -> DataFrame:
+    """One JSON file a genome, with a region and its genes in every record."""
+    feature = F.struct(F.lit("CDS").alias("type"), F.concat(F.lit("join{["), F.col("l_partkey").cast("string"), F.lit(":"), (F.col("l_partkey") + 50).cast("string"), F.lit("](+), [<"), (F.col("l_partkey") + 60).cast("string"), F.lit(":>"), (F.col("l_partkey") + 100).cast("string"), F.lit("](+)}")).alias("location"), F.create_map(F.lit("locus_tag"), F.array(F.concat(F.lit("g"), F.col("l_linenumber").cast("string")))).alias("qualifiers"))
+    record = t.lineitem.groupBy("l_suppkey", "l_orderkey").agg(F.collect_list(feature).alias("features"), F.array(F.struct(F.min("l_partkey").alias("start"), (F.max("l_partkey") + 100).alias("end"), F.array(F.lit("NRPS"), F.lit("PKS")).alias("products"))).alias("areas"))
+    genome = record.groupBy("l_suppkey").agg(F.collect_list(F.struct(F.concat(F.lit("s"), F.col("l_orderkey").cast("string")).alias("id"), "areas", "features")).alias("records"))
+    path = f"{folder(t)}/antismash"
+    genome.select(tagged("l_suppkey").alias("genome"), "records").write.partitionBy("genome").json(path)
+    areas, genes = readers.antismash(t.spark, f"{path}/*/*.json")
+    genes = genes.select(F.lit("gene").alias("part"), "accession", "scaffold", F.col("names")[0].alias("name"), "start", "end")
+    return genes.unionByName(areas.select(F.lit("area").alias("part"), "accession", "scaffold", F.concat_ws(" ", F.col("region").cast("string"), "product").alias("name"), "start", "end"))
+
+
+def named_file(df: DataFrame, root: str, name: str) -> str:
+    """One comma-separated file of a given name, as a person would keep it."""
+    path = put(df.coalesce(1), f"{root}/{name}.d", sep=",")
+    jvm = df.sparkSession._jvm
+    here = jvm.org.apache.hadoop.fs.Path(path)
+    files = here.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    part = next(x.getPath() for x in files.listStatus(here) if x.getPath().getName().startswith("part-"))
+    files.rename(part, jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"))
+    return f"{root}/{name}"
+
+
+@query("s27_panel_files", "SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS species, CASE WHEN c_nationkey % 2 = 0 THEN 'virulence' ELSE 'industrial' END AS panel, 'g' || c_custkey AS gene, c_mktsegment AS category FROM customer")
+def s27(t: Tables) -> DataFrame:
+    """Panels of two kinds, whose columns stand in another order."""
+    root = folder(t)
+    rows = t.customer.select("c_nationkey", F.concat(F.lit("g"), "c_custkey").alias("gene"), F.col("c_mktsegment").alias("category"))
+    even = named_file(rows.where("c_nationkey % 2 = 0").select("gene", "category"), root, "even_virulence_panel.csv")
+    odd = named_file(rows.where("c_nationkey % 2 = 1").select("category", "gene"), root, "odd_industrial_panel.csv")
+    return readers.panels(t.spark, [even, odd]).select("species", "panel", "gene", "category")
+
+
+@query("s30_fasta_lengths", "SELECT 'p' || p_partkey AS id, length(replace(p_name, ' ', '')) AS length FROM part")
+def s30(t: Tables) -> DataFrame:
+    records = t.part.select(F.concat(F.lit(">p"), "p_partkey", F.lit(" description > of it\n"), F.regexp_replace("p_name", " ", "\n")))
+    path = f"{folder(t)}/proteins"
+    records.write.text(path)
+    return readers.fasta(t.spark, path).select("id", F.length("sequence").cast("long").alias("length"))

@@ -179,11 +179,14 @@ def bigscape(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def known_clusters(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, rank, ref_id, compound, n_genes, score) from text blocks that ">>" begins."""
+    """(file, rank, ref_id, compound, type, n_genes, score) from text blocks that ">>" begins; blocks that name no
+    reference cluster are left out, and evidence that a block lacks is empty or 0."""
     whole = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     blocks = whole.select("file", F.posexplode(F.split("value", ">>")).alias("rank", "block")).where("rank > 0")
     pick = lambda p: F.trim(F.regexp_extract("block", p, 1))
-    return blocks.select("file", "rank", pick(r"(?m)^\s*\d+\.\s*(\S+)").alias("ref_id"), pick(r"(?m)^Source:\s*(.*)$").alias("compound"), pick(r"(?m)^Number of proteins with BLAST hits to this cluster:\s*(\d+)").try_cast("int").alias("n_genes"), pick(r"(?m)^Cumulative BLAST score:\s*([\d.]+)").try_cast("double").alias("score"))
+    number = lambda p, kind: F.coalesce(pick(p).try_cast(kind), F.lit(0).cast(kind))
+    rows = blocks.select("file", "rank", pick(r"(?m)^\s*\d+\.\s*(BGC\d+)").alias("ref_id"), pick(r"(?m)^Source:\s*(.*)$").alias("compound"), pick(r"(?m)^Type:\s*(.*)$").alias("type"), number(r"(?m)^Number of proteins with BLAST hits to this cluster:\s*(\d+)", "int").alias("n_genes"), number(r"(?m)^Cumulative BLAST score:\s*([\d.]+)", "double").alias("score"))
+    return rows.where("ref_id <> ''")
 
 
 ANTISMASH = "records array<struct<id:string, areas:array<struct<start:long, end:long, products:array<string>>>, features:array<struct<type:string, location:string, qualifiers:map<string,array<string>>>>>>"
@@ -236,6 +239,12 @@ def busco_summary(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return rows.withColumn("percent", F.try_divide(F.col("complete") * 100.0, F.col("total")))
 
 
+def accessions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(accession) of the files of folders, distinct; only names are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return files.select(accession(F.col("path")).alias("accession")).where("accession is not null").distinct()
+
+
 def annotated_members(long: DataFrame, sources: Sequence[DataFrame], key: Sequence[str] = ("accession", "protein")) -> DataFrame:
     """Members left-joined with any number of annotation tables on the composite key, one partitioning for all."""
     out = long.repartition(*[F.col(k) for k in key])

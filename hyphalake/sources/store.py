@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +31,55 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
-    """The table at path; built and written first if it is not finished or force asks for it."""
-    if force or not exists(spark, path):
+def fingerprint(spark: SparkSession, inputs: Sequence[str], parameters: dict | None = None) -> str:
+    """Digest of the parameters and of the inputs' files: their paths, lengths and times of change, not their rows."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    files = []
+    for path in inputs:
+        here = jvm.org.apache.hadoop.fs.Path(path)
+        fs = here.getFileSystem(conf)
+        if not fs.exists(here):
+            files.append((path, -1, -1))
+            continue
+        found = fs.listFiles(here, True)
+        while found.hasNext():
+            f = found.next()
+            files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    said = json.dumps([sorted(files), parameters or {}], sort_keys=True, default=str)
+    return hashlib.sha256(said.encode()).hexdigest()
+
+
+def _marked(spark: SparkSession, path: str) -> str | None:
+    """The fingerprint that stands beside a table, in a file that readers of the table skip."""
+    here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_FINGERPRINT")
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(here):
+        return None
+    stream = fs.open(here)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False, inputs: Sequence[str] = (), parameters: dict | None = None) -> DataFrame:
+    """The table at path; built and written first if it is not finished, force asks for it, or what it was made from
+    (files of inputs, or parameters) is no longer the same.
+
+    The fingerprint is taken before building and written after the table, so inputs that change meanwhile, or a
+    run that breaks off, have it built again.  Tables kept without inputs and parameters are trusted as they stand.
+    """
+    mark = fingerprint(spark, inputs, parameters) if inputs or parameters else None
+    if force or not exists(spark, path) or mark is not None and _marked(spark, path) != mark:
         build().write.mode("overwrite").parquet(path)
+        if mark is not None:
+            here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_FINGERPRINT")
+            stream = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(here, True)
+            try:
+                stream.write(mark.encode())
+            finally:
+                stream.close()
+    spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 
 

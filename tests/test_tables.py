@@ -65,7 +65,7 @@ def test_cluster_readers(spark, folder):
     hit = relational.interval_overlap(areas, genes, ["accession", "scaffold"]).collect()
     assert [r.names_r for r in hit] == [["a"]]
     k = folder("k.txt", "intro\n>>\n1. BGC0001\nSource: gliotoxin\nNumber of proteins with BLAST hits to this cluster: 5\nCumulative BLAST score: 77.5\n>>\n2. BGC0002\nSource: x\n")
-    assert [(r["rank"], r.ref_id, r.compound, r.score) for r in readers.known_clusters(spark, k).orderBy("rank").collect()] == [(1, "BGC0001", "gliotoxin", 77.5), (2, "BGC0002", "x", None)]
+    assert [(r["rank"], r.ref_id, r.compound, r.score) for r in readers.known_clusters(spark, k).orderBy("rank").collect()] == [(1, "BGC0001", "gliotoxin", 77.5), (2, "BGC0002", "x", 0.0)]
     b = folder("run_1/c.tsv", "Record\tGBK\tFamily\nGCA_000000001.1_sc1.region001\tg\tFAM1\nBGC0001\tg\tFAM1\n")
     assert {r.strain: (r.run, r.is_reference) for r in readers.bigscape(spark, b).collect()} == {"GCA_000000001.1": ("run_1", False), "BGC0001": ("run_1", True)}
 
