@@ -113,15 +113,30 @@ def t25_interval(t: Tables) -> DataFrame:
     return convergence.direction_agreement(pairs(t)).select("n_same", "n", "ci_low", "ci_high")
 
 
-@query("t18_inflation")
+#: The normal distribution's lower tail by its series, and z of an upper tail by halving.
+NORMAL = "0.5 + exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 120), lambda k: exp((2 * k + 1) * ln(greatest(z, 1e-300)) - (lgamma(2 * k + 2) - k * ln(2) - lgamma(k + 1)))))"
+
+
+@query("t18_inflation", f"""{RESULTS.replace("WITH res", "WITH RECURSIVE res")}, m AS (SELECT species, row_number() OVER (PARTITION BY species ORDER BY pvalue) AS r, count(*) OVER (PARTITION BY species) AS n, pvalue FROM res WHERE pvalue > 0),
+v AS (SELECT species, n, pvalue AS p FROM m WHERE r IN ((n + 1) // 2, n // 2 + 1) UNION ALL SELECT 'null', 0, 0.5),
+b AS (SELECT species, n, p, 0.0::DOUBLE AS low, 8.0::DOUBLE AS high, 0 AS step FROM v
+  UNION ALL SELECT species, n, p, CASE WHEN {NORMAL} < 1 - p / 2 THEN z ELSE low END, CASE WHEN {NORMAL} < 1 - p / 2 THEN high ELSE z END, step + 1 FROM (SELECT *, (low + high) / 2 AS z FROM b WHERE step < 48)),
+x AS (SELECT species, n, avg(low * low) AS chi FROM b WHERE step = 48 GROUP BY species, n)
+SELECT species, n AS n_tests, round(chi / (SELECT chi FROM x WHERE species = 'null'), 6) AS lambda_gc FROM x WHERE species <> 'null'""")
 def t18(t: Tables) -> DataFrame:
-    return association.inflation(results(t), ["species"])
+    return rounded(association.inflation(results(t), ["species"]), "lambda_gc")
 
 
-@query("t17_power_grid")
+@query("t17_power_grid", """WITH {members}, s AS (SELECT species, count(*) AS n1, sum(count(*)) OVER () - count(*) AS n0 FROM genomes GROUP BY species),
+g AS (SELECT DISTINCT n1::BIGINT AS n1, n0::BIGINT AS n0 FROM s WHERE n1 >= 3 AND n0 >= 3), t AS (SELECT n1, n0, i, j FROM g, generate_series(0, (SELECT max(n1) FROM g)) a(i), generate_series(0, (SELECT max(n0) FROM g)) b(j) WHERE i <= n1 AND j <= n0),
+h AS (SELECT *, lgamma(n1 + 1) - lgamma(i + 1) - lgamma(n1 - i + 1) + lgamma(n0 + 1) - lgamma(j + 1) - lgamma(n0 - j + 1) AS l, i + j AS k FROM t),
+p AS (SELECT n1, n0, i, j, l, (SELECT sum(exp(y.l - lgamma(h.n1 + h.n0 + 1) + lgamma(h.k + 1) + lgamma(h.n1 + h.n0 - h.k + 1))) FROM h y WHERE y.n1 = h.n1 AND y.n0 = h.n0 AND y.k = h.k AND y.l <= h.l + 1e-7) AS p FROM h),
+f AS (SELECT freq, odds, odds * freq / (1 - freq + odds * freq) AS p1 FROM (VALUES (0.1::DOUBLE), (0.2), (0.3)) a(freq), (VALUES (2.0::DOUBLE), (5.0), (10.0)) b(odds)),
+w AS (SELECT n1, n0, freq, odds, sum(m) AS power FROM (SELECT n1, n0, freq, odds, exp(l + i * ln(p1) + (n1 - i) * ln(1 - p1) + j * ln(freq) + (n0 - j) * ln(1 - freq)) AS m FROM p, f WHERE p < 0.05) WHERE m > 1e-12 GROUP BY 1, 2, 3, 4)
+SELECT replace(lower(species), ' ', '_') || '_vs_rest' AS contrast, s.n1::BIGINT AS n_case, s.n0::BIGINT AS n_control, f.freq, f.odds, round(coalesce(power, 0), 6) AS power FROM s JOIN g ON g.n1 = s.n1 AND g.n0 = s.n0 CROSS JOIN f LEFT JOIN w ON w.n1 = s.n1 AND w.n0 = s.n0 AND w.freq = f.freq AND w.odds = f.odds""")
 def t17(t: Tables) -> DataFrame:
     n = association.one_vs_rest(t.genomes(), "genome", "species").groupBy("contrast").agg(F.sum("is_case").alias("n_case"), (F.count(F.lit(1)) - F.sum("is_case")).alias("n_control"))
-    return association.power_grid(n)
+    return rounded(association.power_grid(n), "power")
 
 
 @query("t2_class_thresholds")
