@@ -120,9 +120,10 @@ def random_sets(background: DataFrame, size: int, n_perm: int, seed: str, item:
     each = kept(background.select(item).distinct(), "background")
     n, margin = each.count(), 8.0
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("perm").cast("string"), F.col(item).cast("string")))
+    spread = int(each.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a short table, but a digest for each row and permutation
     while True:
         part = (size + margin * math.sqrt(size) + 2 * margin) / max(n, 1)
-        drawn = each.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1)))).withColumn("_h", digest)
+        drawn = each.repartition(spread, item).withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1)))).withColumn("_h", digest)
         if part < 1:
             drawn = drawn.where(F.col("_h") < f"{int(part * 2**64):016x}")
         drawn = kept(drawn, "drawn")

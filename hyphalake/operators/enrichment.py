@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hyphalake.functions.special import fisher_column
 from hyphalake.functions.text import split_terms
 from hyphalake.operators.relational import best_row, bh_qvalues
+from hyphalake.sources.shared import kept
 
 
 def feature_terms(consensus: DataFrame, key: Sequence[str], columns: Sequence[str], keep: Sequence[str] = (), separators: str = "[;,|]") -> DataFrame:
@@ -21,15 +22,14 @@ def feature_terms(consensus: DataFrame, key: Sequence[str], columns: Sequence[st
 def class_counts(terms: DataFrame, classes: Sequence[str] = ("Core", "Accessory"), by: Sequence[str] = (), feature: str = "og", class_col: str = "pangenome_class", min_count: int = 5) -> DataFrame:
     """a, b, c, d of every (layer, term, class): the background is the features annotated in the layer.
 
-    Margins are counted once and joined by layer, so no term is tested against a scan of all features.
+    A feature has one class, so a term's margin is the sum of its counts by class; the layers' margins are few rows.
     """
-    annotated = terms.select(*by, "layer", feature, class_col).distinct()
-    n = annotated.groupBy(*by, "layer").agg(F.count(F.lit(1)).alias("n_all"))
-    n_class = annotated.where(F.col(class_col).isin(*classes)).groupBy(*by, "layer", class_col).agg(F.count(F.lit(1)).alias("n_class"))
-    n_term = terms.groupBy(*by, "layer", "term").agg(F.countDistinct(feature).alias("n_term")).where(F.col("n_term") >= min_count)
-    a = terms.where(F.col(class_col).isin(*classes)).groupBy(*by, "layer", "term", class_col).agg(F.countDistinct(feature).alias("a"))
     keys = [*by, "layer"]
-    joined = a.join(n_term, [*keys, "term"]).join(F.broadcast(n_class), [*keys, class_col]).join(F.broadcast(n), keys)
+    wanted = F.col(class_col).isin(*classes)
+    n = terms.select(*keys, feature, class_col).distinct().groupBy(*keys, class_col).agg(F.count(F.lit(1)).alias("n_class"))
+    n = n.withColumn("n_all", F.sum("n_class").over(Window.partitionBy(*keys)))
+    a = terms.groupBy(*keys, "term", class_col).agg(F.countDistinct(feature).alias("a")).withColumn("n_term", F.sum("a").over(Window.partitionBy(*keys, "term")))
+    joined = a.where(wanted & (F.col("n_term") >= min_count)).join(F.broadcast(n.where(wanted)), [*keys, class_col])
     return joined.select(*keys, "term", class_col, "a", (F.col("n_class") - F.col("a")).alias("b"), (F.col("n_term") - F.col("a")).alias("c"), (F.col("n_all") - F.col("n_class") - F.col("n_term") + F.col("a")).alias("d"))
 
 
@@ -48,7 +48,7 @@ def tested(counts: DataFrame, alternative: str = "two-sided", by: Sequence[str]
     """counts with odds ratio, fold, p, q (within by) and whether q passes."""
     cells = [F.col(x) for x in "abcd"]
     out = counts.withColumn("odds_ratio", odds_ratio(*cells)).withColumn("fold", fold(*cells)).withColumn("pvalue", fisher_column(*cells, alternative))
-    return bh_qvalues(out, by=by).withColumn("significant", F.col("qvalue") <= q)
+    return bh_qvalues(kept(out, "tests"), by=by).withColumn("significant", F.col("qvalue") <= q)
 
 
 def class_enrichment(consensus: DataFrame, columns: Sequence[str], by: Sequence[str] = (), min_count: int = 5, q: float = 0.05, **options) -> DataFrame:

@@ -164,11 +164,14 @@ def family_rollup(records: DataFrame, hits: DataFrame, family: str = "family", m
     records: family, record, strain, class, category, is_reference.  hits: family, record, ref_id, compound,
     score.  Known hits rank by number of regions, then by best score; support is the top hit's share of regions.
     """
-    own = records.where(~F.col("is_reference"))
+    # Rows that agree in everything meet once; the figures below are made from these.
+    every = records.groupBy(family, "is_reference", "record", "strain", "class", "category").agg(F.count(F.lit(1)).alias("n"))
+    own = every.where(~F.col("is_reference"))
     base = own.groupBy(family).agg(F.countDistinct("record").alias("n_regions"), F.countDistinct("strain").alias("n_strains"), F.array_join(F.array_sort(F.collect_set("category")), "; ").alias("categories"))
-    refs = records.where("is_reference").groupBy(family).agg(F.array_join(F.array_sort(F.collect_set("record")), "; ").alias("references"))
-    kinds = own.where(present(F.col("class")).isNotNull()).groupBy(family, "class").agg(F.count(F.lit(1)).alias("n"))
-    modal = best_row(kinds.withColumn("all", F.sum("n").over(Window.partitionBy(family))), [family], [F.desc("n"), F.col("class")]).select(family, F.col("class").alias("modal_class"), (F.col("n") / F.col("all")).alias("purity"))
+    refs = every.where("is_reference").groupBy(family).agg(F.array_join(F.array_sort(F.collect_set("record")), "; ").alias("references"))
+    kinds = own.where(present(F.col("class")).isNotNull()).groupBy(family, "class").agg(F.sum("n").alias("n"))
+    first = F.min(F.struct((-F.col("n")).alias("n"), F.col("class").alias("c"))).alias("first")
+    modal = kinds.groupBy(family).agg(first, F.sum("n").alias("all")).select(family, F.col("first.c").alias("modal_class"), (-F.col("first.n") / F.col("all")).alias("purity"))
     known = hits.groupBy(family, "ref_id", "compound").agg(F.countDistinct("record").alias("n"), F.max("score").alias("score"))
     ranked = best_row(known, [family], [F.desc("n"), F.desc("score"), F.col("ref_id")], max_hits, "rank")
     listed = ranked.groupBy(family).agg(F.max(F.when(F.col("rank") == 1, F.col("ref_id"))).alias("top_id"), F.max(F.when(F.col("rank") == 1, F.col("compound"))).alias("top_compound"), F.max(F.when(F.col("rank") == 1, F.col("n"))).alias("_top"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "ref_id"))), lambda x: x["ref_id"]), "; ").alias("known_hits"))

@@ -64,8 +64,8 @@ def _met(parted: DataFrame, of_parts: DataFrame, keys: Sequence[str]) -> DataFra
 def average_ranks(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> DataFrame:
     """df with the rank of each value in its group, ties at the mean of their places."""
     counts = df.groupBy(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)], F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    keys = [f"_by{k}" for k in range(len(by))]
-    ranks = cumulative(counts, keys, "_v", "_n", cut_points(df, value)).select(*keys, "_v", (F.col("_upto") - (F.col("_n") - 1) / 2.0).alias(out))
+    counts, keys = kept(counts, "counts"), [f"_by{k}" for k in range(len(by))]
+    ranks = cumulative(counts, keys, "_v", "_n", cut_points(counts, "_v")).select(*keys, "_v", (F.col("_upto") - (F.col("_n") - 1) / 2.0).alias(out))
     on = F.col(value).eqNullSafe(F.col("_v"))
     for c, k in zip(by, keys):
         on = on & F.col(c).eqNullSafe(F.col(k))
@@ -80,10 +80,10 @@ def bh_qvalues(df: DataFrame, p: str = "pvalue", by: Sequence[str] = (), out: st
     are made in parts of the range of p, each with what the parts before or behind it come to, so that a
     group with most of the tests, or the only one, is not one task.
     """
-    df = kept(df, "tests")
     keys = [f"_by{k}" for k in range(len(by))]
     counts = df.where(F.col(p).isNotNull()).groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    raw = cumulative(counts, keys, "_p", "_n", cut_points(df, p)).withColumn("_raw", F.col("_p") * F.col("_total") / F.col("_upto"))
+    counts = kept(counts, "counts")
+    raw = cumulative(counts, keys, "_p", "_n", cut_points(counts, "_p")).withColumn("_raw", F.col("_p") * F.col("_total") / F.col("_upto"))
     behind = Window.partitionBy(*keys).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
     lows = raw.groupBy(*keys, "_part").agg(F.min("_raw").alias("_m"))
     lows = lows.select(*[F.col(k).alias(f"_{k}_") for k in keys], F.col("_part").alias("_p_"), F.min("_m").over(behind).alias("_low"))
