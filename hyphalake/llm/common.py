@@ -6,11 +6,13 @@ cuts lineage is written there through Spark's committer, so a lost executor neve
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Folders made for applications that name none, as tests do; by application.
 _own: dict[str, str] = {}
-#: Runs whose tables sweep() deletes; by application.
-_runs: dict[str, list[Scratch]] = {}
+#: Lists that runs which this thread begins now are noted in, the innermost last.
+_noted = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,7 +61,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.tables: list[str] = []
-        _runs.setdefault(spark.sparkContext.applicationId, []).append(self)
+        for made in getattr(_noted, "lists", [])[-1:]:
+            made.append(self)
 
     def keep(self, df: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Writes df and returns a DataFrame that reads it back: its lineage ends here."""
@@ -108,13 +111,23 @@ def there(spark: SparkSession, where: str) -> bool:
     return files.exists(path)
 
 
-def sweep(spark: SparkSession, but: Scratch | None = None) -> None:
-    """Deletes the tables of all operator runs of this application; call it when their results are written."""
-    app = spark.sparkContext.applicationId
-    for scratch in _runs.get(app, []):
-        if scratch is not but:
-            scratch.drop()
-    _runs[app] = [s for s in _runs.get(app, []) if s is but]
+@contextlib.contextmanager
+def noted() -> Iterator[list[Scratch]]:
+    """The runs that operators begin inside, and no others, so that sweep() can delete their tables once results are written."""
+    made: list[Scratch] = []
+    before = getattr(_noted, "lists", [])
+    _noted.lists = [*before, made]
+    try:
+        yield made
+    finally:
+        _noted.lists = before
+
+
+def sweep(made: list[Scratch]) -> None:
+    """Deletes all tables of the given runs."""
+    for scratch in made:
+        scratch.drop()
+    made.clear()
 
 
 def in_fixed_order(df: DataFrame) -> bool:

@@ -8,7 +8,7 @@ when its target is met, and what the points leave open of a target follows in cl
 
 Points are integers of 62 bits, so they stay spread at any number of slots.
 
-Scale: a text is read once, to count its words; only (row, key, source, size) is kept and shuffled.  Running token offsets are prefix sums
+Scale: a text is read once, to count its words; only (row, key, source, size, hash) is kept and shuffled.  Running token offsets are prefix sums
 in two levels, (source, shuffle bucket) totals and then within buckets of about ``bucket_rows`` rows,
 and slot ranks likewise by schedule chunk, so that a source with a third of all rows, or a key that all
 rows share, never meets in one task.  Sources are a table of one row each; targets are found in one pass
@@ -17,7 +17,10 @@ reach the driver.
 
 Defined cases: null source is a source of its own, last in order; null or empty texts have size 0 and
 are never taken; an empty table gives an empty mix; repeated rows and keys are separate documents, told
-apart by scan order; an input in no fixed order is kept in a table first.
+apart by scan order, which shows in ``row`` alone; an input in no fixed order is kept in a table first.
+
+The shuffled order goes by what a row holds (key, source, text), so the same rows give the same mix however
+the input is split.  Rows that are equal in all of it are interchangeable and are numbered to be spread.
 """
 
 from __future__ import annotations
@@ -36,6 +39,26 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def content_hash(seed: int, *columns: Column) -> Column:
+    """64 bits of what a row holds; nulls are told from values, and one column's from the next one's."""
+    return F.xxhash64(F.lit(seed), *[x for c in columns for x in (c.isNull(), F.coalesce(c.cast("string"), F.lit("")))])
+
+
+def told_apart(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows (row, h, ...) with h made distinct: rows of one hash, which are equal, are numbered and hashed again.
+
+    Numbers are sums over the scan's partitions and places within each, so that no hash gathers its rows.
+    """
+    parted = rows.withColumn("part", F.shiftright("row", 33))
+    each = parted.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n"))
+    several = each.groupBy("h").agg(F.sum("n").alias("m")).where("m > 1").select("h")
+    base = F.sum("n").over(Window.partitionBy("h").orderBy("part")) - F.col("n")
+    several = scratch.keep(each.join(several, "h").select("h", "part", base.alias("base")), "repeated")
+    place = F.row_number().over(Window.partitionBy("h", "part").orderBy("row")) - 1
+    repeated = parted.join(several, ["h", "part"]).withColumn("h", F.xxhash64("h", F.col("base") + place))
+    return parted.join(several, ["h", "part"], "left_anti").select(*rows.columns).unionByName(repeated.select(*rows.columns))
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0) -> DataFrame:
     """One row a source: (source, source_size, n_docs, weight, target) from rows (source, size).
 
@@ -106,7 +129,7 @@ def mix(
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     docs = docs if in_fixed_order(docs) else scratch.keep(docs, "input")
-    sized = scratch.keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")), "sizes")
+    sized = scratch.keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), content_hash(seed, F.col(key), F.col(source).cast("string"), F.col(text)).alias("h")), "sizes")
     targets = source_targets(sized, weights, max_epochs)
     order = Window.orderBy(F.col("source").isNull(), F.col("source"))
     per = (
@@ -126,9 +149,8 @@ def mix(
     per_source = joined(per)
 
     # Shuffled order and equal-token blocks.
-    hashed = F.xxhash64(F.lit(seed), "doc_id", "row")
-    docs_in = sized.where("size > 0").join(per_source.select("source", "sid", "n_buckets", "source_size"), sized["source"].eqNullSafe(per_source["source"])).drop(per_source["source"])
-    docs_in = docs_in.withColumn("h", hashed).withColumn("bucket", F.floor(F.shiftrightunsigned("h", 11) / F.lit(float(2**53)) * F.col("n_buckets")).cast("long"))
+    docs_in = told_apart(sized.where("size > 0"), scratch).join(per_source.select(F.col("source").alias("_source"), "sid", "n_buckets", "source_size"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    docs_in = docs_in.withColumn("bucket", F.floor(F.shiftrightunsigned("h", 11) / F.lit(float(2**53)) * F.col("n_buckets")).cast("long"))
     totals = docs_in.groupBy("sid", "bucket").agg(F.sum("size").alias("bucket_size"))
     totals = totals.withColumn("base", F.sum("bucket_size").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("bucket_size")).select("sid", "bucket", "base")
     docs_in = docs_in.join(totals, ["sid", "bucket"])
