@@ -8,7 +8,8 @@ the cells of a table are aligned in columns.
 
 Scale: one narrow pass over the pages, nothing shuffled; memory is one page's tree.  Builder and
 renderer keep stacks of their own, so nesting depth has no limit.  The scanner reads a page once, also
-where quotes and tags are left open: what it has looked for in vain it does not look for again.
+where quotes and tags are left open: what it has looked for in vain it does not look for again.  The builder knows where
+the open elements of each tag stand, so an end tag costs the same however many others are open.
 
 Defined cases: null html counts as empty; unclosed tags end with the page, stray end tags are ignored;
 a "<" that begins no tag is text, and so is a tag that no ">" ends; a quote that is not closed within a tag
@@ -19,8 +20,9 @@ in it; what stands in a row beside its cells comes before the table; text of mat
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict, deque
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -148,7 +150,7 @@ def parse(html: str) -> Node:
             stack.top.kids.append(row)
             stack.push(row)
         node = Node(tag, _attributes(inside))
-        if tag in FOREIGN_UNSEEN and (stack.open["svg"] or stack.open["math"]):
+        if tag in FOREIGN_UNSEEN and stack.last(("svg", "math")):
             node.attrs["hidden"] = ""
         stack.top.kids.append(node)
         if tag in VOID:
@@ -165,18 +167,18 @@ def parse(html: str) -> Node:
 
 
 class Stack:
-    """The open elements, and how many there are of each tag, so that a tag that is not open is not looked for."""
+    """The open elements, and where those of each tag stand among them, so that none is looked for element by element."""
 
     def __init__(self, root: Node):
-        self.nodes, self.open = [root], Counter()
+        self.nodes, self.places = [root], defaultdict(list)
 
     @property
     def top(self) -> Node:
         return self.nodes[-1]
 
     def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
         self.nodes.append(node)
-        self.open[node.tag] += 1
 
     def pop(self) -> None:
         self.cut(len(self.nodes) - 1)
@@ -184,33 +186,30 @@ class Stack:
     def cut(self, k: int) -> None:
         """Closes all elements from the k-th on."""
         for node in self.nodes[k:]:
-            self.open[node.tag] -= 1
+            self.places[node.tag].pop()
         del self.nodes[k:]
 
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element named, 0 if there is none."""
+        return max((own[-1] for own in map(self.places.get, tags) if own), default=0)
+
 
 def _end(stack: Stack, tags: set[str], fence: set[str]) -> None:
     """Closes the outermost open element named, if it is above the fence."""
-    left = sum(stack.open[t] for t in tags)
-    cut, nodes = None, stack.nodes
-    for k in range(len(nodes) - 1, 0, -1):
-        if not left or nodes[k].tag in fence:
-            break
-        if nodes[k].tag in tags:
-            cut, left = k, left - 1
-    if cut is not None:
-        stack.cut(cut)
+    low = stack.last(fence)
+    above = [own[k] for own in map(stack.places.get, tags) if own and (k := bisect_right(own, low)) < len(own)]
+    if above:
+        stack.cut(min(above))
+
+
+#: Elements that an end tag inside a cell closes across it.
+_ACROSS = {"table", "tr", "thead", "tbody", "tfoot", "body", "html", "div", "section", "article", "main"}
 
 
 def _close(stack: Stack, tag: str) -> None:
-    if not stack.open[tag]:
-        return
-    nodes = stack.nodes
-    for k in range(len(nodes) - 1, 0, -1):
-        if nodes[k].tag == tag:
-            stack.cut(k)
-            return
-        if nodes[k].tag in ("table", "td", "th") and tag not in ("table", "tr", "thead", "tbody", "tfoot", "body", "html", "div", "section", "article", "main"):
-            return
+    at = stack.last((tag,))
+    if at and (tag in _ACROSS or at >= stack.last(("table", "td", "th"))):
+        stack.cut(at)
 
 
 def seen(node: Node) -> bool:
@@ -218,7 +217,7 @@ def seen(node: Node) -> bool:
     return not (node.tag in UNSEEN or a and ("hidden" in a or node.tag == "input" or _HIDES.search(a.get("style", ""))))
 
 
-def _flow(parts: list) -> tuple[int, list[str], int]:
+def _flow(parts: Iterable) -> tuple[int, list[str], int]:
     """(margin above, lines, margin below) of inline text, breaks and blocks in order."""
     lines: list[str] = []
     above = below = 0
@@ -240,7 +239,7 @@ def _flow(parts: list) -> tuple[int, list[str], int]:
         below = 0
         lines.extend(got)
 
-    for p in parts:
+    for p in map(_plain, parts):
         if isinstance(p, tuple):
             flush()
             if not p[1]:
@@ -280,18 +279,18 @@ def _table(rows: list[list[list[str]]]) -> list[str]:
     return out
 
 
-def _finish(node: Node, parts: list) -> list:
+def _finish(node: Node, parts: deque) -> list | deque:
     """What an element gives its parent, from what its children gave it."""
     tag = node.tag
     if tag == "br":
         return [BREAK]
     if tag == "pre":
-        text = "".join("\n" if x is BREAK else x if isinstance(x, str) else "\n".join(x[1]) for x in parts).strip("\n")
+        text = "".join("\n" if x is BREAK else x if isinstance(x, str) else "\n".join(_plain(x)[1]) for x in parts).strip("\n")
         return [(1, text.split("\n"), 1)] if text.strip() else []
     if tag in ("ul", "ol", "menu", "dir"):
         lines, number = [], int(node.attrs.get("start", "1")) if node.attrs.get("start", "1").isdigit() else 1
         for p in parts:
-            if isinstance(p, tuple) and len(p) == 4:
+            if isinstance(p, tuple) and len(p) == 4 and p[3] != "row":
                 mark = f"{number}. " if tag == "ol" else "- "
                 number += 1
                 lines += [(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(p[1] or [""])] if p[1] else []
@@ -349,14 +348,14 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    todo: list = [(root, iter(root.kids), [])]
+    todo: list = [(root, iter(root.kids), deque())]
     while True:
         node, kids, parts = todo[-1]
         for kid in kids:
             if isinstance(kid, str):
                 parts.append(kid)
             elif seen(kid):
-                todo.append((kid, iter(kid.kids), []))
+                todo.append((kid, iter(kid.kids), deque()))
                 break
         else:
             todo.pop()
@@ -364,9 +363,10 @@ def render(html: str | None) -> str:
             if not todo:
                 return "\n".join(done[0][1]) if done else ""
             above = todo[-1][2]
-            # A chain of inline elements hands one list up instead of copying it at each level.
-            if not above and done is parts:
-                todo[-1] = (todo[-1][0], todo[-1][1], done)
+            # The longer one of the two takes the other in, so a chain of inline elements copies no part at each level.
+            if done is parts and len(done) > len(above):
+                done.extendleft(reversed(above))
+                todo[-1] = (*todo[-1][:2], done)
             else:
                 above.extend(done)
 

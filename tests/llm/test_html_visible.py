@@ -19,3 +19,35 @@ from hyphalake.llm import html_layout
 ])
 def test_visible_text_stays(html, text):
     assert html_layout.render(html) == text
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<li>w<th>t", "- w\n  t"), ("<ul><tr><td>a</td><td>b</td></tr><li>c</ul>", "a  b\n- c"), ("<pre>x<tr><td>a</td><td>b</td></tr></pre>", "xa  b"),
+])
+def test_rows_outside_tables_are_lines(html, text):
+    assert [x.strip(" -") for x in html_layout.render(html).split("\n")] == [x.strip(" -") for x in text.split("\n")]
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<p><button>" + "<span>" * n + "<div></div>" * n, lambda n: "<x><table><td>" + "<b>" * n + "</x>" * n, lambda n: "<p><button>" + "<span>x" * n + "<div>y</div>" * n,
+    lambda n: "<i>a" * n + "</i>b" * n, lambda n: "<select>" + "<option>" * n + "</p>" * n, lambda n: "<table>" + "<tr><td>" * n + "</tr>" * n,
+])
+def test_time_follows_the_length_of_the_page(page):
+    import time
+
+    def took(n):
+        began = time.process_time()
+        html_layout.render(page(n))
+        return time.process_time() - began
+
+    small = max(took(3000), 0.02)
+    assert took(30_000) < 40 * small  # ten times the page; a quadratic one would take a hundred times as long
+
+
+def test_any_order_of_tags_renders():
+    import random
+
+    rng = random.Random(5)
+    tags = "p div span b button table tr td th tbody thead ul ol li dl dd select option optgroup svg math title body html head h1 a form pre blockquote text".split()
+    for _ in range(3000):
+        html_layout.render("".join(rng.choice([f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", "w ", "t"]) for _ in range(rng.randint(3, 60))))
