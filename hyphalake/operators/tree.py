@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hyphalake.sources.shared import kept
@@ -66,28 +66,61 @@ def tree_table(spark: SparkSession, newick: str) -> DataFrame:
     return spark.createDataFrame(parse_newick(newick), EDGES)
 
 
+def _of_tips(edges: DataFrame, schema: str, made: Callable[[Walk, np.ndarray], pa.RecordBatch], rows: int = 64) -> DataFrame:
+    """made(tree, numbers of tips) of every tip, some at a time; the tree is at hand in every task."""
+    walk = Walk(edges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.array([walk.tips[t] for t in b.column(0).to_pylist()], np.int64)
+            for k in range(0, len(at), rows):
+                yield made(walk, at[k : k + rows])
+
+    tips = edges.where("tip is not null").select("tip").distinct()
+    spread = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tips.repartition(spread, "tip").mapInArrow(run, schema)
+
+
 def tip_paths(edges: DataFrame) -> DataFrame:
-    """(tip, node, depth, cum): every node from the root to each tip with the length up to it.
+    """(tip, node, depth, cum): every node from the root to each tip with the length up to it; any depth takes one pass."""
+
+    def made(walk: Walk, tips: np.ndarray) -> pa.RecordBatch:
+        names, nodes = [], []
+        for t in tips.tolist():
+            path, at = [], t
+            while at >= 0:
+                path.append(at)
+                at = walk.above[at]
+            names += [walk.name[t]] * len(path)
+            nodes += path[::-1]
+        at = np.array(nodes, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.array(walk.node, np.int32)[at]), pa.array(np.array(walk.depth, np.int32)[at]), pa.array(walk.cum[at])], ["tip", "node", "depth", "cum"])
+
+    return _of_tips(edges, "tip string, node int, depth int, cum double", made)
+
+
+def shared_path_lengths(edges: DataFrame) -> DataFrame:
+    """(i, j, v): length of the path that two tips share from the root, the covariance of Brownian motion.
 
-    A loop of joins, one a level of the tree, walks all tips up together.
+    For some tips at a time, every node takes the length up to where it leaves their paths, which is its own
+    on a path and its parent's elsewhere: one pass down the tree, and no join.
     """
-    height = edges.agg(F.max("depth")).first()[0] or 0
-    up = edges.select(F.col("node").alias("at"), F.col("parent").alias("next"), "depth", "branch_length")
-    now = edges.where("tip is not null").select("tip", F.col("node").alias("at"))
-    out = None
-    for _ in range(height + 1):
-        step = now.join(F.broadcast(up), "at")
-        rows = step.select("tip", F.col("at").alias("node"), "depth", "branch_length")
-        out = rows if out is None else out.unionByName(rows)
-        now = step.where("next is not null").select("tip", F.col("next").alias("at"))
-    w = Window.partitionBy("tip").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
-    return out.select("tip", "node", "depth", F.sum("branch_length").over(w).alias("cum"))
 
+    def made(walk: Walk, tips: np.ndarray) -> pa.RecordBatch:
+        others = np.array(list(walk.tips.values()))
+        on = np.zeros((len(walk.node), len(tips)), bool)
+        for k, at in enumerate(tips.tolist()):
+            while at >= 0:
+                on[at, k] = True
+                at = walk.above[at]
+        v = np.zeros(on.shape)
+        for level in walk.levels:
+            v[level] = np.where(on[level], walk.cum[level][:, None], v[walk.above[level]])
+        names = pa.array([walk.name[t] for t in others.tolist()], pa.string())
+        rows = np.repeat([walk.name[t] for t in tips.tolist()], len(others))
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.string()), names.take(pa.array(np.tile(np.arange(len(others)), len(tips)))), pa.array(v[others].T.ravel())], ["i", "j", "v"])
 
-def shared_path_lengths(paths: DataFrame) -> DataFrame:
-    """(i, j, v): length of the path that two tips share from the root, the covariance of Brownian motion."""
-    x, y = paths.alias("x"), paths.alias("y")
-    return x.join(y, F.col("x.node") == F.col("y.node")).groupBy(F.col("x.tip").alias("i"), F.col("y.tip").alias("j")).agg(F.max("x.cum").alias("v"))
+    return _of_tips(edges, "i string, j string, v double", made)
 
 
 def scaled_by_diagonal(pairs: DataFrame) -> DataFrame:
@@ -100,7 +133,7 @@ class Walk:
     """A tree as arrays, for all traits of a batch at once: nodes in preorder, children by node, tips by name."""
 
     def __init__(self, edges: DataFrame, most: int = 100_000):
-        rows = edges.select("node", "parent", "depth", "tip").orderBy("depth", "node").limit(most + 1).collect()
+        rows = edges.select("node", "parent", "depth", "tip", "branch_length").orderBy("depth", "node").limit(most + 1).collect()
         if len(rows) > most:
             raise ValueError(f"the tree has more than {most} nodes")
         self.place = {r.node: k for k, r in enumerate(rows)}
@@ -111,6 +144,13 @@ class Walk:
         for k, r in enumerate(rows):
             if r.parent is not None:
                 self.kids[self.place[r.parent]].append(k)
+        self.name = {k: t for t, k in self.tips.items()}
+        #: Places of the parents, -1 above the root, of the nodes of each level, and lengths from the root.
+        self.above = np.array([-1 if p is None else self.place[p] for p in self.parent], np.int64)
+        self.levels = np.split(np.arange(len(rows)), np.flatnonzero(np.diff(self.depth)) + 1) if rows else []
+        self.cum = np.array([r.branch_length or 0.0 for r in rows])
+        for level in self.levels[1:]:
+            self.cum[level] += self.cum[self.above[level]]
 
     def down(self, states: list[list[dict]], default: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(masks, changes), each nodes x traits, from the tips' states of every trait; a mask of 0 knows nothing."""

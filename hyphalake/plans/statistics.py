@@ -304,7 +304,7 @@ def g3(t: Tables) -> DataFrame:
 @query("g5_shared_paths", """WITH s AS (SELECT s_suppkey, s_nationkey, n_regionkey, s_suppkey % 5 + 1.0 AS bl FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 SELECT a.s_suppkey::VARCHAR AS i, b.s_suppkey::VARCHAR AS j, CASE WHEN a.s_suppkey = b.s_suppkey THEN 3 + a.bl WHEN a.s_nationkey = b.s_nationkey THEN 3.0 WHEN a.n_regionkey = b.n_regionkey THEN 1.0 ELSE 0.0 END::DOUBLE AS v FROM s a, s b""")
 def g5(t: Tables) -> DataFrame:
-    return tree.shared_path_lengths(tree.tip_paths(region_tree(t)))
+    return tree.shared_path_lengths(region_tree(t))
 
 
 @query("g2_clumping")

@@ -183,8 +183,18 @@ def test_parsimony_on_a_deep_tree(spark):
 
 
 def test_tree_paths(spark):
-    shared = {(r.i, r.j): r.v for r in tree.shared_path_lengths(tree.tip_paths(tree.tree_table(spark, NEWICK))).collect()}
+    shared = {(r.i, r.j): r.v for r in tree.shared_path_lengths(tree.tree_table(spark, NEWICK)).collect()}
     assert shared["A", "A"] == 2 and shared["A", "B"] == 1 and shared["A", "C"] == 0
+    paths = {(r.tip, r.node): (r.depth, r.cum) for r in tree.tip_paths(tree.tree_table(spark, NEWICK)).collect()}
+    assert len(paths) == 12 and {v for (t, _), v in paths.items() if t == "C"} == {(0, 0.0), (1, 1.0), (2, 2.0)}
+    deep = tree.parse_newick("".join("(" for _ in range(60)) + "t0:1" + "".join(f",t{k}:{k}):2" for k in range(1, 61)) + ";")
+    edges = spark.createDataFrame(deep, tree.EDGES)
+    held: dict = {}
+    for r in tree.tip_paths(edges).collect():
+        held.setdefault(r.tip, {})[r.node] = r.cum
+    for r in tree.shared_path_lengths(edges).collect():
+        assert r.v == max(held[r.i][n] for n in held[r.i].keys() & held[r.j].keys())
+    assert len(held) == 61
     named = tree.parse_newick("('a b':1.5,(c,d)x:2e-1[note])r;")
     assert [n[4] for n in named if n[4]] == ["a b", "c", "d"]
 
