@@ -6,6 +6,7 @@ default names are og and genome; all operators take column names.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -136,42 +137,72 @@ def genome_orders(genomes: DataFrame, genome: str, n_perm: int, seed: str = "0")
     return each.withColumn("pos", F.row_number().over(w))
 
 
-def rarefaction(pav: DataFrame, n_perm: int, feature: str = "og", genome: str = "genome", seed: str = "0", most: int = 20_000_000) -> DataFrame:
-    """(perm, n, pan, core) for n = 1..N genomes in each order.
+def rarefaction(pav: DataFrame, n_perm: int, feature: str = "og", genome: str = "genome", seed: str = "0", places: int = 20_000_000) -> DataFrame:
+    """(perm, n, pan, core) for n = 1..N genomes in each order of genome_orders.
 
     A feature is in the pan of n genomes if its first place is at most n, and in their core if the first
     place without it is beyond n.  Both are counts by place and running sums: no set is ever kept.  A
-    feature's genomes are gathered to one row, once, and its places under all orders are found there; the
-    orders, genomes x permutations numbers, go to every executor and may not exceed ``most``.
+    feature's genomes are gathered to one row, once; a task makes the orders itself, from the genomes' names,
+    and finds first places as minima over a feature's own genomes.  Orders come in blocks of ``places`` numbers
+    (genomes x orders) at most, and with more of them each block reads the features again.
     """
     spark = pav.sparkSession
-    orders = genome_orders(pav.select(genome), genome, n_perm, seed)
-    numbered = orders.where("perm = 0").select(genome, (F.col("pos") - 1).alias("_i"))
-    total = numbered.count()
-    if total * n_perm > most:
-        raise ValueError(f"{total} genomes in {n_perm} orders are more than {most} places; take fewer orders")
-    placed = orders.join(F.broadcast(numbered), genome).groupBy("perm").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "_i"))), lambda x: x["_i"]).alias("at"))
-    held = spark.sparkContext.broadcast(np.array([r["at"] for r in placed.orderBy("perm").collect()], np.int32).reshape(-1, total))
+    names = [r["g"] for r in pav.select(F.col(genome)).distinct().orderBy(genome).select(F.col(genome).cast("string").alias("g")).collect()]
+    total = len(names)
+    per = max(1, places // max(total, 1))
+    label = dict(pav.dtypes)[genome]
+    numbered = spark.createDataFrame([(g, k) for k, g in enumerate(names)], "_g string, _i int").select(F.col("_g").cast(label).alias(genome), "_i")
+
+    def orders(block: int) -> np.ndarray:
+        out = np.empty((min(per, n_perm - block * per), total), np.int32)
+        for k in range(len(out)):
+            digest = [hashlib.md5(f"{seed}|{block * per + k}|{g}".encode()).digest() for g in names]
+            out[k] = sorted(range(total), key=digest.__getitem__)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = held.value
-        pan, core = np.zeros((len(order), total + 1), np.int32), np.zeros((len(order), total + 1), np.int32)
-        rows = max(1, 1_000_000 // max(1, total))
+        block, order, pan, core = None, None, None, None
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            if order is not None:
+                perm, n = np.nonzero(pan + core)
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (perm + block * per, n, pan[perm, n], core[perm, n])], ["perm", "n", "p", "c"])
+
+        rows = max(1, 16_000_000 // max(1, total))
         for b in batches:
             for k in range(0, len(b), rows):
-                cells = b.column(0).slice(k, rows)
-                has = np.zeros((len(cells), total), bool)
-                has[np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy()), cells.flatten().to_numpy()] = True
-                every = has.all(axis=1)
-                for p, at in enumerate(order):
-                    own = has[:, at]
-                    pan[p] += np.bincount(own.argmax(axis=1) + 1, minlength=total + 1).astype(np.int32)
-                    core[p] += np.bincount(np.where(every, total, own.argmin(axis=1)), minlength=total + 1).astype(np.int32)
-        perm, n = np.nonzero(pan + core)
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (perm, n, pan[perm, n], core[perm, n])], ["perm", "n", "p", "c"])
-
-    packed = pav.join(F.broadcast(numbered), genome).groupBy(feature).agg(F.collect_set("_i").alias("cells")).select("cells")
-    counts = packed.mapInArrow(run, "perm int, n int, p int, c int").groupBy("perm", "n").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
+                part = b.slice(k, rows)
+                which = part.column(0).to_numpy()
+                for x, y in zip([0, *(np.flatnonzero(np.diff(which)) + 1).tolist()], [*(np.flatnonzero(np.diff(which)) + 1).tolist(), len(which)]):
+                    if which[x] != block:
+                        yield from counted()
+                        block, order = int(which[x]), orders(int(which[x]))
+                        pan, core = np.zeros((len(order), total + 1), np.int32), np.zeros((len(order), total + 1), np.int32)
+                    cells = part.column(1).slice(x, y - x)
+                    size = cells.value_lengths().to_numpy()
+                    flat, start = cells.flatten().to_numpy(), np.cumsum(size) - size
+                    has = np.zeros((total, y - x), bool)
+                    has[flat, np.repeat(np.arange(y - x), size)] = True
+                    some = np.flatnonzero(size < total)
+                    for p, at in enumerate(order):
+                        place = np.empty(total, np.int32)
+                        place[at] = np.arange(1, total + 1)
+                        pan[p] += np.bincount(np.minimum.reduceat(place[flat], start), minlength=total + 1).astype(np.int32)
+                        core[p, total] += len(size) - len(some)
+                        left = some
+                        for n in range(total):
+                            if not len(left):
+                                break
+                            still = has[at[n], left]
+                            core[p, n] += len(left) - int(still.sum())
+                            left = left[still]
+        yield from counted()
+
+    blocks = -(-n_perm // per)
+    packed = pav.join(F.broadcast(numbered), genome).groupBy(feature).agg(F.collect_set("_i").alias("cells"))
+    dealt = packed.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "cells")
+    dealt = dealt.sortWithinPartitions("block") if blocks > 1 else dealt
+    counts = dealt.mapInArrow(run, "perm int, n int, p int, c int").groupBy("perm", "n").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
     grid = spark.range(n_perm).select(F.col("id").cast("int").alias("perm")).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(total))))
     filled = grid.join(counts, ["perm", "n"], "left")
     up = Window.partitionBy("perm").orderBy("n")

@@ -268,3 +268,17 @@ def test_random_sets_are_the_smallest_digests(spark, n, size):
         got.setdefault(r.perm, set()).add(r.og)
     want = {p: set(sorted(range(n), key=lambda i: hashlib.md5(f"s|{p}|{i}".encode()).hexdigest())[:size]) for p in range(7)}
     assert got == {p: x for p, x in want.items() if x}
+
+
+@pytest.mark.parametrize("places", [20_000_000, 30])
+def test_rarefaction_in_blocks_of_orders(spark, places):
+    from hyphalake.operators import pangenome
+
+    rng = random.Random(3)
+    has = {f: {g for g in range(12) if f < 3 or rng.random() < 0.4} or {0} for f in range(40)}
+    pav = spark.createDataFrame([(f, g) for f, x in has.items() for g in x], "og int, genome int")
+    order: dict = {}
+    for r in pangenome.genome_orders(pav.select("genome"), "genome", 7).orderBy("perm", "pos").collect():
+        order.setdefault(r.perm, []).append(r.genome)
+    got = {(r.perm, r.n): (r.pan, r.core) for r in pangenome.rarefaction(pav, 7, places=places).collect()}
+    assert got == {(p, n): (sum(bool(x & set(o[:n])) for x in has.values()), sum(set(o[:n]) <= x for x in has.values())) for p, o in order.items() for n in range(1, 13)}
