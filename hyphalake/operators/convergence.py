@@ -89,6 +89,33 @@ def meta_analysis(results: DataFrame, feature: str = "og", min_groups: int = 2)
     return bh_qvalues(out.drop("ps", "z_sum"), p="fisher_p")
 
 
+def cross_species_report(results: DataFrame, links: DataFrame, pair: tuple[str, str], feature: str = "og", combined: str = "combined_og", group: str = "species", q: float = 0.1, moderate_p: float = 0.1, alpha: float = 0.05) -> DataFrame:
+    """(section, item, n): what two species have in common, from their results and the map to combined features.
+
+    pairs: features of the map significant in both, by direction.  features: own features tested in both, by
+    where they are significant.  hits: support and direction over the map.  meta: combined tests, those below
+    alpha, and their directions.  Results on the map are the best of each combined feature, with their own q.
+    """
+    a, b = pair
+    own = kept(bh_qvalues(results.where(F.col(group).isin(a, b)), by=[group]), "own")
+    moved = merge_results(transfer(own.drop("qvalue"), links, feature), [group, combined], "best")
+    moved = kept(bh_qvalues(moved, by=[group]), "moved")
+    part = lambda df, section, item: df.groupBy(F.lit(section).alias("section"), item.alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    meta = kept(meta_analysis(moved, combined), "meta")
+    sections = [
+        part(convergent_pairs(moved, combined, group, q), "pairs", F.col("direction")),
+        part(compare_features(own, a, b, feature, group, q), "features", F.col("category")),
+        part(convergent_hits(moved, combined, group, q, 2, moderate_p, 2), "hits", F.concat_ws(" ", "support", "direction")),
+        part(meta, "meta", F.lit("tested")),
+        part(meta.where(F.col("fisher_p") < alpha), "meta", F.lit("significant")),
+        part(meta, "meta", F.col("direction")),
+    ]
+    out = sections[0]
+    for x in sections[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 def _z(p: Column) -> Column:
     """Upper normal quantile of p / 2 by a rational approximation (absolute error below 4.5e-4)."""
     t = F.sqrt(-2 * F.log(F.greatest(p / 2, F.lit(1e-300))))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hyphalake.operators import association, burden, clusters, convergence, enrichment, gram, kinship, pangenome, relational, tree
 from hyphalake.plans.aggregates import classes
 from hyphalake.plans.base import Tables, query, rounded
-from hyphalake.plans.joins import RESULTS, results
+from hyphalake.plans.joins import RESULTS, links, results
 from hyphalake.sources.shared import kept
 
 #: Counts of terms by class: {members} and the terms of each part, with margins and Fisher's p by summing tables.
@@ -83,6 +83,28 @@ def t23(t: Tables) -> DataFrame:
     return out.select("og", "k", F.round("chi2", 6).alias("chi2"), F.round("fisher_p", 7).alias("fisher_p"), "direction")
 
 
+#: q-values of res and of the best results of combined features, and what two species share.
+REPORT = f"""{RESULTS}, o0 AS (SELECT * FROM res WHERE species IN ('ASIA', 'EUROPE')),
+oq AS (SELECT *, pvalue * count(*) OVER (PARTITION BY species) / count(*) OVER (PARTITION BY species ORDER BY pvalue RANGE UNBOUNDED PRECEDING) AS raw FROM o0),
+own AS (SELECT species, og, beta, pvalue, least(1, min(raw) OVER (PARTITION BY species ORDER BY pvalue RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM oq),
+l AS (SELECT DISTINCT l_partkey AS og, o_custkey AS c FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+m0 AS (SELECT species, c, arg_min(struct_pack(b := beta, p := pvalue), struct_pack(p := pvalue, b := beta)) AS x FROM own JOIN l USING (og) GROUP BY species, c),
+mq AS (SELECT species, c, x.b AS beta, x.p AS pvalue, x.p * count(*) OVER (PARTITION BY species) / count(*) OVER (PARTITION BY species ORDER BY x.p RANGE UNBOUNDED PRECEDING) AS raw FROM m0),
+mv AS (SELECT species, c, beta, pvalue, least(1, min(raw) OVER (PARTITION BY species ORDER BY pvalue RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS q FROM mq),
+cp AS (SELECT CASE WHEN sign(x.beta) <> sign(y.beta) THEN 'opposite' WHEN x.beta > 0 THEN 'enriched' ELSE 'depleted' END AS item FROM mv x JOIN mv y ON x.c = y.c AND x.species = 'ASIA' AND y.species = 'EUROPE' WHERE x.q < 0.3 AND y.q < 0.3),
+cf AS (SELECT CASE WHEN x.q < 0.3 AND y.q < 0.3 THEN CASE WHEN sign(x.beta) = sign(y.beta) THEN 'shared' ELSE 'opposite' END WHEN x.q < 0.3 THEN 'first only' WHEN y.q < 0.3 THEN 'second only' ELSE 'neither' END AS item FROM own x JOIN own y ON x.og = y.og AND x.species = 'ASIA' AND y.species = 'EUROPE'),
+ch AS (SELECT count(*) FILTER (q < 0.3 AND beta > 0) AS su, count(*) FILTER (q < 0.3 AND beta < 0) AS sd, count(*) FILTER (pvalue < 0.1 AND beta > 0) AS mu, count(*) FILTER (pvalue < 0.1 AND beta < 0) AS md FROM mv GROUP BY c),
+hi AS (SELECT CASE WHEN su >= 2 THEN 'significant enriched' WHEN sd >= 2 THEN 'significant depleted' WHEN mu >= 2 THEN 'consistent enriched' WHEN md >= 2 THEN 'consistent depleted' END AS item FROM ch),
+mt AS (SELECT -2 * sum(ln(greatest(pvalue, 1e-300))) AS chi2, CASE WHEN count(*) FILTER (beta < 0) = 0 THEN 'enriched' WHEN count(*) FILTER (beta > 0) = 0 THEN 'depleted' ELSE 'mixed' END AS item FROM mv GROUP BY c HAVING count(*) >= 2)
+SELECT 'pairs' AS section, item, count(*) AS n FROM cp GROUP BY item UNION ALL SELECT 'features', item, count(*) FROM cf GROUP BY item UNION ALL SELECT 'hits', item, count(*) FROM hi WHERE item IS NOT NULL GROUP BY item
+UNION ALL SELECT 'meta', 'tested', count(*) FROM mt HAVING count(*) > 0 UNION ALL SELECT 'meta', 'significant', count(*) FROM mt WHERE exp(-chi2 / 2) * (1 + chi2 / 2) < 0.05 HAVING count(*) > 0 UNION ALL SELECT 'meta', item, count(*) FROM mt GROUP BY item"""
+
+
+@query("t42_cross_species_report", REPORT)
+def t42(t: Tables) -> DataFrame:
+    return convergence.cross_species_report(results(t), links(t), ("ASIA", "EUROPE"), q=0.3)
+
+
 @query("w10_spearman", f"""{RESULTS}, j AS (SELECT x.beta AS a, y.beta AS b FROM res x JOIN res y USING (og) WHERE x.species = 'ASIA' AND y.species = 'EUROPE' AND x.beta <> 0 AND y.beta <> 0),
 r AS (SELECT a, b, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM j)
 SELECT count(*) AS n, count(*) FILTER (sign(a) = sign(b)) AS n_same, round(count(*) FILTER (sign(a) = sign(b)) / count(*), 6) AS agreement, round(corr(a, b), 6) AS pearson, round(corr(ra, rb), 6) AS spearman FROM r""")
