@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hyphalake.operators import association, convergence, isolates, kinship, pangenome, relational, tree
+from hyphalake.operators import association, convergence, figures, isolates, kinship, pangenome, relational, tree
 from hyphalake.plans.base import Tables, query, rounded
 from hyphalake.plans.joins import RESULTS, results
 from hyphalake.plans.statistics import FITCH, features, grm, region_tree, tip_states
@@ -251,3 +251,20 @@ def s24(t: Tables) -> DataFrame:
     pav = t.pav()
     kept = pav.join(pangenome.private_features(pav, gone), "og", "left_anti").join(F.broadcast(gone), "genome", "left_anti")
     return pangenome.frequency(kept)
+
+
+@query("v1_quality_points", """WITH r AS (SELECT s_suppkey AS accession, r_name AS species, s_acctbal AS contigs, CASE WHEN s_suppkey % 4 > 0 THEN s_nationkey END AS n50, s_acctbal > 2000 AS passed, CASE s_suppkey % 9 WHEN 0 THEN 'genome' WHEN 1 THEN 'proteome' WHEN 2 THEN 'both' END AS ref, s_suppkey % 5 = 0 AS gone FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+s AS (SELECT *, 'passed' AS state FROM r WHERE passed AND ref IS NULL UNION ALL SELECT *, 'filtered' FROM r WHERE NOT passed AND ref IS NULL AND NOT gone UNION ALL SELECT *, 'excluded' FROM r WHERE gone UNION ALL SELECT *, 'reference ' || ref FROM r WHERE ref IS NOT NULL)
+SELECT species, accession, 'contigs' AS metric, state, contigs::DOUBLE AS value FROM s UNION ALL SELECT species, accession, 'n50', state, n50::DOUBLE FROM s WHERE n50 IS NOT NULL""")
+def v1_quality(t: Tables) -> DataFrame:
+    genomes = t.genomes().select(F.col("genome").alias("accession"), "species")
+    kinds = F.when(F.col("s_suppkey") % 9 == 0, "genome").when(F.col("s_suppkey") % 9 == 1, "proteome").when(F.col("s_suppkey") % 9 == 2, "both")
+    rows = genomes.join(t.supplier, F.col("accession") == F.col("s_suppkey")).select("accession", "species", F.col("s_acctbal").alias("contigs"), F.when(F.col("s_suppkey") % 4 > 0, F.col("s_nationkey")).alias("n50"), (F.col("s_acctbal") > 2000).alias("passed"), kinds.alias("reference_type"))
+    return figures.quality_points(rows, ["contigs", "n50"], rows.where("accession % 5 = 0").select("species", "accession"))
+
+
+@query("v1_map_marginals", """WITH p AS (SELECT c_mktsegment AS species, c_nationkey * 15.0 - 180 AS lon, c_acctbal / 50 - 40 AS lat FROM customer), a AS (SELECT 'lon' AS axis, species, least(71, floor((lon + 180) / 360 * 72))::INT AS bin, -180.0 AS low, 5.0 AS step FROM p WHERE lon BETWEEN -180 AND 180 UNION ALL SELECT 'lat', species, least(35, floor((lat + 90) / 180 * 36))::INT, -90.0, 5.0 FROM p WHERE lat BETWEEN -90 AND 90)
+SELECT axis, species, bin, (any_value(low) + bin * any_value(step))::DOUBLE AS start, count(*) AS n FROM a GROUP BY axis, species, bin""")
+def v1_marginals(t: Tables) -> DataFrame:
+    places = t.customer.select(F.col("c_mktsegment").alias("species"), (F.col("c_nationkey") * 15.0 - 180).alias("lon"), (F.col("c_acctbal") / 50 - 40).alias("lat"))
+    return figures.map_marginals(places)
