@@ -308,7 +308,7 @@ def _answered(block: pa.Table, found: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([rows.field("key"), *[rows.field(c) for c in _FIGURES], pa.array(out[0]), pa.array(out[1])], ["key", *_FIGURES, "n_best", "count_sum"])
 
 
-def align(docs: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "doc_id", text: str = "text", block_chars: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
+def align(docs: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "doc_id", text: str = "text", block_chars: int = 2_500_000) -> tuple[DataFrame, DataFrame]:
     """(one row a row of docs: key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256; counts of pairs (a, b, count, best))."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "align")
