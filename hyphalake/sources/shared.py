@@ -21,9 +21,23 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Tables kept so far, by application.
+_tables: dict[str, list[str]] = {}
+
+
 def kept(df: DataFrame, tag: str) -> DataFrame:
     """df, written to the shared folder and read back, so that what follows neither repeats nor depends on its lineage."""
     path = f"{shared_folder(df.sparkSession)}/kept-{tag}-{uuid.uuid4().hex}"
+    _tables.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> int:
+    """Deletes all tables this application has kept, once the results that read them are written; returns how many."""
+    paths = _tables.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(here, True)
+    return len(paths)

@@ -152,3 +152,27 @@ def test_headers_are_read_file_by_file(spark, folder):
 def test_fasta_headers_may_hold_the_mark(spark, folder):
     f = folder("marks.fa", ">p1 A->B x\nACGT\nAC\n>p2\r\nGG\r\n>p3 a > b\nT\n")
     assert {r.id: r.sequence for r in readers.fasta(spark, f).collect()} == {"p1": "ACGTAC", "p2": "GG", "p3": "T"}
+
+
+def test_kept_tables_are_forgotten(spark):
+    from hyphalake.sources import shared
+
+    shared.forget(spark)
+    df = shared.kept(spark.range(3), "numbers")
+    assert df.count() == 3 and shared.forget(spark) == 1 and shared.forget(spark) == 0
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        spark.read.parquet(df.inputFiles()[0]).count()
+
+
+def test_a_cache_is_built_again_when_its_inputs_or_parameters_change(spark, tmp_path):
+    root, calls = f"file://{tmp_path}", []
+    spark.range(3).write.parquet(f"{root}/in")
+
+    def read(n=1, **more):
+        return store.cached(spark, f"{root}/out", lambda: calls.append(n) or spark.read.parquet(f"{root}/in").withColumn("n", F.lit(n)), inputs=[f"{root}/in", f"{root}/none"], parameters={"n": n}, **more)
+
+    assert read().count() == read().count() == 3 and len(calls) == 1
+    spark.range(5).write.mode("overwrite").parquet(f"{root}/in")
+    assert read().count() == 5 and len(calls) == 2
+    assert read(2).first().n == 2 and len(calls) == 3
+    assert read(2, force=True).count() == 5 and len(calls) == 4
