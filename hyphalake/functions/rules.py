@@ -50,6 +50,11 @@ def hits(text: Column, rules: Rules) -> Column:
     return total
 
 
+def ascii_bounds(rules: Rules) -> Rules:
+    """The rules with word bounds between ASCII letters, digits and underscores and all others, as RE2 has them."""
+    return tuple((p.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"), name) for p, name in rules)
+
+
 def labels(text: Column, rules: Rules) -> Column:
     """Labels of the rules that match, in the rules' order."""
     return F.array_compact(F.array(*[F.when(text.rlike(f"(?i){p}"), F.lit(name)) for p, name in rules]))

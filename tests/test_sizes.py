@@ -23,3 +23,14 @@ def asked(monkeypatch, name, spark, **tables):
 def test_region_numbers_beyond_three_digits(spark, monkeypatch):
     out = asked(monkeypatch, "f30_region_numbers", spark, supplier=spark.range(7).select(F.expr("pow(10, id)").cast("long").alias("s_suppkey")))
     assert all(r.s_suppkey == r.region for r in out.collect()) and out.count() == 7
+
+
+def test_rule_classifier_bounds_words_as_its_sql(spark, monkeypatch):
+    import duckdb
+
+    texts = [(1, "In inßtzer"), (2, "the theé in inü"), (3, "éthe the"), (4, "the the of"), (5, "xin in"), (6, None), (7, "ofof"), (8, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = asked(monkeypatch, "t1_rule_classifier", spark, documents=docs).collect()
+    documents = docs.toPandas()  # noqa: F841
+    want = duckdb.connect().sql(registry.ORACLE_SQL["t1_rule_classifier"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want)
