@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +67,7 @@ def tree_table(spark: SparkSession, newick: str) -> DataFrame:
     return spark.createDataFrame(parse_newick(newick), EDGES)
 
 
-def _of_tips(edges: DataFrame, schema: str, made: Callable[[Walk, np.ndarray], pa.RecordBatch], rows: int = 64) -> DataFrame:
+def _of_tips(edges: DataFrame, schema: str, made: Callable[[Walk, np.ndarray], Iterator[pa.RecordBatch]], rows: int = 64) -> DataFrame:
     """made(tree, numbers of tips) of every tip, some at a time; the tree is at hand in every task."""
     walk = Walk(edges)
 
@@ -74,7 +75,7 @@ def _of_tips(edges: DataFrame, schema: str, made: Callable[[Walk, np.ndarray], p
         for b in batches:
             at = np.array([walk.tips[t] for t in b.column(0).to_pylist()], np.int64)
             for k in range(0, len(at), rows):
-                yield made(walk, at[k : k + rows])
+                yield from made(walk, at[k : k + rows])
 
     tips = edges.where("tip is not null").select("tip").distinct()
     spread = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -84,7 +85,7 @@ def _of_tips(edges: DataFrame, schema: str, made: Callable[[Walk, np.ndarray], p
 def tip_paths(edges: DataFrame) -> DataFrame:
     """(tip, node, depth, cum): every node from the root to each tip with the length up to it; any depth takes one pass."""
 
-    def made(walk: Walk, tips: np.ndarray) -> pa.RecordBatch:
+    def made(walk: Walk, tips: np.ndarray) -> Iterator[pa.RecordBatch]:
         names, nodes = [], []
         for t in tips.tolist():
             path, at = [], t
@@ -94,19 +95,19 @@ def tip_paths(edges: DataFrame) -> DataFrame:
             names += [walk.name[t]] * len(path)
             nodes += path[::-1]
         at = np.array(nodes, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.array(walk.node, np.int32)[at]), pa.array(np.array(walk.depth, np.int32)[at]), pa.array(walk.cum[at])], ["tip", "node", "depth", "cum"])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.array(walk.node, np.int32)[at]), pa.array(np.array(walk.depth, np.int32)[at]), pa.array(walk.cum[at])], ["tip", "node", "depth", "cum"])
 
     return _of_tips(edges, "tip string, node int, depth int, cum double", made)
 
 
-def shared_path_lengths(edges: DataFrame) -> DataFrame:
+def shared_path_lengths(edges: DataFrame, pairs: int = 1 << 18) -> DataFrame:
     """(i, j, v): length of the path that two tips share from the root, the covariance of Brownian motion.
 
     For some tips at a time, every node takes the length up to where it leaves their paths, which is its own
-    on a path and its parent's elsewhere: one pass down the tree, and no join.
+    on a path and its parent's elsewhere: one pass down the tree, and no join.  Batches hold ``pairs`` pairs at most.
     """
 
-    def made(walk: Walk, tips: np.ndarray) -> pa.RecordBatch:
+    def made(walk: Walk, tips: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         others = np.array(list(walk.tips.values()))
         on = np.zeros((len(walk.node), len(tips)), bool)
         for k, at in enumerate(tips.tolist()):
@@ -116,11 +117,18 @@ def shared_path_lengths(edges: DataFrame) -> DataFrame:
         v = np.zeros(on.shape)
         for level in walk.levels:
             v[level] = np.where(on[level], walk.cum[level][:, None], v[walk.above[level]])
+        return others, v[others].T
+
+    def run(walk: Walk, tips: np.ndarray) -> Iterator[pa.RecordBatch]:
+        others, v = made(walk, tips)
         names = pa.array([walk.name[t] for t in others.tolist()], pa.string())
-        rows = np.repeat([walk.name[t] for t in tips.tolist()], len(others))
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.string()), names.take(pa.array(np.tile(np.arange(len(others)), len(tips)))), pa.array(v[others].T.ravel())], ["i", "j", "v"])
+        for t, own in zip(tips.tolist(), v):
+            name = pa.array([walk.name[t]], pa.string())
+            for k in range(0, len(own), pairs):
+                part = names.slice(k, pairs)
+                yield pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(part), np.int64))), part, pa.array(np.ascontiguousarray(own[k : k + pairs]))], ["i", "j", "v"])
 
-    return _of_tips(edges, "i string, j string, v double", made)
+    return _of_tips(edges, "i string, j string, v double", run)
 
 
 def scaled_by_diagonal(pairs: DataFrame) -> DataFrame:
@@ -129,11 +137,20 @@ def scaled_by_diagonal(pairs: DataFrame) -> DataFrame:
     return pairs.join(F.broadcast(d)).select("i", "j", (F.col("v") / F.col("_d")).alias("v"))
 
 
+class Node(NamedTuple):
+    node: int
+    parent: int | None
+    depth: int
+    tip: str | None
+    branch_length: float | None
+
+
 class Walk:
     """A tree as arrays, for all traits of a batch at once: nodes in preorder, children by node, tips by name."""
 
-    def __init__(self, edges: DataFrame, most: int = 100_000):
-        rows = edges.select("node", "parent", "depth", "tip", "branch_length").orderBy("depth", "node").limit(most + 1).collect()
+    def __init__(self, edges: DataFrame, most: int = 5_000_000):
+        table = edges.select("node", "parent", "depth", "tip", "branch_length").orderBy("depth", "node").limit(most + 1).toArrow()
+        rows = list(map(Node, *[c.to_pylist() for c in table.columns]))
         if len(rows) > most:
             raise ValueError(f"the tree has more than {most} nodes")
         self.place = {r.node: k for k, r in enumerate(rows)}
@@ -173,18 +190,6 @@ class Walk:
                 changes[n] = changes[self.kids[n]].sum(axis=0) + clash
         return masks, changes
 
-    def up(self, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(gains, losses) of each binary trait: a node takes its parent's state where its set holds it, else its smallest."""
-        own = np.where(masks & 1, 0, 1)
-        gains, losses = np.zeros(masks.shape[1], np.int64), np.zeros(masks.shape[1], np.int64)
-        for n in range(len(self.node)):
-            for k in self.kids[n]:
-                own[k] = np.where(masks[k] >> own[n] & 1, own[n], own[k])
-                known = masks[k] != 0
-                gains += known & (own[k] > own[n])
-                losses += known & (own[k] < own[n])
-        return gains, losses
-
     def changes(self, present: np.ndarray) -> np.ndarray:
         """Least changes of binary traits, from a row for each tip (in the order of tips) with a flag for each trait.
 
@@ -209,57 +214,187 @@ class Walk:
         return out
 
 
-def _by_trait(traits: DataFrame, states: DataFrame, trait: str) -> DataFrame:
-    """(trait, states): the tips' states of each trait in one row, which the number of tips bounds."""
-    held = states.groupBy(trait).agg(F.collect_list(F.struct("tip", F.col("state").cast("int").alias("state"))).alias("s"))
-    return traits.select(trait).distinct().join(held, trait, "left").select(trait, F.coalesce("s", F.array().cast("array<struct<tip:string,state:int>>")).alias("s"))
+class Level(NamedTuple):
+    """Nodes of one level that a state is at or below, by trait: traits, places, masks, changes, and the parent's entry a level above."""
 
+    trait: np.ndarray
+    place: np.ndarray
+    mask: np.ndarray
+    changes: np.ndarray
+    parent: np.ndarray
+
+
+class Sets:
+    """Fitch sets of many traits, only at nodes that have a tip with a state at or below them.
+
+    All other nodes have the set they have where no tip has a state (``base``), so a trait costs its states times the
+    tree's depth, whatever the number of tips.  Nodes of a level meet by trait and parent in sorted runs.
+    """
 
-def _walked(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str, default: int | None, schema: str, made: Callable[[Walk, np.ndarray, np.ndarray], dict], rows: int = 1024) -> DataFrame:
-    """One pass over the traits with the tree at hand; made gives columns after the trait, as arrays by trait and row."""
+    def __init__(self, walk: Walk, default: int | None):
+        n = len(walk.node)
+        self.default, self.above = default, walk.above
+        self.level = np.zeros(n, np.int64)
+        for k in range(n):
+            if walk.above[k] >= 0:
+                self.level[k] = self.level[walk.above[k]] + 1
+        self.depth, self.node = np.array(walk.depth, np.int64), np.array(walk.node, np.int64)
+        self.base = walk.down([[]], default)[0][:, 0] if n else np.zeros(0, np.int64)
+        self.leaf = np.array([not k for k in walk.kids], bool)
+        #: How many children of each node have a set where no tip has a state.
+        self.known = np.bincount(walk.above[(walk.above >= 0) & (self.base != 0)], minlength=n)
+
+    def down(self, trait: np.ndarray, place: np.ndarray, state: np.ndarray) -> list[Level]:
+        """Levels from the root on, from the states of tips (trait, place, state)."""
+        n = max(len(self.above), 1)
+        keep = self.leaf[place]
+        key, mask = trait[keep] * n + place[keep], np.left_shift(1, state[keep])
+        order = np.argsort(key, kind="stable")
+        key, mask = key[order], mask[order]
+        cut = np.flatnonzero(np.diff(key, prepend=-1))
+        key, mask = key[cut], np.bitwise_or.reduceat(mask, cut) if len(cut) else mask
+        at = self.level[key % n]
+        out: list[Level] = []
+        up = key[:0], mask[:0], mask[:0]
+        for depth in range(int(at.max()) if len(at) else 0, -1, -1):
+            own = at == depth
+            key_, mask_, changes = np.concatenate((up[0], key[own])), np.concatenate((up[1], mask[own])), np.concatenate((up[2], np.zeros(own.sum(), np.int64)))
+            t, p = key_ // n, key_ % n
+            if depth == 0:
+                out.append(Level(t, p, mask_, changes, np.zeros(len(t), np.int64)))
+                break
+            above = t * n + self.above[p]
+            run = np.argsort(above, kind="stable")
+            if out:  # the level below met its parents before they were sorted
+                sorted_to = np.empty(len(run), np.int64)
+                sorted_to[run] = np.arange(len(run))
+                out[-1] = out[-1]._replace(parent=sorted_to[out[-1].parent])
+            t, p, mask_, changes, above = t[run], p[run], mask_[run], changes[run], above[run]
+            first = np.flatnonzero(np.diff(above, prepend=-1))
+            known = mask_ != 0
+            common, every = np.bitwise_and.reduceat(np.where(known, mask_, -1), first), np.bitwise_or.reduceat(mask_, first)
+            some, total = np.logical_or.reduceat(known, first), np.add.reduceat(changes, first)
+            if self.default is not None:
+                rest = self._rest(above[first] % n, p, first) > 0
+                own_ = 1 << self.default
+                common, every, some = np.where(rest, common & own_, common), np.where(rest, every | own_, every), some | rest
+            clash = some & (common == 0)
+            out.append(Level(t, p, mask_, changes, np.cumsum(np.diff(above, prepend=-1) != 0) - 1))
+            up = above[first], np.where(clash | ~some, every, common), total + clash
+        return out[::-1]
+
+    def _rest(self, parents: np.ndarray, places: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """How many children with a set of their own, but no state at or below them, each parent of a level has."""
+        return self.known[parents] - np.add.reduceat((self.base[places] != 0).astype(np.int64), first)
+
+    def events(self, levels: list[Level], m: int) -> tuple[np.ndarray, np.ndarray]:
+        """(gains, losses) of each of m binary traits: a node takes its parent's state where its set holds it, else its smallest."""
+        gains, losses = np.zeros(m, np.int64), np.zeros(m, np.int64)
+        own = np.zeros(0, np.int64)
+        for depth, x in enumerate(levels):
+            least = np.where(x.mask & 1, 0, 1)
+            if depth == 0:
+                own = least
+                continue
+            above = own[x.parent]
+            now = np.where(x.mask >> above & 1, above, least)
+            known = x.mask != 0
+            gains += np.bincount(x.trait[known & (now > above)], minlength=m)
+            losses += np.bincount(x.trait[known & (now < above)], minlength=m)
+            if self.default is not None and len(x.trait):
+                first = np.flatnonzero(np.diff(x.parent, prepend=-1))
+                rest, above = self._rest(self.above[x.place[first]], x.place, first), above[first]
+                d = 1 << self.default
+                other = np.where(d >> above & 1, above, 0 if d & 1 else 1)
+                np.add.at(gains, x.trait[first], rest * (other > above))
+                np.add.at(losses, x.trait[first], rest * (other < above))
+            own = now
+        return gains, losses
+
+
+def _by_trait(walk: Walk, traits: DataFrame, states: DataFrame, trait: str) -> DataFrame:
+    """(trait, places, states): the tips' states of each trait in one row, which the number of tips bounds."""
+    tips = pa.table({"_tip": pa.array(list(walk.tips), pa.string()), "_at": pa.array(list(walk.tips.values()), pa.int32())})
+    places = F.broadcast(traits.sparkSession.createDataFrame(tips))
+    known = states.join(places, F.col("tip") == F.col("_tip")).where(F.col("state").isNotNull())
+    held = known.groupBy(trait).agg(F.collect_list(F.struct("_at", F.col("state").cast("int").alias("state"))).alias("s"))
+    empty = F.array().cast("array<int>")
+    return traits.select(trait).distinct().join(held, trait, "left").select(trait, F.coalesce("s._at", empty).alias("at"), F.coalesce("s.state", empty).alias("state"))
+
+
+def _walked(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str, default: int | None, schema: str, made: Callable[[Sets, list[Level], int], dict], rows: int = 1024, cells: int = 1 << 20) -> DataFrame:
+    """One pass over the traits with the tree at hand; made gives columns after the trait, as arrays by trait and row.
+
+    A piece has ``rows`` traits and ``cells`` states at most, or one trait."""
     walk = Walk(edges)
+    sets = Sets(walk, default)
     kind = dict(traits.dtypes)[trait]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, len(b), rows):
-                part = b.slice(at, rows)
-                columns = made(walk, *walk.down(part.column(1).to_pylist(), default))
+            size = b.column(1).value_lengths().to_numpy()
+            ends = np.concatenate(([0], np.cumsum(size)))
+            at = 0
+            while at < len(b):
+                stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, ends[at] + cells, "right")) - 1))
+                part = b.slice(at, stop - at)
+                place, state = (part.column(k).flatten().to_numpy().astype(np.int64) for k in (1, 2))
+                levels = sets.down(np.repeat(np.arange(len(part)), size[at:stop]), place, state)
+                columns = made(sets, levels, len(part))
                 which = columns.pop("_trait")
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(which)), *map(pa.array, columns.values())], [trait, *columns])
+                at = stop
 
-    return _by_trait(traits, states, trait).mapInArrow(run, f"{trait} {kind}, {schema}")
+    return _by_trait(walk, traits, states, trait).mapInArrow(run, f"{trait} {kind}, {schema}")
 
 
-def downpass(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = None) -> DataFrame:
-    """(trait, node, depth, parent, mask, changes): Fitch sets of all traits, from the tips to the root.
+def downpass(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = None, depth: int | None = None) -> DataFrame:
+    """(trait, node, depth, parent, mask, changes): Fitch sets of all traits, from the tips to the root, or of the nodes of one depth.
 
     states: (trait, tip, state) with states numbered from 0; a set is a bit mask.  At a node the sets of
     all its children meet: their common bits, or all their bits and one change if there are none.  A tip
     without a row has the default state, or none and takes no part.  The tree is one file and goes to
-    every task; a trait's states are one row, so any depth takes one pass.
+    every task; a trait's states are one row, so any depth takes one pass.  With a default every node has a
+    row for each trait: ask for a depth where that is all that is wanted.
     """
 
-    def made(walk: Walk, masks: np.ndarray, changes: np.ndarray) -> dict:
+    def made(sets: Sets, levels: list[Level], m: int) -> dict:
+        chosen = np.arange(len(sets.node)) if depth is None else np.flatnonzero(sets.depth == depth)
+        number = np.full(len(sets.node), -1, np.int64)
+        number[chosen] = np.arange(len(chosen))
+        masks, changes = np.repeat(sets.base[chosen][:, None], m, axis=1), np.zeros((len(chosen), m), np.int64)
+        for x in levels:
+            own = number[x.place] >= 0
+            masks[number[x.place[own]], x.trait[own]], changes[number[x.place[own]], x.trait[own]] = x.mask[own], x.changes[own]
         n, t = np.nonzero(masks)
-        parent = [walk.parent[k] for k in n.tolist()]
-        return {"_trait": t, "node": np.array(walk.node, np.int32)[n], "depth": np.array(walk.depth, np.int32)[n], "parent": pa.array(parent, pa.int32()), "mask": masks[n, t], "changes": changes[n, t]}
+        at = chosen[n]
+        parent = np.where(sets.above[at] >= 0, sets.node[sets.above[at]], 0)
+        return {"_trait": t, "node": sets.node[at].astype(np.int32), "depth": sets.depth[at].astype(np.int32), "parent": pa.array(parent.astype(np.int32), mask=sets.above[at] < 0), "mask": masks[n, t], "changes": changes[n, t]}
 
-    return _walked(edges, traits, states, trait, default, "node int, depth int, parent int, mask long, changes long", made)
+    # All nodes of a piece of traits are at hand at once.
+    rows = 1024 if depth is not None else max(1, min(1024, (1 << 21) // max(1, edges.count())))
+    return _walked(edges, traits, states, trait, default, "node int, depth int, parent int, mask long, changes long", made, rows)
 
 
 def parsimony(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = 0) -> DataFrame:
     """(trait, changes): least number of state changes of each trait."""
-    return _walked(edges, traits, states, trait, default, "changes long", lambda walk, masks, changes: {"_trait": np.arange(masks.shape[1]), "changes": changes[0]})
+
+    def made(sets: Sets, levels: list[Level], m: int) -> dict:
+        changes = np.zeros(m, np.int64)
+        if levels:
+            changes[levels[0].trait] = levels[0].changes
+        return {"_trait": np.arange(m), "changes": changes}
+
+    return _walked(edges, traits, states, trait, default, "changes long", made)
 
 
 def gains_and_losses(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", default: int | None = 0) -> DataFrame:
     """(trait, gains, losses) of binary traits: the up pass gives each node its parent's state where its set
     holds it, else its own smallest; the root takes absence where it can."""
 
-    def made(walk: Walk, masks: np.ndarray, changes: np.ndarray) -> dict:
-        gains, losses = walk.up(masks)
-        return {"_trait": np.arange(masks.shape[1]), "gains": gains, "losses": losses}
+    def made(sets: Sets, levels: list[Level], m: int) -> dict:
+        gains, losses = sets.events(levels, m)
+        return {"_trait": np.arange(m), "gains": gains, "losses": losses}
 
     return _walked(edges, traits, states, trait, default, "gains long, losses long", made)
 

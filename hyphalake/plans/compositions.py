@@ -139,8 +139,8 @@ def t44(t: Tables) -> DataFrame:
 
 @query("g4_ancestral_sets", FITCH.split("SELECT og, (sum(ch)")[0].rstrip().removesuffix(")") + ") SELECT og, bit_or(m)::BIGINT AS every, bit_and(m)::BIGINT AS common FROM g2 GROUP BY og")
 def g4(t: Tables) -> DataFrame:
-    sets = tree.downpass(region_tree(t), features(t), tip_states(t), default=0)
-    return sets.where("depth = 1").groupBy("og").agg(F.bit_or("mask").alias("every"), F.bit_and("mask").alias("common"))
+    sets = tree.downpass(region_tree(t), features(t), tip_states(t), default=0, depth=1)
+    return sets.groupBy("og").agg(F.bit_or("mask").alias("every"), F.bit_and("mask").alias("common"))
 
 
 @query("j5_class_of_rows", "WITH {members} SELECT l_orderkey, l_linenumber, pangenome_class FROM lineitem JOIN classes ON l_partkey = og")
