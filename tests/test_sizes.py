@@ -55,3 +55,33 @@ def test_kmeans_sends_the_driver_one_set_of_sums(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert max(n for n in sent if n != 120) <= 3 * 4  # numbers of clusters x restarts, not tasks
     assert inertia[3] < 40 and len({(r.at // 40, r.cluster) for r in given.where("k = 3").collect()}) == 3
+
+
+def test_fallback_tests_need_no_matrix_of_genomes(spark, monkeypatch):
+    from hyphalake.operators import association, gram
+
+    n = 60
+    tables = {"supplier": spark.range(n).selectExpr("id as s_suppkey", "cast(id % 25 as int) as s_nationkey"), "nation": spark.range(25).selectExpr("cast(id as int) as n_nationkey", "concat('n', id) as n_name", "cast(id % 5 as int) as n_regionkey"), "region": spark.createDataFrame(list(enumerate(["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])), "r_regionkey int, r_name string")}
+    tables["lineitem"] = spark.range(n * 20).selectExpr("id as l_orderkey", "cast(1 as int) as l_linenumber", "xxhash64(id) % 7 as l_partkey", f"id % {n} as l_suppkey")
+    tables = {k: v.cache() for k, v in tables.items()}
+    want = {r.feature: r for r in asked(monkeypatch, "t13_fallback_tests", spark, **tables).collect()}
+    monkeypatch.setattr(gram.Blocks, "matrix", None)  # refused beyond 5000
+    monkeypatch.setattr(association, "CELLS", n * 2)
+    got = {r.feature: r for r in asked(monkeypatch, "t13_fallback_tests", spark, **tables).collect()}
+    assert got.keys() == want.keys() and got
+    assert all(abs(got[k].beta - want[k].beta) < 1e-9 and abs(got[k].pvalue - want[k].pvalue) < 1e-9 for k in got)
+
+
+def test_power_of_many_samples_makes_no_grid(monkeypatch):
+    import numpy as np
+
+    from hyphalake.functions import special
+    from hyphalake.operators import association
+
+    grid = special.fisher_grid(30, 50)
+    table = special.log_factorials(80)
+    p = lambda n, q: np.array([np.exp(table[n] - table[k] - table[n - k] + k * np.log(q) + (n - k) * np.log(1 - q)) for k in range(n + 1)])
+    likely = np.outer(p(30, 5 * 0.2 / (0.8 + 5 * 0.2)), p(50, 0.2))
+    assert abs(association.exact_power(30, 50, 0.2, 5.0) - likely[(likely > 1e-12) & (grid < 0.05)].sum()) < 1e-12
+    monkeypatch.setattr(association, "fisher_grid", None)
+    assert 0.99 < association.exact_power(3000, 12_000, 0.2, 2.0) <= 1
