@@ -85,3 +85,28 @@ def test_power_of_many_samples_makes_no_grid(monkeypatch):
     assert abs(association.exact_power(30, 50, 0.2, 5.0) - likely[(likely > 1e-12) & (grid < 0.05)].sum()) < 1e-12
     monkeypatch.setattr(association, "fisher_grid", None)
     assert 0.99 < association.exact_power(3000, 12_000, 0.2, 2.0) <= 1
+
+
+def test_components_and_linkage_of_vectors_are_those_of_their_matrix(spark, monkeypatch):
+    import numpy as np
+
+    from hyphalake.operators import gram, kinship
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(60, 7)) * [3, 1, 1, 2, 1, 5, 1]
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    rows[3] = (3, [1.0, None, float("nan"), 2.0])
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    names, m = kinship.matrix(gram.of_vectors(vectors, "vec_id", "embedding"))
+    want = {r.sample_id: r[1:] for r in kinship.principal_components(gram.of_vectors(vectors, "vec_id", "embedding"), 5).collect()}
+    slow = kinship.average_linkage(m.max() - m)
+    monkeypatch.setattr(gram.Blocks, "matrix", None)  # refused beyond 5000
+    got = {r.sample_id: r[1:] for r in kinship.vector_components(vectors, "vec_id", "embedding", 5).collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-6) for k in got)
+    own, z = kinship.vector_matrix(vectors, "vec_id", "embedding")
+    fast = kinship.vector_linkage(z)
+    assert own == names and [x[:2] for x in fast] == [x[:2] for x in slow] and np.allclose([x[2] for x in fast], [x[2] for x in slow])
+    assert asked(monkeypatch, "g8_linkage", spark, embeddings=vectors).count() == 59
+    assert sorted(r["sample"] for r in asked(monkeypatch, "o10_leaf_order", spark, embeddings=vectors).collect()) == list(range(60))
+    copies = kinship.vector_linkage(np.repeat(z, 3, axis=0))
+    assert len(copies) == 179 and len({b for _, b, _ in copies}) == 179
