@@ -168,19 +168,19 @@ def _sets_of(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, s array<long>")
 
 
-def _cells(buckets: DataFrame) -> DataFrame:
+def _cells(buckets: DataFrame, side: int) -> DataFrame:
     """(cell, side, id, root) of buckets (key, id, n, root): each bucket dealt to cells that together hold all its
-    pairs of members of different components, in sides of about CELL shingles."""
+    pairs of members of different components, in sides of about that many shingles."""
     weight = F.col("n") + 64
     parts = buckets.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum(weight).alias("w"))
     known = parts.groupBy("key").agg(F.max(F.struct("m", "w", "root")).alias("top"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    n_parts = lambda w: F.ceil(w / CELL).cast("int")
+    n_parts = lambda w: F.ceil(w / side).cast("int")
     known = known.select("key", F.col("top.root").alias("top"), n_parts(F.col("top.w")).alias("q0"), n_parts(F.col("w") - F.col("top.w")).alias("q1"))
     rows = buckets.join(known, "key").withColumn("major", F.col("root") == F.col("top"))
     part = F.pmod(F.xxhash64("id", F.lit(5)), F.when(F.col("major"), F.col("q0")).otherwise(F.col("q1"))).cast("int")
     rows = rows.withColumn("part", part)
     spread = lambda q: F.sequence(F.lit(0), F.col(q) - 1)
-    cell = lambda kind, x, y, side: F.struct(F.lit(kind).alias("kind"), x.cast("int").alias("x"), y.cast("int").alias("y"), side.cast("int").alias("side"))
+    cell = lambda kind, x, y, of: F.struct(F.lit(kind).alias("kind"), x.cast("int").alias("x"), y.cast("int").alias("y"), of.cast("int").alias("side"))
     p, zero = F.col("part"), F.lit(0)
     single = F.array(cell(0, zero, zero, zero))
     of_major = F.transform(spread("q1"), lambda j: cell(1, p, j, zero))
@@ -222,12 +222,10 @@ def _links_in(cells: DataFrame, percent: int) -> DataFrame:
     return cells.select("cell", "side", "id", "root", "s").repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
-    """One row a row of docs: doc_id, n_shingles, component_id, kept; linked are texts with 100 * |intersection| >= percent * |union|."""
+def components(plain: DataFrame, scratch: Scratch, words: int, percent: int, rows: int = 6, miss: float = 1e-6, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, n, d1, d2, ...) of each row of plain (row, doc_id, text), and (d1, d2, low, root) of each set that is
+    not empty: root names its component, low is the smallest doc_id of the set."""
     bands = band_count(percent / 100, rows, miss)
-    scratch = Scratch(docs.sparkSession, "minhash")
-    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    plain = (plain if in_fixed_order(plain) else scratch.keep(plain, "input")).withColumn("row", F.monotonically_increasing_id())
     signed = scratch.keep(_signed(plain.select("row", "doc_id", "text"), words, bands, rows), "signed")
     nodes = scratch.keep(signed.where("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("id"), F.min("doc_id").alias("low"), F.first("n").alias("n")), "nodes")
     banded = signed.select("row", "keys").join(nodes.select(F.col("id").alias("row"), F.col("id"), "n"), "row").select(F.explode("keys").alias("key"), "id", "n")
@@ -249,12 +247,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     h = [F.xxhash64("id", F.lit(k)) for k in (1, 2)]
     open_ = left.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("m"), F.bit_xor(h[0]).alias("h1"), F.bit_xor(h[1]).alias("h2")).where("x <> y")
     once = open_.groupBy("m", "h1", "h2").agg(F.min("key").alias("key")).select("key")
-    cells = scratch.keep(_cells(scratch.keep(left.join(once, "key", "left_semi"), "open")), "cells")
+    cells = scratch.keep(_cells(scratch.keep(left.join(once, "key", "left_semi"), "open"), cell), "cells")
     more = scratch.keep(_links_in(cells.join(sets, "id"), percent), "more")
     second = scratch.keep(connected_components(more, scratch, tag="dd"), "second")
     named = nodes.join(root.withColumnRenamed("root", "r1"), "id", "left").withColumn("r1", F.coalesce("r1", "id"))
     named = named.join(second.select(F.col("node").alias("r1"), F.col("root").alias("r2")), "r1", "left").select("d1", "d2", "low", F.coalesce("r2", "r1").alias("root"))
     named = scratch.keep(named, "named")
+    return signed, named
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80, rows: int = 6, miss: float = 1e-6) -> DataFrame:
+    """One row a row of docs: doc_id, n_shingles, component_id, kept; linked are texts with 100 * |intersection| >= percent * |union|."""
+    scratch = Scratch(docs.sparkSession, "minhash")
+    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    plain = (plain if in_fixed_order(plain) else scratch.keep(plain, "input")).withColumn("row", F.monotonically_increasing_id())
+    signed, named = components(plain, scratch, words, percent, rows, miss)
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     known = scratch.keep(named.select("d1", "d2", "root").join(lowest, "root").select("d1", "d2", "component_id"), "known")
     some = signed.where("n > 0").select("doc_id", "n", "d1", "d2").join(known, ["d1", "d2"]).select("doc_id", "n", "component_id")

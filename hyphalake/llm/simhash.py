@@ -17,13 +17,8 @@ A group sends one edge a linked fingerprint (a star), never all pairs; component
 found by the shared large-star/small-star rounds.  Nothing here is collected or broadcast.
 
 near_groups() serves similarity limits that 64 bits and few differing bits cannot tell, such as 0.8 of
-five-word shingles: fingerprints of 512 bits, whose share of differing bits estimates the angle of two
-shingle sets, and groups that share masks of some random bits.  The number of bits in a mask follows
-the logarithm of the number of fingerprints and the number of masks is what the wished recall at the
-limit needs, which grows as the number of fingerprints to the power 0.2; groups are searched by the same
-index, and groups beyond ``group_rows`` in parts whose components' members then meet.  Fingerprints far
-nearer than the limit link; what may be on either side of it is verified by the exact Jaccard index of
-the shingle sets of the two texts, so no document below the limit is taken for a copy of another.
+five-word shingles: no number of bits tells them without losing links beside the limit, so candidates are met
+by the bands of minhash and every link is verified on full shingle sets.
 
 Defined cases: null and blank texts have fingerprint zero and are linked like any other; fewer words
 than a shingle takes give the whole sequence; an empty table gives an empty table; rows that repeat a
@@ -32,7 +27,6 @@ key each get a row; a null key is never the smallest key of a component that has
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hyphalake.llm import minhash
 from hyphalake.llm.common import Scratch, connected_components, in_fixed_order, release
 
 LEAF, FANOUT, QUERIES = 32, 8, 256
@@ -74,28 +69,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def wide_fingerprint(text: str | None, words: int = 5, width: int = 8) -> np.ndarray:
-    """SimHash of the set of shingles, 64 * width bits as unsigned words; a shingle's hashes are mixed from its first."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not tokens:
-        return np.zeros(width, np.uint64)
-    joined = b" ".join(tokens)
-    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    starts = np.concatenate(([0], gaps + 1))
-    ends = np.append(gaps, len(joined))[min(words, len(tokens)) - 1 :]
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64 * width, np.int64)
-    every = np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(ends)].tolist(), ends.tolist())], np.uint64)
-    every = np.unique(every)
-    n, salt = len(every), np.arange(width, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)
-    for k in range(0, n, 2048):
-        z = every[k : k + 2048, None] + salt
-        z = (z ^ (z >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> _U(27))) * _U(0x94D049BB133111EB)
-        z ^= z >> _U(31)
-        counts += np.unpackbits(z.view(np.uint8).reshape(len(z), -1), axis=1).sum(axis=0, dtype=np.uint16)
-    return np.packbits(counts * 2 > n).view(np.uint64)
-
-
 def gray_rank(x: np.ndarray) -> np.ndarray:
     """The place of each code in the Gray sequence."""
     for s in (1, 2, 4, 8, 16, 32):
@@ -127,13 +100,10 @@ def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def link_group(codes: np.ndarray, max_bits: int, root: np.ndarray | None = None, pairs: list | None = None) -> np.ndarray:
-    """For each code (row of words), all in Gray order, the index of its component's first member.
-
-    Given roots are gone on from.  pairs gets (i, j, differing bits) of the pairs that joined two components.
-    """
+def link_group(codes: np.ndarray, max_bits: int) -> np.ndarray:
+    """For each code (row of words), all in Gray order, the index of its component's first member."""
     n = len(codes)
-    root = np.arange(n) if root is None else root.copy()
+    root = np.arange(n)
     # Nodes of each level, leaves first: first member, bits shared by all (mask) and their values.
     step, levels = LEAF, []
     low = high = codes
@@ -180,51 +150,24 @@ def link_group(codes: np.ndarray, max_bits: int, root: np.ndarray | None = None,
             own, member, got, leaf = own[near], member[near], got[near], leaf[near]
             bits = got + _bits((q[own] ^ codes[member]) & ~levels[0][1][leaf])
             near = bits <= max_bits
-            i, j = k + own[near], member[near]
-            root = _merge(root, i, j) if pairs is None else _spanning(root, i, j, bits[near], pairs)
+            root = _merge(root, k + own[near], member[near])
     return root
 
 
-def _spanning(root: np.ndarray, i: np.ndarray, j: np.ndarray, bits: np.ndarray, pairs: list) -> np.ndarray:
-    """Roots after linking i with j; pairs gets those that do it, for each component its nearest first.
-
-    Rounds take the nearest pair of every component and merge, so about as many pairs are kept as there
-    are components, however many there are between them.
-    """
-    while True:
-        apart = root[i] != root[j]
-        i, j, bits = i[apart], j[apart], bits[apart]
-        if not len(i):
-            return root
-        ends, which = np.concatenate((root[i], root[j])), np.tile(np.arange(len(i)), 2)
-        order = np.lexsort((which, bits[which], ends))
-        near = np.unique(which[order[np.flatnonzero(np.append(True, ends[order][1:] != ends[order][:-1]))]])
-        pairs.append((i[near], j[near], bits[near]))
-        root = _merge(root, i[near], j[near])
-
-
-def _small_groups(key: np.ndarray, codes: np.ndarray, max_bits: int, root: np.ndarray | None = None, pairs: list | None = None) -> np.ndarray:
+def _small_groups(key: np.ndarray, codes: np.ndarray, max_bits: int) -> np.ndarray:
     """Roots for many groups of one leaf each, side by side, in order of key and Gray rank."""
-    root, n = np.arange(len(codes)) if root is None else root.copy(), len(codes)
+    root, n = np.arange(len(codes)), len(codes)
     for d in range(1, LEAF):
         i = np.flatnonzero(key[: n - d] == key[d:])
         if not len(i):
             break
-        bits = _bits(codes[i] ^ codes[i + d])
-        i, bits = i[bits <= max_bits], bits[bits <= max_bits]
-        root = _merge(root, i, i + d) if pairs is None else _spanning(root, i, i + d, bits, pairs)
+        i = i[_bits(codes[i] ^ codes[i + d]) <= max_bits]
+        root = _merge(root, i, i + d)
     return root
 
 
-def _stars(batches: Iterator[pa.RecordBatch], max_bits: int, width: int, loose: int | None = None) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b, bits) from rows (key, id, words...) sorted by key; carries the last, perhaps unfinished group over.
-
-    Links of at most max_bits are stars, with bits 0; those up to loose that join two of their components
-    are pairs, with their differing bits.
-    """
-
-    def rows(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bits.astype(np.int32))], ["a", "b", "bits"])
+def _stars(batches: Iterator[pa.RecordBatch], max_bits: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) from rows (key, id, words...) sorted by key; carries the last, perhaps unfinished group over."""
 
     def edges(key: np.ndarray, ids: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, int)
@@ -232,16 +175,10 @@ def _stars(batches: Iterator[pa.RecordBatch], max_bits: int, width: int, loose:
         at = np.flatnonzero(np.repeat((size > 1) & (size <= LEAF), size))
         groups = [(at[_gray_order(codes[at], key[at])], True)] + [(a + _gray_order(codes[a : a + n]), False) for a, n in zip(cut[size > LEAF].tolist(), size[size > LEAF].tolist())]
         for at, small in groups:
-            search = (lambda *x: _small_groups(key[at], codes[at], *x)) if small else (lambda *x: link_group(codes[at], *x))
-            root = search(max_bits)
+            root = _small_groups(key[at], codes[at], max_bits) if small else link_group(codes[at], max_bits)
             far = root != np.arange(len(root))
             if far.any():
-                yield rows(ids[at][far], ids[at][root[far]], np.zeros(far.sum()))
-            if loose is not None:
-                pairs: list = []
-                search(loose, root, pairs)
-                for i, j, bits in pairs:
-                    yield rows(ids[at][i], ids[at][j], bits)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at][far]), pa.array(ids[at][root[far]])], ["a", "b"])
 
     key, ids, codes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
     for b in batches:
@@ -256,9 +193,9 @@ def _stars(batches: Iterator[pa.RecordBatch], max_bits: int, width: int, loose:
     release()
 
 
-def _search(groups: DataFrame, max_bits: int, width: int, loose: int | None = None) -> DataFrame:
-    """Edges (a, b, bits) of groups (key, id, words...), dealt by key."""
-    return groups.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _stars(it, max_bits, width, loose), "a long, b long, bits int")
+def _search(groups: DataFrame, max_bits: int, width: int) -> DataFrame:
+    """Edges (a, b) of groups (key, id, words...), dealt by key."""
+    return groups.repartition("key").sortWithinPartitions("key").mapInArrow(lambda it: _stars(it, max_bits, width), "a long, b long")
 
 
 def _blocks(rest: str, bits: int, blocks: int) -> list[tuple[str, str]]:
@@ -294,7 +231,7 @@ def near_links(fps: DataFrame, scratch: Scratch, max_bits: int = 3, group_rows:
             here = now.join(sizes.select("key"), "key", "left_anti") if more else now
         else:
             more, here = False, now
-        found = _search(here.select("key", F.col("fp").alias("id"), "fp"), max_bits, 1).select("a", "b")
+        found = _search(here.select("key", F.col("fp").alias("id"), "fp"), max_bits, 1)
         edges = found if edges is None else edges.unionByName(found)
         if not more:
             break
@@ -319,50 +256,6 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _masked_groups(nodes: DataFrame, width: int, masks: int, bits: int, seed: int = 5) -> DataFrame:
-    """(key, id, words...): each node once a mask, keyed by the mask's number and the bits under it."""
-    names = [f"w{k}" for k in range(width)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(seed)
-        chosen = [rng.choice(64 * width, bits, replace=False) for _ in range(masks)]
-        for b in batches:
-            if not len(b):
-                continue
-            words = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns[1:]])
-            flags = np.unpackbits(np.ascontiguousarray(words).view(np.uint8).reshape(len(b), -1), axis=1)
-            for m, at in enumerate(chosen):
-                under = np.packbits(flags[:, at], axis=1)
-                key = np.zeros((len(b), 8), np.uint8)
-                key[:, : under.shape[1]] = under
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).ravel() ^ (m << 48)), b.column(0), *b.columns[1:]], ["key", "id", *names])
-
-    return nodes.select("id", *names).mapInArrow(run, "key long, id long, " + ", ".join(f"{n} long" for n in names))
-
-
-def _divided(groups: DataFrame, scratch: Scratch, max_bits: int, width: int, loose: int, group_rows: int) -> DataFrame:
-    """Edges of groups of any size: one beyond group_rows is dealt to parts at random, and of each part's
-    components one member goes on to the next round, until the members of a group fit one task."""
-    edges, now, level = None, groups, 0
-    while True:
-        large = scratch.keep(now.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows), f"large-{level}")
-        found = scratch.keep(_search(now.join(large, "key", "left_anti"), max_bits, width, loose), f"found-{level}")
-        edges = found if edges is None else edges.unionByName(found)
-        if not large.head(1):
-            return edges
-        hot = now.join(large, "key")
-        part = F.xxhash64("key", F.pmod(F.xxhash64("id", F.lit(level)), F.ceil(F.col("n") * 2 / group_rows).cast("long")))
-        names = [c for c in groups.columns if c != "key"]
-        parts = scratch.keep(_search(hot.select(part.alias("key"), *names), max_bits, width, loose), f"parts-{level}")
-        edges = edges.unionByName(parts)
-        before = now
-        now = scratch.keep(hot.join(parts.where("bits = 0").select(F.col("a").alias("id")).distinct(), "id", "left_anti").select(groups.columns), f"on-{level}")
-        # Groups whose members are all alone are as small as this rule makes them; the rest is searched whole.
-        if level >= 8 or now.count() == before.join(large, "key", "left_semi").count():
-            return edges.unionByName(_search(now, max_bits, width, loose))
-        level += 1
-
-
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     """The distinct hashes of a text's word shingles; a text of fewer words has one, a blank one none."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -370,61 +263,22 @@ def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(tokens[k : k + words]), 42) for k in range(n)], np.uint64)).view(np.int64)
 
 
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, width: int = 8, recall: float = 0.99, group_rows: int = 65536) -> DataFrame:
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, group_rows: int = 8192) -> DataFrame:
     """One row a row of docs: row (by scan order), doc_id, component_id, keep_row; linked are texts whose Jaccard index reaches similarity.
 
-    Jaccard j of two sets of one size is a cosine of 2j / (1 + j), and each bit differs with the angle over
-    pi.  A pair at the limit is met under at least one mask with probability recall.  Pairs nearer by three
-    standard deviations than the limit's mean are linked; those up to three beyond it are verified by their
-    shingle sets, the nearest one of two components.  keep_row is the row of the smallest key of a component.
+    Every link is verified on full shingle sets, and a pair within the limit meets in none of minhash's bands once in a
+    million; no pair stands for others.  Blank texts are alike.  keep_row is the row of the smallest key of a component.
+    A cell of a large bucket has about group_rows rows a side, long ones counted by their shingles.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    differ = math.acos(cosine) / math.pi
-    spread = 3 * math.sqrt(64 * width * differ * (1 - differ))
-    tight, loose = math.floor(64 * width * differ - spread), math.floor(64 * width * differ + spread)
-    scratch = Scratch(docs.sparkSession, "simhash-wide")
-    names = [f"w{k}" for k in range(width)]
+    percent = round(100 * similarity)
+    if abs(percent - 100 * similarity) > 1e-9:
+        raise ValueError("similarity is taken in whole per cent")
+    scratch = Scratch(docs.sparkSession, "near")
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     plain = (plain if in_fixed_order(plain) else scratch.keep(plain, "input")).withColumn("row", F.monotonically_increasing_id())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            codes = np.array([wide_fingerprint(b.column(2)[k].as_py(), words, width) for k in range(len(b))], np.uint64).reshape(-1, width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(np.ascontiguousarray(codes[:, w])) for w in range(width)]], ["row", "doc_id", *names])
-        release()
-
-    rows = scratch.keep(plain.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, " + ", ".join(f"{n} long" for n in names)), "fingerprints")
-    nodes = scratch.keep(rows.groupBy(*names).agg(F.min("row").alias("id")), "nodes")
-    n = nodes.count()
-    bits = min(40, max(8, math.ceil(math.log2(max(n, 2))) - 4))
-    masks = math.ceil(math.log(1 - recall) / math.log(1 - (1 - differ) ** bits))
-    edges = _divided(_masked_groups(nodes, width, masks, bits), scratch, tight, width, loose, group_rows).distinct()
-    edges = scratch.keep(edges, "edges")
-    sure = edges.where("bits = 0").select("a", "b")
-    first = scratch.keep(connected_components(sure, scratch), "first")
-    # Pairs of two components: the nearest is verified.
-    ends = edges.where("bits > 0")
-    for c in "ab":
-        ends = ends.join(first.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")), c, "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c))
-    ends = ends.where("ra <> rb").withColumn("lo", F.least("ra", "rb")).withColumn("hi", F.greatest("ra", "rb"))
-    asked = scratch.keep(ends.groupBy("lo", "hi").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("lo", "hi", "p.a", "p.b"), "asked")
-    held = asked.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(x, words) for x in part.column(1).to_pylist()], pa.list_(pa.int64()))], ["row", "s"])
-
-    shingles = scratch.keep(plain.select("row", "text").join(held, "row").select("row", "text").mapInArrow(sets, "row long, s array<long>"), "shingles")
-    both = asked.join(shingles.select(F.col("row").alias("a"), F.col("s").alias("sa")), "a").join(shingles.select(F.col("row").alias("b"), F.col("s").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    true = both.where(common >= similarity * (F.size("sa") + F.size("sb") - common) - 1e-9).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    second = connected_components(scratch.keep(true, "true"), scratch, tag="dd")
-    root = lambda df: df.select("node", F.col("root").alias("_r"))
-    named = nodes.join(root(first), nodes.id == F.col("node"), "left").select(*names, F.coalesce("_r", "id").alias("root"))
-    named = named.join(root(second), F.col("root") == F.col("node"), "left").select(*names, F.coalesce("_r", "root").alias("root"))
-    coded = scratch.keep(rows.join(named, names).select("row", "doc_id", "root"), "coded")
+    signed, named = minhash.components(plain, scratch, words, percent, cell=64 * group_rows)
+    some = signed.where("n > 0").select("row", "doc_id", "d1", "d2").join(named.select("d1", "d2", "root"), ["d1", "d2"]).select("row", "doc_id", "root")
+    coded = scratch.keep(some.unionByName(signed.where("n = 0").select("row", "doc_id", F.lit(-1).cast("long").alias("root"))), "coded")
     # The smallest key, null last, and of its rows the first.
     lowest = scratch.keep(coded.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("low")).select("root", F.col("low.doc_id").alias("component_id"), F.col("low.row").alias("keep_row")), "lowest")
     return coded.join(lowest, "root").select("row", "doc_id", "component_id", "keep_row")
@@ -435,7 +289,7 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     row by row, whatever keys they share."""
     own = docs.select(*[F.col(f"`{c}`").alias(f"own_{k}") for k, c in enumerate(docs.columns)])
     at = {c: f"own_{k}" for k, c in enumerate(docs.columns)}
-    own = own if in_fixed_order(docs) else Scratch(docs.sparkSession, "simhash-wide").keep(own, "input")
+    own = own if in_fixed_order(docs) else Scratch(docs.sparkSession, "near").keep(own, "input")
     gone = near_groups(own, at[key], at[text], **options).where("row <> keep_row").select("row")
     left = own.withColumn("row", F.monotonically_increasing_id()).join(gone, "row", "left_anti")
     return left.select(*[F.col(f"own_{k}").alias(c) for k, c in enumerate(docs.columns)])
