@@ -7,6 +7,7 @@ default names are og and genome; all operators take column names.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from hyphalake.functions.text import split_terms
 from hyphalake.operators.relational import best_row
+from hyphalake.sources.shared import kept
 
 
 def presence(long: DataFrame, feature: str = "og", genome: str = "genome", by: Sequence[str] = ()) -> DataFrame:
@@ -137,77 +139,87 @@ def genome_orders(genomes: DataFrame, genome: str, n_perm: int, seed: str = "0")
     return each.withColumn("pos", F.row_number().over(w))
 
 
-def rarefaction(pav: DataFrame, n_perm: int, feature: str = "og", genome: str = "genome", seed: str = "0", places: int = 20_000_000) -> DataFrame:
+#: Cells (features x genomes) that a task of a rarefaction counts for its orders, about.
+CELLS = 4_000_000
+
+
+def rarefaction(pav: DataFrame, n_perm: int, feature: str = "og", genome: str = "genome", seed: str = "0", places: int = 10_000_000) -> DataFrame:
     """(perm, n, pan, core) for n = 1..N genomes in each order of genome_orders.
 
-    A feature is in the pan of n genomes if its first place is at most n, and in their core if the first
-    place without it is beyond n.  Both are counts by place and running sums: no set is ever kept.  A
-    feature's genomes are gathered to one row, once; a task makes the orders itself, from the genomes' names,
-    and finds first places as minima over a feature's own genomes.  Orders come in blocks of ``places`` numbers
-    (genomes x orders) at most, and with more of them each block reads the features again.
+    A feature is in the pan of n genomes if its first place is at most n, and in their core if the first place
+    without it is beyond n.  Each order is made once, by a task of its own, as the place of every genome.  A
+    feature's genomes are gathered to one row, and features are dealt to chunks of about CELLS cells; chunk by
+    chunk they meet the orders in blocks of ``places`` numbers (genomes x orders) at most.  A task counts first
+    places as minima over a feature's own genomes, and looks further only at features that the first genome has,
+    so it takes time in proportion to cells x orders.  Counts are added up order by order.
     """
     spark = pav.sparkSession
     names = [r["g"] for r in pav.select(F.col(genome)).distinct().orderBy(genome).select(F.col(genome).cast("string").alias("g")).collect()]
     total = len(names)
-    per = max(1, places // max(total, 1))
+    per = max(1, min(n_perm, places // max(total, 1)))
     label = dict(pav.dtypes)[genome]
     numbered = spark.createDataFrame([(g, k) for k, g in enumerate(names)], "_g string, _i int").select(F.col("_g").cast(label).alias(genome), "_i")
 
-    def orders(block: int) -> np.ndarray:
-        out = np.empty((min(per, n_perm - block * per), total), np.int32)
-        for k in range(len(out)):
-            digest = [hashlib.md5(f"{seed}|{block * per + k}|{g}".encode()).digest() for g in names]
-            out[k] = sorted(range(total), key=digest.__getitem__)
-        return out
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for perm in b.column(0).to_pylist():
+                digest = [hashlib.md5(f"{seed}|{perm}|{g}".encode()).digest() for g in names]
+                place = np.empty(total, np.int32)
+                place[sorted(range(total), key=digest.__getitem__)] = np.arange(1, total + 1)
+                yield pa.RecordBatch.from_arrays([pa.array([perm], pa.int32()), pa.array([place.tobytes()], pa.binary())], ["perm", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, order, pan, core = None, None, None, None
+        at, perms, place, pan, core = None, [], [], None, None
 
         def counted() -> Iterator[pa.RecordBatch]:
-            if order is not None:
-                perm, n = np.nonzero(pan + core)
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (perm + block * per, n, pan[perm, n], core[perm, n])], ["perm", "n", "p", "c"])
+            for perm, p, c in zip(perms, pan if pan is not None else [], core if core is not None else []):
+                yield pa.RecordBatch.from_arrays([pa.array([perm], pa.int32()), *[pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in (p, c)]], ["perm", "pan", "core"])
 
-        rows = max(1, 16_000_000 // max(1, total))
         for b in batches:
-            for k in range(0, len(b), rows):
-                part = b.slice(k, rows)
-                which = part.column(0).to_numpy()
-                for x, y in zip([0, *(np.flatnonzero(np.diff(which)) + 1).tolist()], [*(np.flatnonzero(np.diff(which)) + 1).tolist(), len(which)]):
-                    if which[x] != block:
-                        yield from counted()
-                        block, order = int(which[x]), orders(int(which[x]))
-                        pan, core = np.zeros((len(order), total + 1), np.int32), np.zeros((len(order), total + 1), np.int32)
-                    cells = part.column(1).slice(x, y - x)
-                    size = cells.value_lengths().to_numpy()
-                    flat, start = cells.flatten().to_numpy(), np.cumsum(size) - size
-                    has = np.zeros((total, y - x), bool)
-                    has[flat, np.repeat(np.arange(y - x), size)] = True
-                    some = np.flatnonzero(size < total)
-                    for p, at in enumerate(order):
-                        place = np.empty(total, np.int32)
-                        place[at] = np.arange(1, total + 1)
-                        pan[p] += np.bincount(np.minimum.reduceat(place[flat], start), minlength=total + 1).astype(np.int32)
-                        core[p, total] += len(size) - len(some)
-                        left = some
-                        for n in range(total):
-                            if not len(left):
-                                break
-                            still = has[at[n], left]
-                            core[p, n] += len(left) - int(still.sum())
-                            left = left[still]
+            key = np.stack([b.column(k).to_numpy() for k in (0, 1)])
+            cuts = [0, *(np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1).tolist(), len(b)]
+            for x, y in zip(cuts, cuts[1:]):
+                if y > x and (key[0, x], key[1, x]) != at:
+                    yield from counted()
+                    at, perms, place, pan, core = (key[0, x], key[1, x]), [], [], None, None
+                part = b.slice(x, y - x)
+                orders = int((part.column(2).to_numpy() >= 0).sum())  # orders come before features
+                perms += part.column(2).slice(0, orders).to_pylist()
+                place += [np.frombuffer(v.as_buffer(), np.int32) for v in part.column(3).slice(0, orders)]
+                cells = part.column(4).slice(orders)
+                if not len(cells):
+                    continue
+                if pan is None:
+                    pan, core = (np.zeros((len(perms), total + 1), np.int32) for _ in "pc")
+                size = cells.value_lengths().to_numpy()
+                flat, start = cells.flatten().to_numpy(), np.cumsum(size) - size
+                for p, own in enumerate(place):
+                    held = own[flat]
+                    first = np.minimum.reduceat(held, start)
+                    np.add.at(pan[p], first, 1)
+                    early = np.flatnonzero(first == 1)
+                    core[p, 0] += len(first) - len(early)
+                    for k in early.tolist():
+                        run_ = np.sort(held[start[k] : start[k] + size[k]])
+                        core[p, int((run_ == np.arange(1, len(run_) + 1)).argmin()) if run_[-1] != len(run_) else len(run_)] += 1
         yield from counted()
 
-    blocks = -(-n_perm // per)
-    packed = pav.join(F.broadcast(numbered), genome).groupBy(feature).agg(F.collect_set("_i").alias("cells"))
-    dealt = packed.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "cells")
-    dealt = dealt.sortWithinPartitions("block") if blocks > 1 else dealt
-    counts = dealt.mapInArrow(run, "perm int, n int, p int, c int").groupBy("perm", "n").agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
-    grid = spark.range(n_perm).select(F.col("id").cast("int").alias("perm")).withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(total))))
-    filled = grid.join(counts, ["perm", "n"], "left")
-    up = Window.partitionBy("perm").orderBy("n")
-    out = filled.select("perm", "n", F.sum(F.coalesce("p", F.lit(0))).over(up).alias("pan"), F.sum(F.coalesce("c", F.lit(0))).over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("core"))
-    return out.where("n > 0")
+    def added(key: tuple, group: pa.Table) -> pa.Table:
+        p, c = (sum(np.frombuffer(zlib.decompress(v.as_buffer()), np.int32).astype(np.int64) for v in group.column(k)) for k in ("pan", "core"))
+        up, down = np.cumsum(p)[1:], np.cumsum(c[::-1])[::-1][1:]
+        return pa.table({"perm": pa.array(np.full(total, key[0].as_py(), np.int32)), "n": pa.array(np.arange(1, total + 1, dtype=np.int32)), "pan": pa.array(up), "core": pa.array(down)})
+
+    packed = kept(pav.join(F.broadcast(numbered), genome).groupBy(feature).agg(F.collect_set("_i").alias("cells")), "features")
+    held = packed.agg(F.sum(F.size("cells"))).first()[0] or 0
+    chunks = max(1, min(-(-held // CELLS), packed.count()))
+    orders = kept(spark.range(0, n_perm, 1, n_perm).select(F.col("id").cast("int").alias("perm")).mapInArrow(ordered, "perm int, place binary"), "orders")
+    every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    left = orders.select(every.alias("chunk"), F.expr(f"cast(perm div {per} as int)").alias("block"), "perm", "place", F.lit(None).cast("array<int>").alias("cells"))
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(-(-n_perm // per) - 1)))
+    right = packed.select(F.pmod(F.xxhash64(feature), F.lit(chunks)).cast("int").alias("chunk"), blocks.alias("block"), F.lit(-1).alias("perm"), F.lit(None).cast("binary").alias("place"), "cells")
+    met = left.unionByName(right).repartition(chunks * -(-n_perm // per), "chunk", "block").sortWithinPartitions("chunk", "block", F.desc("perm"))
+    counts = met.select("chunk", "block", "perm", "place", "cells").mapInArrow(run, "perm int, pan binary, core binary")
+    return counts.groupBy("perm").applyInArrow(added, "perm int, n int, pan long, core long")
 
 
 def rarefaction_bands(curves: DataFrame) -> DataFrame:

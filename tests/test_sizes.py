@@ -119,3 +119,22 @@ def test_known_cluster_files_grow_in_number(spark, monkeypatch):
     lines = spark.range(400).selectExpr("id as l_orderkey", "cast(1 + id % 7 as int) as l_linenumber", "id as l_partkey", "id % 9 as l_suppkey", "5.0D as l_quantity", "id + 0.5D as l_extendedprice")
     out = asked(monkeypatch, "s19_known_cluster_files", spark, lineitem=lines)
     assert out.count() == lines.where("l_linenumber < 5").count() and len(out.inputFiles()) > 30  # 16 values at most before
+
+
+def test_rarefaction_meets_orders_in_chunks(spark, monkeypatch):
+    import hashlib
+
+    from hyphalake.operators import pangenome
+
+    monkeypatch.setattr(pangenome, "CELLS", 40)  # every task read all orders' names and kept a dense part before
+    rows = sorted({(f, (f * 7 + k * k) % 12) for f in range(40) for k in range(f % 9 + 1)} | {(90, g) for g in range(12)})
+    got = {(r.perm, r.n): (r.pan, r.core) for r in pangenome.rarefaction(spark.createDataFrame(rows, "og int, genome int"), 5, places=24).collect()}
+    own = {}
+    for f, g in rows:
+        own.setdefault(f, set()).add(g)
+    for p in range(5):
+        order = sorted(range(12), key=lambda g: hashlib.md5(f"0|{p}|{g}".encode()).hexdigest())
+        for n in range(1, 13):
+            seen = set(order[:n])
+            assert got[p, n] == (sum(bool(x & seen) for x in own.values()), sum(seen <= x for x in own.values()))
+    assert len(got) == 60
