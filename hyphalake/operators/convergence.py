@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hyphalake.functions.special import binomial_test, chi2_even_sf, clopper_pearson
-from hyphalake.operators.relational import average_ranks, best_row, bh_qvalues, item_pairs
+from hyphalake.operators.relational import average_ranks, best_row, bh_qvalues, dealt, item_pairs
 from hyphalake.sources.shared import kept
 
 
-def shared_member_map(left: DataFrame, right: DataFrame, member: Sequence[str], a: str = "og", b: str = "combined_og") -> DataFrame:
-    """(a, b): groups of left and right that hold the same member; member is a composite key."""
-    return left.select(*member, a).join(right.select(*member, b), list(member)).select(a, b).distinct()
+def shared_member_map(left: DataFrame, right: DataFrame, member: Sequence[str], a: str = "og", b: str = "combined_og", n: int | None = None) -> DataFrame:
+    """(a, b): groups of left and right that hold the same member; member is a composite key.  n: rows of left, to deal links by."""
+    both = left.select(*member, a).join(right.select(*member, b), list(member)).select(a, b)
+    return (both if n is None else dealt(both, n, a)).distinct()
 
 
 def map_accounting(links: DataFrame, a: str = "og", b: str = "combined_og") -> DataFrame:

@@ -138,3 +138,39 @@ def test_rarefaction_meets_orders_in_chunks(spark, monkeypatch):
             seen = set(order[:n])
             assert got[p, n] == (sum(bool(x & seen) for x in own.values()), sum(seen <= x for x in own.values()))
     assert len(got) == 60
+
+
+def _lines(spark, n=400):
+    out = {"lineitem": spark.range(n).selectExpr("id % 97 as l_orderkey", "cast(1 + id % 7 as int) as l_linenumber", "id % 83 as l_partkey", "id % 9 as l_suppkey", "5.0D as l_quantity", "id + 0.5D as l_extendedprice", "0.01D * (id % 10) as l_discount", "0.01D * (id % 8) as l_tax")}
+    out["orders"] = spark.range(90).selectExpr("id as o_orderkey", "id % 11 as o_custkey")
+    out["supplier"] = spark.range(9).selectExpr("id as s_suppkey", "cast(id as int) as s_nationkey")
+    out["nation"] = spark.range(9).selectExpr("cast(id as int) as n_nationkey", "'n' as n_name", "cast(id % 3 as int) as n_regionkey")
+    out["region"] = spark.createDataFrame([(0, "ASIA"), (1, "EUROPE"), (2, "AFRICA")], "r_regionkey int, r_name string")
+    return out
+
+
+def test_tasks_grow_in_number_with_rows(spark, monkeypatch):
+    from hyphalake.operators import relational
+
+    tables = _lines(spark)
+    want = {q: sorted(map(tuple, asked(monkeypatch, q, spark, **tables).collect())) for q in ("x3_gene_checks", "a28_genus_classes", "t24_best_per_combined", "a27_core_compartments")}
+    monkeypatch.setattr(relational, "ROWS", 10)
+    for q, rows in want.items():
+        assert sorted(map(tuple, asked(monkeypatch, q, spark, **tables).collect())) == rows and rows
+    assert asked(monkeypatch, "x3_gene_checks", spark, **tables).rdd.getNumPartitions() == 40  # as many as the session says before
+    assert asked(monkeypatch, "a28_genus_classes", spark, **tables).rdd.getNumPartitions() == 40
+
+
+def test_classifier_is_dealt_whatever_the_files(spark, monkeypatch):
+    customers = spark.range(45_000).selectExpr("id as c_custkey", "concat('Customer#', id) as c_name").coalesce(1)
+    assert asked(monkeypatch, "t1_isolate_classifier", spark, customer=customers).rdd.getNumPartitions() == 3
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
+    from hyphalake.sources import readers
+
+    for k in range(3):
+        (tmp_path / f"{k}.tsv").write_text(f"\nz\tcolumn {k % 2}\n" + "a\tb\n" * 50)
+    monkeypatch.setattr(readers.F, "min_by", None)
+    found = readers._by_header(spark, str(tmp_path))
+    assert {h: len(p) for h, p in found.items()} == {"z\tcolumn 0": 2, "z\tcolumn 1": 1}
