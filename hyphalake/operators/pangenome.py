@@ -241,7 +241,9 @@ def openness(gamma: Column) -> Column:
 
 def genus_classes(counts: DataFrame, totals: DataFrame, core_share: float = 0.95, rare_share: float = 0.05) -> DataFrame:
     """Class of each feature in each species (Absent, Rare, Accessory, Core) from (og, species, n_genomes) and (species, total)."""
-    grid = counts.select("og").distinct().join(F.broadcast(totals))
+    # One row a feature, then one a species: the counts are read once and stay where they are dealt.
+    own = counts.groupBy("og").agg(F.map_from_entries(F.collect_list(F.struct("species", "n_genomes"))).alias("_n"))
+    grid = own.join(F.broadcast(totals)).withColumn("n_genomes", F.try_element_at("_n", F.col("species")))
     n = F.coalesce("n_genomes", F.lit(0))
     kind = F.when(n == 0, "Absent").when(n >= F.col("total") * core_share, "Core").when(n <= F.col("total") * rare_share, "Rare").otherwise("Accessory")
-    return grid.join(counts, ["og", "species"], "left").select("og", "species", n.alias("n_genomes"), kind.alias("class"))
+    return grid.select("og", "species", n.alias("n_genomes"), kind.alias("class"))

@@ -179,10 +179,16 @@ def a25(t: Tables) -> DataFrame:
     return rounded(t.events.groupBy(F.col("event_type").alias("contrast")).agg(F.count(F.lit(1)).alias("n_tested"), F.count_if(F.col("value") < 5).alias("n_significant"), F.median("value").alias("median_stat")), "median_stat")
 
 
+def by_species(t: Tables) -> DataFrame:
+    """(species, og, n_genomes)."""
+    rows = relational.dealt(t.members().select("species", "og", "genome"), t.lineitem.count(), "og")
+    return pangenome.frequency(pangenome.presence(rows, by=["species"]), by=["species"])
+
+
 @query("a27_core_compartments", "WITH {members} SELECT species, count(*) FILTER (n = total) AS strict_core, count(*) FILTER (n >= total * 0.5 AND n < total) AS soft_core, count(*) AS n_features FROM (SELECT species, og, count(*) AS n FROM pav GROUP BY species, og) JOIN (SELECT species AS sp, count(*) AS total FROM genomes GROUP BY species) ON species = sp GROUP BY species")
 def a27(t: Tables) -> DataFrame:
     total = t.genomes().groupBy("species").agg(F.count(F.lit(1)).alias("total"))
-    n = pangenome.frequency(pangenome.presence(t.members(), by=["species"]), by=["species"]).join(F.broadcast(total), "species")
+    n = by_species(t).join(F.broadcast(total), "species")
     return n.groupBy("species").agg(F.count_if(F.col("n_genomes") == F.col("total")).alias("strict_core"), F.count_if((F.col("n_genomes") >= F.col("total") * 0.5) & (F.col("n_genomes") < F.col("total"))).alias("soft_core"), F.count(F.lit(1)).alias("n_features"))
 
 
@@ -193,8 +199,7 @@ FROM (SELECT DISTINCT og FROM n) o CROSS JOIN total t LEFT JOIN n ON n.og = o.og
 
 def genus(t: Tables) -> DataFrame:
     total = t.genomes().groupBy("species").agg(F.count(F.lit(1)).alias("total"))
-    n = pangenome.frequency(pangenome.presence(t.members(), by=["species"]), by=["species"])
-    return pangenome.genus_classes(n, total, 0.5, 0.1)
+    return pangenome.genus_classes(by_species(t), total, 0.5, 0.1)
 
 
 @query("a28_genus_classes", f"{GENUS} SELECT og, species, n_genomes, class FROM g")
