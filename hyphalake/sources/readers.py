@@ -36,8 +36,10 @@ def _by_header(spark: SparkSession, path: str | Sequence[str], header: str | Non
     """
     lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("k"))
     first = lines.where(F.col("value").startswith(header)) if header else lines.where("block = 0 and trim(value) <> ''")
+    # Numbers are aggregated and only their lines are kept: text in an aggregate is sorted whole.
+    at = first.groupBy("file").agg(F.min("k").alias("k"))
     found: dict[str, list[str]] = {}
-    for r in first.groupBy("file").agg(F.min_by("value", "k").alias("head")).orderBy("file").collect():
+    for r in first.join(F.broadcast(at), ["file", "k"]).select("file", F.col("value").alias("head")).orderBy("file").collect():
         found.setdefault(r["head"].rstrip("\r"), []).append(unquote(r["file"]))
     return {next(iter(found)): path} if len(found) == 1 else dict(found)
 
