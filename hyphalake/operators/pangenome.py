@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from hyphalake.functions.text import split_terms
 from hyphalake.operators.relational import best_row
@@ -33,6 +34,22 @@ def wide(long: DataFrame, feature: str, genome: str, genomes: Sequence, value: C
     return long.groupBy(feature).pivot(genome, list(genomes)).agg(value if value is not None else F.lit(1)).na.fill(0)
 
 
+def wide_presence(pav: DataFrame, feature: str, genome: str, genomes: Sequence) -> DataFrame:
+    """wide of presence rows for very many genomes: rows are filled in tasks, so that the plan has no expression a column."""
+    at = {str(g): k for k, g in enumerate(genomes)}
+    own = pav.groupBy(feature).agg(F.collect_set(F.col(genome).cast("string")).alias("has"))
+    schema = StructType([own.schema[feature], *[StructField(str(g), IntegerType(), False) for g in genomes]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(len(b)):
+                cells = np.zeros(len(at), np.int32)
+                cells[[at[g] for g in b.column(1)[k].as_py() if g in at]] = 1
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), *[pa.array(cells[c : c + 1]) for c in range(len(cells))]], [feature, *at])
+
+    return own.mapInArrow(run, schema)
+
+
 def frequency(pav: DataFrame, feature: str = "og", by: Sequence[str] = ()) -> DataFrame:
     """Number of genomes that have each feature, from presence rows."""
     return pav.groupBy(*by, feature).agg(F.count(F.lit(1)).alias("n_genomes"))

@@ -44,7 +44,7 @@ def k4(t: Tables) -> DataFrame:
 def k4_whole(t: Tables) -> DataFrame:
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("family"), F.col("l_suppkey").alias("strain"))
     strains = sorted(r.s_suppkey for r in t.supplier.select("s_suppkey").collect())
-    return pangenome.wide(pangenome.presence(rows, "family", "strain"), "family", "strain", strains, F.first(F.lit(1)))
+    return pangenome.wide_presence(pangenome.presence(rows, "family", "strain"), "family", "strain", strains)
 
 
 @query("a5_quality_cuts", """

@@ -174,3 +174,15 @@ def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(readers.F, "min_by", None)
     found = readers._by_header(spark, str(tmp_path))
     assert {h: len(p) for h, p in found.items()} == {"z\tcolumn 0": 2, "z\tcolumn 1": 1}
+
+
+def test_wide_export_is_no_expression_a_column(spark, monkeypatch):
+    n = 12_000  # a pivot takes at most 10,000 values unless they are given, and an expression for each
+    lines = spark.range(3 * n).selectExpr("id % 5 as l_partkey", f"id % {n} as l_suppkey")
+    part = spark.range(5).selectExpr("id as p_partkey", "concat('b', id % 2) as p_brand")
+    out = asked(monkeypatch, "k4_wide_export_whole", spark, lineitem=lines, part=part, supplier=spark.range(n).selectExpr("id as s_suppkey"))
+    assert len(out.columns) == n + 1
+    assert "MapInArrow" in out._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    want = {(r.b, r.g) for r in lines.join(part, lines.l_partkey == part.p_partkey).selectExpr("p_brand as b", "l_suppkey as g").distinct().collect()}
+    got = {r[0]: r[1:] for r in out.collect()}
+    assert {(b, g) for b, row in got.items() for g in range(n) if row[g] == 1} == want
