@@ -6,7 +6,7 @@ species) comes from its path.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,34 +124,51 @@ def alignments(spark: SparkSession, path: str | Sequence[str], schema: str = OUT
     return spark.read.schema(schema).option("sep", "\t").csv(path)
 
 
+#: A cell, in quotes or plain, with its separator before it; only lines that hold a quote are taken apart by it.
+QUOTED = r'{0}("(?:[^"\\]++|\\.)*+"|[^{0}]*)'
+
+
+def _split_cells(line: Column, sep: str) -> Column:
+    """The cells of a line; quotes around one are taken off, and a backslash inside them escapes."""
+    held = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(QUOTED.format(sep)), F.lit(1))
+    bare = F.transform(held, lambda x: F.when(x.rlike('^".*"$'), F.regexp_replace(x.substr(F.lit(2), F.length(x) - 2), r'\\(["\\])', "$1")).otherwise(x))
+    return F.when(F.contains(line, F.lit('"')), bare).otherwise(F.split(line, sep))
+
+
+def _wide_cells(spark: SparkSession, path: str | Sequence[str], named: Callable[[Column], Column], sep: str = "\t", without: Sequence[str] = (), counts: bool = False) -> DataFrame:
+    """(og, h, cell) of the filled cells of wide files, h what named makes of a column's header; the first column is the key.
+
+    Headers are joined to the cells, so neither the number of columns nor that of headers adds to the plan.  counts: cells of
+    0 are left out as well.
+    """
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("k"))
+    first = lines.where("block = 0 and trim(value) <> ''")
+    at = first.groupBy("file").agg(F.min("k").alias("k"))
+    header = F.transform(_split_cells(F.col("value"), sep), lambda x, i: F.when(x == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(x))
+    out = lambda x: x.isin(*without) if without else F.lit(False)
+    heads = first.join(F.broadcast(at), ["file", "k"]).select("file", F.col("k").alias("_head"), header.alias("_h"))
+    heads = heads.withColumn("_key", F.when(out(F.col("_h")[0]), 1).otherwise(0))
+    named_ = F.broadcast(heads.select("_head", F.posexplode("_h").alias("_at", "_h")).where(~out(F.col("_h"))).select("_head", "_at", named(F.col("_h")).alias("h")))
+    rows = lines.where("trim(value) <> ''").join(F.broadcast(heads.drop("_h")), "file").where("k <> _head")
+    # What is carried beside a cell is short: an empty one, as most are, costs little.
+    rows = rows.select("_head", "_key", _split_cells(F.col("value"), sep).alias("_cells")).select("_head", "_key", F.nullif(F.get("_cells", F.col("_key")), F.lit("")).alias("og"), F.posexplode("_cells").alias("_at", "cell"))
+    return rows.where("cell <> '' and cell <> '0' and _at <> _key" if counts else "cell <> '' and _at <> _key").join(named_, ["_head", "_at"]).select("og", "h", "cell")
+
+
 def orthogroups(spark: SparkSession, path: str | Sequence[str], species: str | None = None, combined: bool = False) -> DataFrame:
     """(og, [species,] accession, protein) from the wide matrix of comma-joined proteins; empty cells give no row.
 
     combined: headers are "species__accession..." and name the species too.
     """
-    def long(raw: DataFrame) -> DataFrame:
-        key, *genomes = [c for c in raw.columns if c != "_file"]
-        cells = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_cell").where("_cell is not null")
-        protein = F.explode(F.filter(F.transform(F.split("_cell", ","), lambda x: F.trim(x)), lambda x: x != ""))
-        cols = [F.col(f"`{key}`").alias("og")]
-        if combined:
-            cols.append(species_label(F.col("_header")).alias("species"))
-        elif species:
-            cols.append(F.lit(species).alias("species"))
-        return cells.select(*cols, F.coalesce(accession(F.col("_header")), F.col("_header")).alias("accession"), protein.alias("protein"))
-
-    return _stacked([long(x) for x in _headed(spark, path)])
+    cells = _wide_cells(spark, path, lambda x: F.struct(F.coalesce(accession(x), x).alias("accession"), (species_label(x) if combined else F.lit(species)).alias("species")))
+    protein = F.explode(F.filter(F.transform(F.split("cell", ","), lambda x: F.trim(x)), lambda x: x != ""))
+    return cells.select("og", *(["h.species"] if combined or species else []), "h.accession", protein.alias("protein"))
 
 
 def gene_counts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(og, species, accession, copies) from the wide count matrix, without its total."""
-
-    def long(raw: DataFrame) -> DataFrame:
-        key, *genomes = [c for c in raw.columns if c not in ("_file", "Total")]
-        cells = raw.unpivot([F.col(f"`{key}`")], [F.col(f"`{g}`") for g in genomes], "_header", "_n")
-        return cells.select(F.col(f"`{key}`").alias("og"), species_label(F.col("_header")).alias("species"), accession(F.col("_header")).alias("accession"), F.col("_n").try_cast("int").alias("copies")).where("copies > 0")
-
-    return _stacked([long(x) for x in _headed(spark, path)])
+    cells = _wide_cells(spark, path, lambda x: F.struct(species_label(x).alias("species"), accession(x).alias("accession")), without=["Total"], counts=True)
+    return cells.select("og", "h.species", "h.accession", F.col("cell").try_cast("int").alias("copies")).where("copies > 0")
 
 
 def fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

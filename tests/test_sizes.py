@@ -186,3 +186,30 @@ def test_wide_export_is_no_expression_a_column(spark, monkeypatch):
     want = {(r.b, r.g) for r in lines.join(part, lines.l_partkey == part.p_partkey).selectExpr("p_brand as b", "l_suppkey as g").distinct().collect()}
     got = {r[0]: r[1:] for r in out.collect()}
     assert {(b, g) for b, row in got.items() for g in range(n) if row[g] == 1} == want
+
+
+def test_wide_files_need_no_column_a_genome_in_a_plan(spark, monkeypatch):
+    """Orthogroups and gene counts of 1,030 genomes, in files of few columns each, beside their SQL twins."""
+    import duckdb
+
+    region = spark.createDataFrame([(0, "ASIA"), (1, "EUROPE")], "r_regionkey int, r_name string")
+    nation = spark.createDataFrame([(0, "x", 0), (1, "y", 1)], "n_nationkey int, n_name string, n_regionkey int")
+    supplier = spark.range(1030).select(F.col("id").alias("s_suppkey"), (F.col("id") % 2).cast("int").alias("s_nationkey"))
+    lineitem = spark.range(3000).select((F.col("id") % 700).alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"), F.when(F.col("id") > 5, F.col("id") % 7).alias("l_partkey"), (F.col("id") * 37 % 1030).alias("l_suppkey"))
+    given = {"region": region, "nation": nation, "supplier": supplier, "lineitem": lineitem}
+    monkeypatch.setattr(type(lineitem.groupBy()), "pivot", lambda *a: (_ for _ in ()).throw(AssertionError("a column a genome")))
+    c = duckdb.connect()
+    for name, df in given.items():
+        c.register(name, df.toPandas().convert_dtypes())
+    for name in ("s13_orthogroup_files", "s14_gene_count_files"):
+        got = asked(monkeypatch, name, spark, **given)
+        rel = c.sql(registry.ORACLE_SQL[name])
+        assert sorted(map(str, map(tuple, got.select(rel.columns).collect()))) == sorted(map(str, rel.fetchall())), name
+
+
+def test_wide_cells_in_quotes(spark, tmp_path):
+    from hyphalake.sources import readers
+
+    (tmp_path / "q.tsv").write_text('Orthogroup\t"GCA_000000001.1_a"\tGCA_000000002.1_b\nN0\t"p\\"1\tx"\t\n\nN1\t""\tp2, p3\n')
+    got = readers.orthogroups(spark, str(tmp_path / "q.tsv"))
+    assert sorted(map(tuple, got.collect())) == [("N0", "GCA_000000001.1", 'p"1\tx'), ("N1", "GCA_000000002.1", "p2"), ("N1", "GCA_000000002.1", "p3")]
