@@ -151,8 +151,11 @@ def union(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def groups(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers, ascending, of the groups of A's and of B's tokens, by their lengths in bytes over the same text."""
     end_a, end_b = np.cumsum(len_a), np.cumsum(len_b)
-    cuts = np.union1d(end_a, end_b)  # bytes up to the next cut are in one token of either
-    i, j = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
+    size = int(max(end_a[-1:].max(initial=-1), end_b[-1:].max(initial=-1))) + 1
+    at_a, at_b = np.bincount(end_a, minlength=size), np.bincount(end_b, minlength=size)
+    cuts = np.flatnonzero(at_a | at_b)  # bytes up to the next cut are in one token of either
+    i, j = (np.cumsum(at) - at for at in (at_a, at_b))  # tokens that end before each byte
+    i, j = i[cuts], j[cuts]
     root = union(len(end_a) + len(end_b), i, j + len(end_a))
     number = np.cumsum(root[: len(end_a)] == np.arange(len(end_a))) - 1
     return number[root[: len(end_a)]], number[root[len(end_a) :]]
@@ -166,9 +169,16 @@ def _distinct(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys[first], np.add.reduceat(weights, first) if len(first) else weights[:0]
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
+
+
 def links(ids_a: np.ndarray, ids_b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text and id pair, number of links) of all groups; doc is the text of each group, pairs are A's id times 2**16 plus B's."""
-    many = lambda of, ids: _distinct(of << 17 | ids, np.ones(len(of), np.int64))
+    many = lambda of, ids: _counted(of << 17 | ids)
     (key_a, n_a), (key_b, n_b) = many(of_a, ids_a), many(of_b, ids_b)
     group_a, group_b = key_a >> 17, key_b >> 17
     begin = np.searchsorted(group_b, np.arange(len(doc) + 1))

@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from tests.llm.conftest import DOCS
 
@@ -108,3 +109,16 @@ def test_a_table_of_words_that_fills_up(spark, libraries, monkeypatch):
             assert dict(zip(found["pair"].tolist(), found["weight"].tolist())) == per
         codec.a.empty()
         codec.b.empty()
+
+
+def test_groups_do_not_hash_or_search_byte_ends(monkeypatch):
+    """Ends are counted by byte: the groups are those that cuts searched one by one give."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(token_align.np, "union1d", lambda *a: (_ for _ in ()).throw(AssertionError("ends are hashed")))
+    for _ in range(50):
+        ends = np.sort(rng.choice(np.arange(1, 60), 12, replace=False))
+        a, b = (np.diff(np.append(np.sort(rng.choice(ends[:-1], k, replace=False)), 60), prepend=0) for k in (7, 5))
+        of_a, of_b = token_align.groups(a, b)
+        both = sorted(set(np.cumsum(a).tolist()) & set(np.cumsum(b).tolist()))
+        assert of_a.tolist() == np.searchsorted(both, np.cumsum(a)).tolist() and of_b.tolist() == np.searchsorted(both, np.cumsum(b)).tolist()
+    assert [x.tolist() for x in token_align.groups(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [[], []]
