@@ -282,3 +282,28 @@ def test_rarefaction_in_blocks_of_orders(spark, places):
         order.setdefault(r.perm, []).append(r.genome)
     got = {(r.perm, r.n): (r.pan, r.core) for r in pangenome.rarefaction(pav, 7, places=places).collect()}
     assert got == {(p, n): (sum(bool(x & set(o[:n])) for x in has.values()), sum(set(o[:n]) <= x for x in has.values())) for p, o in order.items() for n in range(1, 13)}
+
+
+def test_shared_counts_by_squares_shuffle_no_pairs(spark, monkeypatch):
+    """Blocks of 4 of 30 groups, one item in all of them, keys of text; pairs of rows are not met."""
+    import itertools
+    import random
+
+    from hyphalake.operators import relational
+
+    rng = random.Random(4)
+    rows = [(f"g{g:02}", rng.randrange(60)) for g in range(30) for _ in range(12)] + [(f"g{g:02}", 99) for g in range(30)] + [(None, 99), ("g01", None), ("alone", 500)]
+    monkeypatch.setattr(relational, "item_pairs", lambda *a: (_ for _ in ()).throw(AssertionError("pairs are shuffled")))
+    monkeypatch.setattr(relational, "SIDE", 4)
+    monkeypatch.setattr(relational, "PAIRS", 7)
+    sets = {}
+    for g, i in rows:
+        if g is not None:
+            sets.setdefault(g, set()).add(i)
+    want = {}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len((sets[a] & sets[b]) - {None})
+        if shared:
+            want[a, b] = (shared, round(shared / (len(sets[a]) + len(sets[b]) - shared), 9))
+    got = relational.jaccard_by_pair(spark.createDataFrame(rows, "g string, i int"), "g", "i").collect()
+    assert {(r.a, r.b): (r.shared, round(r.jaccard, 9)) for r in got} == want and len(got) == len(want)
