@@ -418,6 +418,10 @@ def fitch_changes(nodes: list[tuple], state: dict[str, int]) -> int:
     return changes
 
 
+#: Random numbers drawn at a time, and blocks of shuffles a task.
+DRAWN, BLOCKS = 1 << 22, 4
+
+
 def clumping(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str = "og", n_perm: int = 1000, seed: int = 42, block: int = 256) -> DataFrame:
     """(trait, observed, n_present, random_mean, clumped, D, p_random, p_brownian) of binary traits, absence where a tip has no row.
 
@@ -428,6 +432,7 @@ def clumping(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str
     Shuffling a trait depends on its number of present tips alone, so the null is made once for each number
     that occurs: at most one for each tip, whatever the number of traits.  Shuffles of a block are bits that
     walk down the tree together; a block's draws depend on seed, number and block, so they repeat anywhere.
+    A task takes a few blocks, and draws DRAWN numbers or one shuffle at a time.
     """
     walk = Walk(edges)
     n = len(walk.tips)
@@ -442,13 +447,18 @@ def clumping(edges: DataFrame, traits: DataFrame, states: DataFrame, trait: str
         for part in batches:
             for n1, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 m = min(block, n_perm - b * block)
-                order = np.argpartition(np.random.default_rng([seed, n1, b]).random((m, n)), n1 - 1, axis=1)[:, :n1]
+                rng, few = np.random.default_rng([seed, n1, b]), max(1, DRAWN // n)
                 has = np.zeros((n, m), bool)
-                has[order.T, np.arange(m)] = True
+                for at in range(0, m, few):
+                    drawn = rng.random((min(few, m - at), n))
+                    order = np.argpartition(drawn, n1 - 1, axis=1)[:, :n1]
+                    has[order.T, np.arange(at, at + len(drawn))] = True
                 value, count = np.unique(walk.changes(has), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), n1)), pa.array(value), pa.array(count)], ["n_present", "changes", "c"])
 
-    null = todo.repartition("n_present", "b").mapInArrow(run, "n_present long, changes long, c long")
+    # A block's time is in the tree, not in its row, so the number of tasks is given: adaptive execution would join them.
+    tasks = max(1, min(2000, -(-todo.count() // BLOCKS)))
+    null = todo.repartition(tasks, "n_present", "b").mapInArrow(run, "n_present long, changes long, c long")
     null = null.groupBy("n_present", "changes").agg(F.sum("c").alias("c")).groupBy("n_present").agg(F.collect_list(F.struct("changes", "c")).alias("h"))
     total = lambda f: F.aggregate("h", F.lit(0.0), lambda t, x: t + f(x)) / n_perm
     share = lambda keep: total(lambda x: F.when(keep(x["changes"]), x["c"]).otherwise(F.lit(0)).cast("double"))

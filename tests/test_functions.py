@@ -237,6 +237,22 @@ def test_conservation_counts(spark):
     assert {r.gene: (r.n_core, r.n_present) for r in isolates.conservation(df, ["x", "y"]).collect()} == {"a": (1, 1), "b": (2, 2), "c": (0, 1)}
 
 
+def test_clumping_deals_shuffles_and_draws_in_slices(spark, monkeypatch):
+    """Blocks of shuffles are not joined to one task, and slices of draws give the same shuffles as whole blocks."""
+    edges = tree.tree_table(spark, "((((A:1,B:1):1,C:1):1,(D:1,(E:1,F:1):1):1):1,(G:1,H:1,I:1):1,J:1);")
+    rows = spark.createDataFrame([(f"og{k}", t, 1) for k in range(1, 10) for t in "ABCDEFGHIJ"[:k]], "og string, tip string, state int")
+    traits = rows.select("og").distinct()
+    whole = sorted(tree.clumping(edges, traits, rows).collect())
+    monkeypatch.setattr(tree, "DRAWN", 30)
+    monkeypatch.setattr(tree, "BLOCKS", 1)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = lambda: store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    before = stages().size()
+    assert sorted(tree.clumping(edges, traits, rows).collect()) == whole
+    now = stages()
+    assert max(now.apply(k).numTasks() for k in range(now.size() - before)) == 9 * 4
+
+
 def test_clumping(spark):
     """Observed changes and every shuffle against a walk of one trait at a time, and the null against all shuffles."""
     import random
