@@ -86,6 +86,23 @@ def sequential_clusters(near, quality):
     return {(x, to.get(x, x), x not in removed) for x in near}
 
 
+@pytest.mark.parametrize("width", [2, 20])
+def test_duplicate_clusters_on_a_line_equal_those_of_pairs(spark, width):
+    """Random keys, keys that rise along the line (a chain over all cells), many at one place, and rows that are near nothing."""
+    rng = np.random.default_rng(width)
+    at = {"random": rng.integers(0, 300, 60) / 10.0, "rising": np.sort(rng.integers(0, 80, 20)) / 10.0, "one": np.full(10, 5.0), "apart": np.arange(5) * 50.0}
+    rows = [(k, g, float(x), float(rng.integers(0, 5))) for k, (g, x) in enumerate([(g, x) for g, xs in at.items() for x in xs])] + [(900, None, 1.0, 1.0), (901, None, 1.0, 1.0), (902, "one", None, 9.0)]
+    frame = spark.createDataFrame(rows, "key long, g string, at double, quality double")
+    near = {a[0]: [b for b in rows if a[1] and a[1] == b[1] and None not in (a[2], b[2]) and abs(a[2] - b[2]) <= 1] for a in rows}
+    to: dict[int, int] = {}
+    for k in sorted(near):
+        free = sorted((-b[3], b[0]) for b in near[k] if b[0] not in to)
+        if k not in to:
+            to |= {b: free[0][1] for _, b in free[1:]}
+    told = [(k, to.get(k, k), k not in to) for k, own in near.items() if len(own) > 1]
+    assert sorted(kinship.duplicate_clusters_on_line(frame, ["g"], 1, width=width).collect()) == sorted(told)
+
+
 @pytest.mark.parametrize("kind", ["random", "chain", "cliques"])
 def test_duplicate_clusters_equal_the_sequential_rule(spark, kind):
     rng = random.Random(7)
