@@ -5,8 +5,8 @@ tile the same bytes.  Tokens that share a byte overlap; the connected components
 the minimal groups, which both tokenizers cut out alike.  Tokens of a group are linked, each A with each B.
 
 1. Texts are taken in blocks of about ``block_chars`` characters.  Words are encoded once as long as the
-   worker's bounded table holds them; a block's overlaps are the edges of one union-find, whose rounds hook
-   roots to smaller ones and halve paths for all edges at once.
+   worker's bounded table holds them; a block's groups are cut at the bytes at which
+   tokens of both end, which are marked and counted for all texts at once.
 2. A group's members expand to links as distinct ids with their numbers, so a group that repeats an id costs
    one entry.  A block keeps each text's distinct id pairs as places in the block's own pair list, and sends
    each distinct pair once with the number of texts that hold it.
@@ -132,38 +132,21 @@ def pair_codec(blob_a: bytes, blob_b: bytes) -> PairCodec:
     return PairCodec(blob_a, blob_b)
 
 
-def union(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node of its component, by edges (i, j)."""
-    root = np.arange(n)
-    while len(i):
-        a, b = root[i], root[j]
-        apart = a != b
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = root[root]
-            if np.array_equal(up, root):
-                break
-            root = up
-    return root
-
-
 def groups(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers, ascending, of the groups of A's and of B's tokens, by their lengths in bytes over the same text."""
+    """Numbers, ascending, of the groups of A's and of B's tokens, by their lengths in bytes over the same text: a token's
+    is the number of bytes before its end at which tokens of both end."""
     end_a, end_b = np.cumsum(len_a), np.cumsum(len_b)
     size = int(max(end_a[-1:].max(initial=-1), end_b[-1:].max(initial=-1))) + 1
-    at_a, at_b = np.bincount(end_a, minlength=size), np.bincount(end_b, minlength=size)
-    cuts = np.flatnonzero(at_a | at_b)  # bytes up to the next cut are in one token of either
-    i, j = (np.cumsum(at) - at for at in (at_a, at_b))  # tokens that end before each byte
-    i, j = i[cuts], j[cuts]
-    root = union(len(end_a) + len(end_b), i, j + len(end_a))
-    number = np.cumsum(root[: len(end_a)] == np.arange(len(end_a))) - 1
-    return number[root[: len(end_a)]], number[root[len(end_a) :]]
+    both, of_b = np.zeros((2, size), bool)
+    both[end_a], of_b[end_b] = True, True
+    both &= of_b
+    before = np.cumsum(both) - both
+    return before[end_a], before[end_b]
 
 
 def _distinct(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, and the sums of their weights."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, weights = keys[order], weights[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(weights, first) if len(first) else weights[:0]
@@ -181,7 +164,7 @@ def links(ids_a: np.ndarray, ids_b: np.ndarray, of_a: np.ndarray, of_b: np.ndarr
     many = lambda of, ids: _counted(of << 17 | ids)
     (key_a, n_a), (key_b, n_b) = many(of_a, ids_a), many(of_b, ids_b)
     group_a, group_b = key_a >> 17, key_b >> 17
-    begin = np.searchsorted(group_b, np.arange(len(doc) + 1))
+    begin = np.concatenate(([0], np.cumsum(np.bincount(group_b, minlength=len(doc)))))
     width = np.diff(begin)[group_a]
     upto, parts, at = np.cumsum(width), [], 0
     while at < len(key_a):
@@ -246,12 +229,18 @@ def aligned_blocks(docs: DataFrame, blob_a: bytes, blob_b: bytes, key: str, text
 
     def block_rows(codec: PairCodec, block: int, keys: list, codes: list) -> Iterator[pa.RecordBatch]:
         found = aligned_block(codec, [c[0] for c in codes], [c[1] for c in codes])
-        pairs, inverse, docs_of = np.unique(found["pair"], return_inverse=True, return_counts=True)
+        sorted_by = np.argsort(found["pair"])
+        pairs = found["pair"][sorted_by]
+        starts = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
+        inverse = np.empty(len(pairs), np.int64)
+        inverse[sorted_by] = np.cumsum(starts) - 1
+        firsts = np.flatnonzero(starts)
+        pairs, docs_of = pairs[firsts], np.diff(firsts, append=len(pairs))
         order = np.argsort(-docs_of, kind="stable")  # frequent pairs get low places, so places pack well
         place = np.empty(len(pairs), np.int64)
         place[order] = np.arange(len(pairs))
         at = place[inverse]
-        by = np.lexsort((at, found["doc"]))
+        by = np.argsort(found["doc"] << 32 | at)
         at, weight, doc = at[by], found["weight"][by], found["doc"][by]
         step = np.diff(at, prepend=0)
         first = np.flatnonzero(np.diff(doc, prepend=-1))

@@ -122,3 +122,10 @@ def test_groups_do_not_hash_or_search_byte_ends(monkeypatch):
         both = sorted(set(np.cumsum(a).tolist()) & set(np.cumsum(b).tolist()))
         assert of_a.tolist() == np.searchsorted(both, np.cumsum(a)).tolist() and of_b.tolist() == np.searchsorted(both, np.cumsum(b)).tolist()
     assert [x.tolist() for x in token_align.groups(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [[], []]
+
+
+def test_groups_are_cut_without_components():
+    """Groups are cut at common ends, which are counted once: no rounds over edges, whose number grows with the tokens."""
+    assert not hasattr(token_align, "union")
+    of_a, of_b = token_align.groups(np.array([2, 3, 1, 4]), np.array([5, 1, 2, 2]))
+    assert (of_a.tolist(), of_b.tolist()) == ([0, 0, 1, 2], [0, 1, 2, 2])
