@@ -56,3 +56,14 @@ def test_centres_that_lose_their_rows_stay(spark, vectors):
 def test_too_few_vectors_have_no_clusters(spark, monkeypatch, vectors):
     assert asked(monkeypatch, "t31_kmeans", spark, embeddings=vectors.limit(2)).count() == 0
     assert asked(monkeypatch, "t31_cluster_choice", spark, embeddings=vectors.limit(2)).count() == 0
+
+
+def _genomes(spark, n):
+    region = spark.createDataFrame(list(enumerate(["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])), "r_regionkey int, r_name string")
+    nation = spark.range(25).selectExpr("cast(id as int) as n_nationkey", "concat('n', id) as n_name", "cast(id % 5 as int) as n_regionkey")
+    return {"region": region, "nation": nation, "supplier": spark.range(n).selectExpr("id as s_suppkey", "cast(id % 25 as int) as s_nationkey", "cast(id * 37 % 9000 as double) as s_acctbal")}
+
+
+def test_rare_features_of_many_genomes_need_no_factor(spark, monkeypatch):
+    lines = spark.range(5100).selectExpr("id as l_orderkey", "cast(1 as int) as l_linenumber", "id % 2000 as l_partkey", "id as l_suppkey")
+    assert asked(monkeypatch, "t12_mixed_model", spark, lineitem=lines, **_genomes(spark, 5100)).count() == 0  # refused before
