@@ -67,3 +67,31 @@ def _genomes(spark, n):
 def test_rare_features_of_many_genomes_need_no_factor(spark, monkeypatch):
     lines = spark.range(5100).selectExpr("id as l_orderkey", "cast(1 as int) as l_linenumber", "id % 2000 as l_partkey", "id as l_suppkey")
     assert asked(monkeypatch, "t12_mixed_model", spark, lineitem=lines, **_genomes(spark, 5100)).count() == 0  # refused before
+
+
+def test_relatedness_beyond_5000_is_not_refused(spark):
+    from hyphalake.operators import gram
+
+    one = gram.Blocks(list(range(5001)), spark.createDataFrame([], "bi int, bj int, v binary"), "int")
+    assert one.matrix().shape == (5001, 5001)
+
+
+def test_components_without_a_whole_factor(spark, monkeypatch):
+    from hyphalake.operators import gram, kinship
+
+    rng = np.random.default_rng(4)
+    cells = [(s, p, float(rng.normal())) for p in range(90) for s in rng.permutation(60)[: 4 if p % 2 else 50].tolist()]
+    rows = spark.createDataFrame(cells, "sample int, pos int, z double")
+    want = kinship.principal_components(gram.of_sites(rows), 3).toPandas()
+    z = np.zeros((60, 90))
+    for s, p, v in cells:
+        z[s, p] = v
+    monkeypatch.setattr(kinship, "FACTORED", 10)
+    monkeypatch.setattr(gram, "SPARSE", 1)  # products of cells, not of dense strips
+    blocks = gram.of_sites(rows, block=16, strip_bytes=1 << 13)
+    assert np.allclose(blocks.matrix(), z @ z.T / 90)
+    got = kinship.principal_components(blocks, 3).toPandas()
+    assert np.allclose(got.iloc[:, 1:], want.iloc[:, 1:], atol=1e-8)
+    twice = np.kron(np.eye(2), z @ z.T)
+    s, u = kinship.top_eigen(twice, 4)
+    assert np.allclose(s, np.linalg.eigvalsh(twice)[::-1][:4]) and np.allclose(twice @ u, u * s, atol=1e-7)
