@@ -100,9 +100,47 @@ def tip_paths(edges: DataFrame) -> DataFrame:
     return _of_tips(edges, "tip string, node int, depth int, cum double", made)
 
 
+#: Levels of a tree that are columns of a plan at most, pairs that a task makes, and tips that are sent to all tasks at most.
+LEVELS, TASK, SENT = 16, 1 << 24, 200_000
+
+
 def shared_path_lengths(edges: DataFrame, pairs: int = 1 << 18) -> DataFrame:
     """(i, j, v): length of the path that two tips share from the root, the covariance of Brownian motion.
 
+    Each tip has its ancestor at every level as a column; two tips share the path to the last level whose ancestors agree,
+    so pairs are made and written by compiled code, some tips with all others in a task.  Trees of more than LEVELS levels
+    are walked instead.
+    """
+    walk = Walk(edges)
+    at = np.array(list(walk.tips.values()), np.int64)
+    steps = []
+    while (at >= 0).any():
+        steps.append(at)
+        at = np.where(at >= 0, walk.above[at], -1)
+    if not steps or len(steps) > LEVELS:
+        return _walked_path_lengths(edges, pairs)
+    path = np.full((len(at), len(steps)), -1)
+    length = sum(s >= 0 for s in steps)
+    for k, s in enumerate(steps):
+        there = np.flatnonzero(s >= 0)
+        path[there, length[there] - 1 - k] = s[there]
+    levels = range(len(steps))
+    upto = np.where(path >= 0, walk.cum[path], 0.0)
+    table = pa.table({"i": pa.array(list(walk.tips), pa.string())} | {f"a{k}": pa.array(path[:, k].astype(np.int32)) for k in levels} | {f"c{k}": pa.array(np.ascontiguousarray(upto[:, k])) for k in levels})
+    spark, n = edges.sparkSession, len(at)
+    tips = spark.createDataFrame(table)
+    own = tips.repartition(min(n, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * n // TASK)))
+    other = tips.select(F.col("i").alias("j"), *[F.col(f"a{k}").alias(f"b{k}") for k in levels])
+    other = F.broadcast(other) if n <= SENT else other.hint("shuffle_replicate_nl")
+    v = F.lit(0.0)
+    for k in levels:
+        v = F.when((F.col(f"a{k}") == F.col(f"b{k}")) & (F.col(f"a{k}") >= 0), F.col(f"c{k}")).otherwise(v)
+    return own.crossJoin(other).select("i", "j", v.alias("v"))
+
+
+def _walked_path_lengths(edges: DataFrame, pairs: int) -> DataFrame:
+    """shared_path_lengths of deep trees.
+
     For some tips at a time, every node takes the length up to where it leaves their paths, which is its own
     on a path and its parent's elsewhere: one pass down the tree, and no join.  Batches hold ``pairs`` pairs at most.
     """

@@ -95,3 +95,18 @@ def test_components_without_a_whole_factor(spark, monkeypatch):
     twice = np.kron(np.eye(2), z @ z.T)
     s, u = kinship.top_eigen(twice, 4)
     assert np.allclose(s, np.linalg.eigvalsh(twice)[::-1][:4]) and np.allclose(twice @ u, u * s, atol=1e-7)
+
+
+def test_shared_paths_are_made_by_compiled_code(spark, monkeypatch):
+    from hyphalake.operators import tree
+
+    edges = tree.tree_table(spark, "((a:1,(b:2,c:1.5):0.5):2,d:4,((e:1):1,f:2.5):1);")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    got = tree.shared_path_lengths(edges)
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()
+    assert rows(got) == rows(tree._walked_path_lengths(edges, 4)) and len(rows(got)) == 36
+    monkeypatch.setattr(tree, "SENT", 0)
+    monkeypatch.setattr(tree, "TASK", 2)
+    assert rows(tree.shared_path_lengths(edges)) == rows(got)
+    monkeypatch.setattr(tree, "LEVELS", 2)
+    assert rows(tree.shared_path_lengths(edges)) == rows(got)
