@@ -110,3 +110,14 @@ def test_shared_paths_are_made_by_compiled_code(spark, monkeypatch):
     assert rows(tree.shared_path_lengths(edges)) == rows(got)
     monkeypatch.setattr(tree, "LEVELS", 2)
     assert rows(tree.shared_path_lengths(edges)) == rows(got)
+
+
+def test_relationship_of_vectors_names_no_samples_on_the_driver(spark, monkeypatch, vectors):
+    from hyphalake.operators import gram
+
+    want = {(r.i, r.j): r.v for r in gram.of_vectors(vectors, "vec_id", "embedding").pairs().collect()}
+    monkeypatch.setattr(gram, "labels", None)  # refused beyond 100,000 samples
+    got = gram.vector_pairs(vectors, "vec_id", "embedding", block=7)
+    got = {(r.i, r.j): r.v for r in got.collect()}
+    assert got.keys() == want.keys() and len(got) == 120 * 120 and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    assert asked(monkeypatch, "t20_relationship", spark, embeddings=vectors).count() == 120 * 120
