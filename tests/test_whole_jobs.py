@@ -121,3 +121,15 @@ def test_relationship_of_vectors_names_no_samples_on_the_driver(spark, monkeypat
     got = {(r.i, r.j): r.v for r in got.collect()}
     assert got.keys() == want.keys() and len(got) == 120 * 120 and all(abs(got[k] - want[k]) < 1e-9 for k in got)
     assert asked(monkeypatch, "t20_relationship", spark, embeddings=vectors).count() == 120 * 120
+
+
+def test_sets_far_apart_are_dropped_where_they_meet(spark):
+    from hyphalake.operators import relational
+
+    rng = np.random.default_rng(8)
+    sets = [sorted(set(rng.integers(0, 90, rng.integers(1, 40)).tolist())) for _ in range(80)]
+    sets += [sorted(set(s[: len(s) * 3 // 4]) | {200 + k}) for k, s in enumerate(sets[:40])] + [sets[0], [5], [5]]
+    want = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if a < b and 2 * len(set(x) & set(y)) >= len(set(x) | set(y))}
+    table = spark.createDataFrame(list(enumerate(sets)), "key long, items array<long>")
+    for words in (1, 8):
+        assert {(r.a, r.b) for r in relational.similar_sets(table, 0.5, words=words).collect()} == want and len(want) > 30
